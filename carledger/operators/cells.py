@@ -220,11 +220,13 @@ def scan(
     return found.orderBy("tbl", key.desc() if reverse else key.asc(), "family", "qualifier")
 
 
-def first_rows(cells: DataFrame, n: int, reverse: bool = False) -> DataFrame:
-    """All cells of the first n row keys of a scan. The keys are found by a top-n, never by ranking cells."""
+def first_rows(cells: DataFrame, n: int, start: str = "", reverse: bool = False) -> DataFrame:
+    """All cells of the first n row keys from `start` on. A top-n of keys, one column wide, comes first; the
+    cells then meet n keys, so they are never ranked or sorted."""
     key = F.col("row_key")
-    keys = cells.select("row_key").distinct().orderBy(key.desc() if reverse else key.asc()).limit(n)
-    return cells.join(keys, "row_key", "left_semi").select(*cells.columns)
+    chosen = cells.filter(key <= start if reverse else key >= start) if start else cells
+    keys = chosen.select("row_key").distinct().orderBy(key.desc() if reverse else key.asc()).limit(n)
+    return chosen.join(keys, "row_key", "left_semi").select(*cells.columns)
 
 
 def row_maps(cells: DataFrame) -> DataFrame:

@@ -9,12 +9,13 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from carledger.schema import RAW_COLUMNS
 from carledger.operators.clean import clean
 from carledger.session import configure, shared_dir
 
-_STORED: dict[tuple[str, str, str], str] = {}
+_STORED: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,10 +29,12 @@ def stored(
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STORED:
         path = f"{shared_dir(configure(spark))}/{key[0]}/{len(_STORED)}-{name}"
-        writer = make().write.mode("overwrite")
+        made = make()
+        writer = made.write.mode("overwrite")
         (writer.partitionBy(by) if by else writer).parquet(path)
-        _STORED[key] = path
-    return spark.read.parquet(_STORED[key])
+        _STORED[key] = path, made.schema
+    path, schema = _STORED[key]
+    return spark.read.schema(schema).parquet(path)
 
 
 def _hundredths(cents: Column) -> Column:

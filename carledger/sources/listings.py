@@ -33,9 +33,8 @@ def read_listings(
 
 def read_partitioned(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
     """A folder with a `province=` directory for each province; a filter on it reads only its directories."""
-    return spark.read.schema(schema.add("province", T.StringType()) if "province" not in schema.names else schema).parquet(
-        path
-    )
+    named = schema if "province" in schema.names else T.StructType([*schema.fields, T.StructField("province", T.StringType())])
+    return spark.read.schema(named).parquet(path)
 
 
 def write_listings(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
