@@ -14,6 +14,8 @@ BLANKS = (
     "           "
     "    　"
 )
+# The same characters as the inside of a regex character class, in ranges.
+BLANK_CLASS = r"\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 NBSP = "\xa0"
 
 
@@ -28,7 +30,7 @@ def strip(c: Column) -> Column:
 
 def words(c: Column) -> Column:
     """Split on runs of whitespace, without empty tokens."""
-    return F.filter(F.split(c, f"[{BLANKS}]+"), lambda w: w != "")
+    return F.filter(F.split(c, f"[{BLANK_CLASS}]+"), lambda w: w != "")
 
 
 def title_brand(title: Column) -> Column:
@@ -68,7 +70,7 @@ def blank_text(c: Column) -> Column:
     """True for empty or whitespace-only text and for the text `nan`, false otherwise (null for null)."""
     # The first character settles nearly every value without the regex.
     suspect = F.substring(c, 1, 1).isin("", "n", "N", *BLANKS)
-    return suspect & F.rlike(c, F.lit(f"^[{BLANKS}]*(?i:nan)?[{BLANKS}]*$"))
+    return suspect & F.rlike(c, F.lit(f"^[{BLANK_CLASS}]*(?i:nan)?[{BLANK_CLASS}]*$"))
 
 
 def nan_text(c: Column) -> Column:
@@ -129,7 +131,12 @@ def raw_text(html: Column) -> Column:
     return decode_entities(literal_replace(F.regexp_replace(html, "<[^>]*>", ""), "&nbsp;", NBSP))
 
 
+def trim_at_tags(html: Column) -> Column:
+    """Text nodes without the blanks next to tags."""
+    return F.regexp_replace(html, f"[{BLANK_CLASS}]*(<[^>]*>)[{BLANK_CLASS}]*", "$1")
+
+
 def node_text(html: Column) -> Column:
     """Text of an element with every text node trimmed on its own and joined without a separator."""
-    spaced = literal_replace(html, "&nbsp;", NBSP)
-    return decode_entities(strip(F.regexp_replace(spaced, f"[{BLANKS}]*<[^>]*>[{BLANKS}]*", "")))
+    spaced = trim_at_tags(literal_replace(html, "&nbsp;", NBSP))
+    return decode_entities(strip(F.regexp_replace(spaced, "<[^>]*>", "")))

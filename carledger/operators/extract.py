@@ -25,6 +25,9 @@ PROFILE_FIELDS = {
     if name not in ("brand", "style", "model", "current_price", "new_price", "fuel_type")
 }
 
+# Marks in flattened lists: code points reserved for internal use, which no text holds.
+_ITEM, _ITEM_END, _NAME, _NAME_END = "\ufdd0", "\ufdd1", "\ufdd2", "\ufdd3"
+
 NO_TITLE, EMPTY_TITLE, NO_PRICE = "no title", "empty title", "no price"
 
 
@@ -71,34 +74,42 @@ def profile(html: Column, all_blanks: bool = False) -> Column:
     """The named list items of a page as a map; empty keys or values are left out, the last of equal keys wins.
 
     `all_blanks` removes every blank inside a key instead of plain and non-breaking spaces only.
+
+    The lists are turned into flat text by a few passes over the whole section, with marks in place of the item and
+    name tags; the work for an item is then plain string cutting.
     """
-    content = F.regexp_extract(html, rf"(?s){_open(PROFILE_CLASS)}(.*)", 1)
-    item_pattern = F.lit(r"(?s)<li\b[^>]*>(.*?)</li>")
-    items = F.flatten(
-        F.transform(elements(content, [LIST_CLASS]), lambda ul: F.regexp_extract_all(ul, item_pattern, F.lit(1)))
-    )
+    section = F.regexp_extract(html, rf"(?s){_open(PROFILE_CLASS)}(.*)", 1)
+    lists = X.literal_replace(F.array_join(elements(section, [LIST_CLASS]), ""), "&nbsp;", X.NBSP)
+    lists = X.trim_at_tags(lists)
+    lists = F.regexp_replace(lists, _inside([NAME_CLASS]), f"{_NAME}$2{_NAME_END}")
+    lists = X.literal_replace(F.regexp_replace(lists, r"<li\b[^>]*>", _ITEM), "</li>", _ITEM_END)
+    flat = X.decode_entities(F.regexp_replace(lists, "<[^>]*>", ""))
+    items = F.filter(F.split(flat, _ITEM), lambda item: item.contains(_NAME))
 
     def named(item: Column) -> Column:
-        return F.struct(X.node_text(first_element(item, [NAME_CLASS])).alias("name"), X.node_text(item).alias("text"))
+        body = F.substring_index(item, _ITEM_END, 1)
+        name = F.substring_index(F.substring_index(body, _NAME_END, 1), _NAME, -1)
+        text = X.literal_replace(X.literal_replace(body, _NAME), _NAME_END)
+        return F.struct(X.strip(name).alias("name"), text.alias("text"))
 
     def entry(item: Column) -> Column:
         key = X.literal_replace(X.literal_replace(X.literal_replace(item["name"], X.NBSP), "："), " ")
         if all_blanks:
-            key = F.regexp_replace(key, f"[{X.BLANKS}]+", "")
+            key = F.regexp_replace(key, f"[{X.BLANK_CLASS}]+", "")
         return F.struct(key.alias("key"), X.strip(X.literal_replace(item["text"], item["name"])).alias("value"))
 
-    def last_of_each_key(entries: Column) -> Column:
-        return F.filter(
-            entries,
-            lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]),
-        )
+    def last_of_each_key(page: Column) -> Column:
+        size = F.size(page["entries"])
+        return F.filter(page["entries"], lambda e, i: size - F.array_position(page["backwards"], e["key"]) == i)
 
-    # No name gives a null key; the filter drops it with the empty ones.
     entries = F.filter(
         F.transform(F.transform(items, named), entry), lambda e: (e["key"] != "") & (e["value"] != "")
     )
-    # The one-element array binds the entries to a lambda variable, so they are evaluated once, not once for each key.
-    return F.map_from_entries(F.get(F.transform(F.array(entries), last_of_each_key), F.lit(0)))
+    # The one-element arrays bind an expression to a lambda variable, so that it is evaluated once for a page.
+    once = F.transform(
+        F.array(entries), lambda es: F.struct(es.alias("entries"), F.reverse(es["key"]).alias("backwards"))
+    )
+    return F.map_from_entries(F.get(F.transform(once, last_of_each_key), F.lit(0)))
 
 
 def profiles(pages: DataFrame, all_blanks: bool = False) -> DataFrame:
@@ -107,6 +118,17 @@ def profiles(pages: DataFrame, all_blanks: bool = False) -> DataFrame:
     return pages.select(*rest, profile(F.col("html"), all_blanks).alias("profile"))
 
 
+def profile_rows(pages: DataFrame, all_blanks: bool = False) -> DataFrame:
+    """E2 as one row for each key: `html` replaced by `key, value`.
+
+    The outer explode, with the empty pages filtered behind it, keeps Spark from testing the map in a filter in front,
+    where it would be computed again.
+    """
+    rest = [c for c in pages.columns if c != "html"]
+    entries = F.explode_outer(profile(F.col("html"), all_blanks)).alias("key", "value")
+    return pages.select(*rest, entries).filter(F.col("key").isNotNull())
+
+
 def fuel_type(profile_map: Column) -> Column:
     """Gasoline if the page names a fuel grade, else electric."""
     grade = F.coalesce(F.try_element_at(profile_map, F.lit(FUEL_GRADE_KEY)), F.lit(""))
@@ -147,6 +169,16 @@ def reject_reason() -> Column:
     )
 
 
+_PARTS = ["title", "price", "new_price", "profile"]
+
+
+def _computed(parts: DataFrame, names: list[str]) -> DataFrame:
+    """`parts` with the named columns passed through a generator, which a later filter is not moved below. Otherwise
+    the patterns behind a column would run once for the filter and once more for the result."""
+    rest = [c for c in parts.columns if c not in _PARTS]
+    return parts.select(*rest, F.inline_outer(F.array(F.struct(*names))))
+
+
 def listings(parts: DataFrame) -> DataFrame:
     """Raw listings of the good pages, with the page's other columns in front."""
     title, profile_map = F.col("title"), F.col("profile")
@@ -159,14 +191,16 @@ def listings(parts: DataFrame) -> DataFrame:
         "fuel_type": fuel_type(profile_map),
         **profile_columns(profile_map),
     }
-    rest = [c for c in parts.columns if c not in ("title", "price", "new_price", "profile")]
-    return parts.filter(reject_reason().isNull()).select(*rest, *[values[n].alias(n) for n in RAW_COLUMNS])
+    rest = [c for c in parts.columns if c not in _PARTS]
+    good = _computed(parts, _PARTS).filter(reject_reason().isNull())
+    return good.select(*rest, *[values[n].alias(n) for n in RAW_COLUMNS])
 
 
 def rejects(parts: DataFrame) -> DataFrame:
     """The pages that give no listing, with the reason."""
-    rest = [c for c in parts.columns if c not in ("title", "price", "new_price", "profile")]
-    return parts.withColumn("reason", reject_reason()).filter(F.col("reason").isNotNull()).select(*rest, "reason")
+    rest = [c for c in parts.columns if c not in _PARTS]
+    reasons = _computed(parts, ["title", "price"]).withColumn("reason", reject_reason())
+    return reasons.filter(F.col("reason").isNotNull()).select(*rest, "reason")
 
 
 def frontier(provinces: DataFrame, max_pages: int = 100) -> DataFrame:

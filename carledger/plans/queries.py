@@ -78,7 +78,7 @@ def e1_card_links(spark, sf):
 @query
 def e2_profile_kv(spark, sf):
     pages = D.detail_pages(spark, sf).select("url", "html")
-    return extract.profiles(pages).select("url", F.explode("profile").alias("key", "value"))
+    return extract.profile_rows(pages)
 
 
 @query

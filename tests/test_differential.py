@@ -22,6 +22,9 @@ def duck():
     return con
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "float": "FLOAT", "date": "DATE"}
+
+
 def _key(row):
     return tuple((v is None, "" if v is None else str(v)) for v in row)
 
@@ -41,6 +44,8 @@ def test_matches_sql(spark, duck, name):
     cursor = duck.execute(entry.oracle_sql()[name])
     names = [d[0] for d in cursor.description]
     assert sorted(names) == columns
+    types = {d[0]: str(d[1]) for d in cursor.description}
+    assert {c: TYPES[t] for c, t in got.dtypes} == types
     want = cursor.fetchall()
     picked = [names.index(c) for c in columns]
     want = sorted((tuple(_value(r[i]) for i in picked) for r in want), key=_key)
