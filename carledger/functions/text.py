@@ -82,34 +82,22 @@ def float_text(c: Column) -> Column:
     """A float or double as shortest decimal text: `12.5`, `10000000.0`, `1e-05`, `nan`.
 
     Spark switches to exponents outside [1e-3, 1e7); here the switch is at [1e-4, 1e16), with a lower-case
-    exponent of two digits. A FLOAT is widened first, so 12.34 gives `12.34000015258789`.
+    exponent of two digits. A FLOAT is widened first, so 12.34 gives `12.34000015258789`. (On Java 17 a value above
+    1e17 can carry a digit more than it needs.)
     """
     value = c.cast("double")
+    size = F.abs(value)
     text = value.cast("string")
-    sign = F.when(value < 0, "-").otherwise("")
-    power = F.substring_index(text, "E", -1).try_cast("int")
-    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), "[-.]", "")
-    digits = F.regexp_replace(mantissa, "(?<=.)0+$", "")
-    padded = F.rpad(digits, F.greatest(power + 1, F.length(digits)), "0")
-    whole = F.substring(padded, F.lit(1), power + 1)
-    rest = F.substring(padded, power + 2, F.length(padded))
-    positional = F.concat(sign, whole, F.lit("."), F.when(rest == "", "0").otherwise(rest))
-    tail = F.substring(digits, F.lit(2), F.length(digits))
-    scientific = F.concat(
-        sign,
-        F.substring(digits, F.lit(1), F.lit(1)),
-        F.when(tail == "", "").otherwise(F.concat(F.lit("."), tail)),
-        F.lit("e"),
-        F.when(power < 0, "-").otherwise("+"),
-        F.lpad(F.abs(power).cast("string"), F.greatest(F.lit(2), F.length(F.abs(power).cast("string"))), F.lit("0")),
-    )
+    # The exponent form holds the shortest digits, so the decimal is written from it and not from the value.
+    positional = F.regexp_replace(text.try_cast("decimal(38,21)").cast("string"), "0+$", "")
+    short_mantissa = F.regexp_replace(text, r"\.0E", "E")
+    two_digits = F.regexp_replace(short_mantissa, r"E(-?)(\d)$", "E$10$2")
+    scientific = F.regexp_replace(literal_replace(two_digits, "E-", "e-"), "E", "e+")
     return (
         F.when(F.isnan(value), "nan")
-        .when(value == float("inf"), "inf")
-        .when(value == float("-inf"), "-inf")
+        .when(size == float("inf"), F.when(value > 0, "inf").otherwise("-inf"))
         .when(~text.contains("E"), text)
-        .when(power == -4, F.concat(sign, F.lit("0.000"), digits))
-        .when(power.between(7, 15), positional)
+        .when((size >= 1e-4) & (size < 1e16), F.regexp_replace(positional, r"\.$", ".0"))
         .otherwise(scientific)
     )
 

@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.group import GroupedData
 
 from carledger.functions.text import float_text
 from carledger.operators.scan import running_count
@@ -23,6 +24,8 @@ UNKNOWN_KEY = "unknown_key"
 NULL_TEXT = "None"
 
 _NO_LIMIT = 0x7FFFFFFF
+# Columns of a row that are gathered into one result.
+MAX_COLUMNS = 10_000
 
 
 def cell_text(df: DataFrame, name: str) -> Column:
@@ -71,13 +74,10 @@ def write_cells(cells: DataFrame, path: str, mode: str = "overwrite") -> None:
 def upload(cells: DataFrame, put: Callable[[str, str, dict[str, str]], None]) -> DataFrame:
     """K3: call `put(tbl, row_key, {"family:qualifier": value})` for each row from the executors.
 
-    Returns the rejected rows with the reason. Puts carry their own timestamps, so a retried task may repeat them.
+    Returns the rejected rows with the reason. Rows wider than MAX_COLUMNS take several puts. Puts carry their own timestamps, so a retried task may repeat them.
     """
-    rows = cells.groupBy(*ROW).agg(
-        F.map_from_entries(
-            F.collect_list(F.struct(F.concat_ws(":", "family", "qualifier").alias("column"), F.col("value")))
-        ).alias("columns")
-    )
+    entry = F.struct(F.concat_ws(":", "family", "qualifier").alias("column"), F.col("value"))
+    rows = _by_row(cells, MAX_COLUMNS).agg(F.map_from_entries(F.collect_list(entry)).alias("columns"))
 
     def send(batches: Iterator) -> Iterator:
         for batch in batches:
@@ -229,18 +229,37 @@ def first_rows(cells: DataFrame, n: int, start: str = "", reverse: bool = False)
     return chosen.join(keys, "row_key", "left_semi").select(*cells.columns)
 
 
-def row_maps(cells: DataFrame) -> DataFrame:
-    """One row for each key with a map of `family:qualifier` to (value, ts). Takes newest cells."""
+def _by_row(cells: DataFrame, max_columns: int) -> GroupedData:
+    """Cells grouped by row. A row with more than `max_columns` columns makes several groups of about that size, as a
+    batched scan would return it, so that no task gathers a row of any width. There are few such rows, if any: they are
+    found by a count with a map-side half."""
+    wide = (
+        cells.groupBy(*ROW)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > max_columns)
+        .select(*ROW, F.ceil(F.col("_n") / max_columns).alias("_parts"))
+    )
+    part = F.coalesce(F.pmod(F.xxhash64("family", "qualifier"), F.col("_parts")), F.lit(0))
+    return cells.join(wide, ROW, "left").withColumn("part", part).groupBy(*ROW, "part")
+
+
+def row_maps(cells: DataFrame, max_columns: int = MAX_COLUMNS) -> DataFrame:
+    """One row for each key with a map of `family:qualifier` to (value, ts). Takes newest cells.
+
+    Rows wider than `max_columns` come in several parts with the same key.
+    """
     entry = F.struct(F.concat_ws(":", "family", "qualifier"), F.struct("value", "ts"))
-    return cells.groupBy(*ROW).agg(F.map_from_entries(F.collect_list(entry)).alias("columns"))
+    return (
+        _by_row(cells, max_columns).agg(F.map_from_entries(F.collect_list(entry)).alias("columns")).drop("part")
+    )
 
 
-def row_lists(cells: DataFrame) -> DataFrame:
-    """One row for each key with its columns as a list sorted by name. Takes newest cells."""
+def row_lists(cells: DataFrame, max_columns: int = MAX_COLUMNS) -> DataFrame:
+    """As `row_maps`, with the columns as a list sorted by name."""
     entry = F.struct(
         F.concat_ws(":", "family", "qualifier").alias("column"), F.struct("value", "ts").alias("cell")
     )
-    return cells.groupBy(*ROW).agg(F.array_sort(F.collect_list(entry)).alias("columns"))
+    return _by_row(cells, max_columns).agg(F.array_sort(F.collect_list(entry)).alias("columns")).drop("part")
 
 
 # -- catalogue --------------------------------------------------------------------------------------------------

@@ -40,10 +40,13 @@ def _running(
     )
     earlier = Window.partitionBy(*group).orderBy(direct("_slice")).rowsBetween(Window.unboundedPreceding, -1)
     slices = sliced.groupBy(*group, "_slice").agg(aggregate(F.col("_amount")).alias("_whole"))
-    before = slices.select(*group, "_slice", aggregate(F.col("_whole")).over(earlier).alias("_before"))
+    # Only slices with something before them: none for a group that fits in one slice.
+    before = slices.select(*group, "_slice", aggregate(F.col("_whole")).over(earlier).alias("_before")).filter(
+        F.col("_before").isNotNull()
+    )
     return (
         sliced.withColumn("_here", aggregate(F.col("_amount")).over(here))
-        .join(before, [*group, "_slice"])
+        .join(before, [*group, "_slice"], "left")
         .select(*df.columns, combine(F.col("_here"), F.col("_before")).alias(name))
     )
 

@@ -92,7 +92,7 @@ def brand_transfer_quartiles(
     """A5: five-number summary by brand and transfer count; quartiles are prices that occur.
 
     Exact by default: rows shrink to (brand, transfers, price) counts with a map-side half, and a running count over
-    the distinct prices of a group finds the first price at or past each quantile. With `accuracy`, the mergeable
+    the distinct prices of a group, which are few next to its rows, finds the first price at or past each quantile. With `accuracy`, the mergeable
     sketch of percentile_approx is used, whose rank error is at most n / accuracy.
     """
     keys = ["brand", "transfer_count"]

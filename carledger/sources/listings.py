@@ -38,8 +38,9 @@ def read_partitioned(spark: SparkSession, path: str, schema: T.StructType = RAW_
 
 
 def write_listings(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """From the executors, by province."""
-    df.write.mode(mode).partitionBy("province").format(fmt).save(path)
+    """From the executors, by province. The rebalance gathers a province's rows into few files and splits a
+    province that holds much of the data over many tasks."""
+    df.hint("rebalance", "province").write.mode(mode).partitionBy("province").format(fmt).save(path)
 
 
 def rename_chinese(df: DataFrame) -> DataFrame:

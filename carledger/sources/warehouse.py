@@ -33,7 +33,7 @@ def create_stat_table(spark: SparkSession, name: str) -> None:
 
 def load_listings(df: DataFrame, name: str = LISTING_TABLE, overwrite: bool = True) -> None:
     """By position, with the columns spelled out. Overwrites unless asked to append, so a rerun adds no copies."""
-    df.select(*CLEAN_COLUMNS).write.insertInto(name, overwrite=overwrite)
+    df.select(*CLEAN_COLUMNS).hint("rebalance", "province").write.insertInto(name, overwrite=overwrite)
 
 
 def store_cast(df: DataFrame, name: str) -> DataFrame:

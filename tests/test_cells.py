@@ -155,6 +155,15 @@ def test_row_results(spark):
     assert [tuple(c.column for c in r.columns) for r in K.row_lists(some).collect()] == [("cf:x", "cf:y")]
 
 
+def test_wide_rows_come_in_parts(spark):
+    cells = [("wide", f"q{i:03d}", 1, str(i)) for i in range(100)] + [("narrow", "q", 1, "x")]
+    parts = K.row_lists(cells_of(spark, cells), max_columns=10).collect()
+    assert [len(r.columns) for r in parts if r.row_key == "narrow"] == [1]
+    wide = [r.columns for r in parts if r.row_key == "wide"]
+    assert len(wide) > 5 and sorted(c.column for p in wide for c in p) == [f"cf:q{i:03d}" for i in range(100)]
+    assert sum(len(r.columns) for r in K.row_maps(cells_of(spark, cells), 10).collect()) == 101
+
+
 def test_increments(spark):
     steps = spark.createDataFrame(
         [("t", "a", "cf", "n", 1, 5), ("t", "a", "cf", "n", 2, -2), ("t", "b", "cf", "n", 3, 1)],

@@ -134,6 +134,13 @@ def test_short_engine_text_is_null_not_an_error(spark):
     assert rows(got) == [(None, None), (None, None)]
 
 
+def test_union_by_name_and_progress(raw):
+    turned = raw.select(*reversed(raw.columns))
+    both = clean.union_provinces([raw, turned])
+    assert both.count() == 20 and both.distinct().count() == 8
+    assert set(rows(clean.progress(both))) == {(b, "x1", "北京") for b in "ABC"}
+
+
 def test_unknown_missing_mode(raw):
     with pytest.raises(ValueError):
         clean.clean(raw, "lenient")
