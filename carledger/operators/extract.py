@@ -48,7 +48,13 @@ def elements(html: Column, path: list[str]) -> Column:
 
 def first_element(html: Column, *paths: list[str]) -> Column:
     """Content of the first path that occurs; an empty element counts as found. Null without any."""
-    return F.coalesce(*[F.when(html.rlike(_inside(p)), F.regexp_extract(html, _inside(p), 2)) for p in paths])
+    # The plain search spares pages without the class the pattern, which would try every tag.
+    return F.coalesce(
+        *[
+            F.when(html.contains(p[-1]) & html.rlike(_inside(p)), F.regexp_extract(html, _inside(p), 2))
+            for p in paths
+        ]
+    )
 
 
 def anchors(html: Column) -> Column:

@@ -355,6 +355,7 @@ ORACLES: dict[str, str] = {
         """SELECT 'raw' AS stage, count(*) AS n FROM raw UNION ALL SELECT 'with_level', count(*) FROM first_pass
            UNION ALL SELECT 'with_style', count(*) FROM marked UNION ALL SELECT 'clean', count(*) FROM clean""",
     ),
+    "c15_progress": _with(FIRST, "SELECT brand, model, province FROM first_pass"),
     "c16_valid_rows": _with(
         TYPED,
         """SELECT brand, price, new_price, mileage FROM typed WHERE fuel_type IN ('汽油', '电动') AND price > 0
@@ -376,6 +377,7 @@ ORACLES: dict[str, str] = {
     ),
     "a4_brand_age_price": _with(A4, "SELECT * FROM a4"),
     "a5_brand_transfer_quartiles": _with(_STATS, "SELECT * FROM a5"),
+    "a5_brand_transfer_sketch": _with(_STATS, "SELECT * FROM a5"),
     "a6_brand_mileage_price": _with(_STATS, "SELECT * FROM a6"),
     "a7_brand_price_drop": _with(_STATS, "SELECT * FROM a7"),
     "a8_brand_mileage_age_days": _with(

@@ -217,6 +217,11 @@ def c14_stage_counts(spark, sf):
     return clean.stage_counts(D.raw_listings(spark, sf))
 
 
+@query
+def c15_progress(spark, sf):
+    return clean.progress(_first_pass(spark, sf))
+
+
 @query
 def c16_valid_rows(spark, sf):
     rows = stats.typed_listings(D.clean_listings(spark, sf), AS_OF)
@@ -276,6 +281,12 @@ def a5_brand_transfer_quartiles(spark, sf):
     return stats.brand_transfer_quartiles(D.clean_listings(spark, sf))
 
 
+@query
+def a5_brand_transfer_sketch(spark, sf):
+    """The quartiles from the mergeable sketch, fine enough to be exact for these groups."""
+    return stats.brand_transfer_quartiles(D.clean_listings(spark, sf), accuracy=100_000)
+
+
 @query
 def a6_brand_mileage_price(spark, sf):
     return stats.brand_mileage_price(D.clean_listings(spark, sf))

@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 
-SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
