@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from carledger.llm import bpe
+from carledger.llm import bpe, decontaminate
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -21,8 +21,14 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents hold passages of the benchmark."""
+    return decontaminate.digests(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe": op3_bpe,
+    "op5_decontaminate": op5_decontaminate,
 }
 
 ORACLES: dict[str, str] = {}
