@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from carledger.llm import bpe, decontaminate
+from carledger.llm import bpe, decontaminate, neardup
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -16,6 +16,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose sets of two-word shingles are similar to 0.8 or more."""
+    return neardup.groups(_table(spark, sf_dir, "documents"), width=2)
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
@@ -27,6 +32,7 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_minhash": op2_minhash,
     "op3_bpe": op3_bpe,
     "op5_decontaminate": op5_decontaminate,
 }
