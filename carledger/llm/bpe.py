@@ -13,20 +13,26 @@ from __future__ import annotations
 import heapq
 import json
 import re
+import sys
 import unicodedata
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BLOCK_CHARS = 16 << 20  # texts of about so many characters share one pair index
-MEMO_WORDS = 300_000  # words whose ids a task remembers; beyond, it forgets them all and computes them again
-_SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
-_SEPARATORS = re.compile("[\x1c-\x1f]")
+from carledger.llm.bytewords import list_array
+
+BLOCK_CHARS = 6 << 20  # texts of about so many characters share one pair index
+MEMO_WORDS = 300_000  # runs without white space whose ids a worker remembers; beyond, it forgets them all and computes them again
+_SPACE_CLASS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # white space of Unicode
+_SPACE = re.compile(f"[{_SPACE_CLASS}]+")
+_SEPARATORS = re.compile(r"[\x1c-\x1f]")  # white space to str.split only
 
 
 class Merges:
@@ -152,48 +158,77 @@ class Encoder:
 
     def __init__(self, merges: Merges):
         self.merges = merges
-        self.words = regex.compile(merges.pattern)
+        self.words = re.compile(_as_ranges(merges.pattern))
         self.special = re.compile("(" + "|".join(map(re.escape, merges.special)) + ")") if merges.special else None
-        self.memo: dict[str, bytes] = {}
-
-    def pieces(self, text: str) -> list[str]:
-        """Runs without white space, and special tokens; the latter start with a null sign."""
-        if self.special is not None and self.special.search(text):
-            out = []
-            for k, part in enumerate(self.special.split(text)):
-                out += ["\0" + part] if k % 2 else self._runs(part)
-            return out
-        return self._runs(text)
-
-    @staticmethod
-    def _runs(text: str) -> list[str]:
-        if _SEPARATORS.search(text):  # white space to str.split, but not to Unicode
-            return [x for x in _SPACE.split(text) if x]
-        return text.split()
-
-    def learn(self, pieces: set[str]) -> None:
-        """Puts the ids of pieces that aren't known into the memo."""
-        find, normal = self.words.findall, unicodedata.normalize
-        parts = {p: find(_lower(normal("NFC", p))) for p in pieces}
-        distinct = list({w for ws in parts.values() for w in ws})
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number = defaultdict(count().__next__)  # of each word; a special token is a tuple
+        self.ids, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64)  # of the numbered words, in order
+
+    def split(self, text: str) -> list:
+        """The runs of a text without white space; special tokens are tuples."""
+        if self.special is None or not self.special.search(text):
+            return _runs(text)
+        parts = self.special.split(text)
+        return [w for k, x in enumerate(parts) for w in ([(x,)] if k % 2 else _runs(x))]
+
+    def learn(self) -> None:
+        """Encodes the runs that got a number since the last call."""
+        new, find = list(islice(self.number, len(self.size), None)), self.words.findall
+        words = [find(x) if isinstance(x, str) else x for x in new]
+        distinct = list({w for x, ws in zip(new, words, strict=True) if x is not ws for w in ws})
         ids = dict(zip(distinct, self.merges.encode([w.encode() for w in distinct]), strict=True)) if distinct else {}
-        for p, ws in parts.items():
-            self.memo[p] = ids[ws[0]] if len(ws) == 1 else b"".join([ids[w] for w in ws])
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as bytes of int32."""
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        new = {p for t in texts for p in set(self.pieces(t)) if p not in self.memo}
-        for p in [p for p in new if p[0] == "\0" and p[1:] in self.merges.special]:
-            self.memo[p] = np.int32(self.merges.special[p[1:]]).tobytes()
-            new.discard(p)
-        self.learn(new)
-        return [b"".join(map(self.memo.__getitem__, self.pieces(t))) for t in texts]
-
-
-def _lower(text: str) -> str:
-    return text.replace("Σ", "σ").lower()  # sign by sign: no special form of sigma at a word's end
+        special = self.merges.special
+        found = [
+            np.int32(special[x[0]]).tobytes() if x is ws else b"".join([ids[w] for w in ws])
+            for x, ws in zip(new, words, strict=True)
+        ]
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(found), np.int32)])
+        self.size = np.concatenate([self.size, np.array([len(x) // 4 for x in found], np.int64)])
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in order, and how many each text has."""
+        if len(self.size) > MEMO_WORDS:
+            self._forget()
+        number, each, n_words = self.number.__getitem__, [np.zeros(0, np.int32)], [0]
+        for text in texts:
+            words = self.split(text)
+            each.append(np.fromiter(map(number, words), np.int32, len(words)))
+            n_words.append(len(words))
+        if len(self.number) > len(self.size):
+            self.learn()
+        word = np.concatenate(each)
+        ids = gather(self.ids, np.cumsum(self.size) - self.size, self.size, word)
+        total = np.r_[0, np.cumsum(self.size[word])]
+        return ids, np.diff(total[np.cumsum(n_words)])
+
+
+def gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The runs values[starts[i] : starts[i] + sizes[i]] for each i of `which`, one after the other."""
+    n = sizes[which]
+    shift = starts[which] - (np.cumsum(n) - n)
+    return values[np.repeat(shift, n) + np.arange(n.sum())]
+
+
+def _as_ranges(pattern: str) -> str:
+    """The pattern with the classes L and N written out for the standard library, which matches faster."""
+    ranges = {"L": "", "N": ""}
+    for kind in ranges:
+        signs = [i for i in range(sys.maxunicode + 1) if unicodedata.category(chr(i))[0] == kind]
+        cuts = [k for k in range(len(signs)) if k == 0 or signs[k] != signs[k - 1] + 1]
+        for k, j in zip(cuts, [*cuts[1:], len(signs)], strict=True):
+            ranges[kind] += f"\\U{signs[k]:08x}-\\U{signs[j - 1]:08x}"
+    return pattern.replace(r"\s", _SPACE_CLASS).replace(r"\p{L}", ranges["L"]).replace(r"\p{N}", ranges["N"])
+
+
+def _runs(text: str) -> list[str]:
+    text = _normal(text)
+    return [x for x in _SPACE.split(text) if x] if _SEPARATORS.search(text) else text.split()
+
+
+def _normal(text: str) -> str:
+    return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()  # no special form of sigma at a word's end
 
 
 def load(path: str) -> Merges:
@@ -206,10 +241,11 @@ def _texts(column: pa.Array) -> list[str]:
 
 
 def _blocks(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about BLOCK_CHARS characters of text each."""
-    size, first = 0, 0
-    lengths = pa.compute.utf8_length(batch.column(at)).to_pylist()
-    for i, n in enumerate(lengths):
+    """Slices of a batch with about BLOCK_CHARS characters of text, or half as many ids, each."""
+    size, first, column = 0, 0, batch.column(at)
+    text = pa.types.is_string(column.type) or pa.types.is_large_string(column.type)
+    lengths = pc.utf8_length(column) if text else pc.multiply(pc.list_value_length(column), 2)
+    for i, n in enumerate(lengths.to_pylist()):
         size += n or 0
         if size >= BLOCK_CHARS:
             yield batch.slice(first, i + 1 - first)
@@ -225,18 +261,17 @@ def _with(batch: pa.RecordBatch, column: pa.Array, name: str) -> pa.RecordBatch:
 def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """Adds `ids` (array<int>): the ids of `text` under the tokenizer file at `path`, which the driver reads."""
     docs = docs.drop("ids")
-    merges = docs.sparkSession.sparkContext.broadcast(load(path))  # as large as the vocabulary
+    with open(path, encoding="utf-8") as file:
+        tokenizer = docs.sparkSession.sparkContext.broadcast({"file": file.read()})  # as large as the vocabulary
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(merges.value)
+        own = tokenizer.value  # kept by the worker for its next tasks
+        encoder = own["encoder"] = own.get("encoder") or Encoder(Merges(own["file"]))
         for batch in batches:
             for block in _blocks(batch, at):
-                ids = encoder.encode(_texts(block.column(at)))
-                sizes = np.array([len(x) // 4 for x in ids])
-                values = pa.array(np.frombuffer(b"".join(ids), np.int32))
-                offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
-                yield _with(block, pa.ListArray.from_arrays(offsets, values), "ids")
+                ids, sizes = encoder.encode(_texts(block.column(at)))
+                yield _with(block, list_array(ids, sizes, pa.int32()), "ids")
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
@@ -244,14 +279,27 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 def decode(docs: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """Adds `decoded`: the tokens of `ids` joined by single spaces, as a tokenizer without a decoder gives them."""
     docs = docs.drop("decoded")
-    tokens = docs.sparkSession.sparkContext.broadcast(load(path).tokens)
+    tokens = [t.encode() + b" " for t in load(path).tokens]
+    signs = docs.sparkSession.sparkContext.broadcast((b"".join(tokens), [len(t) for t in tokens]))
     at = docs.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = tokens.value.__getitem__
+        data, size = np.frombuffer(signs.value[0], np.uint8), np.array(signs.value[1])
+        start = np.cumsum(size) - size
         for batch in batches:
-            texts = [" ".join(map(token, x or ())) for x in batch.column(at).to_pylist()]
-            yield _with(batch, pa.array(texts, pa.string()), "decoded")
+            for block in _blocks(batch, at):
+                lists = block.column(at)
+                which = lists.flatten().to_numpy(zero_copy_only=False)
+                n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+                text = gather(data, start, size, which)
+                end = np.r_[0, np.cumsum(size[which])][np.cumsum(n)].astype(np.int64)
+                begin = np.r_[0, end[:-1]]
+                # Each text ends one space early; that space would be the first sign of the next text.
+                cut = np.ones(len(text), bool)
+                cut[end[end > begin] - 1] = False
+                offsets = np.r_[0, np.cumsum(end - begin - (end > begin))]
+                buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(text[cut])]
+                yield _with(block, pa.StringArray.from_buffers(len(n), buffers[1], buffers[2]), "decoded")
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("decoded", T.StringType())]))
 
