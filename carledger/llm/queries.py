@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from carledger.llm import bpe, decontaminate, neardup
+from carledger.llm import bpe, decontaminate, neardup, private
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -31,10 +31,16 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digests(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op7_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document, and of terms that reveal them."""
+    return private.digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash": op2_minhash,
     "op3_bpe": op3_bpe,
     "op5_decontaminate": op5_decontaminate,
+    "op7_private": op7_private,
 }
 
 ORACLES: dict[str, str] = {}
