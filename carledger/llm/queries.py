@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from carledger.llm import bpe, decontaminate, neardup, private
+from carledger.llm import boilerplate, bpe, decontaminate, neardup, private, spans
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -36,11 +36,25 @@ def op7_private(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private.digests(_table(spark, sf_dir, "documents"))
 
 
+def op9_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the sentences of repeated spans, but for the first place of each."""
+    return spans.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
+def op10_boilerplate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without lines that many sites share."""
+    return boilerplate.digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash": op2_minhash,
     "op3_bpe": op3_bpe,
     "op5_decontaminate": op5_decontaminate,
     "op7_private": op7_private,
+    "op9_spans": op9_spans,
+    "op10_boilerplate": op10_boilerplate,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_boilerplate": boilerplate.ORACLE,
+}

@@ -5,12 +5,12 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carledger.session import shared_dir
 
-FILTER_BITS = 23  # a membership filter has 2^23 bits (1 MiB), whatever the number of keys
+FILTER_BITS = 23  # a membership filter has 2^23 bits (1 MiB) unless told otherwise, whatever the number of keys
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -26,26 +26,19 @@ def numbered(df: DataFrame, name: str = "_row") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def slot(key: Column) -> Column:
-    """The bit of a 64-bit key in a membership filter. Keys are hashes already."""
-    return F.shiftrightunsigned(key, 64 - FILTER_BITS)
-
-
-def membership(keys: DataFrame, key: str) -> np.ndarray:
-    """A filter of 2^FILTER_BITS bits with the bit of each key set. Spark sets the bits; the driver gets at most
-    2^FILTER_BITS / 32 numbers. More keys let more others through, and never lose one."""
-    bits = keys.select(slot(F.col(key)).alias("s")).select(
+def membership(keys: DataFrame, key: str, bits: int = FILTER_BITS) -> np.ndarray:
+    """A filter of 2^bits bits with the bit of each 64-bit key set; keys are hashes already. Spark sets the bits, the driver
+    gets at most 2^bits / 32 numbers. More keys let more others through, and never lose one."""
+    slots = keys.select(F.shiftrightunsigned(key, 64 - bits).alias("s")).select(
         F.shiftright("s", 5).cast("int").alias("word"), F.expr("shiftleft(1L, cast(s & 31 as int))").alias("bit")
     )
-    rows = bits.groupBy("word").agg(F.expr("bit_or(bit)").alias("bits"))
-    packed = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
-    found = rows.toArrow()
+    found = slots.groupBy("word").agg(F.expr("bit_or(bit)").alias("bits")).toArrow()
+    packed = np.zeros(1 << (bits - 5), np.uint32)
     packed[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.uint32)
     return packed
 
 
 def may_hold(packed: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Whether each key (uint64) may be in the filter."""
-    s = (keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+    s = (keys >> np.uint64(64 - 4 - len(packed).bit_length())).astype(np.int64)
     return (packed[s >> 5] >> (s & 31).astype(np.uint32)) & np.uint32(1) != 0
-
