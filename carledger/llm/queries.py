@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from carledger.llm import boilerplate, bpe, decontaminate, neardup, private, spans
+from carledger.llm import boilerplate, bpe, decontaminate, neardup, private, quality, spans
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -26,6 +26,11 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learnt from labels."""
+    return quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which documents hold passages of the benchmark."""
     return decontaminate.digests(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -49,6 +54,7 @@ def op10_boilerplate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash": op2_minhash,
     "op3_bpe": op3_bpe,
+    "op4_quality": op4_quality,
     "op5_decontaminate": op5_decontaminate,
     "op7_private": op7_private,
     "op9_spans": op9_spans,
