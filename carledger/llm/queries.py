@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from carledger.llm import boilerplate, bpe, decontaminate, neardup, private, quality, spans
+from carledger.llm import boilerplate, bpe, decontaminate, language, neardup, neighbours, private, quality, spans
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -16,6 +17,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth."""
+    return neighbours.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose sets of two-word shingles are similar to 0.8 or more."""
     return neardup.groups(_table(spark, sf_dir, "documents"), width=2)
@@ -41,6 +47,11 @@ def op7_private(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private.digests(_table(spark, sf_dir, "documents"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt from those that aren't held out."""
+    return language.predictions(_table(spark, sf_dir, "documents"))
+
+
 def op9_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the sentences of repeated spans, but for the first place of each."""
     return spans.remove_repeats(_table(spark, sf_dir, "documents"))
@@ -52,11 +63,13 @@ def op10_boilerplate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_rotated_codes": op1_rotated_codes,
     "op2_minhash": op2_minhash,
     "op3_bpe": op3_bpe,
     "op4_quality": op4_quality,
     "op5_decontaminate": op5_decontaminate,
     "op7_private": op7_private,
+    "op8_language": op8_language,
     "op9_spans": op9_spans,
     "op10_boilerplate": op10_boilerplate,
 }
