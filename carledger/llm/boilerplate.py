@@ -66,6 +66,17 @@ def remove_boilerplate(docs: DataFrame, site: str = "source", sites: int = SITES
     return joined.select(*passed, n_lines.alias("n_lines"), (n_lines - n_kept).cast("long").alias("n_removed"))
 
 
+def cleaned(docs: DataFrame) -> DataFrame:
+    """`docs` with the same columns, without boilerplate lines; n_chars, where there is one, is that of the new text."""
+    own = {c: f"_own_{c}" for c in ("n_lines", "n_removed") if c in docs.columns}
+    found = remove_boilerplate(docs.withColumnsRenamed(own)).drop("n_lines", "n_removed")
+    found = found.withColumnsRenamed({v: k for k, v in own.items()})
+    if "n_chars" in docs.columns:
+        count = F.when(F.col("text").isNotNull(), F.length("text")).cast(docs.schema["n_chars"].dataType)
+        found = found.withColumn("n_chars", F.coalesce(count, F.col("n_chars")))
+    return found.select(*docs.columns)
+
+
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id, how many lines each document had and lost, and the length and SHA-256 of what remains."""
     cleaned = remove_boilerplate(docs.select("doc_id", "text", "source"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carledger.llm import boilerplate, bpe, decontaminate, language, neardup, neighbours, private, quality, spans
+from carledger.llm import boilerplate, bpe, decontaminate, language, neardup, neighbours, pages, private, quality, spans
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -42,6 +42,11 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digests(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op6_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return pages.extract(_table(spark, sf_dir, "pages"))
+
+
 def op7_private(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data in every document, and of terms that reveal them."""
     return private.digests(_table(spark, sf_dir, "documents"))
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe": op3_bpe,
     "op4_quality": op4_quality,
     "op5_decontaminate": op5_decontaminate,
+    "op6_pages": op6_pages,
     "op7_private": op7_private,
     "op8_language": op8_language,
     "op9_spans": op9_spans,
