@@ -18,14 +18,13 @@ from pyspark.sql.group import GroupedData
 from carledger.functions.text import float_text
 from carledger.operators.scan import running_count
 from carledger.schema import CELL, ROW
+from carledger.session import cut_lineage
 
 # Where a null id and a null value go.
 UNKNOWN_KEY = "unknown_key"
 NULL_TEXT = "None"
 
 _NO_LIMIT = 0x7FFFFFFF
-# Columns of a row that are gathered into one result.
-MAX_COLUMNS = 10_000
 
 
 def cell_text(df: DataFrame, name: str) -> Column:
@@ -72,12 +71,13 @@ def write_cells(cells: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def upload(cells: DataFrame, put: Callable[[str, str, dict[str, str]], None]) -> DataFrame:
-    """K3: call `put(tbl, row_key, {"family:qualifier": value})` for each row from the executors.
+    """K3: call `put(tbl, row_key, {"family:qualifier": value})` once for each row, from the executors, now.
 
-    Returns the rejected rows with the reason. Rows wider than MAX_COLUMNS take several puts. Puts carry their own timestamps, so a retried task may repeat them.
+    Returns the rejected rows with the reason, stored, so that reading them sends nothing again. Of several versions of a
+    cell the newest is sent. Puts carry their own timestamps, so a task that Spark retries may repeat them.
     """
     entry = F.struct(F.concat_ws(":", "family", "qualifier").alias("column"), F.col("value"))
-    rows = _by_row(cells, MAX_COLUMNS).agg(F.map_from_entries(F.collect_list(entry)).alias("columns"))
+    rows = latest(cells).groupBy(*ROW).agg(F.map_from_entries(F.collect_list(entry)).alias("columns"))
 
     def send(batches: Iterator) -> Iterator:
         for batch in batches:
@@ -91,7 +91,7 @@ def upload(cells: DataFrame, put: Callable[[str, str, dict[str, str]], None]) ->
             out = batch[ROW].assign(reason=reasons)
             yield out[out["reason"].notna()]
 
-    return rows.mapInPandas(send, "tbl string, row_key string, reason string")
+    return cut_lineage(rows.mapInPandas(send, "tbl string, row_key string, reason string"))
 
 
 # -- versions ---------------------------------------------------------------------------------------------------
@@ -106,20 +106,20 @@ def latest(cells: DataFrame) -> DataFrame:
     return versions(cells, 1).select(*CELL, "ts", "value")
 
 
-def versions(cells: DataFrame, n: int = 1, max_ts: int | None = None) -> DataFrame:
+def versions(cells: DataFrame, n: int = 1, max_ts: int | None = None, spread: bool = False) -> DataFrame:
     """K9: the newest n versions of each cell, none newer than `max_ts`.
 
-    For small n Spark keeps n rows per cell in each map task before the shuffle (WindowGroupLimit). From its
-    threshold on, the place of a version is counted over time slices instead, so that no task sees a whole cell.
+    Spark keeps n rows per cell in each map task before the shuffle (WindowGroupLimit, for n up to its threshold), so a
+    cell brings n rows from each task to one. Where that is too much, for large n, `spread` counts places over range
+    partitions instead, and no task sees a whole cell. The result is the same.
     """
     kept = cells if max_ts is None else cells.filter(F.col("ts") <= max_ts)
-    limit = int(cells.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n < limit:
+    if spread:
+        ranked = running_count(kept, CELL, _newest(cells), "_place", descending=True)
+    else:
         newest_first = [F.col(c).desc() for c in _newest(cells)]
         place = F.row_number().over(Window.partitionBy(*CELL).orderBy(*newest_first))
         ranked = kept.withColumn("_place", place)
-    else:
-        ranked = running_count(kept, CELL, _newest(cells), "_place", descending=True)
     return ranked.filter(F.col("_place") <= n).drop("_place")
 
 
@@ -129,13 +129,14 @@ def retain(
     time_to_live: int = _NO_LIMIT,
     now: int | None = None,
     ts_per_second: int = 1000,
+    spread: bool = False,
 ) -> DataFrame:
-    """Versions younger than `time_to_live` seconds, at most `max_versions` of each cell."""
+    """Versions younger than `time_to_live` seconds, at most `max_versions` of each cell (`spread` as in K9)."""
     alive = cells
     if time_to_live != _NO_LIMIT:
         clock = F.unix_millis(F.current_timestamp()) * ts_per_second / 1000 if now is None else F.lit(now)
         alive = cells.filter(F.col("ts") >= clock.cast("bigint") - time_to_live * ts_per_second)
-    return versions(alive, max_versions)
+    return versions(alive, max_versions, spread=spread)
 
 
 # -- selections -------------------------------------------------------------------------------------------------
@@ -157,6 +158,11 @@ def column_filter(columns: Iterable[str] | None, regex: bool = False) -> Column:
     return reduce(lambda a, b: a | b, tests)
 
 
+def table_filter(tbl: str | None) -> Column:
+    """Cells of one table, or of all."""
+    return F.lit(True) if tbl is None else F.col("tbl") == tbl
+
+
 def ts_filter(ts: int | None, mode: str = "at") -> Column:
     """Cells stored `at` a timestamp, or `as_of` it (not newer)."""
     if ts is None:
@@ -172,12 +178,13 @@ def get_rows(
     columns: list[str] | None = None,
     ts: int | None = None,
     mode: str = "at",
+    tbl: str | None = None,
 ) -> DataFrame:
-    """The newest version of the chosen columns of the given rows, now or at a timestamp.
+    """The newest version of the chosen columns of the given rows, now or at a timestamp, in one table or all.
 
     A list of keys is pushed to the scan; a frame of keys (`row_key`, or `tbl` and `row_key`) is a semi join.
     """
-    chosen = cells.filter(column_filter(columns) & ts_filter(ts, mode))
+    chosen = cells.filter(table_filter(tbl) & column_filter(columns) & ts_filter(ts, mode))
     if isinstance(keys, DataFrame):
         on = [c for c in ROW if c in keys.columns]
         chosen = chosen.join(keys.select(*on), on, "left_semi")
@@ -196,15 +203,16 @@ def scan(
     predicate: str | Column | None = None,
     reverse: bool = False,
     ordered: bool = True,
+    tbl: str | None = None,
 ) -> DataFrame:
-    """Newest cells of the rows from `start` (inclusive) to `stop` (exclusive), in key order.
+    """Newest cells of the rows from `start` (inclusive) to `stop` (exclusive) of a table or all, in key order.
 
     `prefix` limits to keys with that start, `ts` to values of exactly that timestamp, `columns` may hold patterns
     for the qualifier, `predicate` is any condition on a cell. A reversed scan also starts at `start`, which is then
     the largest key.
     """
     key = F.col("row_key")
-    limits = [column_filter(columns, regex=True), ts_filter(ts)]
+    limits = [table_filter(tbl), column_filter(columns, regex=True), ts_filter(ts)]
     if start:
         limits.append(key <= start if reverse else key >= start)
     if stop:
@@ -219,19 +227,21 @@ def scan(
     return found.orderBy("tbl", key.desc() if reverse else key.asc(), "family", "qualifier")
 
 
-def first_rows(cells: DataFrame, n: int, start: str = "", reverse: bool = False) -> DataFrame:
-    """All cells of the first n row keys from `start` on. A top-n of keys, one column wide, comes first; the
-    cells then meet n keys, so they are never ranked or sorted."""
+def first_rows(cells: DataFrame, n: int, start: str = "", reverse: bool = False, tbl: str | None = None) -> DataFrame:
+    """All cells of the first n row keys of each table, or of one, from `start` on. A top-n of keys, with n keys of a
+    table in each map task, comes first; the cells then meet these keys, so they are never ranked or sorted."""
     key = F.col("row_key")
-    chosen = cells.filter(key <= start if reverse else key >= start) if start else cells
-    keys = chosen.select("row_key").distinct().orderBy(key.desc() if reverse else key.asc()).limit(n)
-    return chosen.join(keys, "row_key", "left_semi").select(*cells.columns)
+    chosen = cells.filter(table_filter(tbl) & ((key <= start if reverse else key >= start) if start else F.lit(True)))
+    place = F.row_number().over(Window.partitionBy("tbl").orderBy(key.desc() if reverse else key.asc()))
+    keys = chosen.select(*ROW).distinct().withColumn("_place", place).filter(F.col("_place") <= n).select(*ROW)
+    return chosen.join(keys, ROW, "left_semi").select(*cells.columns)
 
 
-def _by_row(cells: DataFrame, max_columns: int) -> GroupedData:
-    """Cells grouped by row. A row with more than `max_columns` columns makes several groups of about that size, as a
-    batched scan would return it, so that no task gathers a row of any width. There are few such rows, if any: they are
-    found by a count with a map-side half."""
+def _by_row(cells: DataFrame, max_columns: int | None) -> GroupedData:
+    """Cells grouped by row. With `max_columns`, a wider row makes several groups of about that size, numbered by `part`,
+    as a batched scan would return it. There are few such rows, if any: they are found by a count with a map-side half."""
+    if max_columns is None:
+        return cells.groupBy(*ROW)
     wide = (
         cells.groupBy(*ROW)
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -242,23 +252,21 @@ def _by_row(cells: DataFrame, max_columns: int) -> GroupedData:
     return cells.join(wide, ROW, "left").withColumn("part", part).groupBy(*ROW, "part")
 
 
-def row_maps(cells: DataFrame, max_columns: int = MAX_COLUMNS) -> DataFrame:
+def row_maps(cells: DataFrame, max_columns: int | None = None) -> DataFrame:
     """One row for each key with a map of `family:qualifier` to (value, ts). Takes newest cells.
 
-    Rows wider than `max_columns` come in several parts with the same key.
+    With `max_columns` the result has `part`, and rows wider than that come in several parts with the same key.
     """
     entry = F.struct(F.concat_ws(":", "family", "qualifier"), F.struct("value", "ts"))
-    return (
-        _by_row(cells, max_columns).agg(F.map_from_entries(F.collect_list(entry)).alias("columns")).drop("part")
-    )
+    return _by_row(cells, max_columns).agg(F.map_from_entries(F.collect_list(entry)).alias("columns"))
 
 
-def row_lists(cells: DataFrame, max_columns: int = MAX_COLUMNS) -> DataFrame:
+def row_lists(cells: DataFrame, max_columns: int | None = None) -> DataFrame:
     """As `row_maps`, with the columns as a list sorted by name."""
     entry = F.struct(
         F.concat_ws(":", "family", "qualifier").alias("column"), F.struct("value", "ts").alias("cell")
     )
-    return _by_row(cells, max_columns).agg(F.array_sort(F.collect_list(entry)).alias("columns")).drop("part")
+    return _by_row(cells, max_columns).agg(F.array_sort(F.collect_list(entry)).alias("columns"))
 
 
 # -- catalogue --------------------------------------------------------------------------------------------------
@@ -285,10 +293,8 @@ def rows_exist(cells: DataFrame, keys: DataFrame) -> DataFrame:
 def truncate(spark, path: str, tbl: str) -> None:
     """Empty one table of a stored cell folder; the other tables' partitions are not touched."""
     stored = spark.read.parquet(path)
-    (
-        stored.limit(0)
-        .withColumn("tbl", F.lit(tbl))
-        .drop("tbl")
-        .write.mode("overwrite")
-        .parquet(f"{path.rstrip('/')}/tbl={tbl}")
-    )
+    # The folder is named as Spark's writer names it, with %3A for a colon and so on.
+    name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(tbl)
+    if stored.filter(F.col("tbl") == tbl).isEmpty():
+        raise ValueError(f"no table {tbl!r} in {path}")
+    stored.limit(0).drop("tbl").write.mode("overwrite").parquet(f"{path.rstrip('/')}/tbl={name}")

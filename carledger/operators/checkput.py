@@ -1,10 +1,9 @@
 """Check-and-put requests, each applied only if its cell then holds the expected value.
 
-Requests of one cell depend on each other in order. Usual cells are folded in one pass over their sorted requests.
-Cells with more requests than a fold should hold are solved without ever gathering them: a request that is applied
-leaves its value, and the next one applied is the first later request that expects this value. So every request points
-to at most one later request, and the applied ones are those on the path from the cell's first state. Jump pointers,
-doubled each round, mark the path in log2(path length) rounds of joins on unique keys.
+Requests of one cell depend on each other in order, but no cell is ever gathered: a request that is applied leaves its
+value, and the next one applied is the first later request that expects this value. So every request points to at most
+one later request, and the applied ones are those on the path from the cell's first state. Jump pointers, doubled each
+round, mark the path in log2(path length) rounds of joins on unique keys, for all cells at once.
 """
 
 from __future__ import annotations
@@ -13,61 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carledger.operators.cells import latest
-from carledger.operators.scan import SLICE_BITS, next_value
+from carledger.operators.scan import next_value
 from carledger.schema import CELL
 from carledger.session import cut_lineage
 
-FOLD_LIMIT = 1024
 _RESULT = [*CELL, "seq", "applied"]
-_ROOT = -1
-
-
-def check_and_put(
-    requests: DataFrame, base: DataFrame | None = None, fold_limit: int = FOLD_LIMIT, bits: int = SLICE_BITS
-) -> DataFrame:
-    """`CELL, seq, expected, value` -> `CELL, seq, applied`.
-
-    `seq` is unique in a cell and not negative; a null `expected` asks for an absent cell. `base` holds the cells before.
-    """
-    if base is None:
-        started = requests.withColumn("_start", F.lit(None).cast("string"))
-    else:
-        start = latest(base).select(*CELL, F.col("value").alias("_start"))
-        started = requests.join(start, CELL, "left")
-    sizes = requests.groupBy(*CELL).agg(F.count(F.lit(1)).alias("_n"))
-    large = cut_lineage(sizes.filter(F.col("_n") > fold_limit).select(*CELL))
-    if large.isEmpty():
-        return _fold(started)
-    usual = _fold(started.join(large, CELL, "left_anti"))
-    return usual.unionByName(_chase(started.join(large, CELL, "left_semi"), bits))
-
-
-def final_values(requests: DataFrame, results: DataFrame) -> DataFrame:
-    """The value each cell holds after the requests that were applied."""
-    applied = results.filter("applied").select(*CELL, "seq")
-    return (
-        requests.join(applied, [*CELL, "seq"], "left_semi")
-        .groupBy(*CELL)
-        .agg(F.max_by("value", "seq").alias("value"))
-    )
-
-
-def _fold(started: DataFrame) -> DataFrame:
-    """One cell, one array of at most FOLD_LIMIT requests."""
-    queue = F.array_sort(F.collect_list(F.struct("seq", "expected", "value")))
-    cells = started.groupBy(*CELL, "_start").agg(queue.alias("queue"))
-
-    def step(state: Column, request: Column) -> Column:
-        ok = state["now"].eqNullSafe(request["expected"])
-        return F.struct(
-            F.when(ok, request["value"]).otherwise(state["now"]).alias("now"),
-            F.concat(state["applied"], F.array(ok)).alias("applied"),
-        )
-
-    begin = F.struct(F.col("_start").alias("now"), F.array().cast("array<boolean>").alias("applied"))
-    folded = cells.select(*CELL, "queue", F.aggregate("queue", begin, step).alias("end"))
-    zipped = F.arrays_zip(F.col("queue.seq").alias("seq"), F.col("end.applied").alias("applied"))
-    return folded.select(*CELL, F.explode(zipped).alias("r")).select(*CELL, "r.seq", "r.applied")
 
 
 def _state(c: Column) -> Column:
@@ -75,25 +24,48 @@ def _state(c: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), c), F.lit("absent"))
 
 
-def _chase(started: DataFrame, bits: int) -> DataFrame:
-    root = started.select(*CELL, F.lit(_ROOT).cast("bigint").alias("seq"), _state(F.col("_start")).alias("_state"))
-    targets = started.select(*CELL, "seq", _state(F.col("expected")).alias("_state"), F.lit(0).alias("_source"))
-    sources = started.select(*CELL, "seq", _state(F.col("value")).alias("_state")).unionByName(root.distinct())
-    marks = targets.unionByName(sources.withColumn("_source", F.lit(1)))
+def check_and_put(requests: DataFrame, base: DataFrame | None = None) -> DataFrame:
+    """`CELL, seq, expected, value` -> `CELL, seq, applied`.
+
+    `seq` is unique in a cell; a null `expected` asks for an absent cell. `base` holds the cells before. Requests that
+    check one cell and put another are operations of a log, see `mutations.replay`.
+    """
+    cells = requests.select(*CELL).distinct()
+    if base is None:
+        started = cells.withColumn("_start", F.lit(None).cast("string"))
+    else:
+        started = cells.join(latest(base).select(*CELL, F.col("value").alias("_start")), CELL, "left")
+    # Three kinds of marks, by what a later request may expect: the first state, then for each request what it asks for
+    # and, behind that, what it leaves.
+    start = started.select(*CELL, F.lit(None).cast("bigint").alias("seq"), _state(F.col("_start")).alias("_state"), F.lit(0).alias("_kind"))
+    asks = requests.select(*CELL, "seq", _state(F.col("expected")).alias("_state"), F.lit(1).alias("_kind"))
+    leaves = requests.select(*CELL, "seq", _state(F.col("value")).alias("_state"), F.lit(2).alias("_kind"))
+    marks = start.unionByName(asks).unionByName(leaves).withColumn("_begun", F.col("_kind") > 0)
     pointed = next_value(
-        marks, [*CELL, "_state"], ["seq", "_source"], F.when(F.col("_source") == 0, F.col("seq")), "next", bits
-    )
-    jumps = cut_lineage(pointed.filter((F.col("_source") == 1) & F.col("next").isNotNull()).select(*CELL, "seq", "next"))
-    reached = cut_lineage(root.select(*CELL, "seq").distinct())
+        marks, [*CELL, "_state"], ["_begun", "seq", "_kind"], F.when(F.col("_kind") == 1, F.col("seq")), "next"
+    ).filter((F.col("_kind") != 1) & F.col("next").isNotNull())
+    pointed = cut_lineage(pointed.select(*CELL, "seq", "next", "_kind"))
+    reached = cut_lineage(pointed.filter("_kind = 0").select(*CELL, F.col("next").alias("seq")))
+    jumps = pointed.filter("_kind = 2").select(*CELL, "seq", "next")
     while not jumps.isEmpty():
         ahead = reached.join(jumps, [*CELL, "seq"]).select(*CELL, F.col("next").alias("seq"))
         reached = cut_lineage(reached.unionByName(ahead).distinct())
         second = jumps.select(*CELL, F.col("seq").alias("next"), F.col("next").alias("_far"))
         jumps = cut_lineage(jumps.join(second, [*CELL, "next"]).select(*CELL, "seq", F.col("_far").alias("next")))
-    marked = reached.filter(F.col("seq") != _ROOT).withColumn("applied", F.lit(True))
+    marked = reached.withColumn("applied", F.lit(True))
     return (
-        started.select(*CELL, "seq")
+        requests.select(*CELL, "seq")
         .join(marked, [*CELL, "seq"], "left")
         .select(*CELL, "seq", F.coalesce("applied", F.lit(False)).alias("applied"))
         .select(*_RESULT)
     )
+
+
+def final_values(requests: DataFrame, results: DataFrame) -> DataFrame:
+    """The value each cell holds after the requests that were applied."""
+    applied = results.filter("applied").select(*CELL, "seq")
+    return (
+        requests.join(applied, [*CELL, "seq"], "left_semi")
+        .groupBy(*CELL)
+        .agg(F.max_by("value", "seq").alias("value"))
+    )

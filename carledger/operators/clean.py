@@ -97,15 +97,20 @@ def mileage_in_wan(df: DataFrame) -> DataFrame:
     return df.withColumn("mileage", X.literal_replace(F.col("mileage"), WAN))
 
 
-def electric_without_displacement(missing: str = "strict") -> Column:
-    """C10 as a condition that is never null."""
+def _electric(missing: str) -> Column:
+    """C10 as a filter; null for a null fuel type. The fuel type alone reaches the files."""
     _check(missing)
     displacement = F.col("displacement")
     if missing == "strict":
         absent = displacement.isNull() | X.blank_text(displacement)
     else:
         absent = X.nan_text(displacement)
-    return F.coalesce((F.col("fuel_type") == ELECTRIC) & absent, F.lit(False))
+    return (F.col("fuel_type") == ELECTRIC) & absent
+
+
+def electric_without_displacement(missing: str = "strict") -> Column:
+    """C10 as a condition that is never null."""
+    return F.coalesce(_electric(missing), F.lit(False))
 
 
 def complete(missing: str = "strict", columns: list[str] = CLEAN_COLUMNS) -> Column:
@@ -119,7 +124,7 @@ def complete(missing: str = "strict", columns: list[str] = CLEAN_COLUMNS) -> Col
 
 
 def electric_part(df: DataFrame, missing: str = "strict") -> DataFrame:
-    return df.filter(electric_without_displacement(missing))
+    return df.filter(_electric(missing))
 
 
 def without_electric_part(df: DataFrame, missing: str = "strict") -> DataFrame:
@@ -134,8 +139,8 @@ def without_electric_part(df: DataFrame, missing: str = "strict") -> DataFrame:
 def second_pass(df: DataFrame, missing: str = "strict", dedupe_all: bool = False) -> DataFrame:
     """Complete rows once each, plus the electric rows without displacement, copies included.
 
-    `df` is read by both branches, so hand over a stored first pass rather than a long plan. The electric
-    branch is a plain filter: its copies need no shuffle.
+    `df` is read by both branches. The electric branch is a plain filter, whose fuel type prunes the second read, and
+    its copies need no shuffle.
     """
     marked = mileage_in_wan(keep_marked_style(df))
     # Incomplete rows leave before the duplicate removal, so they are never shuffled.
@@ -152,14 +157,17 @@ def clean(raw: DataFrame, missing: str = "strict", dedupe_all: bool = False) ->
 def stage_counts(raw: DataFrame, missing: str = "strict") -> DataFrame:
     """C14: rows left after each stage, from one scan and one pre-aggregated shuffle.
 
-    Rows are reduced to distinct rows with their number of copies; every stage is then a sum.
+    Only rows that finish are told apart, for their copies; the others shrink to one row for each stage in a map task.
     """
     rows = mileage_in_wan(project(split_engine(transfer_digits(reg_month(strip_units(raw))))))
-    copies = rows.groupBy(*CLEAN_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
-    leveled = F.coalesce(has_level(missing), F.lit(False))
-    styled = leveled & F.coalesce(F.col("style").contains(STYLE_MARK), F.lit(False))
-    electric = styled & electric_without_displacement(missing)
-    finished = styled & ~electric_without_displacement(missing) & complete(missing)
+    level = F.coalesce(has_level(missing), F.lit(False))
+    style = F.coalesce(F.col("style").contains(STYLE_MARK), F.lit(False))
+    electric = electric_without_displacement(missing)
+    flags = rows.withColumns({"_level": level, "_style": level & style})
+    flags = flags.withColumns({"_electric": F.col("_style") & electric, "_done": F.col("_style") & ~electric & complete(missing)})
+    told = [F.when(F.col("_done"), F.col(c)).alias(c) for c in CLEAN_COLUMNS]
+    copies = flags.groupBy("_level", "_style", "_electric", "_done", *told).agg(F.count(F.lit(1)).alias("n"))
+    leveled, styled, electric, finished = F.col("_level"), F.col("_style"), F.col("_electric"), F.col("_done")
     totals = copies.agg(
         F.sum("n").alias("raw"),
         F.sum(F.when(leveled, F.col("n")).otherwise(0)).alias("with_level"),

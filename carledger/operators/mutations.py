@@ -1,18 +1,37 @@
 """Batched changes to cell tables.
 
 A mutation log is `tbl, row_key, family, qualifier, ts, seq, op, value` with `seq` unique, and `expected` for checks.
+Columns are named `family:qualifier`; the first colon separates, a qualifier may hold more.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carledger.operators.cells import latest
-from carledger.operators.scan import running_total, slice_of
+from carledger.operators.scan import placed, running_total
 from carledger.schema import CELL, MUTATION_SCHEMA, ROW
 
 LOG = MUTATION_SCHEMA.fieldNames()
+NO_QUALIFIER = "put without a qualifier"
+NO_NUMBER = "value is no number"
+_NUMBER = re.compile("[+-]?[0-9]{1,18}")
+MAX_VALUE = (1 << 31) - 64  # bytes that one value can hold
+
+
+def family(column: Column) -> Column:
+    return F.substring_index(column, ":", 1)
+
+
+def qualifier(column: Column) -> Column:
+    """What follows the first colon; null without one."""
+    at = F.locate(":", column)
+    return F.when(at > 0, F.substr(column, at + 1))
 
 
 def put_rows(
@@ -20,6 +39,8 @@ def put_rows(
 ) -> DataFrame:
     """K4: several columns of each row as puts. `columns` maps `family:qualifier` to the column that holds the value;
     a null value is no put. The puts of a row share its timestamp and its sequence number."""
+    if missing := [c for c in columns if ":" not in c]:
+        raise ValueError(f"{NO_QUALIFIER}: {missing}")
     wide = df.select(
         F.lit(tbl).alias("tbl"),
         F.col(key).cast("string").alias("row_key"),
@@ -31,8 +52,8 @@ def put_rows(
     return puts.filter(F.col("value").isNotNull()).select(
         "tbl",
         "row_key",
-        F.substring_index("column", ":", 1).alias("family"),
-        F.substring_index("column", ":", -1).alias("qualifier"),
+        family(F.col("column")).alias("family"),
+        qualifier(F.col("column")).alias("qualifier"),
         "ts",
         "seq",
         F.lit("put").alias("op"),
@@ -43,47 +64,71 @@ def put_rows(
 def expand_batches(batches: DataFrame) -> DataFrame:
     """K5: `tbl, row_key, ts, seq, mutations array<struct<is_delete, column, value>>` -> log.
 
-    All entries of a batch have its timestamp; a delete without a column is one of the row.
+    All entries of a batch have its timestamp; a delete without a column is one of the row, a delete of a column without
+    a qualifier is one of the family. Puts without a qualifier are left to `rejected_entries`.
     """
-    entries = batches.select("tbl", "row_key", "ts", "seq", F.explode("mutations").alias("m"))
+    entries = _entries(batches).filter(~_incomplete())
     column = F.col("m.column")
+    delete = F.when(column.isNull(), "delete_row").when(column.contains(":"), "delete_cell").otherwise("delete_family")
     return entries.select(
         "tbl",
         "row_key",
-        F.substring_index(column, ":", 1).alias("family"),
-        F.when(column.contains(":"), F.substring_index(column, ":", -1)).alias("qualifier"),
+        family(column).alias("family"),
+        qualifier(column).alias("qualifier"),
         "ts",
         "seq",
-        F.when(~F.col("m.is_delete"), "put").when(column.isNull(), "delete_row").otherwise("delete_cell").alias("op"),
+        F.when(F.col("m.is_delete"), delete).otherwise("put").alias("op"),
         F.when(~F.col("m.is_delete"), F.col("m.value")).alias("value"),
     )
 
 
+def _entries(batches: DataFrame) -> DataFrame:
+    return batches.select("tbl", "row_key", "ts", "seq", F.explode("mutations").alias("m"))
+
+
+def _incomplete() -> Column:
+    return ~F.col("m.is_delete") & ~F.coalesce(F.col("m.column").contains(":"), F.lit(False))
+
+
+def rejected_entries(batches: DataFrame) -> DataFrame:
+    """K5: the entries of batches that can't be applied, with the reason."""
+    rejected = _entries(batches).filter(_incomplete())
+    return rejected.select("tbl", "row_key", "seq", F.col("m.column").alias("column"), F.lit(NO_QUALIFIER).alias("reason"))
+
+
+_FAMILY = [*ROW, "family"]
+
+
+def _newest_deletes(log: DataFrame, op: str, by: list[str], name: str) -> DataFrame:
+    return log.filter(F.col("op") == op).groupBy(*by).agg(F.max("ts").alias(name))
+
+
+def _join_deletes(cells: DataFrame, log: DataFrame) -> DataFrame:
+    """`cells` with the newest delete of their family and of their row."""
+    families = _newest_deletes(log, "delete_family", _FAMILY, "_family_gone")
+    rows = _newest_deletes(log, "delete_row", ROW, "_row_gone")
+    return cells.join(families, _FAMILY, "left").join(rows, ROW, "left")
+
+
 def visible(log: DataFrame) -> DataFrame:
-    """K8: puts that no delete of their cell or row with an equal or newer timestamp hides.
+    """K8: puts that no delete of their cell, family or row with an equal or newer timestamp hides.
 
-    Deletes are reduced to the newest one of each cell and of each row before they meet the puts. Neither side is
-    ever gathered by key: AQE broadcasts the reduced deletes when their measured size allows, and splits the
-    puts of a hot key when it does not.
+    Deletes are reduced to the newest one of each cell, family and row before they meet the puts. Neither side is ever
+    gathered by key: AQE broadcasts the reduced deletes when their measured size allows, and splits the puts of a hot
+    key when it does not. Other operations depend on the order of the log, see `replay`.
     """
     puts = log.filter(F.col("op") == "put").drop("op")
-    cell_deletes = (
-        log.filter(F.col("op") == "delete_cell").groupBy(*CELL).agg(F.max("ts").alias("_cell_gone"))
-    )
-    row_deletes = log.filter(F.col("op") == "delete_row").groupBy(*ROW).agg(F.max("ts").alias("_row_gone"))
-    alive = (F.col("_cell_gone").isNull() | (F.col("ts") > F.col("_cell_gone"))) & (
-        F.col("_row_gone").isNull() | (F.col("ts") > F.col("_row_gone"))
-    )
-    return (
-        puts.join(cell_deletes, CELL, "left").join(row_deletes, ROW, "left").filter(alive).select(*puts.columns)
-    )
+    cells = puts.join(_newest_deletes(log, "delete_cell", CELL, "_cell_gone"), CELL, "left")
+    gone = F.greatest("_cell_gone", "_family_gone", "_row_gone")  # skips nulls
+    alive = gone.isNull() | (F.col("ts") > gone)
+    return _join_deletes(cells, log).filter(alive).select(*puts.columns)
 
 
 def latest_visible(log: DataFrame) -> DataFrame:
     """K8 then K6 without joining single puts: the newest put of a cell is visible, or none of its puts is.
 
-    One aggregate with a map-side half gives each cell its newest put and newest delete; row deletes then meet one
-    row for each cell.
+    One aggregate with a map-side half gives each cell its newest put and newest delete; deletes of families and rows then
+    meet one row for each cell.
     """
     op, newest = F.col("op"), F.struct("ts", "seq")
     cells = (
@@ -95,42 +140,90 @@ def latest_visible(log: DataFrame) -> DataFrame:
             F.max(F.when(op == "delete_cell", F.col("ts"))).alias("_cell_gone"),
         )
     )
-    row_deletes = log.filter(op == "delete_row").groupBy(*ROW).agg(F.max("ts").alias("_row_gone"))
-    gone = F.greatest("_cell_gone", "_row_gone")
+    gone = F.greatest("_cell_gone", "_family_gone", "_row_gone")
     return (
-        cells.join(row_deletes, ROW, "left")
+        _join_deletes(cells, log)
         .filter(F.col("ts").isNotNull() & (gone.isNull() | (F.col("ts") > gone)))
         .select(*CELL, "ts", "value")
     )
 
 
+def replay(log: DataFrame) -> DataFrame:
+    """K4, K5, K18-K20 in one log: the outcome of every operation, applied in `seq` order.
+
+    `op` is put, delete_cell, delete_family, delete_row, increment, append or cas. `value` is what is put, added or
+    appended; a cas puts it if the checked cell holds `expected` (null: is absent). The checked cell is the put one unless
+    `check_family` and `check_qualifier` name another of the row.
+
+    -> `CELL, seq, op, applied, reason, value`, the value being the cell's after the operation (null: absent). The
+    operations of a row are streamed in order through one task, which holds the row's present cells and nothing else; each
+    may depend on any before, so a row is not split. Rows of puts and deletes alone need no replay, see `latest_visible`.
+    """
+    extra = [c for c in ("expected", "check_family", "check_qualifier") if c not in log.columns]
+    whole = log.withColumns({c: F.lit(None).cast("string") for c in extra})
+    columns = [*CELL, "seq", "op", "value", "expected", "check_family", "check_qualifier"]
+    ordered = whole.select(*columns).repartition(*ROW).sortWithinPartitions(*ROW, "seq")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        row, cells = None, {}
+        for batch in batches:
+            out = []
+            batch = batch.astype(object).where(batch.notna(), None)
+            for tbl, key, fam, qual, seq, op, value, expected, check_fam, check_qual in batch.itertuples(index=False):
+                if (tbl, key) != row:
+                    row, cells = (tbl, key), {}
+                at, reason = (fam, qual), None
+                now = cells.get(at)
+                if op == "put":
+                    cells[at] = value
+                elif op == "delete_cell":
+                    cells.pop(at, None)
+                elif op == "delete_family":
+                    cells = {c: v for c, v in cells.items() if c[0] != fam}
+                elif op == "delete_row":
+                    cells = {}
+                elif op == "increment":
+                    if all(map(_NUMBER.fullmatch, (now or "0", value or ""))):
+                        cells[at] = str(int(now or 0) + int(value))
+                    else:
+                        reason = NO_NUMBER
+                elif op == "append":
+                    cells[at] = (now or "") + (value or "")
+                elif op == "cas":
+                    checked = at if check_fam is None else (check_fam, check_qual)
+                    if cells.get(checked) == expected:
+                        cells[at] = value
+                    else:
+                        reason = "check failed"
+                else:
+                    reason = f"unknown operation {op}"
+                out.append((tbl, key, fam, qual, seq, op, reason is None, reason, cells.get(at)))
+            yield pd.DataFrame(out, columns=[*CELL, "seq", "op", "applied", "reason", "value"])
+
+    kinds = "tbl string, row_key string, family string, qualifier string, seq long, op string"
+    return ordered.mapInPandas(run, f"{kinds}, applied boolean, reason string, value string")
+
+
 def increment_steps(increments: DataFrame, base: DataFrame | None = None) -> DataFrame:
     """`CELL, seq, amount` plus `value`, the cell after each increment in `seq` order.
 
     `base` holds the cells before (value as text). A cell without any increment is not in the result.
     """
-    steps = running_total(increments, CELL, ["seq"], F.col("amount"), "value")
-    if base is None:
-        return steps
-    start = latest(base).select(*CELL, F.col("value").try_cast("bigint").alias("_base"))
-    return (
-        steps.join(start, CELL, "left")
-        .withColumn("value", F.col("value") + F.coalesce("_base", F.lit(0)))
-        .select(*steps.columns)
-    )
+    return _on_base(running_total(increments, CELL, ["seq"], F.col("amount"), "value"), base)
 
 
 def increment_totals(increments: DataFrame, base: DataFrame | None = None) -> DataFrame:
     """Only the cells after all increments; a sum with a map-side half."""
-    sums = increments.groupBy(*CELL).agg(F.sum("amount").alias("value"))
+    return _on_base(increments.groupBy(*CELL).agg(F.sum("amount").alias("value")), base)
+
+
+def _on_base(sums: DataFrame, base: DataFrame | None) -> DataFrame:
+    """Sums on top of the cells before: an absent cell counts as 0, on a text that is no number the result is null."""
     if base is None:
         return sums
-    start = latest(base).select(*CELL, F.col("value").try_cast("bigint").alias("_base"))
-    return (
-        sums.join(start, CELL, "left")
-        .withColumn("value", F.col("value") + F.coalesce("_base", F.lit(0)))
-        .select(*sums.columns)
-    )
+    start = latest(base).select(*CELL, F.col("value").alias("_base"))
+    number = F.when(F.col("_base").isNull(), 0).otherwise(F.col("_base").try_cast("bigint"))
+    return sums.join(start, CELL, "left").withColumn("value", F.col("value") + number).select(*sums.columns)
 
 
 def expand_appends(requests: DataFrame) -> DataFrame:
@@ -139,8 +232,8 @@ def expand_appends(requests: DataFrame) -> DataFrame:
     return pairs.select(
         "tbl",
         "row_key",
-        F.substring_index("p.columns", ":", 1).alias("family"),
-        F.substring_index("p.columns", ":", -1).alias("qualifier"),
+        family(F.col("p.columns")).alias("family"),
+        qualifier(F.col("p.columns")).alias("qualifier"),
         "seq",
         F.col("p.values").alias("value"),
     )
@@ -149,16 +242,19 @@ def expand_appends(requests: DataFrame) -> DataFrame:
 def append_values(appends: DataFrame, base: DataFrame | None = None) -> DataFrame:
     """`CELL, seq, value` -> the text of each cell after all appends, in `seq` order, behind its base value.
 
-    Texts are joined slice by slice first, so ordering the appends of a hot cell is spread over tasks; only the
-    finished pieces, which make up the one result value, meet.
+    Texts are joined part by part first, so ordering the appends of a hot cell is spread over tasks; only the finished
+    pieces, which make up the one result value, meet. A cell that would grow beyond what a value can hold is an error.
     """
 
-    def joined(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-        pieces = F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), F.col("value").alias("piece"))))
-        return df.groupBy(*keys).agg(F.array_join(F.transform(pieces, lambda p: p.piece), "").alias("value"))
+    def joined(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+        pieces = F.array_sort(F.collect_list(F.struct(*order, F.col("value").alias("piece"))))
+        text = F.array_join(F.transform(pieces, lambda p: p.piece), "")
+        return df.groupBy(*keys).agg(text.alias("value"))
 
-    sliced = appends.withColumn("_slice", slice_of("seq"))
-    after = joined(joined(sliced, [*CELL, "_slice"], "seq"), CELL, "_slice")
+    parts = joined(placed(appends, CELL, ["seq"]), [*CELL, "_part"], ["seq", "_tie"])
+    size = F.sum(F.octet_length("value"))
+    sizes = parts.groupBy(*CELL).agg(F.when(size > MAX_VALUE, F.raise_error(F.lit("a cell outgrows a value"))).alias("_over"))
+    after = joined(parts.join(sizes, CELL).filter("_over is null"), CELL, ["_part"])
     if base is None:
         return after
     start = latest(base).select(*CELL, F.col("value").alias("_base"))

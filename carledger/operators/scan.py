@@ -1,8 +1,9 @@
 """Running aggregates inside groups of any size.
 
-Rows of a group are cut into slices by their integer order column, 2^20 values to a slice. Slices are worked through on
-their own tasks; the results of the slices before, one pre-aggregated row for each slice, are then combined in. With
-an order column that is unique in the group, no task ever orders more than 2^20 rows of one group.
+Rows are range-partitioned by group and order, with a row number against ties, so a hot group is cut into partitions of
+about equal size, whatever its order values are. Each partition is worked through on its own; what lies before it in its
+group, one pre-aggregated row for each partition, is then combined in. The placed rows are checkpointed, because range
+bounds are sampled and must not be drawn twice.
 """
 
 from __future__ import annotations
@@ -12,11 +13,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICE_BITS = 20
+from carledger.session import cut_lineage
 
 
-def slice_of(order: str, bits: int = SLICE_BITS) -> Column:
-    return F.shiftright(F.col(order).cast("bigint"), bits)
+def placed(df: DataFrame, group: list[str], order: list[str], descending: bool = False) -> DataFrame:
+    """`df` plus `_part`, which grows along the order of a group, and `_tie`, which breaks ties inside a part."""
+    along = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
+    ranged = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*group, *along, "_tie")
+    return cut_lineage(ranged.withColumn("_part", F.spark_partition_id()))
 
 
 def _running(
@@ -26,54 +30,37 @@ def _running(
     amount: Column,
     name: str,
     descending: bool,
-    bits: int,
     aggregate: Callable[[Column], Column],
     combine: Callable[[Column, Column], Column],
     last: int,
 ) -> DataFrame:
-    direct = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
-    sliced = df.withColumns({"_slice": slice_of(order[0], bits), "_amount": amount})
-    here = (
-        Window.partitionBy(*group, "_slice")
-        .orderBy(*map(direct, order))
-        .rowsBetween(Window.unboundedPreceding, last)
-    )
-    earlier = Window.partitionBy(*group).orderBy(direct("_slice")).rowsBetween(Window.unboundedPreceding, -1)
-    slices = sliced.groupBy(*group, "_slice").agg(aggregate(F.col("_amount")).alias("_whole"))
-    # Only slices with something before them: none for a group that fits in one slice.
-    before = slices.select(*group, "_slice", aggregate(F.col("_whole")).over(earlier).alias("_before")).filter(
+    along = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
+    parts = placed(df.withColumn("_amount", amount), group, order, descending)
+    here = Window.partitionBy(*group, "_part").orderBy(*along, "_tie").rowsBetween(Window.unboundedPreceding, last)
+    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = parts.groupBy(*group, "_part").agg(aggregate(F.col("_amount")).alias("_whole"))
+    # Only parts with something before them: none for a group that lies in one partition.
+    before = whole.select(*group, "_part", aggregate(F.col("_whole")).over(earlier).alias("_before")).filter(
         F.col("_before").isNotNull()
     )
-    return (
-        sliced.withColumn("_here", aggregate(F.col("_amount")).over(here))
-        .join(before, [*group, "_slice"], "left")
-        .select(*df.columns, combine(F.col("_here"), F.col("_before")).alias(name))
-    )
+    on = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in [*group, "_part"]]
+    joined = parts.withColumn("_here", aggregate(F.col("_amount")).over(here)).alias("a").join(before.alias("b"), on, "left")
+    return joined.select(*[f"a.{c}" for c in df.columns], combine(F.col("_here"), F.col("_before")).alias(name))
 
 
 def running_total(
-    df: DataFrame,
-    group: list[str],
-    order: list[str],
-    amount: Column,
-    name: str,
-    descending: bool = False,
-    bits: int = SLICE_BITS,
+    df: DataFrame, group: list[str], order: list[str], amount: Column, name: str, descending: bool = False
 ) -> DataFrame:
-    """`df` plus the running sum of `amount` within `group`, by `order`; the first order column makes the slices."""
+    """`df` plus the running sum of `amount` within `group`, by `order`."""
     plus = lambda here, before: here + F.coalesce(before, F.lit(0))
-    return _running(df, group, order, amount, name, descending, bits, F.sum, plus, Window.currentRow)
+    return _running(df, group, order, amount, name, descending, F.sum, plus, Window.currentRow)
 
 
-def running_count(
-    df: DataFrame, group: list[str], order: list[str], name: str, descending: bool = False, bits: int = SLICE_BITS
-) -> DataFrame:
+def running_count(df: DataFrame, group: list[str], order: list[str], name: str, descending: bool = False) -> DataFrame:
     """`df` plus each row's place in its group, from 1."""
-    return running_total(df, group, order, F.lit(1).cast("bigint"), name, descending, bits)
+    return running_total(df, group, order, F.lit(1).cast("bigint"), name, descending)
 
 
-def next_value(
-    df: DataFrame, group: list[str], order: list[str], value: Column, name: str, bits: int = SLICE_BITS
-) -> DataFrame:
+def next_value(df: DataFrame, group: list[str], order: list[str], value: Column, name: str) -> DataFrame:
     """`df` plus the smallest `value` among the later rows of the group (null if there is none)."""
-    return _running(df, group, order, value, name, True, bits, F.min, F.least, -1)
+    return _running(df, group, order, value, name, True, F.min, F.least, -1)

@@ -1,4 +1,4 @@
-"""The eight statistics over clean listings (A1-A10).
+"""The eight statistics over clean listings, or over their stored typed layer (A1-A10).
 
 Each function gives the full-precision result; `warehouse.store_cast` narrows it to the stored table's types.
 All aggregates have a map-side half, so a brand with a third of all rows costs no more than any other.
@@ -6,23 +6,24 @@ All aggregates have a map-side half, so a brand with a third of all rows costs n
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carledger.functions.typed import AsOf, age_years, days_since, to_date, to_float, to_int
 from carledger.operators.clean import _check
 from carledger.operators.rowid import row_id, small_row_id
+from carledger.operators.scan import running_total
 from carledger.schema import ELECTRIC, GASOLINE
 
 
-def typed_listings(listings: DataFrame, as_of: AsOf = None, missing: str = "strict") -> DataFrame:
-    """Text columns as numbers, dates and ages; malformed text is null.
+def typed_layer(listings: DataFrame, missing: str = "strict") -> DataFrame:
+    """C17: text columns as numbers and dates; malformed text is null. The layer that `pipeline.load` stores, so that casts
+    run once and filters on numbers reach the files.
 
     In literal mode NaN text stays NaN, which Spark treats as greater than any number.
     """
     _check(missing)
     drop_nan = missing == "strict"
-    reg, post = to_date(F.col("reg_time")), to_date(F.col("post_time"))
     return listings.select(
         "brand",
         "fuel_type",
@@ -32,10 +33,16 @@ def typed_listings(listings: DataFrame, as_of: AsOf = None, missing: str = "stri
         to_float(F.col("new_price"), drop_nan).alias("new_price"),
         to_float(F.col("mileage"), drop_nan).alias("mileage"),
         to_int(F.col("transfer_count")).alias("transfer_count"),
-        reg.alias("reg_date"),
-        post.alias("post_date"),
-        age_years(reg, as_of).alias("car_age"),
-        days_since(post, as_of).alias("publish_days"),
+        to_date(F.col("reg_time")).alias("reg_date"),
+        to_date(F.col("post_time")).alias("post_date"),
+    )
+
+
+def typed_listings(listings: DataFrame, as_of: AsOf = None, missing: str = "strict") -> DataFrame:
+    """The typed layer with ages on a day. Takes text listings or a stored typed layer."""
+    typed = listings if "reg_date" in listings.columns else typed_layer(listings, missing)
+    return typed.withColumns(
+        {"car_age": age_years(F.col("reg_date"), as_of), "publish_days": days_since(F.col("post_date"), as_of)}
     )
 
 
@@ -65,8 +72,7 @@ def fuel_type_stats(listings: DataFrame) -> DataFrame:
 
 def brand_avg_price(listings: DataFrame, missing: str = "strict") -> DataFrame:
     """A2: zero prices count, missing ones do not; a brand without any price is last."""
-    price = to_float(F.col("current_price"), missing == "strict")
-    averages = listings.groupBy("brand").agg(F.avg(price).alias("avg_price"))
+    averages = typed_listings(listings, missing=missing).groupBy("brand").agg(F.avg("price").alias("avg_price"))
     return row_id(averages, [F.col("avg_price").desc_nulls_last(), *_by("brand")])
 
 
@@ -91,9 +97,9 @@ def brand_transfer_quartiles(
 ) -> DataFrame:
     """A5: five-number summary by brand and transfer count; quartiles are prices that occur.
 
-    Exact by default: rows shrink to (brand, transfers, price) counts with a map-side half, and a running count over
-    the distinct prices of a group, which are few next to its rows, finds the first price at or past each quantile. With `accuracy`, the mergeable
-    sketch of percentile_approx is used, whose rank error is at most n / accuracy.
+    Exact by default: rows shrink to (brand, transfers, price) counts with a map-side half, and a running count over the
+    distinct prices, spread over range partitions, finds the first price at or past each quantile. With `accuracy`, the
+    mergeable sketch of percentile_approx is used, whose rank error is at most n / accuracy.
     """
     keys = ["brand", "transfer_count"]
     rows = typed_listings(listings, missing=missing).filter(positive("price") & F.col("transfer_count").isNotNull())
@@ -105,13 +111,8 @@ def brand_transfer_quartiles(
         )
         return row_id(summary, _by(*keys))
     counts = rows.groupBy(*keys, "price").agg(F.count(F.lit(1)).alias("n"))
-    group = Window.partitionBy(*keys)
-    running = counts.withColumns(
-        {
-            "upto": F.sum("n").over(group.orderBy("price").rowsBetween(Window.unboundedPreceding, 0)),
-            "total": F.sum("n").over(group),
-        }
-    )
+    totals = counts.groupBy(*keys).agg(F.sum("n").alias("total"))
+    running = running_total(counts, keys, ["price"], F.col("n"), "upto").join(totals, keys)
     summary = running.groupBy(*keys).agg(
         F.min("price").alias("min_price"),
         *[

@@ -20,7 +20,7 @@ base AS (
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
   JOIN nation ON s_nationkey = n_nationkey
 ),
-raw AS (
+listing AS (
   SELECT l_orderkey, l_partkey, l_linenumber,
     p_brand AS brand,
     CASE WHEN l_partkey % 11 = 0 THEN 'Classic' ELSE (1995 + l_partkey % 25)::VARCHAR || '款' END AS style,
@@ -32,7 +32,8 @@ raw AS (
     CASE WHEN l_orderkey % 89 = 0 THEN '未知'
          ELSE l_quantity::INT::VARCHAR || '.' || (l_partkey % 10)::VARCHAR || '万公里' END AS mileage,
     {_PICK.format("自动", "手动", "双离合")} AS gearbox,
-    CASE WHEN p_size % 5 <> 0 THEN (1 + p_size % 3)::VARCHAR || '.' || (p_size % 10)::VARCHAR || 'L' END AS displacement,
+    CASE WHEN p_size % 5 = 0 AND l_partkey % 4 = 1 THEN ' ' WHEN p_size % 5 = 0 AND l_partkey % 4 = 2 THEN 'nan'
+         WHEN p_size % 5 <> 0 THEN (1 + p_size % 3)::VARCHAR || '.' || (p_size % 10)::VARCHAR || 'L' END AS displacement,
     strftime(l_shipdate + INTERVAL 30 DAY, '%Y-%m-%d') AS post_time,
     {_PICK.format("2026-03", "2026-09", "2027-01")} AS inspect_due,
     {_PICK.format("2026-02", "2026-08", "2027-05")} AS insurance_due,
@@ -40,11 +41,13 @@ raw AS (
     n_name AS location,
     CASE WHEN l_partkey % 53 = 0 THEN '发动机'
          ELSE '2.0L ' || (80 + p_size * 3)::VARCHAR || '马力 L' || (3 + p_size % 4)::VARCHAR END AS engine,
-    CASE WHEN l_suppkey % 17 = 0 THEN '' ELSE p_type END AS level,
-    {_PICK.format("黑", "白", "灰")} AS color,
+    CASE WHEN l_suppkey % 17 = 0 THEN '' WHEN l_suppkey % 19 = 0 THEN '{NBSP}' WHEN l_suppkey % 23 = 0 THEN 'nan' ELSE p_type END AS level,
+    CASE WHEN l_orderkey % 83 = 0 THEN 'nan' ELSE {_PICK.format("黑", "白", "灰")} END AS color,
     {_PICK.format("前驱", "后驱", "四驱")} AS drive_mode,
     n_name AS province
   FROM base
+), raw AS (
+  SELECT * FROM listing UNION ALL SELECT * FROM listing WHERE l_orderkey % 100 = 0
 )"""
 
 _FIRST_COLUMNS = {
@@ -194,7 +197,7 @@ PAGES = f"""{LISTING}, page AS (
     {_item("车身颜色", "color")} ||
     {_item("驱动方式", "drive_mode")} ||
     '</ul></div></body></html>' AS html
-  FROM raw
+  FROM listing
 )"""
 
 
@@ -260,19 +263,31 @@ _VISIBLE = """{0} AS (
   SELECT * EXCLUDE (op) FROM {1} p WHERE op = 'put'
     AND NOT EXISTS (SELECT 1 FROM {1} d WHERE d.op = 'delete_cell' AND d.tbl = p.tbl AND d.row_key = p.row_key
                     AND d.family = p.family AND d.qualifier = p.qualifier AND d.ts >= p.ts)
+    AND NOT EXISTS (SELECT 1 FROM {1} d WHERE d.op = 'delete_family' AND d.tbl = p.tbl AND d.row_key = p.row_key
+                    AND d.family = p.family AND d.ts >= p.ts)
     AND NOT EXISTS (SELECT 1 FROM {1} d WHERE d.op = 'delete_row' AND d.tbl = p.tbl AND d.row_key = p.row_key AND d.ts >= p.ts)
 )"""
-_ORDER_PUTS = """
-  SELECT 'customer' AS tbl, o_custkey::VARCHAR AS row_key, 'cf' AS family, 'status' AS qualifier, o_orderkey AS ts,
-    o_orderkey AS seq, 'put' AS op, o_orderstatus AS value FROM orders {0}
-  UNION ALL SELECT 'customer', o_custkey::VARCHAR, 'cf', 'priority', o_orderkey, o_orderkey, 'put', o_orderpriority
-  FROM orders {0}"""
-_ORDER_LOG = f"""order_log AS ({_ORDER_PUTS.format("WHERE o_orderkey % 37 <> 0")}
+
+
+def _order_puts(columns: list[tuple[str, str, str]], where: str = "") -> str:
+    return " UNION ALL ".join(
+        f"""SELECT 'customer' AS tbl, o_custkey::VARCHAR AS row_key, '{family}' AS family, '{qualifier}' AS qualifier,
+        o_orderkey AS ts, o_orderkey AS seq, 'put' AS op, {value} AS value FROM orders {where}"""
+        for family, qualifier, value in columns
+    )
+
+
+_STATUS, _PRIORITY = ("cf", "status", "o_orderstatus"), ("cf", "priority", "o_orderpriority")
+_CLERKS = [("meta", "by:clerk", "o_orderstatus"), ("meta", "at:clerk", "o_orderpriority")]
+_ORDER_LOG = f"""order_log AS ({_order_puts([_STATUS, _PRIORITY, *_CLERKS], "WHERE o_orderkey % 37 <> 0")}
   UNION ALL SELECT 'customer', o_custkey::VARCHAR, 'cf', 'priority', o_orderkey, o_orderkey, 'delete_cell', NULL
-  FROM orders WHERE o_orderkey % 37 <> 0 AND o_orderkey % 10 = 0
+  FROM orders WHERE o_orderkey % 37 <> 0 AND o_orderkey % 23 <> 0 AND o_orderkey % 10 = 0
+  UNION ALL SELECT 'customer', o_custkey::VARCHAR, 'meta', NULL, o_orderkey, o_orderkey, 'delete_family', NULL
+  FROM orders WHERE o_orderkey % 37 <> 0 AND o_orderkey % 23 = 0
   UNION ALL SELECT 'customer', o_custkey::VARCHAR, NULL, NULL, o_orderkey, o_orderkey, 'delete_row', NULL
   FROM orders WHERE o_orderkey % 37 = 0
 )"""
+_HOT = """hot AS (SELECT * REPLACE (CASE WHEN seq % 3 = 0 THEN 'hot' ELSE row_key END AS row_key) FROM cells)"""
 _STEPS = f"""steps AS (
   SELECT {_CELL}, seq, value::BIGINT AS amount, sum(value::BIGINT) OVER (PARTITION BY {_CELL} ORDER BY seq)
     + CASE WHEN qualifier = 'click' THEN 100 ELSE 0 END AS value
@@ -289,6 +304,12 @@ ORACLES: dict[str, str] = {
         LISTING,
         "SELECT province, count(*) AS listings, count(displacement) AS with_displacement FROM raw GROUP BY province",
     ),
+    "s1_read_listings": _with(
+        LISTING,
+        "SELECT replace(province, '_', '-') AS province, count(*) AS listings, count(style) AS with_style FROM raw GROUP BY ALL",
+    ),
+    "s4_load_listings": _with(CLEAN, f"SELECT {_COLS} FROM clean"),
+    "s7_write_listings": _with(CLEAN, f"SELECT {_COLS} FROM clean"),
     "s5_store_cast": _with(A2, "SELECT id::INT AS id, brand, avg_price::FLOAT AS avg_price FROM a2"),
     "s8_frontier": """SELECT n_name AS name, page::INT AS page,
         'https://listings.invalid/' || lower(n_name) || '/list?a=1&page=' || page AS url
@@ -394,7 +415,9 @@ ORACLES: dict[str, str] = {
         A4, _cells("car_brand_age_price_avg", "a4", {"brand": "VARCHAR", "car_age": "FLOAT", "avg_price": "FLOAT"})
     ),
     "k2_publish_tables": _with(_STATS, _K2),
-    "k4_put": _with(f"puts AS ({_ORDER_PUTS.format('')})", _LATEST.format("puts")),
+    "k4_put": _with(
+        f"puts AS ({_order_puts([_STATUS, _PRIORITY, ('cf', 'a:b', 'o_orderstatus')])})", _LATEST.format("puts")
+    ),
     "k5_batch_mutate": _with(f"{_ORDER_LOG}, {_VISIBLE.format('shown', 'order_log')}", _LATEST.format("shown")),
     "k6_latest": _with(f"{LOG}, {_VISIBLE.format('shown', 'log')}", _LATEST.format("shown")),
     "k7_multi_get": _with(
@@ -408,9 +431,35 @@ ORACLES: dict[str, str] = {
             QUALIFY row_number() OVER (PARTITION BY {_CELL} ORDER BY ts DESC, seq DESC) <= 3""",
     ),
     "k9_many_versions": _with(
+        f"{LOG}, {_HOT}",
+        f"SELECT * FROM hot QUALIFY row_number() OVER (PARTITION BY {_CELL} ORDER BY ts DESC, seq DESC) <= 50",
+    ),
+    "k9_day_versions": _with(
         LOG,
-        f"SELECT * FROM cells QUALIFY row_number() OVER (PARTITION BY {_CELL} ORDER BY ts DESC, seq DESC) <= 100000",
+        f"SELECT * FROM day_cells QUALIFY row_number() OVER (PARTITION BY {_CELL} ORDER BY ts DESC, seq DESC) <= 4",
     ),
+    "k8_replay": """WITH RECURSIVE op AS (
+        SELECT 'u' || lpad(user_id::VARCHAR, 9, '0') AS row_key, event_id AS seq,
+          CASE WHEN event_id % 101 = 0 OR event_id % 103 = 0 OR event_id % 29 = 0 THEN 'delete'
+            WHEN event_id % 6 = 0 THEN 'put' WHEN event_id % 6 = 1 THEN 'append' WHEN event_id % 6 = 2 THEN 'cas'
+            ELSE 'increment' END AS op,
+          CASE event_id % 6 WHEN 0 THEN (event_id % 4)::VARCHAR WHEN 1 THEN CASE WHEN event_id % 5 = 0 THEN 'x' ELSE '1' END
+            WHEN 2 THEN '7' ELSE (event_id % 3 + 1)::VARCHAR END AS value,
+          CASE WHEN event_id % 6 = 2 AND event_id % 4 <> 0 THEN (event_id % 5)::VARCHAR END AS expected,
+          row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS nth
+        FROM events
+      ), fold AS (
+        SELECT row_key, 0::BIGINT AS seq, 0::BIGINT AS nth, 1 AS applied, NULL::VARCHAR AS value FROM (SELECT DISTINCT row_key FROM op)
+        UNION ALL
+        SELECT o.row_key, o.seq, o.nth,
+          CASE o.op WHEN 'increment' THEN (try_cast(coalesce(f.value, '0') AS BIGINT) IS NOT NULL)::INT
+            WHEN 'cas' THEN (f.value IS NOT DISTINCT FROM o.expected)::INT ELSE 1 END,
+          CASE o.op WHEN 'delete' THEN NULL WHEN 'put' THEN o.value WHEN 'append' THEN coalesce(f.value, '') || o.value
+            WHEN 'increment' THEN coalesce((try_cast(coalesce(f.value, '0') AS BIGINT) + o.value::BIGINT)::VARCHAR, f.value)
+            ELSE CASE WHEN f.value IS NOT DISTINCT FROM o.expected THEN o.value ELSE f.value END END
+        FROM fold f JOIN op o ON o.row_key = f.row_key AND o.nth = f.nth + 1
+      ) SELECT row_key, seq, applied, value FROM fold WHERE nth > 0""",
+    "k3_write_cells": _with(LOG, _LATEST.format("cells")),
     "k10_row_at": _with(
         LOG, _LATEST.format(f"(SELECT * FROM cells WHERE ts <= {MID_JANUARY} AND row_key IN (FROM gone))")
     ),
@@ -441,9 +490,10 @@ ORACLES: dict[str, str] = {
         + ") WHERE value::BIGINT > 1000",
     ),
     "k16_scan_limit": _with(
-        LOG,
+        f"""{LOG}, {_ORDER_LOG}, {_VISIBLE.format('shown', 'order_log')},
+        both_tables AS (SELECT * FROM cells UNION ALL SELECT * FROM shown)""",
         _LATEST.format(
-            "(SELECT * FROM cells WHERE row_key >= 'u000000003' QUALIFY dense_rank() OVER (ORDER BY row_key) <= 5)"
+            "(SELECT * FROM both_tables WHERE row_key >= '5' QUALIFY dense_rank() OVER (PARTITION BY tbl ORDER BY row_key) <= 5)"
         ),
     ),
     "k17_row_result": _with(

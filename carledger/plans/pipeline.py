@@ -42,16 +42,18 @@ def extract_and_split(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def load(raw: DataFrame, missing: str = "strict") -> DataFrame:
-    """Raw listings with a province -> the stored clean table."""
+    """Raw listings with a province -> the stored clean table, and beside it the typed layer the statistics read."""
     spark = raw.sparkSession
     warehouse.create_listing_table(spark)
     warehouse.load_listings(clean.clean(raw, missing))
-    return warehouse.read_table(spark, warehouse.LISTING_TABLE)
+    listings = warehouse.read_table(spark, warehouse.LISTING_TABLE)
+    warehouse.replace_typed(stats.typed_layer(listings, missing))
+    return listings
 
 
 def refresh_statistics(spark: SparkSession, as_of: AsOf = None, missing: str = "strict") -> list[str]:
     """Recompute and replace the eight stored tables."""
-    listings = warehouse.read_table(spark, warehouse.LISTING_TABLE)
+    listings = warehouse.read_table(spark, warehouse.TYPED_TABLE)
     made = statistics(listings, as_of, missing)
     for name, make in made.items():
         warehouse.replace_stat(make(), name)

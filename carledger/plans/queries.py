@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,9 @@ from carledger.operators.rowid import row_id
 from carledger.plans.pipeline import PUBLISHED, statistics
 from carledger.schema import CELL, ELECTRIC, GASOLINE
 from carledger.sources import derived as D
-from carledger.sources.warehouse import store_cast
+from carledger.session import configure, shared_dir
+from carledger.sources.listings import read_listings, read_partitioned, write_listings
+from carledger.sources.warehouse import create_listing_table, load_listings, read_table, store_cast
 
 AS_OF = "2025-04-17"
 HOST = "https://listings.invalid"
@@ -48,9 +51,34 @@ def s1_scan_by_province(spark, sf):
     )
 
 
+@query
+def s1_read_listings(spark, sf):
+    """Text files named after their province, in one scan."""
+    listings = read_listings(spark, D.listing_files(spark, sf))
+    return listings.groupBy("province").agg(F.count(F.lit(1)).alias("listings"), F.count("style").alias("with_style"))
+
+
+@query
+def s4_load_listings(spark, sf):
+    """A catalog table, loaded and read."""
+    name = f"loaded_{uuid.uuid4().hex}"
+    create_listing_table(spark, name, f"{shared_dir(spark)}/{name}")
+    load_listings(D.clean_listings(spark, sf), name)
+    return read_table(spark, name)
+
+
+@query
+def s7_write_listings(spark, sf):
+    """Listings written by province and read again."""
+    path = f"{shared_dir(configure(spark))}/written-{uuid.uuid4().hex}"
+    rows = D.clean_listings(spark, sf)
+    write_listings(rows, path)
+    return read_partitioned(spark, path, rows.schema)
+
+
 @query
 def s5_store_cast(spark, sf):
-    return store_cast(stats.brand_avg_price(D.clean_listings(spark, sf)), "brand_avg_price")
+    return store_cast(stats.brand_avg_price(D.typed_listings(spark, sf)), "brand_avg_price")
 
 
 @query
@@ -258,48 +286,48 @@ def c18_age_days(spark, sf):
 
 @query
 def a1_fuel_type_stats(spark, sf):
-    return stats.fuel_type_stats(D.clean_listings(spark, sf))
+    return stats.fuel_type_stats(D.typed_listings(spark, sf))
 
 
 @query
 def a2_brand_avg_price(spark, sf):
-    return stats.brand_avg_price(D.clean_listings(spark, sf))
+    return stats.brand_avg_price(D.typed_listings(spark, sf))
 
 
 @query
 def a3_brand_stats(spark, sf):
-    return stats.brand_stats(D.clean_listings(spark, sf))
+    return stats.brand_stats(D.typed_listings(spark, sf))
 
 
 @query
 def a4_brand_age_price(spark, sf):
-    return stats.brand_age_price(D.clean_listings(spark, sf), AS_OF)
+    return stats.brand_age_price(D.typed_listings(spark, sf), AS_OF)
 
 
 @query
 def a5_brand_transfer_quartiles(spark, sf):
-    return stats.brand_transfer_quartiles(D.clean_listings(spark, sf))
+    return stats.brand_transfer_quartiles(D.typed_listings(spark, sf))
 
 
 @query
 def a5_brand_transfer_sketch(spark, sf):
     """The quartiles from the mergeable sketch, fine enough to be exact for these groups."""
-    return stats.brand_transfer_quartiles(D.clean_listings(spark, sf), accuracy=100_000)
+    return stats.brand_transfer_quartiles(D.typed_listings(spark, sf), accuracy=100_000)
 
 
 @query
 def a6_brand_mileage_price(spark, sf):
-    return stats.brand_mileage_price(D.clean_listings(spark, sf))
+    return stats.brand_mileage_price(D.typed_listings(spark, sf))
 
 
 @query
 def a7_brand_price_drop(spark, sf):
-    return stats.brand_price_drop(D.clean_listings(spark, sf))
+    return stats.brand_price_drop(D.typed_listings(spark, sf))
 
 
 @query
 def a8_brand_mileage_age_days(spark, sf):
-    return stats.brand_mileage_age_days(D.clean_listings(spark, sf), AS_OF)
+    return stats.brand_mileage_age_days(D.typed_listings(spark, sf), AS_OF)
 
 
 @query
@@ -311,7 +339,7 @@ def a9_row_id(spark, sf):
 
 @query
 def a10_order_by(spark, sf):
-    counts = D.clean_listings(spark, sf).groupBy("brand").agg(F.count(F.lit(1)).alias("count"))
+    counts = D.typed_listings(spark, sf).groupBy("brand").agg(F.count(F.lit(1)).alias("count"))
     return stats.ordered(counts, "count", "brand")
 
 
@@ -328,7 +356,7 @@ def _deleted_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _order_batches(spark: SparkSession, sf: str) -> DataFrame:
-    """Each order changes its customer's row; some also delete a cell or the row."""
+    """Each order changes its customer's row; some also delete a cell, a family or the row."""
     entry = lambda gone, column, value: F.struct(
         F.lit(gone).alias("is_delete"),
         F.lit(column).cast("string").alias("column"),
@@ -336,8 +364,10 @@ def _order_batches(spark: SparkSession, sf: str) -> DataFrame:
     )
     key, nothing = F.col("o_orderkey"), F.lit(None)
     puts = [entry(False, "cf:status", F.col("o_orderstatus")), entry(False, "cf:priority", F.col("o_orderpriority"))]
+    puts += [entry(False, "meta:by:clerk", F.col("o_orderstatus")), entry(False, "meta:at:clerk", F.col("o_orderpriority"))]
     changes = (
         F.when(key % 37 == 0, F.array(entry(True, None, nothing)))
+        .when(key % 23 == 0, F.array(*puts, entry(True, "meta", nothing)))
         .when(key % 10 == 0, F.array(*puts, entry(True, "cf:priority", nothing)))
         .otherwise(F.array(*puts))
     )
@@ -353,13 +383,13 @@ def _order_batches(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def k1_to_cells(spark, sf):
     name = "car_brand_age_price_avg"
-    table = store_cast(stats.brand_age_price(D.clean_listings(spark, sf), AS_OF), name)
+    table = store_cast(stats.brand_age_price(D.typed_listings(spark, sf), AS_OF), name)
     return K.to_cells(table, name, ts=0)
 
 
 @query
 def k2_publish_tables(spark, sf):
-    made = statistics(D.clean_listings(spark, sf), AS_OF)
+    made = statistics(D.typed_listings(spark, sf), AS_OF)
     return K.publish({n: store_cast(made[n](), n) for n in PUBLISHED}, ts=0)
 
 
@@ -370,7 +400,7 @@ def k4_put(spark, sf):
         orders,
         "customer",
         "o_custkey",
-        {"cf:status": "o_orderstatus", "cf:priority": "o_orderpriority"},
+        {"cf:status": "o_orderstatus", "cf:priority": "o_orderpriority", "cf:a:b": "o_orderstatus"},
         ts="stamp",
         seq="o_orderkey",
     )
@@ -403,10 +433,23 @@ def k9_versions(spark, sf):
     return K.versions(D.event_cells(spark, sf), 3, MID_JANUARY)
 
 
+@query
+def k8_replay(spark, sf):
+    """Operations of every kind in the order of the log."""
+    outcomes = mutations.replay(D.state_log(spark, sf))
+    return outcomes.select("row_key", "seq", F.col("applied").cast("int").alias("applied"), "value")
+
+
 @query
 def k9_many_versions(spark, sf):
-    """More versions than the pre-shuffle limit holds: places counted over time slices."""
-    return K.versions(D.event_cells(spark, sf), 100_000)
+    """Cells of which one row holds a third of all versions: places counted over range partitions."""
+    return K.versions(D.hot_cells(spark, sf), 50, spread=True)
+
+
+@query
+def k9_day_versions(spark, sf):
+    """Many versions with one timestamp."""
+    return K.versions(_day_cells(spark, sf), 4, spread=True)
 
 
 @query
@@ -453,7 +496,19 @@ def k15_scan_spec(spark, sf):
 
 @query
 def k16_scan_limit(spark, sf):
-    return K.latest(K.first_rows(D.event_cells(spark, sf), 5, start="u000000003"))
+    """The first rows of two tables."""
+    orders = mutations.visible(mutations.expand_batches(_order_batches(spark, sf)))
+    both = D.event_cells(spark, sf).unionByName(orders)
+    return K.latest(K.first_rows(both, 5, start="5"))
+
+
+@query
+def k3_write_cells(spark, sf):
+    """Cells written in key order and read again."""
+    path = f"{shared_dir(configure(spark))}/cells-{uuid.uuid4().hex}"
+    made = K.latest(D.event_cells(spark, sf))
+    K.write_cells(made, path)
+    return spark.read.schema(made.schema).parquet(path)
 
 
 @query

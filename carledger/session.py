@@ -43,11 +43,11 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **conf: st
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared scratch folder: `spark.checkpoint.dir`, or a temporary one in local mode only."""
+    """The shared scratch folder: `spark.checkpoint.dir`, or where it is unset a temporary one, in one process only."""
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if folder is None:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="carledger-ckpt-")
     if sc.getCheckpointDir() is None:

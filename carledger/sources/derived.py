@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carledger.schema import RAW_COLUMNS
 from carledger.operators.clean import clean
+from carledger.operators.stats import typed_layer
+from carledger.schema import RAW_COLUMNS, RAW_SCHEMA
 from carledger.session import configure, shared_dir
 
 _STORED: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
@@ -58,8 +59,36 @@ def clean_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(spark, sf_dir, "clean", lambda: clean(raw_listings(spark, sf_dir)), by="province")
 
 
+def typed_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The typed layer of the cleaned listings."""
+    return stored(spark, sf_dir, "typed", lambda: typed_layer(clean_listings(spark, sf_dir)))
+
+
 def make_raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keyed_listings(spark, sf_dir).select(*RAW_COLUMNS, F.col("location").alias("province"))
+    """Every hundredth order's listings occur twice."""
+    keyed = keyed_listings(spark, sf_dir)
+    times = F.when(F.col("l_orderkey") % 100 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    copied = keyed.withColumn("_copy", F.explode(times))
+    return copied.select(*RAW_COLUMNS, F.col("location").alias("province"))
+
+
+def listing_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with raw listings as a scraper leaves them: text files named after their province."""
+    key = (spark.sparkContext.applicationId, sf_dir, "files")
+    if key not in _STORED:
+        made = f"{shared_dir(configure(spark))}/{key[0]}/{len(_STORED)}-files"
+        raw = raw_listings(spark, sf_dir)
+        raw.write.partitionBy("province").option("header", "true").csv(f"{made}/parts")
+        jvm = spark._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(f"{made}/parts")
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(jvm.org.apache.hadoop.fs.Path(f"{made}/named"))
+        for province in files.listStatus(folder):  # a few dozen
+            name = province.getPath().getName().partition("=")[2]
+            for k, file in enumerate(files.globStatus(jvm.org.apache.hadoop.fs.Path(province.getPath(), "part-*")) if name else ()):
+                files.rename(file.getPath(), jvm.org.apache.hadoop.fs.Path(f"{made}/named/car_list_{name.replace('_', '-')}_{k}.csv"))
+        _STORED[key] = f"{made}/named", RAW_SCHEMA
+    return _STORED[key][0]
 
 
 def keyed_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,7 +127,7 @@ def keyed_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(text(c("l_quantity").cast("int")), F.lit("."), text(c("l_partkey") % 10), F.lit("万公里"))
         ),
         "gearbox": pick("自动", "手动", "双离合"),
-        "displacement": F.when(
+        "displacement": F.when(electric & (c("l_partkey") % 4 == 1), " ").when(electric & (c("l_partkey") % 4 == 2), "nan").when(
             ~electric, F.concat(text(1 + c("p_size") % 3), F.lit("."), text(c("p_size") % 10), F.lit("L"))
         ),
         "post_time": F.date_format(F.date_add(c("l_shipdate").cast("date"), 30), "yyyy-MM-dd"),
@@ -109,8 +138,11 @@ def keyed_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "engine": F.when(c("l_partkey") % 53 == 0, "发动机").otherwise(
             F.concat(F.lit("2.0L "), text(80 + c("p_size") * 3), F.lit("马力 L"), text(3 + c("p_size") % 4))
         ),
-        "level": F.when(c("l_suppkey") % 17 == 0, "").otherwise(c("p_type")),
-        "color": pick("黑", "白", "灰"),
+        "level": F.when(c("l_suppkey") % 17 == 0, "")
+        .when(c("l_suppkey") % 19 == 0, "\xa0")
+        .when(c("l_suppkey") % 23 == 0, "nan")
+        .otherwise(c("p_type")),
+        "color": F.when(c("l_orderkey") % 83 == 0, "nan").otherwise(pick("黑", "白", "灰")),
         "drive_mode": pick("前驱", "后驱", "四驱"),
     }
     return rows.select("l_orderkey", "l_partkey", "l_linenumber", *[values[n].alias(n) for n in RAW_COLUMNS])
@@ -226,6 +258,33 @@ def mutation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hot_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The puts of the log with a third of them in one row."""
+    row = F.when(F.col("seq") % 3 == 0, "hot").otherwise(F.col("row_key"))
+    return event_cells(spark, sf_dir).withColumn("row_key", row)
+
+
+def state_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as operations of every kind on one cell for each user."""
+    n = F.col("seq")
+    op = (
+        F.when(n % 101 == 0, "delete_row")
+        .when(n % 103 == 0, "delete_family")
+        .when(n % 29 == 0, "delete_cell")
+        .when(n % 6 == 0, "put")
+        .when(n % 6 == 1, "append")
+        .when(n % 6 == 2, "cas")
+        .otherwise("increment")
+    )
+    value = F.when(n % 6 == 0, (n % 4).cast("string")).when(n % 6 == 1, F.when(n % 5 == 0, "x").otherwise("1"))
+    value = value.when(n % 6 == 2, "7").otherwise((n % 3 + 1).cast("string"))
+    expected = F.when(n % 6 == 2, F.when(n % 4 == 0, F.lit(None)).otherwise((n % 5).cast("string")))
+    return mutation_log(spark, sf_dir).select(
+        "tbl", "row_key", "family", F.lit("state").alias("qualifier"), "ts", "seq", op.alias("op"), value.alias("value"),
+        expected.cast("string").alias("expected"),
+    )
+
+
 def event_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All puts of the log as versions."""
     return mutation_log(spark, sf_dir).filter(F.col("op") == "put").drop("op")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from carledger.schema import CLEAN_COLUMNS, CLEAN_COMMENTS, STAT_TABLES
 
 LISTING_TABLE = "car_data"
+TYPED_TABLE = "car_data_typed"
 
 
 def register_view(df: DataFrame, name: str) -> None:
@@ -15,15 +16,23 @@ def register_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
-def _create(spark: SparkSession, name: str, columns: list[tuple[str, str, str]], partition_by: str | None = None) -> None:
+def _create(
+    spark: SparkSession, name: str, columns: list[tuple[str, str, str]], partition_by: str | None = None, location: str | None = None
+) -> None:
     body = ", ".join(f"`{c}` {t}" + (f" COMMENT '{note}'" if note else "") for c, t, note in columns)
     layout = f" PARTITIONED BY (`{partition_by}`)" if partition_by else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({body}) USING PARQUET{layout}")
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({body}) USING PARQUET{layout}{place}")
 
 
-def create_listing_table(spark: SparkSession, name: str = LISTING_TABLE) -> None:
+def create_listing_table(spark: SparkSession, name: str = LISTING_TABLE, location: str | None = None) -> None:
     """S3: the 21 text columns, commented, one partition for each province (the last column)."""
-    _create(spark, name, [(c, "STRING", note) for c, note in CLEAN_COMMENTS.items()], "province")
+    _create(spark, name, [(c, "STRING", note) for c, note in CLEAN_COMMENTS.items()], "province", location)
+
+
+def replace_typed(typed: DataFrame, name: str = TYPED_TABLE) -> None:
+    """The typed layer of the listings, replaced as a whole."""
+    typed.write.mode("overwrite").format("parquet").saveAsTable(name)
 
 
 def create_stat_table(spark: SparkSession, name: str) -> None:

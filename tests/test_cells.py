@@ -218,3 +218,106 @@ def test_upload_reports_failed_puts(spark, tmp_path):
 
 def test_cell_columns():
     assert CELL == CELL_SCHEMA.names[:4]
+
+
+def test_a_row_of_any_width_is_one_result(spark):
+    wide = spark.range(10_001).select(
+        *[F.lit(c).alias(c) for c in ("tbl", "row_key", "family")],
+        F.col("id").cast("string").alias("qualifier"),
+        F.lit(1).cast("bigint").alias("ts"),
+        F.lit("v").alias("value"),
+    )
+    assert [len(r.columns) for r in K.row_maps(wide).collect()] == [10_001]
+    assert [len(r.columns) for r in K.row_lists(wide).collect()] == [10_001]
+    assert len({r.part for r in K.row_maps(wide, 5_000).collect()}) > 1
+
+
+def test_the_first_colon_separates(spark):
+    wide = spark.createDataFrame([("r", "1", "2", 5)], "k string, a string, b string, n bigint")
+    puts = M.put_rows(wide, "t", "k", {"cf:a:b": "a", "cf:x:b": "b"}, ts="n", seq="n")
+    assert short(M.latest_visible(puts)) == [("r", "a:b", 5, "1"), ("r", "x:b", 5, "2")]
+    assert short(K.get_rows(M.latest_visible(puts), ["r"], ["cf:a:b"])) == [("r", "a:b", 5, "1")]
+    with pytest.raises(ValueError, match="without a qualifier"):
+        M.put_rows(wide, "t", "k", {"cf": "a"}, ts="n", seq="n")
+
+
+def test_family_deletes(spark):
+    batches = spark.createDataFrame(
+        [
+            ("t", "a", 1, 1, [(False, "cf:x", "1"), (False, "cf:y:z", "2"), (False, "other:x", "3"), (False, "cf", "4")]),
+            ("t", "a", 2, 2, [(True, "cf", None)]),
+            ("t", "a", 3, 3, [(False, "cf:x", "5")]),
+        ],
+        "tbl string, row_key string, ts bigint, seq bigint, mutations array<struct<is_delete: boolean, column: string, value: string>>",
+    )
+    log = M.expand_batches(batches)
+    want = [("a", "x", 1, "3"), ("a", "x", 3, "5")]
+    assert short(M.latest_visible(log)) == want and short(M.visible(log)) == want
+    assert [(r.column, r.reason) for r in M.rejected_entries(batches).collect()] == [("cf", M.NO_QUALIFIER)]
+
+
+def test_truncate_of_a_table_in_a_namespace(spark, tmp_path):
+    path = str(tmp_path / "cells")
+    some = cells_of(spark, [("a", "q", 1, "1")])
+    K.write_cells(some.unionByName(some.withColumn("tbl", F.lit("ns:t"))), path)
+    K.truncate(spark, path, "ns:t")
+    spark.catalog.refreshByPath(path)
+    assert [r.tbl for r in spark.read.schema(CELL_SCHEMA).parquet(path).collect()] == ["t"]
+    with pytest.raises(ValueError, match="no table"):
+        K.truncate(spark, path, "ns:t")
+
+
+def test_upload_sends_once(spark, tmp_path):
+    log = str(tmp_path / "sent")
+
+    def put(tbl, row_key, columns):
+        with open(log, "a") as out:
+            out.write(f"{row_key} {columns['cf:x']}\n")
+
+    rejects = K.upload(cells_of(spark, [("a", "x", 1, "old"), ("a", "x", 2, "new")]), put)
+    assert rejects.count() == 0 and rejects.collect() == []
+    with open(log) as sent:
+        assert sent.read() == "a new\n"
+
+
+def test_first_rows_of_each_table(spark):
+    some = cells_of(spark, [(k, "x", 1, k) for k in "abc"])
+    both = some.unionByName(some.withColumn("tbl", F.lit("u")))
+    assert sorted((r.tbl, r.row_key) for r in K.first_rows(both, 2).collect()) == [("t", "a"), ("t", "b"), ("u", "a"), ("u", "b")]
+    assert sorted((r.tbl, r.row_key) for r in K.first_rows(both, 1, start="b", tbl="u").collect()) == [("u", "b")]
+    assert [(r.tbl, r.row_key) for r in K.scan(both, "b", "c", tbl="u").collect()] == [("u", "b")]
+    assert [r.tbl for r in K.get_rows(both, ["a"], tbl="u").collect()] == ["u"]
+
+
+def test_increment_of_a_text_gives_nothing(spark):
+    steps = spark.createDataFrame(
+        [("t", "a", "cf", "n", 1, 5)], "tbl string, row_key string, family string, qualifier string, seq bigint, amount bigint"
+    )
+    base = cells_of(spark, [("a", "n", 1, "abc")])
+    assert [r.value for r in M.increment_steps(steps, base).collect()] == [None]
+    assert [r.value for r in M.increment_totals(steps, base).collect()] == [None]
+
+
+def test_replay_of_a_mixed_log(spark):
+    ops = [
+        ("n", "put", "5", None, None),
+        ("n", "increment", "3", None, None),
+        ("n", "append", "x", None, None),
+        ("n", "increment", "1", None, None),  # 8x is no number
+        ("m", "cas", "done", "8x", "n"),  # checks n, puts m
+        ("m", "cas", "again", "8", "n"),
+        ("m", "cas", "final", "done", None),
+        ("n", "delete_cell", None, None, None),
+        ("n", "increment", "2", None, None),
+        (None, "delete_family", None, None, None),
+        ("n", "append", "y", None, None),
+        ("n", "what", None, None, None),
+    ]
+    rows = [("t", "r", "cf", q, seq, op, v, e, None if c is None else "cf", c) for seq, (q, op, v, e, c) in enumerate(ops)]
+    kinds = "tbl string, row_key string, family string, qualifier string, seq bigint, op string, value string, expected string"
+    log = spark.createDataFrame(rows, f"{kinds}, check_family string, check_qualifier string")
+    got = [(r.applied, r.value) for r in M.replay(log.repartition(3)).orderBy("seq").collect()]
+    assert got == [
+        (True, "5"), (True, "8"), (True, "8x"), (False, "8x"), (True, "done"), (False, "done"), (True, "final"),
+        (True, None), (True, "2"), (True, None), (True, "y"), (False, "y"),
+    ]

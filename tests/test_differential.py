@@ -6,7 +6,8 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from carledger.plans.oracles import ORACLES
+from carledger.plans.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -34,14 +35,14 @@ def _value(v):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, duck, name):
-    got = entry.queries()[name](spark, SF_DIR)
+    got = QUERIES[name](spark, SF_DIR)
     columns = sorted(got.columns)
-    cursor = duck.execute(entry.oracle_sql()[name])
+    cursor = duck.execute(ORACLES[name])
     names = [d[0] for d in cursor.description]
     assert sorted(names) == columns
     types = {d[0]: str(d[1]) for d in cursor.description}
