@@ -104,7 +104,7 @@ def float_text(c: Column) -> Column:
 
 # -- page text ----------------------------------------------------------------------------------------------------
 
-# The character references that occur in page text. `&amp;` is last, so that nothing decodes twice.
+# The character references that occur in link targets. `&amp;` is last, so that nothing decodes twice.
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
 
 
@@ -112,19 +112,3 @@ def decode_entities(c: Column) -> Column:
     for reference, character in ENTITIES.items():
         c = literal_replace(c, reference, character)
     return c
-
-
-def raw_text(html: Column) -> Column:
-    """Text of an element: the tags go, blanks stay."""
-    return decode_entities(literal_replace(F.regexp_replace(html, "<[^>]*>", ""), "&nbsp;", NBSP))
-
-
-def trim_at_tags(html: Column) -> Column:
-    """Text nodes without the blanks next to tags."""
-    return F.regexp_replace(html, f"[{BLANK_CLASS}]*(<[^>]*>)[{BLANK_CLASS}]*", "$1")
-
-
-def node_text(html: Column) -> Column:
-    """Text of an element with every text node trimmed on its own and joined without a separator."""
-    spaced = trim_at_tags(literal_replace(html, "&nbsp;", NBSP))
-    return decode_entities(strip(F.regexp_replace(spaced, "<[^>]*>", "")))

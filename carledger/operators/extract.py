@@ -1,11 +1,13 @@
-"""Pages -> raw listings (E1-E9, S8), by regular expressions over the known page form. No step leaves the JVM."""
+"""Pages -> raw listings (E1-E9, S8). A page is walked once, in Arrow batches; what follows the walk stays in the JVM."""
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carledger.functions import text as X
+from carledger.operators.pagewalk import Form, walk
 from carledger.schema import ELECTRIC, FUEL_GRADE_KEY, GASOLINE, RAW_COLUMNS, RAW_FIELDS
 
 # Class names of the page form, outermost first.
@@ -25,51 +27,58 @@ PROFILE_FIELDS = {
     if name not in ("brand", "style", "model", "current_price", "new_price", "fuel_type")
 }
 
-# Marks in flattened lists: code points reserved for internal use, which no text holds.
-_ITEM, _ITEM_END, _NAME, _NAME_END = "\ufdd0", "\ufdd1", "\ufdd2", "\ufdd3"
+FORM = Form(
+    title=tuple(TITLE_PATH),
+    crumbs=tuple(CRUMB_PATH),
+    prices=tuple(map(tuple, PRICE_PATHS)),
+    new_price=tuple(NEW_PRICE_PATH),
+    item_list=(PROFILE_CLASS, LIST_CLASS),
+    item_name=NAME_CLASS,
+    card=CARD_CLASS,
+)
 
 NO_TITLE, EMPTY_TITLE, NO_PRICE = "no title", "empty title", "no price"
 
+_PARTS_TYPE = "struct<title: string, price: string, new_price: string, profile: map<string, string>>"
 
-def _open(class_name: str, tag: str = r"\w+") -> str:
-    return rf'<{tag}\b[^>]*\bclass="(?:[^"]*\s)?{class_name}(?:\s[^"]*)?"[^>]*>'
 
+def _walked(html: Column, all_blanks: bool = False, form: Form = FORM) -> Column:
+    """Title, price, new price and profile of a page as one struct, from one walk. Marked as not deterministic, so that
+    the planner never walks a page twice for a filter and a result."""
+    text, entries = pa.string(), pa.map_(pa.string(), pa.string())
 
-def _inside(path: list[str]) -> str:
-    """Pattern for the element at the end of a class path; its content is group 2."""
-    outer = "".join(_open(c) + ".*?" for c in path[:-1])
-    return rf"(?s){outer}{_open(path[-1], r'(\w+)')}(.*?)</\1>"
+    def run(pages: pa.Array) -> pa.Array:
+        found = [walk(page, form) for page in pages.to_pylist()]
+        columns = [
+            pa.array([p.title() for p in found], text),
+            pa.array([p.price() for p in found], text),
+            pa.array([p.first.get("new_price") for p in found], text),
+            pa.array([list(p.profile(all_blanks).items()) for p in found], entries),
+        ]
+        return pa.StructArray.from_arrays(columns, names=["title", "price", "new_price", "profile"])
 
+    return F.arrow_udf(run, _PARTS_TYPE).asNondeterministic()(html)
 
-def elements(html: Column, path: list[str]) -> Column:
-    """Contents of all elements with the class path, in document order."""
-    return F.regexp_extract_all(html, F.lit(_inside(path)), F.lit(2))
 
+def _card_links(html: Column, form: Form = FORM) -> Column:
+    def run(pages: pa.Array) -> pa.Array:
+        return pa.array([walk(page, form).links for page in pages.to_pylist()], pa.list_(pa.string()))
 
-def first_element(html: Column, *paths: list[str]) -> Column:
-    """Content of the first path that occurs; an empty element counts as found. Null without any."""
-    # The plain search spares pages without the class the pattern, which would try every tag.
-    return F.coalesce(
-        *[
-            F.when(html.contains(p[-1]) & html.rlike(_inside(p)), F.regexp_extract(html, _inside(p), 2))
-            for p in paths
-        ]
-    )
+    return F.arrow_udf(run, "array<string>").asNondeterministic()(html)
 
 
 def anchors(html: Column) -> Column:
-    """Link targets in document order, repeats kept, empty ones left out."""
-    hrefs = F.regexp_extract_all(html, F.lit(r'<a\b[^>]*\bhref="([^"]*)"'), F.lit(1))
+    """Link targets of a whole page in document order, repeats kept, empty ones left out. Values in quotes of either kind
+    or in none, tags in any case."""
+    pattern = r"""(?i)<a\b[^>]*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    hrefs = F.transform(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)), lambda h: F.btrim(h, F.lit("\"'")))
     return F.transform(F.filter(hrefs, lambda h: h != ""), X.decode_entities)
 
 
 def links(pages: DataFrame, host: str = "", card_class: str | None = CARD_CLASS) -> DataFrame:
     """One row for each link inside a listing card (anywhere on the page without a card class), made absolute."""
     html = F.col("html")
-    if card_class is None:
-        found = anchors(html)
-    else:
-        found = F.flatten(F.transform(elements(html, [card_class]), anchors))
+    found = anchors(html) if card_class is None else _card_links(html, FORM._replace(card=card_class))
     rest = [c for c in pages.columns if c != "html"]
     return pages.select(*rest, F.posexplode(found).alias("pos", "href")).select(
         *rest, "pos", F.concat(F.lit(host), F.col("href")).alias("link")
@@ -77,45 +86,9 @@ def links(pages: DataFrame, host: str = "", card_class: str | None = CARD_CLASS)
 
 
 def profile(html: Column, all_blanks: bool = False) -> Column:
-    """The named list items of a page as a map; empty keys or values are left out, the last of equal keys wins.
-
-    `all_blanks` removes every blank inside a key instead of plain and non-breaking spaces only.
-
-    The lists are turned into flat text by a few passes over the whole section, with marks in place of the item and
-    name tags; the work for an item is then plain string cutting.
-    """
-    section = F.regexp_extract(html, rf"(?s){_open(PROFILE_CLASS)}(.*)", 1)
-    lists = X.literal_replace(F.array_join(elements(section, [LIST_CLASS]), ""), "&nbsp;", X.NBSP)
-    lists = X.trim_at_tags(lists)
-    lists = F.regexp_replace(lists, _inside([NAME_CLASS]), f"{_NAME}$2{_NAME_END}")
-    lists = X.literal_replace(F.regexp_replace(lists, r"<li\b[^>]*>", _ITEM), "</li>", _ITEM_END)
-    flat = X.decode_entities(F.regexp_replace(lists, "<[^>]*>", ""))
-    items = F.filter(F.split(flat, _ITEM), lambda item: item.contains(_NAME))
-
-    def named(item: Column) -> Column:
-        body = F.substring_index(item, _ITEM_END, 1)
-        name = F.substring_index(F.substring_index(body, _NAME_END, 1), _NAME, -1)
-        text = X.literal_replace(X.literal_replace(body, _NAME), _NAME_END)
-        return F.struct(X.strip(name).alias("name"), text.alias("text"))
-
-    def entry(item: Column) -> Column:
-        key = X.literal_replace(X.literal_replace(X.literal_replace(item["name"], X.NBSP), "："), " ")
-        if all_blanks:
-            key = F.regexp_replace(key, f"[{X.BLANK_CLASS}]+", "")
-        return F.struct(key.alias("key"), X.strip(X.literal_replace(item["text"], item["name"])).alias("value"))
-
-    def last_of_each_key(page: Column) -> Column:
-        size = F.size(page["entries"])
-        return F.filter(page["entries"], lambda e, i: size - F.array_position(page["backwards"], e["key"]) == i)
-
-    entries = F.filter(
-        F.transform(F.transform(items, named), entry), lambda e: (e["key"] != "") & (e["value"] != "")
-    )
-    # The one-element arrays bind an expression to a lambda variable, so that it is evaluated once for a page.
-    once = F.transform(
-        F.array(entries), lambda es: F.struct(es.alias("entries"), F.reverse(es["key"]).alias("backwards"))
-    )
-    return F.map_from_entries(F.get(F.transform(once, last_of_each_key), F.lit(0)))
+    """The named list items of a page's profile section as a map; empty keys or values are left out, the last of equal
+    keys wins. `all_blanks` removes every blank inside a key instead of plain and non-breaking spaces only."""
+    return _walked(html, all_blanks)["profile"]
 
 
 def profiles(pages: DataFrame, all_blanks: bool = False) -> DataFrame:
@@ -125,14 +98,9 @@ def profiles(pages: DataFrame, all_blanks: bool = False) -> DataFrame:
 
 
 def profile_rows(pages: DataFrame, all_blanks: bool = False) -> DataFrame:
-    """E2 as one row for each key: `html` replaced by `key, value`.
-
-    The outer explode, with the empty pages filtered behind it, keeps Spark from testing the map in a filter in front,
-    where it would be computed again.
-    """
+    """E2 as one row for each key: `html` replaced by `key, value`."""
     rest = [c for c in pages.columns if c != "html"]
-    entries = F.explode_outer(profile(F.col("html"), all_blanks)).alias("key", "value")
-    return pages.select(*rest, entries).filter(F.col("key").isNotNull())
+    return pages.select(*rest, F.explode(profile(F.col("html"), all_blanks)).alias("key", "value"))
 
 
 def fuel_type(profile_map: Column) -> Column:
@@ -149,20 +117,10 @@ def profile_columns(profile_map: Column) -> dict[str, Column]:
 
 
 def page_parts(pages: DataFrame) -> DataFrame:
-    """The parts of a page a listing is made of: title, price, new price (null if absent) and profile."""
-    html = F.col("html")
-    crumbs = first_element(html, CRUMB_PATH)
-    last_crumb = F.try_element_at(
-        F.regexp_extract_all(crumbs, F.lit(r"(?s)<a\b[^>]*>(.*?)</a>"), F.lit(1)), F.lit(-1)
-    )
+    """The parts of a page a listing is made of: title (the first of two places), price (likewise), new price and profile;
+    null where absent."""
     rest = [c for c in pages.columns if c != "html"]
-    return pages.select(
-        *rest,
-        X.raw_text(F.coalesce(first_element(html, TITLE_PATH), last_crumb)).alias("title"),
-        X.node_text(first_element(html, *PRICE_PATHS)).alias("price"),
-        X.node_text(first_element(html, NEW_PRICE_PATH)).alias("new_price"),
-        profile(html).alias("profile"),
-    )
+    return pages.select(*rest, _walked(F.col("html")).alias("_p")).select(*rest, "_p.*")
 
 
 def reject_reason() -> Column:
@@ -178,13 +136,6 @@ def reject_reason() -> Column:
 _PARTS = ["title", "price", "new_price", "profile"]
 
 
-def _computed(parts: DataFrame, names: list[str]) -> DataFrame:
-    """`parts` with the named columns passed through a generator, which a later filter is not moved below. Otherwise
-    the patterns behind a column would run once for the filter and once more for the result."""
-    rest = [c for c in parts.columns if c not in _PARTS]
-    return parts.select(*rest, F.inline_outer(F.array(F.struct(*names))))
-
-
 def listings(parts: DataFrame) -> DataFrame:
     """Raw listings of the good pages, with the page's other columns in front."""
     title, profile_map = F.col("title"), F.col("profile")
@@ -198,14 +149,14 @@ def listings(parts: DataFrame) -> DataFrame:
         **profile_columns(profile_map),
     }
     rest = [c for c in parts.columns if c not in _PARTS]
-    good = _computed(parts, _PARTS).filter(reject_reason().isNull())
+    good = parts.filter(reject_reason().isNull())
     return good.select(*rest, *[values[n].alias(n) for n in RAW_COLUMNS])
 
 
 def rejects(parts: DataFrame) -> DataFrame:
     """The pages that give no listing, with the reason."""
     rest = [c for c in parts.columns if c not in _PARTS]
-    reasons = _computed(parts, ["title", "price"]).withColumn("reason", reject_reason())
+    reasons = parts.withColumn("reason", reject_reason())
     return reasons.filter(F.col("reason").isNotNull()).select(*rest, "reason")
 
 

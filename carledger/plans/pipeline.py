@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from carledger.functions.typed import AsOf
 from carledger.operators import cells, clean, extract, stats
+from carledger.session import cut_lineage
 from carledger.sources import warehouse
 
 # The statistics that are published as cells unless others are asked for.
@@ -36,8 +37,8 @@ def statistics(
 
 
 def extract_and_split(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pages -> (raw listings, rejects)."""
-    parts = extract.page_parts(pages)
+    """Pages -> (raw listings, rejects). Pages are walked once: their parts are checkpointed, and both read them."""
+    parts = cut_lineage(extract.page_parts(pages))
     return extract.listings(parts), extract.rejects(parts)
 
 

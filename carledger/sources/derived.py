@@ -219,12 +219,27 @@ def make_detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         item("驱动方式", c("drive_mode")),
         "</ul></div></body></html>",
     )
+    html = F.when(order % 5 == 0, join(_respelled(html), F.lit(_SIMILAR))).otherwise(html)
     url = join("/lot/", text(order), "-", text(c("l_linenumber")), "-", text(part), ".html")
     return keyed_listings(spark, sf_dir).select(
         url.alias("url"), html.alias("html"), F.col("location").alias("province")
     )
 
 
+# Another listing's parts, outside the elements that hold the page's own.
+_SIMILAR = (
+    "<div class='similar'><h3 class='car-brand-name'>AD</h3><p class='brand-price-item'><span class='price'>9.99万</span>"
+    "<i class='price-nom'>1.00万</i></p><ul class='basic-item-ul'><li><b class='item-name'>所在地</b>AD</li></ul></div>"
+)
+
+
+def _respelled(html: Column) -> Column:
+    """The same page as another tool would write it: quotes, case, character references."""
+    for find, put in (('class="car-box"', "CLASS=car-box"), ('"', "'"), ("<li>", "<LI>"), ("</li>", "</LI>"), ("&nbsp;", "&#xA0;"), ("￥", "&#65509;")):
+        html = F.replace(html, F.lit(find), F.lit(put))
+    return F.replace(html, F.lit("</body></html>"), F.lit(""))
+
+
 def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One list page for each part: two cards with links between links outside of cards."""
     key = F.col("p_partkey").cast("string")

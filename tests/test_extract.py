@@ -136,3 +136,35 @@ def test_frontier(spark):
     got = E.frontier(provinces, 3).orderBy("name", "page").collect()
     assert [r.url for r in got][:3] == ["u?x=1&page=1", "u?x=1&page=2", "u?x=1&page=3"] and len(got) == 6
     assert E.frontier(provinces).count() == 200
+
+
+def test_a_part_ends_with_its_element(spark):
+    card = '<div class="cxc-priceCard"><p class="left-module"><b class="goodstartmoney">12.00</b></p></div>'
+    similar = '<div class="similar"><p class="brand-price-item"><span class="price">9.99</span></p></div>'
+    box = '<div class="car-box"><h3 class="car-brand-name">A</h3></div>'
+    assert one(spark, box + card + similar).price == "12.00"
+    inner = '<div class="car-box"><p class="brand-price-item"><span class="price"><b><span>9</span>.99</b></span></p></div>'
+    assert one(spark, inner).price == "9.99"
+    section = '<div class="all-basic-content"><ul class="basic-item-ul"><li><i class="item-name">k</i>v</li></ul></div>'
+    other = '<ul class="basic-item-ul"><li><i class="item-name">k</i>AD</li></ul>'
+    assert one(spark, section + other).profile == {"k": "v"}
+
+
+def test_other_spellings_of_markup(spark):
+    box = "<DIV CLASS='a car-box'><H3 class=car-brand-name>A&#65;&nbsp;B</H3><p class='brand-price-item'>"
+    box += "<I class='price-nom'>20</i><span class=price>&yen;12.34&#19975;</span></DIV>"
+    found = one(spark, box)
+    assert (found.title, found.price, found.new_price) == ("AA\xa0B", "¥12.34万", "20")
+    assert listing(spark, box)["current_price"] == "12.34万"
+    section = "<section class='all-basic-content'><UL class=basic-item-ul><LI><i class='item-name'>k<li><b class=item-name>l</b>w</UL></section>"
+    assert one(spark, section).profile == {"l": "w"}
+    card = "<LI class='cards-li'><A HREF='/1?a&amp;b'>x</A><a href=/2>y</a><a href=''>z</a></LI><a href='/3'></a>"
+    assert [r.link for r in E.links(pages(spark, card), "h").collect()] == ["h/1?a&b", "h/2"]
+    assert [r.link for r in E.links(pages(spark, card), "h", card_class=None).collect()] == ["h/1?a&b", "h/2", "h/3"]
+
+
+def test_nested_items_and_sections(spark):
+    items = '<li><i class="item-name">a</i>1<ul><li><i class="item-name">b</i>2</li></ul></li>'
+    assert profile_of(spark, items) == {"b": "2", "a": "1b2"}
+    cards = '<div class="cards-li"><a href="/1"></a><div class="cards-li"><a href="/2"></a></div></div>'
+    assert [r.link for r in E.links(pages(spark, cards)).collect()] == ["/1", "/2"]
