@@ -147,12 +147,15 @@ def _term_counts(docs: DataFrame, keys: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, table = Hasher(), alnum_table()
+        keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # of the whole partition: as many as terms
         for batch in batches:
             for part in batch_words(batch.column(0), table, hasher):
                 hit = may_hold(packed.value, part.hashes)
                 pairs = np.unique(np.stack([part.doc[hit].astype(np.uint64), part.hashes[hit]], 1), axis=0)
                 found, n = np.unique(pairs[:, 1], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
+                keys, at = np.unique(np.concatenate([keys, found]), return_inverse=True)
+                counts = np.bincount(at, np.concatenate([counts, n]), minlength=len(keys)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["key", "n"])
 
     return docs.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
@@ -168,12 +171,16 @@ def find(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     own = rows.select("_row", F.explode("_near.entity").alias("entity"))
     n_entity = own.distinct().groupBy("entity").agg(F.count("*").alias("ne"))
     pairs = near.select("_row", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("nte"))
-    pairs = stored(pairs.where(f"nte >= {SUPPORT}"))
-    keys = stored(_term_keys(pairs.select("term").distinct()))
-    counts = keys.join(_term_counts(docs, keys), "key").groupBy("term").agg(F.max("n").alias("nt"))
+    n_near = near.select("_row", "term").distinct().groupBy("term").agg(F.count("*").alias("nt"))
     n = F.lit(float(n_docs))
     pmi, ic = F.log(n * F.col("nte") / (F.col("nt") * F.col("ne"))), F.log(n / F.col("ne"))
-    scored = pairs.join(counts, "term").join(n_entity, "entity").where(F.col("ne") < n).withColumn("disclosure", pmi / ic)
+    disclosure = F.when(F.col("ne") < n, pmi / ic).otherwise(0.0)
+    pairs = pairs.where(f"nte >= {SUPPORT}").join(n_entity, "entity")
+    # The documents with a term beside any entity are among those with the term, so this bounds the disclosure from above.
+    pairs = stored(pairs.join(n_near, "term").where(disclosure >= THRESHOLD).drop("nt"))
+    keys = stored(_term_keys(pairs.select("term").distinct()))
+    counts = keys.join(_term_counts(docs, keys), "key").groupBy("term").agg(F.max("n").alias("nt"))
+    scored = pairs.join(counts, "term").withColumn("disclosure", disclosure)
     telling = scored.where(F.col("disclosure") >= THRESHOLD).select("entity", "term", "disclosure")
     terms = (
         near.join(telling, ["entity", "term"])
