@@ -48,22 +48,26 @@ def remove_boilerplate(docs: DataFrame, site: str = "source", sites: int = SITES
     named = docs.select(F.col("doc_id").alias("_id"), F.explode(F.array_distinct(_lines(F.col("text")))).alias("line"))
     named = named.where("trim(line) != ''").select("_id", _name(F.col("line")).alias("l")).select("_id", "l.*")
     held = named.join(spread, ["h1", "h2"]).groupBy("_id").agg(F.collect_set(F.struct("h1", "h2")).alias("_spread"))
-    joined = docs.join(held, docs["doc_id"].eqNullSafe(held["_id"]), "left")
-    spread_here = F.coalesce(F.col("_spread"), F.array().cast("array<struct<h1: bigint, h2: bigint>>"))
-    lines = _lines(docs["text"])
+    # The row is kept as one value, so that its names meet no others.
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
+    joined = rows.join(held, F.col("_row.doc_id").eqNullSafe(F.col("_id")), "left")
+    own, text = F.col("_row"), F.col("_row.text")
+    here = F.coalesce(F.col("_spread"), F.array().cast("array<struct<h1: bigint, h2: bigint>>"))
     # Most documents hold no such line; their texts are not taken apart.
-    kept = F.when(F.col("_spread").isNull(), lines).otherwise(
-        F.filter(lines, lambda line: ~((F.trim(line) != "") & F.array_contains(spread_here, _name(line))))
+    kept = F.when(F.col("_spread").isNull(), _lines(text)).otherwise(
+        F.filter(_lines(text), lambda line: ~((F.trim(line) != "") & F.array_contains(here, _name(line))))
     )
-    joined = joined.withColumn("_kept", F.array_join(kept, "\n"))
+    rest = F.array_join(kept, "\n")
     # What remains decides; a removed line takes its line break along.
-    joined = joined.withColumn("_whole", F.length("_kept") * 1.0 < F.length(docs["text"]) * (1 - SHARE))
-    text = F.when(F.col("_whole") | docs["text"].isNull(), docs["text"]).otherwise(F.col("_kept"))
-    n_lines = F.coalesce(F.size(lines), F.lit(0)).cast("long")
-    n_lines = F.when(docs["text"].isNull(), F.lit(0).cast("long")).otherwise(n_lines)
-    n_kept = F.when(F.col("_spread").isNull() | F.col("_whole"), n_lines).otherwise(F.size(kept))
-    passed = [text.alias("text") if c == "text" else docs[c] for c in docs.columns]
-    return joined.select(*passed, n_lines.alias("n_lines"), (n_lines - n_kept).cast("long").alias("n_removed"))
+    whole = F.length(rest) * 1.0 < F.length(text) * (1 - SHARE)
+    some = F.struct(F.size(_lines(text)).alias("n"), F.size(kept).alias("kept"), whole.alias("whole"), rest.alias("rest"))
+    found = joined.select("_row", F.when(text.isNotNull(), some).alias("_cut"))
+    cut = F.col("_cut")
+    changed = F.when(cut.isNull() | cut["whole"], text).otherwise(cut["rest"])
+    n_lines = F.coalesce(cut["n"], F.lit(0))
+    n_removed = F.when(cut.isNull() | cut["whole"], 0).otherwise(cut["n"] - cut["kept"])
+    passed = [changed.alias(c) if c == "text" else own[c].alias(c) for c in docs.columns]
+    return found.select(*passed, n_lines.cast("long").alias("n_lines"), n_removed.cast("long").alias("n_removed"))
 
 
 def cleaned(docs: DataFrame) -> DataFrame:

@@ -187,3 +187,33 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `docs` that aren't contaminated. Rows that share the doc_id of a contaminated one go with it."""
     bad = stored(contamination(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct())
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")
+
+
+ORACLE = r"""
+WITH item AS (
+  SELECT item_id::VARCHAR AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark WHERE item_id IS NOT NULL
+), doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), win AS (
+  SELECT DISTINCT item_id, n, array_to_string(ws[i : i + n - 1], ' ') AS words
+  FROM (SELECT item_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i
+        FROM (SELECT *, least(13, len(ws)) AS n FROM item WHERE len(ws) > 0))
+), size AS (
+  SELECT DISTINCT n FROM win
+), gram AS (
+  SELECT doc_id, n, unnest(range(1, len(ws) - n + 2)) AS i, ws FROM doc, size WHERE len(ws) >= n
+), met AS (
+  SELECT g.doc_id, g.i, g.n, w.item_id FROM (SELECT doc_id, n, i, array_to_string(ws[i : i + n - 1], ' ') AS words FROM gram) g
+  JOIN win w ON w.n = g.n AND w.words = g.words
+), hit AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM met) GROUP BY doc_id
+), held AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+  FROM (SELECT DISTINCT doc_id, item_id FROM met) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.ws) AS contaminated
+FROM doc d LEFT JOIN hit USING (doc_id) LEFT JOIN held USING (doc_id)
+"""

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from carledger.llm.bytewords import chunks, text_buffer
 from carledger.llm.tables import stored
@@ -163,9 +164,9 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*kept, *out], names=[*own, "lang_pred", "score", "rejected"])
                 at += len(x)
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
+    more = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
     read = docs.select("*", F.lower("text").alias("_lower"), _lettered().alias("_lettered"))
-    return read.mapInArrow(run, ", ".join([*fields, "lang_pred string, score double, rejected boolean"]))
+    return read.mapInArrow(run, T.StructType([*docs.schema.fields, *more]))
 
 
 def predictions(docs: DataFrame) -> DataFrame:

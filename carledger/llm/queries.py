@@ -81,5 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_minhash": neardup.ORACLE,
+    "op5_decontaminate": decontaminate.ORACLE,
     "op10_boilerplate": boilerplate.ORACLE,
 }
