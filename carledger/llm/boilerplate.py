@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carledger.llm.tables import free_name
+
 SITES = 10  # distinct sites that make a line boilerplate
 BAND = 0.25  # estimates within this share of SITES are replaced by exact counts
 SHARE = 0.5  # largest share of a document's characters that is removed
@@ -72,7 +74,7 @@ def remove_boilerplate(docs: DataFrame, site: str = "source", sites: int = SITES
 
 def cleaned(docs: DataFrame) -> DataFrame:
     """`docs` with the same columns, without boilerplate lines; n_chars, where there is one, is that of the new text."""
-    own = {c: f"_own_{c}" for c in ("n_lines", "n_removed") if c in docs.columns}
+    own = {c: free_name(f"_own_{c}", docs) for c in ("n_lines", "n_removed") if c in docs.columns}
     found = remove_boilerplate(docs.withColumnsRenamed(own)).drop("n_lines", "n_removed")
     found = found.withColumnsRenamed({v: k for k, v in own.items()})
     if "n_chars" in docs.columns:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carledger.llm.bytewords import chunks, text_buffer
-from carledger.llm.tables import stored
+from carledger.llm.tables import free_name, stored
 
 DIMENSIONS = 4096  # hashed n-grams
 SAMPLE = 400  # texts a language that the model is fitted on at most: those of the smallest hashes of doc_id
@@ -165,7 +165,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                 at += len(x)
 
     more = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
-    read = docs.select("*", F.lower("text").alias("_lower"), _lettered().alias("_lettered"))
+    lower, lettered = free_name("_lower", docs), free_name("_lettered", docs)
+    read = docs.select("*", F.lower("text").alias(lower), _lettered().alias(lettered))
     return read.mapInArrow(run, T.StructType([*docs.schema.fields, *more]))
 
 
@@ -177,7 +178,6 @@ def predictions(docs: DataFrame) -> DataFrame:
 
 def keep_known(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that aren't rejected."""
-    clash = [c for c in docs.columns if c in ("lang_pred", "score", "rejected")]
-    renamed = docs.withColumnsRenamed({c: f"_own_{c}" for c in clash})
-    found = identify(renamed, train(docs)).where("not rejected").drop("lang_pred", "score", "rejected")
-    return found.withColumnsRenamed({f"_own_{c}": c for c in clash}).select(*docs.columns)
+    own = {c: free_name(f"_own_{c}", docs) for c in ("lang_pred", "score", "rejected") if c in docs.columns}
+    found = identify(docs.withColumnsRenamed(own), train(docs)).where("not rejected").drop("lang_pred", "score", "rejected")
+    return found.withColumnsRenamed({v: k for k, v in own.items()}).select(*docs.columns)

@@ -21,6 +21,13 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(base: str, df: DataFrame) -> str:
+    """A column name that the frame doesn't have."""
+    while base in df.columns:
+        base += "_"
+    return base
+
+
 def numbered(df: DataFrame, name: str = "_row") -> DataFrame:
     """Adds a row number that is unique, but only fixed once the frame is stored."""
     return df.withColumn(name, F.monotonically_increasing_id())
