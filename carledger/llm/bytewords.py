@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 4 << 20  # bytes hashed at once; a longer document is a chunk of its own, whole
+CHUNK_BYTES = 512 << 10  # bytes hashed at once; a longer document is a chunk of its own, whole
 _BASE = 0x9E3779B97F4A7C15  # odd
 _MASK = (1 << 64) - 1
 
@@ -142,6 +142,13 @@ def run_hash(hashes: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
     return total
 
 
+def gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The runs values[starts[i] : starts[i] + sizes[i]] for each i of `which`, one after the other."""
+    n = sizes[which]
+    shift = starts[which] - (np.cumsum(n) - n)
+    return values[np.repeat(shift, n) + np.arange(n.sum())]
+
+
 def list_array(values: np.ndarray, sizes: np.ndarray, kind: pa.DataType) -> pa.Array:
     """An Arrow list column from all values in order and the size of each list."""
     offsets = np.zeros(len(sizes) + 1, np.int32)

@@ -5,13 +5,14 @@
 2. The sketch of a set is its `K` smallest hashes. At a similarity of 0.8, fewer than `LEAST` common values among the K
    smallest of a union have a probability below 1e-9; sets of up to 4/5 K shingles have an exact bound. So only a prefix of
    the sketch, its rarest values, enters the inverted lists: two sketches with LEAST common values share one of them.
-3. Lists of up to `SHORT` classes give their pairs; the union sketch of a pair estimates the similarity, pairs below LEAST
-   common values go. Pairs that remain link classes to clusters; longer lists link all their classes without pairs.
-4. Clusters are dealt out in blocks of about `BLOCK` classes with their whole sets. A task compares the block with
-   itself and with the cluster's first block, counts exact intersections and returns a spanning forest of the links.
-   What is then outside the largest component of a cluster of several blocks is compared with all its blocks. So no pair
-   of a cluster is left out that could join two components, and a group of n near copies needs few of its n * n pairs.
-5. Components of the links are groups.
+3. Lists of up to `SHORT` classes give their pairs, and overlaps are added up. Longer lists are compared in blocks (see 5)
+   and give a spanning forest. Either way the union sketch of two classes estimates their similarity, and below LEAST
+   common values they are not joined. What is joined makes clusters.
+4. Clusters are compared in blocks with whole sets, by exact intersections. Components of these links are groups.
+5. `_spanning` compares the members of a group, such as a long list or a cluster. Blocks of about `BLOCK` members are
+   compared with themselves and with the group's first block. Members then outside the group's largest component are
+   compared with all its blocks. So no pair is left out that could join two components, while n near copies need few of
+   their n * n pairs, and a task holds two blocks at most.
 
 Cases: null, empty or wordless texts have the empty set and are linked with nothing; texts with fewer words than a shingle
 are one shingle; equal texts and repeated rows are linked; a null doc_id is linked too and never the smallest; ties go to
@@ -24,10 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carledger.llm.bytewords import Hasher, Words, batch_words, list_array, mix, run_hash, shingles, space_table, text_buffer
+from carledger.llm.bytewords import Hasher, Words, batch_words, gather, list_array, mix, run_hash, shingles, space_table, text_buffer
 from carledger.llm.graph import components
 from carledger.llm.tables import may_hold, membership, numbered, stored
 
@@ -104,18 +106,17 @@ def _sketches(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _whole_sets(docs: DataFrame, width: int, wanted: DataFrame) -> DataFrame:
-    """low, high, shingles (8 bytes each) of the rows whose key passes a filter with the keys of `wanted`."""
+    """low, high, key, size, data (the set) of the rows whose key passes a filter with the keys of `wanted`."""
     packed = docs.sparkSession.sparkContext.broadcast(membership(wanted, "key"))
 
     def emit(batch, key, offsets, prints):
-        low, high, own = prints
-        held = np.flatnonzero(may_hold(packed.value, own) & (np.diff(offsets) > 0))
-        raw = [key[offsets[i] : offsets[i + 1]].tobytes() for i in held]
-        return pa.RecordBatch.from_arrays(
-            [_signed(low[held]), _signed(high[held]), _signed(own[held]), pa.array(raw, pa.binary())], names=["low", "high", "key", "shingles"]
-        )
+        n = np.diff(offsets)
+        held = np.flatnonzero(may_hold(packed.value, prints[2]) & (n > 0))
+        values = gather(key, offsets[:-1], n, held).view(np.int64)
+        columns = [*(_signed(x[held]) for x in prints), pa.array(n[held]), list_array(values, n[held], pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=["low", "high", "key", "size", "data"])
 
-    return _scan(docs, width, emit, "low long, high long, key long, shingles binary")
+    return _scan(docs, width, emit, "low long, high long, key long, size long, data array<long>")
 
 
 def _least_common(n: Column) -> Column:
@@ -136,9 +137,8 @@ def _prefixes(nodes: DataFrame) -> DataFrame:
 def _candidates(nodes: DataFrame) -> DataFrame:
     """a, b: pairs of classes that join clusters."""
     prefix = stored(_prefixes(nodes))
-    lists = prefix.groupBy("value").agg(F.count("*").alias("size"), F.min("node").alias("hub")).where("size > 1")
+    lists = prefix.groupBy("value").agg(F.count("*").alias("size")).where("size > 1")
     entries = stored(prefix.join(lists, "value"))
-    long = entries.where(f"size > {SHORT} and node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
     left, right = (entries.where(f"size <= {SHORT}").select("value", F.col("node").alias(x), F.col("n").alias(f"n{x}")) for x in "ab")
     near = f"least(na, nb) * 100 >= greatest(na, nb) * {PERCENT}"
     pairs = left.join(right, "value").where(f"a < b and {near}").groupBy("a", "b").agg(F.count("*").alias("overlap"))
@@ -150,70 +150,118 @@ def _candidates(nodes: DataFrame) -> DataFrame:
     union = F.when(F.expr(whole), union).otherwise(F.slice(union, 1, K))
     common = F.size(F.array_intersect(F.array_intersect("sa", "sb"), union))
     enough = F.when(F.expr(whole), common * 100 >= F.size(union) * PERCENT).otherwise(common >= LEAST)
-    return pairs.where(enough).select("a", "b").union(long)
-
-
-def _forest(ids: np.ndarray, sets: list[bytes], left: np.ndarray, right: np.ndarray) -> pa.Table:
-    """A spanning forest of the links between rows where `left` holds and rows where `right` holds."""
-    sizes = np.array([len(s) // 8 for s in sets], np.int64)
-    offsets = np.r_[0, np.cumsum(sizes)]
-    _, value = np.unique(np.frombuffer(b"".join(sets), np.uint64), return_inverse=True)
-    holder = np.repeat(np.arange(len(ids)), sizes)
+    long = entries.where(f"size > {SHORT}").select(F.col("value").alias("group"), "node")
+    sketches = nodes.select("node", F.col("n").alias("size"), F.col("sketch").alias("data"))
+    return pairs.where(enough).select("a", "b").union(_spanning(long, lambda placed: placed.join(sketches, "node"), _alike))
+
+
+def _alike(data: np.ndarray, start: np.ndarray, n: np.ndarray, i: int, common: np.ndarray):
+    """The rows whose union sketch with row i has enough common values, one after the other."""
+    own = data[start[i] : start[i + 1]]
+    within = np.minimum(n[i], n) * 100 >= PERCENT * np.maximum(n[i], n)
+    for j in np.flatnonzero(within & ((common >= LEAST) | (np.maximum(n[i], n) <= K))):
+        other = data[start[j] : start[j + 1]]
+        union, whole = np.union1d(own, other), max(n[i], n[j]) <= K
+        last = union[-1] if whole or len(union) <= K else union[K - 1]
+        both = np.intersect1d(own, other, assume_unique=True)
+        count = int((both <= last).sum())
+        if count * 100 >= len(union) * PERCENT if whole else count >= LEAST:
+            yield j
+
+
+def _linked(data: np.ndarray, start: np.ndarray, n: np.ndarray, i: int, common: np.ndarray):
+    """The rows whose sets are similar to that of row i."""
+    yield from np.flatnonzero(common * 100 >= PERCENT * (n[i] + n - common))
+
+
+def _forest(table: pa.Table, test, left: np.ndarray, right: np.ndarray, root: np.ndarray) -> tuple[pa.Table, np.ndarray]:
+    """A spanning forest of the links between rows where `left` holds and rows where `right` holds, and the root of each
+    row in it. `root` says what is joined before."""
+    ids, n = table["node"].to_numpy(), table["size"].to_numpy()
+    lists = table["data"].combine_chunks()
+    start = np.r_[0, np.cumsum(pc.list_value_length(lists).to_numpy())].astype(np.int64)
+    data = lists.flatten().to_numpy()
+    _, value = np.unique(data, return_inverse=True)
     order = np.argsort(value, kind="stable")
-    inverted, starts = holder[order], np.searchsorted(value[order], np.arange(value.max() + 2 if len(value) else 1))
-    root, a, b = np.arange(len(ids)), [], []
+    holder = np.repeat(np.arange(len(ids)), np.diff(start))[order]
+    first = np.searchsorted(value[order], np.arange(value.max() + 2 if len(value) else 1))
+    root, a, b = root.copy(), [], []
     for i in np.flatnonzero(left):
-        own = value[offsets[i] : offsets[i + 1]]
-        n = starts[own + 1] - starts[own]
-        at = np.repeat(starts[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        common = np.bincount(inverted[at], minlength=len(ids))
-        linked = np.flatnonzero(right & (common * 100 >= PERCENT * (sizes[i] + sizes - common)))
-        for j in linked[root[linked] != root[i]]:
-            if root[j] != root[i]:
+        own = value[start[i] : start[i + 1]]
+        count = first[own + 1] - first[own]
+        at = np.repeat(first[own] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        common = np.bincount(holder[at], minlength=len(ids))
+        common[~right | (root == root[i])] = -K  # joined already, or not to be compared
+        for j in test(data, start, n, i, common):
+            if common[j] >= 0 and root[j] != root[i]:
                 a.append(ids[i])
                 b.append(ids[j])
                 root[root == root[j]] = root[i]
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-
-def _within(table: pa.Table) -> pa.Table:
-    """Links inside a block, and between it and the first block, of a cluster."""
-    ids, own = table["node"].to_numpy(), table["own"].to_numpy(zero_copy_only=False)
-    return _forest(ids, table["shingles"].to_pylist(), own, np.ones(len(ids), bool))
-
-
-def _across(table: pa.Table) -> pa.Table:
-    """Links between the rows that are outside the largest component and a block."""
-    ids, own = table["node"].to_numpy(), table["own"].to_numpy(zero_copy_only=False)
-    return _forest(ids, table["shingles"].to_pylist(), own, ~own)
-
-
-def _links(docs: DataFrame, width: int, nodes: DataFrame, clusters: DataFrame) -> DataFrame:
-    """a, b: links between classes that hold every component of the links inside each cluster together."""
-    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    placed = clusters.join(sizes, "cluster").join(nodes.select("node", "low", "high", "key"), "node")
-    placed = stored(placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
-    sets = _whole_sets(docs, width, placed).join(placed, ["low", "high", "key"])
-    sets = stored(sets.select("cluster", "blocks", "block", "node", "shingles"))
-    # The first block also goes to the units of all others.
-    unit = F.when(F.col("block") == 0, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))
-    units = sets.withColumn("unit", F.explode(unit)).withColumn("own", F.col("block") == F.col("unit"))
-    columns = ["node", "shingles", "own"]
-    first = stored(units.select("cluster", "unit", *columns).groupBy("cluster", "unit").applyInArrow(_within, "a long, b long"))
-    wide = sets.where("blocks > 1")
-    labels = components(first).join(wide.select("node", "cluster").distinct(), "node", "right")
-    labels = stored(labels.select("node", "cluster", F.coalesce("label", "node").alias("label")))
-    count = labels.groupBy("cluster", "label").agg(F.count("*").alias("n"))
-    most = count.groupBy("cluster").agg(F.max_by("label", F.struct("n", "label")).alias("most"), F.sum("n").alias("all"), F.max("n").alias("in"))
-    rest = most.select("cluster", "most", F.ceil((F.col("all") - F.col("in")) / BLOCK).cast("int").alias("parts")).where("parts > 0")
-    wide = wide.join(labels.drop("cluster"), "node").join(rest, "cluster")
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())}), root
+
+
+def _spanning(members: DataFrame, with_data, test) -> DataFrame:
+    """a, b: links that hold together what links inside each group connect. members: group, node; `with_data` adds size
+    (shingles of the whole set) and data (array of its hashes, or of some) to them; `test` finds the links of a row."""
+    columns, none = ["group", "node", "size", "data"], F.lit(None).cast("long")
+
+    def rows(key, a, b, root=None):
+        found = {"group": np.full(len(a), key), "a": a, "b": b} | ({} if root is None else {"root": root})
+        return pa.table({k: pa.array(v, pa.int64()) for k, v in found.items()})
+
+    def alone(key, table):
+        """The first block with itself: links. In a group of several blocks also (node, whether it is in the largest
+        component, its root) of each row."""
+        every = np.ones(table.num_rows, bool)
+        links, root = _forest(table, test, every, every, np.arange(table.num_rows))
+        found = rows(key[0].as_py(), links["a"], links["b"], pa.nulls(links.num_rows, pa.int64()))
+        if table["blocks"][0].as_py() > 1:
+            ids, main = table["node"].to_numpy(), np.bincount(root).argmax()
+            found = pa.concat_tables([found, rows(key[0].as_py(), ids, (root == main).astype(np.int64), ids[root])])
+        return found
+
+    def beside(key, table):
+        """Another block with itself and with the first: links, and (node, null) of its rows that are then not joined to
+        the first block's largest component."""
+        ids, own = table["node"].to_numpy(), pc.is_null(table["root"]).to_numpy(zero_copy_only=False)
+        known, main = (pc.fill_null(table[c], -1).to_numpy() for c in ("root", "main"))
+        place = {int(i): k for k, i in enumerate(ids)}
+        start = np.array([k if own[k] else place[int(known[k])] for k in range(len(ids))])
+        links, root = _forest(table, test, own, np.ones(len(ids), bool), start)
+        apart = ids[own & ~np.isin(root, root[main == 1])]
+        group = key[0].as_py()
+        return pa.concat_tables([rows(group, links["a"], links["b"]), rows(group, apart, pa.nulls(len(apart), pa.int64()))])
+
+    def across(key, table):
+        """Rows that aren't in the largest component with a block: links."""
+        own = table["own"].to_numpy(zero_copy_only=False)
+        links, _ = _forest(table, test, own, ~own, np.arange(len(own)))
+        return rows(key[0].as_py(), links["a"], links["b"])
+
+    sizes = members.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    placed = with_data(members.join(sizes, "group").withColumn("block", block))
+    placed = stored(placed.select(*columns, "blocks", "block"))
+    schema = "group long, a long, b long"
+    first = placed.where("block = 0").select(*columns, "blocks").groupBy("group").applyInArrow(alone, f"{schema}, root long")
+    first = stored(first)
+    marks = first.where("root is not null").select("group", F.col("a").alias("node"), F.col("b").alias("main"), "root")
+    wide = placed.where("blocks > 1")
+    head = wide.where("block = 0").join(marks, ["group", "node"]).withColumn("unit", F.explode(F.sequence(F.lit(1), F.col("blocks") - 1)))
+    others = wide.where("block > 0").select(*columns, none.alias("main"), none.alias("root"), F.col("block").alias("unit"))
+    units = others.union(head.select(*columns, "main", "root", "unit"))
+    second = stored(units.groupBy("group", "unit").applyInArrow(beside, schema))
+    apart = second.where("b is null").select("group", F.col("a").alias("node")).union(marks.where("main = 0").select("group", "node"))
+    parts = apart.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts")).cast("int")
-    outside = wide.where("label != most").withColumn("part", part).withColumn("unit", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    inside = wide.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    inside = inside.select("cluster", "part", F.col("block").alias("unit"), "node", "shingles", F.lit(False).alias("own"))
-    outside = outside.select("cluster", "part", "unit", "node", "shingles", F.lit(True).alias("own"))
-    second = outside.union(inside).groupBy("cluster", "part", "unit").applyInArrow(_across, "a long, b long")
-    return first.union(second)
+    outside = wide.join(apart, ["group", "node"]).join(parts, "group").withColumn("part", part)
+    outside = outside.withColumn("unit", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    inside = wide.join(parts, "group").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    inside = inside.withColumn("unit", F.col("block"))
+    outside, inside = (x.select("part", *columns, "unit", F.lit(own).alias("own")) for x, own in ((outside, True), (inside, False)))
+    third = outside.union(inside).groupBy("group", "part", "unit").applyInArrow(across, schema)
+    links = first.where("root is null").select("a", "b").union(second.where("b is not null").select("a", "b"))
+    return stored(links.union(third.select("a", "b")))
 
 
 def groups(docs: DataFrame, width: int = 5) -> DataFrame:
@@ -230,8 +278,11 @@ def groups(docs: DataFrame, width: int = 5) -> DataFrame:
     )
     classes = stored(classes)
     nodes = stored(classes.join(rows.select(F.col("_row").alias("node"), "sketch"), "node"))
-    clusters = components(_candidates(nodes)).select("node", F.col("label").alias("cluster"))
-    found = stored(components(_links(docs, width, nodes, stored(clusters))))
+    clusters = stored(components(_candidates(nodes)).select(F.col("label").alias("group"), "node"))
+    wanted = stored(clusters.join(nodes.select("node", "low", "high", "key"), "node").select("node", "low", "high", "key"))
+    sets = _whole_sets(docs, width, wanted)
+    same = ["low", "high", "key"]
+    found = stored(components(_spanning(clusters, lambda placed: placed.join(wanted, "node").join(sets, same), _linked)))
     named = classes.join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
     named = named.join(least, "label").select("low", "high", "n", "component_id")
@@ -247,3 +298,25 @@ def deduplicate(docs: DataFrame, width: int = 5) -> DataFrame:
     """The rows of `docs` whose doc_id is the smallest of its group."""
     gone = stored(groups(docs, width).where("not kept").select(F.col("doc_id").alias("_gone")).distinct())
     return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+
+
+ORACLE = r"""
+WITH RECURSIVE word AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws FROM documents
+), doc AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) = 1 THEN ws
+    ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) END) AS shingles FROM word
+), posting AS (
+  SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM doc
+), link AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM posting a JOIN posting b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), edge AS (
+  SELECT a, b FROM link UNION ALL SELECT b, a FROM link
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM reach r JOIN edge e ON e.a = r.b
+)
+SELECT d.doc_id, len(d.shingles)::BIGINT AS n_shingles, min(r.b) AS component_id, min(r.b) = d.doc_id AS kept
+FROM doc d JOIN reach r ON r.a = d.doc_id GROUP BY d.doc_id, d.shingles
+"""

@@ -21,6 +21,11 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def narrow(df: DataFrame) -> DataFrame:
+    """For rows of a few numbers, such as links: a sixteenth of the shuffle partitions, which are meant for whole texts."""
+    return df.coalesce(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 16))
+
+
 def free_name(base: str, df: DataFrame) -> str:
     """A column name that the frame doesn't have."""
     while base in df.columns:
