@@ -19,8 +19,8 @@ from carledger.schema import CELL, MUTATION_SCHEMA, ROW
 
 LOG = MUTATION_SCHEMA.fieldNames()
 NO_QUALIFIER = "put without a qualifier"
-NO_NUMBER = "value is no number"
-_NUMBER = re.compile("[+-]?[0-9]{1,18}")
+NO_NUMBER = "value is no 64-bit number"
+_NUMBER = re.compile("[+-]?[0-9]+")
 MAX_VALUE = (1 << 31) - 64  # bytes that one value can hold
 
 
@@ -183,8 +183,10 @@ def replay(log: DataFrame) -> DataFrame:
                 elif op == "delete_row":
                     cells = {}
                 elif op == "increment":
-                    if all(map(_NUMBER.fullmatch, (now or "0", value or ""))):
-                        cells[at] = str(int(now or 0) + int(value))
+                    parts = [now or "0", value or ""]
+                    total = sum(map(int, parts)) if all(map(_NUMBER.fullmatch, parts)) else None
+                    if total is not None and max(abs(total), *map(abs, map(int, parts))) < 1 << 63:
+                        cells[at] = str(total)
                     else:
                         reason = NO_NUMBER
                 elif op == "append":

@@ -365,11 +365,11 @@ ORACLES: dict[str, str] = {
     "c12_dropna_any": _with(FIRST, f"SELECT * FROM first_pass WHERE {_COMPLETE}"),
     "c13_clean_full": _with(CLEAN, "SELECT * FROM clean"),
     "c13_clean_literal": _with(
-        f"{LISTING}, first_pass AS (SELECT {_FIRST} FROM raw WHERE trim(level) <> '')"
+        f"{LISTING}, first_pass AS (SELECT {_FIRST} FROM raw WHERE trim(level, ' ') <> '')"
         + MARKED[len(FIRST) :],
-        f"""SELECT DISTINCT * FROM marked WHERE NOT (fuel_type = '电动' AND (displacement IS NULL OR lower(trim(displacement)) = 'nan'))
+        f"""SELECT DISTINCT * FROM marked WHERE NOT (fuel_type = '电动' AND (displacement IS NULL OR lower(trim(displacement, ' ')) = 'nan'))
             AND {_PRESENT}
-            UNION ALL SELECT * FROM marked WHERE fuel_type = '电动' AND (displacement IS NULL OR lower(trim(displacement)) = 'nan')""",
+            UNION ALL SELECT * FROM marked WHERE fuel_type = '电动' AND (displacement IS NULL OR lower(trim(displacement, ' ')) = 'nan')""",
     ),
     "c14_stage_counts": _with(
         CLEAN,
@@ -443,7 +443,7 @@ ORACLES: dict[str, str] = {
           CASE WHEN event_id % 101 = 0 OR event_id % 103 = 0 OR event_id % 29 = 0 THEN 'delete'
             WHEN event_id % 6 = 0 THEN 'put' WHEN event_id % 6 = 1 THEN 'append' WHEN event_id % 6 = 2 THEN 'cas'
             ELSE 'increment' END AS op,
-          CASE event_id % 6 WHEN 0 THEN (event_id % 4)::VARCHAR WHEN 1 THEN CASE WHEN event_id % 5 = 0 THEN 'x' ELSE '1' END
+          CASE event_id % 6 WHEN 0 THEN (event_id % 4)::VARCHAR WHEN 1 THEN CASE WHEN event_id % 5 = 0 THEN 'z' ELSE '1' END
             WHEN 2 THEN '7' ELSE (event_id % 3 + 1)::VARCHAR END AS value,
           CASE WHEN event_id % 6 = 2 AND event_id % 4 <> 0 THEN (event_id % 5)::VARCHAR END AS expected,
           row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS nth

@@ -291,7 +291,7 @@ def state_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(n % 6 == 2, "cas")
         .otherwise("increment")
     )
-    value = F.when(n % 6 == 0, (n % 4).cast("string")).when(n % 6 == 1, F.when(n % 5 == 0, "x").otherwise("1"))
+    value = F.when(n % 6 == 0, (n % 4).cast("string")).when(n % 6 == 1, F.when(n % 5 == 0, "z").otherwise("1"))
     value = value.when(n % 6 == 2, "7").otherwise((n % 3 + 1).cast("string"))
     expected = F.when(n % 6 == 2, F.when(n % 4 == 0, F.lit(None)).otherwise((n % 5).cast("string")))
     return mutation_log(spark, sf_dir).select(
