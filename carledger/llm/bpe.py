@@ -26,10 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carledger.llm.bytewords import list_array
+from carledger.llm.bytewords import gather, list_array
 
-BLOCK_CHARS = 6 << 20  # texts of about so many characters share one pair index
-MEMO_WORDS = 300_000  # runs without white space whose ids a worker remembers; beyond, it forgets them all and computes them again
+BLOCK_CHARS = 3 << 20  # texts of about so many characters share one pair index
+MEMO_WORDS = 200_000  # runs without white space whose ids a worker remembers; beyond, it forgets them all and computes them again
 _SPACE_CLASS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # white space of Unicode
 _SPACE = re.compile(f"[{_SPACE_CLASS}]+")
 _SEPARATORS = re.compile(r"[\x1c-\x1f]")  # white space to str.split only
@@ -204,13 +204,6 @@ class Encoder:
         return ids, np.diff(total[np.cumsum(n_words)])
 
 
-def gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
-    """The runs values[starts[i] : starts[i] + sizes[i]] for each i of `which`, one after the other."""
-    n = sizes[which]
-    shift = starts[which] - (np.cumsum(n) - n)
-    return values[np.repeat(shift, n) + np.arange(n.sum())]
-
-
 def _as_ranges(pattern: str) -> str:
     """The pattern with the classes L and N written out for the standard library, which matches faster."""
     ranges = {"L": "", "N": ""}
