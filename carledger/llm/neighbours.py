@@ -105,7 +105,7 @@ def bounds(codes: np.ndarray, r: np.ndarray, f: np.ndarray, q: np.ndarray) -> tu
 
 
 def search_block(table: pa.Table, size: int, k: int, centre: np.ndarray, turn: np.ndarray) -> pa.Table:
-    """The k + 1 nearest distinct vectors of a block for each query of a block."""
+    """The k + 1 nearest distinct vectors of a block, and all as near as the last, for each query of a block."""
     is_query = table["is_query"].to_numpy(zero_copy_only=False)
     own, asked = table.filter(pa.array(~is_query)), table.filter(pa.array(is_query))
     out = {"query": [], "node": [], "score": []}
@@ -124,7 +124,7 @@ def search_block(table: pa.Table, size: int, k: int, centre: np.ndarray, turn: n
                 may = np.flatnonzero(low[i] <= reach[i])
                 away = x[may] - q[i]
                 score = np.sqrt(np.einsum("ij,ij->i", away, away))
-                best = np.lexsort((ids[may], score))[:take]
+                best = np.flatnonzero(score <= np.partition(score, take - 1)[take - 1])
                 out["query"] += [int(names[lo + i])] * len(best)
                 out["node"] += ids[may[best]].tolist()
                 out["score"] += score[best].tolist()

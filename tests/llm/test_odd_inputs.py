@@ -132,6 +132,10 @@ def test_neighbours(spark):
     ]
     assert len([r for r in neighbours.search(odd, F.col("vec_id") == 0, k=2).collect()]) == 2
     assert neighbours.search(odd.limit(0), F.col("vec_id") % 100 == 0).collect() == []
+    around = [(9, [1.0, 0.0]), (8, [3.0, 0.0]), (7, [2.0, 1.0]), (6, [2.0, -1.0]), (100, [2.0, 0.0]), (5, [9.0, 9.0])]
+    ties = spark.createDataFrame(around, "vec_id bigint, embedding array<float>")
+    got = neighbours.search(ties, F.col("vec_id") == 100, k=2).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(6, 1.0), (7, 1.0)]
 
 
 def test_stages_keep_the_columns(spark, odd, nothing, tmp_path):
