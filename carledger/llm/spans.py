@@ -1,7 +1,7 @@
 """Operator 9, substring dedup by sliding spans of sentences.
 
-A text is cut into sentences after . ! ? and line breaks, and inside long sentences after words that their hash chooses, so
-that cuts do not depend on what stands before. Each sentence opens a span: itself and the next ones until there are at
+A text is cut into sentences after . ! ? and line breaks, after words that their hash chooses, so that cuts do not depend
+on what stands before, and after `LONGEST` words at last. Each sentence opens a span: itself and the next ones until there are at
 least `SENTENCES` sentences and `WORDS` words. Spans are hashed and counted over the whole corpus, with partial counts in
 every batch. The first place of a span is its smallest (doc_id, sentence); the sentences of every other place are removed.
 
@@ -24,11 +24,19 @@ from carledger.llm.bytewords import Hasher, Words, batch_words, mix, space_table
 from carledger.llm.tables import may_hold, membership, stored
 
 SENTENCES = 3  # of a span, at least
-WORDS = 16  # of a span, at least
+WORDS = 20  # of a span, at least
+LONGEST = 12  # words of a sentence that nothing else ends
 FILTER_BITS = 26  # of the filter of repeated spans: 8 MiB
 CUT = 8  # one word in so many ends a sentence by its hash
 
 
+def _shortened(word: np.ndarray) -> np.ndarray:
+    """Sentences of more than LONGEST words are cut after every LONGEST, so that words said over and over end as well."""
+    more = (np.diff(word) - 1) // LONGEST
+    nth = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more) + 1
+    return np.sort(np.r_[word, np.repeat(word[:-1], more) + LONGEST * nth])
+
+
 class Sentences:
     """The sentences of some documents: `word` has the first word of each and, at the end, the number of words."""
 
@@ -42,7 +50,7 @@ class Sentences:
             ends[:-1] |= breaks[words.start[1:]] > breaks[words.end[:-1]]
             ends[:-1] |= words.doc[1:] != words.doc[:-1]
             ends[-1] = True
-        self.word = np.r_[0, np.flatnonzero(ends) + 1] if n else np.zeros(1, np.int64)
+        self.word = _shortened(np.r_[0, np.flatnonzero(ends) + 1]) if n else np.zeros(1, np.int64)
         self.doc = words.doc[self.word[:-1]]
         self.first = np.searchsorted(self.doc, np.arange(words.docs + 1))  # sentences of document d: first[d]:first[d + 1]
         self.start = words.start[self.word[:-1]]  # byte where each begins
