@@ -18,6 +18,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,12 +38,13 @@ UNKNOWN = "und"
 
 
 def vectors(column: pa.Array) -> Iterator[np.ndarray]:
-    """Counts of hashed n-grams, float32 [texts, DIMENSIONS], chunk by chunk. Bytes that aren't in words count as edges."""
-    data, offsets = text_buffer(column)
+    """Counts of hashed n-grams of the lower-cased texts, float32 [texts, DIMENSIONS], chunk by chunk. Bytes that aren't in
+    words count as edges."""
     edge = np.ones(256, bool)
     edge[0x61:0x7B] = edge[128:] = False
-    for i, j in chunks(offsets, 1 << 20):
-        own = data[offsets[i] : offsets[j]]
+    for i, j in chunks(text_buffer(column)[1], 1 << 20):
+        data, offsets = text_buffer(pc.utf8_lower(column.slice(i, j - i)))
+        own = data[offsets[0] : offsets[-1]]
         signs = np.where(edge[own], 0, own).astype(np.uint32)
         out = np.zeros((j - i, DIMENSIONS), np.float32)
         keys = []
@@ -55,7 +57,7 @@ def vectors(column: pa.Array) -> Iterator[np.ndarray]:
         # Runs of edges say nothing: only n-grams that begin in or right before a word count.
         useful = ~(plain & np.r_[plain[1:], True])
         for d in range(j - i):
-            lo, hi = offsets[i + d] - offsets[i], offsets[i + d + 1] - offsets[i]
+            lo, hi = offsets[d] - offsets[0], offsets[d + 1] - offsets[0]
             for k, key in enumerate(keys, 2):
                 if hi - lo >= k:
                     out[d] += np.bincount(key[lo : hi - k + 1][useful[lo : hi - k + 1]], minlength=DIMENSIONS)
@@ -119,7 +121,7 @@ def train(docs: DataFrame) -> Model:
     chosen = rows.select("lang", "doc_id").withColumn("nth", F.row_number().over(by_hash)).where(F.col("nth") <= SAMPLE)
     chosen = chosen.orderBy("lang", "nth").limit(SAMPLE * LANGUAGES).select("lang", "doc_id").distinct()
     chosen = stored(chosen.coalesce(1))
-    sample = rows.join(chosen, ["lang", "doc_id"], "left_semi").select("lang", F.lower("text").alias("text"))
+    sample = rows.join(chosen, ["lang", "doc_id"], "left_semi").select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,15 +140,15 @@ def train(docs: DataFrame) -> Model:
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """`docs` with lang_pred, score (cosine to the nearest centroid) and rejected."""
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.centroids, model.least, model.idf))  # bounded
-    own = docs.columns
+    own, text = docs.columns, docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages, centroids, least, idf = shared.value
         names, scale = np.array([*languages, UNKNOWN], dtype=object), idf
         for batch in batches:
-            lettered = batch.column(len(own) + 1).to_numpy(zero_copy_only=False)
+            lettered = batch.column(len(own)).to_numpy(zero_copy_only=False)
             at = 0
-            for counts in vectors(batch.column(len(own))):
+            for counts in vectors(batch.column(text)):
                 x = np.sqrt(counts) * scale
                 x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
                 here = lettered[at : at + len(x)]
@@ -165,8 +167,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                 at += len(x)
 
     more = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
-    lower, lettered = free_name("_lower", docs), free_name("_lettered", docs)
-    read = docs.select("*", F.lower("text").alias(lower), _lettered().alias(lettered))
+    read = docs.select("*", _lettered().alias(free_name("_lettered", docs)))
     return read.mapInArrow(run, T.StructType([*docs.schema.fields, *more]))
 
 
