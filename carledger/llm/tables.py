@@ -15,10 +15,12 @@ FILTER_BITS = 23  # a membership filter has 2^23 bits (1 MiB) unless told otherw
 
 def stored(df: DataFrame) -> DataFrame:
     """Writes the rows once into the shared folder and reads them back, so that their size is known to the planner, a lost
-    executor loses nothing, and row ids given on the way are fixed. The step stays until the folder is cleared."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/step-{uuid.uuid4().hex}"
+    executor loses nothing, and row ids given on the way are fixed. The steps of an application lie in one folder, named by
+    its id, which can go when it has ended."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/step-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def narrow(df: DataFrame) -> DataFrame:
