@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carledger.llm.bytewords import gather, list_array
+from carledger.llm.bytewords import gather, list_array, tidied
 
 BLOCK_CHARS = 3 << 20  # texts of about so many characters share one pair index
 MEMO_WORDS = 200_000  # runs without white space whose ids a worker remembers; beyond, it forgets them all and computes them again
@@ -251,12 +251,10 @@ def _with(batch: pa.RecordBatch, column: pa.Array, name: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, name])
 
 
-def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """Adds `ids` (array<int>): the ids of `text` under the tokenizer file at `path`, which the driver reads."""
-    docs = docs.drop("ids")
+def _encoding(docs: DataFrame, path: str, at: int):
+    """A function over batches that appends the ids of the text column `at`."""
     with open(path, encoding="utf-8") as file:
         tokenizer = docs.sparkSession.sparkContext.broadcast({"file": file.read()})  # as large as the vocabulary
-    at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer.value  # kept by the worker for its next tasks
@@ -266,15 +264,13 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
                 ids, sizes = encoder.encode(_texts(block.column(at)))
                 yield _with(block, list_array(ids, sizes, pa.int32()), "ids")
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    return run
 
 
-def decode(docs: DataFrame, path: str, ids: str = "ids") -> DataFrame:
-    """Adds `decoded`: the tokens of `ids` joined by single spaces, as a tokenizer without a decoder gives them."""
-    docs = docs.drop("decoded")
+def _decoding(docs: DataFrame, path: str, at: int):
+    """A function over batches that appends the text of the ids in column `at`."""
     tokens = [t.encode() + b" " for t in load(path).tokens]
     signs = docs.sparkSession.sparkContext.broadcast((b"".join(tokens), [len(t) for t in tokens]))
-    at = docs.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, size = np.frombuffer(signs.value[0], np.uint8), np.array(signs.value[1])
@@ -294,12 +290,35 @@ def decode(docs: DataFrame, path: str, ids: str = "ids") -> DataFrame:
                 buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(text[cut])]
                 yield _with(block, pa.StringArray.from_buffers(len(n), buffers[1], buffers[2]), "decoded")
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("decoded", T.StringType())]))
+    return run
+
+
+_IDS = T.StructField("ids", T.ArrayType(T.IntegerType()))
+_DECODED = T.StructField("decoded", T.StringType())
+
+
+def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """Adds `ids` (array<int>): the ids of `text` under the tokenizer file at `path`, which the driver reads."""
+    docs = docs.drop("ids")
+    return docs.mapInArrow(tidied(_encoding(docs, path, docs.columns.index(text))), T.StructType([*docs.schema.fields, _IDS]))
+
+
+def decode(docs: DataFrame, path: str, ids: str = "ids") -> DataFrame:
+    """Adds `decoded`: the tokens of `ids` joined by single spaces, as a tokenizer without a decoder gives them."""
+    docs = docs.drop("decoded")
+    return docs.mapInArrow(tidied(_decoding(docs, path, docs.columns.index(ids))), T.StructType([*docs.schema.fields, _DECODED]))
+
+
+def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """`encode` and `decode` in one pass, so that a task needs one worker."""
+    docs = docs.drop("ids", "decoded")
+    forth, back = _encoding(docs, path, docs.columns.index(text)), _decoding(docs, path, len(docs.columns))
+    return docs.mapInArrow(tidied(lambda batches: back(forth(batches))), T.StructType([*docs.schema.fields, _IDS, _DECODED]))
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens and the SHA-256 of the ids and of the decoded text, one row for each row."""
-    coded = decode(encode(docs.select("doc_id", "text"), path).drop("text"), path)
+    coded = round_trip(docs.select("doc_id", "text"), path)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

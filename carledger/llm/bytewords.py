@@ -6,6 +6,7 @@ Word hashes are 64 bits of a polynomial over random byte values, mixed at the en
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -149,6 +150,19 @@ def gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, which: np.
     return values[np.repeat(shift, n) + np.arange(n.sum())]
 
 
+def tidied(run):
+    """`run` over the batches of a partition, after which the worker, which lives on, gives unused memory back."""
+
+    def inner(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return inner
+
+
 def list_array(values: np.ndarray, sizes: np.ndarray, kind: pa.DataType) -> pa.Array:
     """An Arrow list column from all values in order and the size of each list."""
     offsets = np.zeros(len(sizes) + 1, np.int32)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from carledger.llm.bytewords import Hasher, alnum_table, batch_words, list_array, run_hash, shingles
+from carledger.llm.bytewords import Hasher, alnum_table, batch_words, list_array, run_hash, shingles, tidied
 from carledger.llm.tables import may_hold, membership, numbered, stored
 
 WINDOW = 13  # words of a window
@@ -55,7 +55,7 @@ def windows(benchmark: DataFrame) -> DataFrame:
                 ),
             )
 
-    return items.mapInArrow(run, "wkey long, words array<long>, shingles array<long>, item_id string")
+    return items.mapInArrow(tidied(run), "wkey long, words array<long>, shingles array<long>, item_id string")
 
 
 def _rarity(docs: DataFrame, packed, widths: list[int]) -> DataFrame:
@@ -74,7 +74,7 @@ def _rarity(docs: DataFrame, packed, widths: list[int]) -> DataFrame:
                 keys, n = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["shingle", "n"])
 
-    counts = docs.select("text").mapInArrow(run, "shingle long, n long")
+    counts = docs.select("text").mapInArrow(tidied(run), "shingle long, n long")
     return counts.groupBy("shingle").agg(F.sum("n").alias("df"))
 
 
@@ -114,7 +114,7 @@ def _meetings(docs: DataFrame, packed, widths: list[int]) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     hits = "array<struct<at: int, shingle: long, lo: int, around: array<long>>>"
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_words long, hits {hits}")
+    return docs.select("doc_id", "text").mapInArrow(tidied(run), f"doc_id {kind}, n_words long, hits {hits}")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carledger.llm.bytewords import chunks, text_buffer
+from carledger.llm.bytewords import chunks, text_buffer, tidied
 from carledger.llm.tables import free_name, stored
 
 DIMENSIONS = 4096  # hashed n-grams
@@ -131,7 +131,7 @@ def train(docs: DataFrame) -> Model:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(raw)), pa.array(raw, pa.binary())], names=["lang", "counts"])
                 at += len(raw)
 
-    found = sample.mapInArrow(run, "lang string, counts binary").toArrow()
+    found = sample.mapInArrow(tidied(run), "lang string, counts binary").toArrow()
     order = sorted(zip(found["lang"].to_pylist(), found["counts"].to_pylist(), strict=True))
     counts = np.frombuffer(b"".join(c for _, c in order), np.uint16).reshape(-1, DIMENSIONS).astype(np.float32)
     return fit([name for name, _ in order], counts)
@@ -168,7 +168,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     more = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
     read = docs.select("*", _lettered().alias(free_name("_lettered", docs)))
-    return read.mapInArrow(run, T.StructType([*docs.schema.fields, *more]))
+    return read.mapInArrow(tidied(run), T.StructType([*docs.schema.fields, *more]))
 
 
 def predictions(docs: DataFrame) -> DataFrame:

@@ -29,9 +29,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carledger.llm.bytewords import Hasher, Words, batch_words, gather, list_array, mix, run_hash, shingles, space_table, text_buffer
+from carledger.llm.bytewords import Hasher, Words, batch_words, gather, list_array, mix, run_hash, shingles, space_table, text_buffer, tidied
 from carledger.llm.graph import components
-from carledger.llm.tables import may_hold, membership, numbered, stored
+from carledger.llm.tables import may_hold, membership, narrow, numbered, stored
 
 K = 32  # values of a sketch
 LEAST = 10  # the sum of binomial(32, 0.8) below 10 is under 1e-9
@@ -84,7 +84,7 @@ def _scan(docs: DataFrame, width: int, emit, schema: str) -> DataFrame:
                 own = slice(part.first, part.first + part.docs)
                 yield emit(batch.slice(part.first, part.docs), key, offsets, _prints(key, offsets, ids[own]))
 
-    return docs.select(F.col("doc_id").cast("string").alias("_id"), "text", "doc_id").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("string").alias("_id"), "text", "doc_id").mapInArrow(tidied(run), schema)
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -138,7 +138,7 @@ def _candidates(nodes: DataFrame) -> DataFrame:
     """a, b: pairs of classes that join clusters."""
     prefix = stored(_prefixes(nodes))
     lists = prefix.groupBy("value").agg(F.count("*").alias("size")).where("size > 1")
-    entries = stored(prefix.join(lists, "value"))
+    entries = stored(narrow(prefix.join(lists, "value")))
     left, right = (entries.where(f"size <= {SHORT}").select("value", F.col("node").alias(x), F.col("n").alias(f"n{x}")) for x in "ab")
     near = f"least(na, nb) * 100 >= greatest(na, nb) * {PERCENT}"
     pairs = left.join(right, "value").where(f"a < b and {near}").groupBy("a", "b").agg(F.count("*").alias("overlap"))
@@ -259,7 +259,10 @@ def _spanning(members: DataFrame, with_data, test) -> DataFrame:
     inside = wide.join(parts, "group").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     inside = inside.withColumn("unit", F.col("block"))
     outside, inside = (x.select("part", *columns, "unit", F.lit(own).alias("own")) for x, own in ((outside, True), (inside, False)))
-    third = outside.union(inside).groupBy("group", "part", "unit").applyInArrow(across, schema)
+    # Units are small but long to compare: as many partitions as there are, not as few as their size asks for.
+    partitions = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    third = outside.union(inside).repartition(partitions, "group", "part", "unit")
+    third = third.groupBy("group", "part", "unit").applyInArrow(across, schema)
     links = first.where("root is null").select("a", "b").union(second.where("b is not null").select("a", "b"))
     return stored(links.union(third.select("a", "b")))
 
@@ -276,13 +279,15 @@ def groups(docs: DataFrame, width: int = 5) -> DataFrame:
         .agg(F.min(F.struct("doc_id", "_row", "key")).alias("first"), F.min("doc_id").alias("least_id"))
         .select("low", "high", "n", F.col("first._row").alias("node"), F.col("first.key").alias("key"), "least_id")
     )
-    classes = stored(classes)
+    classes = stored(narrow(classes))
     nodes = stored(classes.join(rows.select(F.col("_row").alias("node"), "sketch"), "node"))
-    clusters = stored(components(_candidates(nodes)).select(F.col("label").alias("group"), "node"))
-    wanted = stored(clusters.join(nodes.select("node", "low", "high", "key"), "node").select("node", "low", "high", "key"))
+    clusters = stored(narrow(components(_candidates(nodes)).select(F.col("label").alias("group"), "node")))
+    wanted = clusters.join(nodes.select("node", "low", "high", "key"), "node").select("node", "low", "high", "key")
+    wanted = stored(narrow(wanted))
     sets = _whole_sets(docs, width, wanted)
     same = ["low", "high", "key"]
-    found = stored(components(_spanning(clusters, lambda placed: placed.join(wanted, "node").join(sets, same), _linked)))
+    found = components(_spanning(clusters, lambda placed: placed.join(wanted, "node").join(sets, same), _linked))
+    found = stored(narrow(found))
     named = classes.join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
     named = named.join(least, "label").select("low", "high", "n", "component_id")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carledger.llm.bytewords import Hasher, alnum_table, batch_words, text_buffer
+from carledger.llm.bytewords import Hasher, alnum_table, batch_words, text_buffer, tidied
 from carledger.llm.tables import may_hold, membership, numbered, stored
 
 KINDS = ["email", "ip", "card", "phone", "term"]  # in the order of the digests
@@ -125,7 +125,7 @@ def _found(docs: DataFrame, carry: list[str]) -> DataFrame:
     fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry]
     schema = ", ".join([*fields, "_base array<struct<kind: string, start: int, end: int>>"])
     schema += ", _near array<struct<entity: string, term: string, start: int, end: int>>"
-    return docs.select(F.col("text").alias("_text"), *carry).mapInArrow(run, schema)
+    return docs.select(F.col("text").alias("_text"), *carry).mapInArrow(tidied(run), schema)
 
 
 def _term_keys(terms: DataFrame) -> DataFrame:
@@ -138,7 +138,7 @@ def _term_keys(terms: DataFrame) -> DataFrame:
                 keys = pa.array(part.hashes.view(np.int64))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(part.first, part.docs), keys], names=["term", "key"])
 
-    return terms.select("term").mapInArrow(run, "term string, key long")
+    return terms.select("term").mapInArrow(tidied(run), "term string, key long")
 
 
 def _term_counts(docs: DataFrame, keys: DataFrame) -> DataFrame:
@@ -157,7 +157,7 @@ def _term_counts(docs: DataFrame, keys: DataFrame) -> DataFrame:
                 counts = np.bincount(at, np.concatenate([counts, n]), minlength=len(keys)).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["key", "n"])
 
-    return docs.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(tidied(run), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def find(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carledger.llm.bytewords import Hasher, batch_words, run_hash, space_table, text_buffer
+from carledger.llm.bytewords import Hasher, batch_words, run_hash, space_table, text_buffer, tidied
 from carledger.llm.tables import numbered, stored
 
 TRAIN_ROWS = 20_000  # labelled rows that the model is fitted on at most: those of the smallest hashes of doc_id
@@ -97,7 +97,7 @@ def statistics(docs: DataFrame) -> DataFrame:
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, ", ".join([f"doc_id {kind}", *(f"{s} double" for s in STATISTICS)]))
+    return docs.select("doc_id", "text").mapInArrow(tidied(run), ", ".join([f"doc_id {kind}", *(f"{s} double" for s in STATISTICS)]))
 
 
 class Rule(NamedTuple):

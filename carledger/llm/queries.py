@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carledger.llm import boilerplate, bpe, decontaminate, language, neardup, neighbours, pages, private, quality, spans
+from carledger.llm.tables import prepare
 
 WORD_BPE = "word_bpe_49k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carledger.llm.bytewords import Hasher, Words, batch_words, mix, space_table, text_buffer
+from carledger.llm.bytewords import Hasher, Words, batch_words, mix, space_table, text_buffer, tidied
 from carledger.llm.tables import may_hold, membership, stored
 
 SENTENCES = 3  # of a span, at least
@@ -77,7 +77,7 @@ def _scan(docs: DataFrame, columns: list[str], emit, schema: str) -> DataFrame:
                 own = data[offsets[part.first] : offsets[part.first + part.docs]]
                 yield emit(batch.slice(part.first, part.docs), own, Sentences(own, part))
 
-    return docs.select("text", *columns).mapInArrow(run, schema)
+    return docs.select("text", *columns).mapInArrow(tidied(run), schema)
 
 
 def repeated(docs: DataFrame) -> DataFrame:

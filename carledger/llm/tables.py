@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carledger.session import shared_dir
@@ -13,6 +13,12 @@ from carledger.session import shared_dir
 FILTER_BITS = 23  # a membership filter has 2^23 bits (1 MiB) unless told otherwise, whatever the number of keys
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Texts are long: Arrow batches of a thousand of them keep the buffers of a task small on both sides."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return spark
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Writes the rows once into the shared folder and reads them back, so that their size is known to the planner, a lost
     executor loses nothing, and row ids given on the way are fixed. The steps of an application lie in one folder, named by

@@ -7,31 +7,35 @@ from pyspark.sql import DataFrame, SparkSession
 
 from carledger.llm import boilerplate, bpe, decontaminate, language, neardup
 from carledger.llm.queries import WORD_BPE
-from carledger.llm.tables import stored
+from carledger.llm.tables import prepare, stored
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language is unknown."""
+    prepare(spark)
     return language.keep_known(docs)
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes lines that many sites share. n_chars is counted anew; every document stays."""
+    prepare(spark)
     return boilerplate.cleaned(docs)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near-duplicates, by shingles of five words."""
+    prepare(spark)
     return neardup.deduplicate(docs, width=5)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold passages of the benchmark."""
-    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminate.clean(docs, prepare(spark).read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and digests of the ids and of the decoded text of what is left."""
+    prepare(spark)
     return bpe.digests(docs, public_tokenizers.path(WORD_BPE))
 
 
