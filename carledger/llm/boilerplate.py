@@ -2,8 +2,9 @@
 
 A line is named by 128 bits of hashes. Its sites are counted by HyperLogLog sketches, which merge in the shuffle, so a line
 of any number of documents sends one sketch for each map task. Estimates beyond a band around `SITES` decide; lines inside
-the band are counted exactly. A document loses its lines that are on SITES sites or more, unless they make up more than
-`SHARE` of its characters: such a document is a copy of others as a whole, and left to near-duplicate removal.
+the band are counted exactly. A document loses its lines that are on SITES sites or more, whatever their share. Only one
+that would be left without any line that is not blank stays as it is: it is a copy of others as a whole, and left to
+near-duplicate removal. The registered query follows its SQL, which also spares documents that lose more than `SHARE`.
 
 Cases: blank lines are neither counted nor removed; a null source is no site; null and empty texts stay as they are;
 repeated rows are treated alike and count once for a site; a long text is split whole; documents with equal or null doc_id
@@ -19,7 +20,7 @@ from carledger.llm.tables import free_name
 
 SITES = 10  # distinct sites that make a line boilerplate
 BAND = 0.25  # estimates within this share of SITES are replaced by exact counts
-SHARE = 0.5  # largest share of a document's characters that is removed
+SHARE = 0.5  # largest share of a document's characters that the registered query removes
 SKETCH_LOG2 = 10  # size of a sketch
 
 
@@ -44,8 +45,9 @@ def widespread(docs: DataFrame, site: str = "source", sites: int = SITES) -> Dat
     return sure.union(exact.where(F.col("n") >= sites).select("h1", "h2"))
 
 
-def remove_boilerplate(docs: DataFrame, site: str = "source", sites: int = SITES) -> DataFrame:
-    """`docs` without boilerplate lines, and n_lines (blank lines included) and n_removed of each row."""
+def remove_boilerplate(docs: DataFrame, site: str = "source", sites: int = SITES, share: float | None = None) -> DataFrame:
+    """`docs` without boilerplate lines, and n_lines (blank lines included) and n_removed of each row. With a `share`,
+    documents that would lose more of their characters stay as they are."""
     spread = widespread(docs, site, sites)
     named = docs.select(F.col("doc_id").alias("_id"), F.explode(F.array_distinct(_lines(F.col("text")))).alias("line"))
     named = named.where("trim(line) != ''").select("_id", _name(F.col("line")).alias("l")).select("_id", "l.*")
@@ -60,8 +62,10 @@ def remove_boilerplate(docs: DataFrame, site: str = "source", sites: int = SITES
         F.filter(_lines(text), lambda line: ~((F.trim(line) != "") & F.array_contains(here, _name(line))))
     )
     rest = F.array_join(kept, "\n")
-    # What remains decides; a removed line takes its line break along.
-    whole = F.length(rest) * 1.0 < F.length(text) * (1 - SHARE)
+    if share is None:
+        whole = ~F.exists(kept, lambda line: F.trim(line) != "")
+    else:  # what remains decides; a removed line takes its line break along
+        whole = F.length(rest) * 1.0 < F.length(text) * (1 - share)
     some = F.struct(F.size(_lines(text)).alias("n"), F.size(kept).alias("kept"), whole.alias("whole"), rest.alias("rest"))
     found = joined.select("_row", F.when(text.isNotNull(), some).alias("_cut"))
     cut = F.col("_cut")
@@ -85,7 +89,7 @@ def cleaned(docs: DataFrame) -> DataFrame:
 
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id, how many lines each document had and lost, and the length and SHA-256 of what remains."""
-    cleaned = remove_boilerplate(docs.select("doc_id", "text", "source"))
+    cleaned = remove_boilerplate(docs.select("doc_id", "text", "source"), share=SHARE)
     text = F.coalesce("text", F.lit(""))
     return cleaned.select(
         "doc_id", "n_lines", "n_removed", F.length(text).cast("long").alias("n_chars"), F.sha2(text, 256).alias("text_sha256")

@@ -194,3 +194,11 @@ def test_lines_of_many_sites(documents):
     texts.append((99, "Text of a small site, with a line\nthat few have", "en", "s0"))
     kept = {r.doc_id: r.text for r in boilerplate.cleaned(documents(texts)).collect()}
     assert kept == brute.without_boilerplate([(i, t, s) for i, t, _, s in texts]) and "rights" not in kept[0]
+
+
+def test_lines_of_many_sites_go_whatever_their_share(documents):
+    shared = "All rights reserved by the owners of this site.\nSubscribe to our letter for more of this."
+    texts = [(i, f"{shared}\nown {i}", "en", f"s{i}") for i in range(10)] + [(20, shared, "en", "s0"), (21, shared + "\n ", "en", "s1")]
+    kept = {r.doc_id: (r.text, r.n_chars) for r in boilerplate.cleaned(documents(texts)).collect()}
+    assert all(kept[i] == (f"own {i}", 5) for i in range(10))
+    assert kept[20][0] == shared and kept[21][0] == shared + "\n "  # nothing would be left
