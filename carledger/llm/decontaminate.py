@@ -16,11 +16,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from carledger.llm.bytewords import Hasher, alnum_table, batch_words, list_array, run_hash, shingles, tidied
-from carledger.llm.tables import may_hold, membership, numbered, stored
+from carledger.llm.tables import free_name, may_hold, membership, numbered, stored
 
 WINDOW = 13  # words of a window
 SHINGLE = 5  # words of a shingle, or the window's words if fewer
@@ -78,8 +78,8 @@ def _rarity(docs: DataFrame, packed, widths: list[int]) -> DataFrame:
     return counts.groupBy("shingle").agg(F.sum("n").alias("df"))
 
 
-def _meetings(docs: DataFrame, packed, widths: list[int]) -> DataFrame:
-    """doc_id, n_words, hits: per document row, the places of shingles that pass the filter, with the words around."""
+def _meetings(docs: DataFrame, packed, widths: list[int], row: Column) -> DataFrame:
+    """doc_id, n_words, hits, _row: per document row, the places of shingles that pass the filter, with the words around."""
     before = WINDOW - min(widths, default=1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,14 +107,16 @@ def _meetings(docs: DataFrame, packed, widths: list[int]) -> DataFrame:
                 )
                 sizes = np.bincount(doc, minlength=part.docs)
                 offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
+                own = batch.slice(part.first, part.docs)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(part.first, part.docs), pa.array(np.diff(part.offsets)), pa.ListArray.from_arrays(offsets, hits)],
-                    names=["doc_id", "n_words", "hits"],
+                    [own.column(0), pa.array(np.diff(part.offsets)), pa.ListArray.from_arrays(offsets, hits), own.column(2)],
+                    names=["doc_id", "n_words", "hits", "_row"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     hits = "array<struct<at: int, shingle: long, lo: int, around: array<long>>>"
-    return docs.select("doc_id", "text").mapInArrow(tidied(run), f"doc_id {kind}, n_words long, hits {hits}")
+    schema = f"doc_id {kind}, n_words long, hits {hits}, _row long"
+    return docs.select("doc_id", "text", row.alias("_row")).mapInArrow(tidied(run), schema)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -123,6 +125,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     n_hit counts the words inside any occurrence of a window, item_ids are the items with occurring windows, sorted as
     strings. A document is contaminated if at least a twentieth of its words is hit.
     """
+    return _judged(docs, benchmark, F.monotonically_increasing_id()).drop("_row")
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame, row: Column) -> DataFrame:
+    """The columns of `contamination` and _row, the row's number."""
     spark = docs.sparkSession
     found = stored(windows(benchmark))
     single = found.dropDuplicates(["wkey"])
@@ -137,7 +144,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     prefixes = stored(
         rarest.join(single, "wkey").where("n = size(shingles)").select("wkey", "words", "p.shingle", "p.place")
     )
-    met = stored(numbered(_meetings(docs, spark.sparkContext.broadcast(membership(prefixes, "shingle")), widths)))
+    met = stored(_meetings(docs, spark.sparkContext.broadcast(membership(prefixes, "shingle")), widths, row))
     hits = met.select("_row", F.explode("hits").alias("h")).select("_row", "h.*")
     first = F.col("at") - F.col("place")
     inside = hits.join(prefixes, "shingle").where((first >= F.col("lo")) & (first - F.col("lo") + F.size("words") <= F.size("around")))
@@ -167,6 +174,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             n_hit.alias("n_hit"),
             F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
             ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
+            "_row",
         )
     )
 
@@ -184,9 +192,11 @@ def digests(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of `docs` that aren't contaminated. Rows that share the doc_id of a contaminated one go with it."""
-    bad = stored(contamination(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct())
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")
+    """The rows of `docs` that aren't contaminated. Each row is judged alone, whatever rows share its doc_id."""
+    at = free_name("_at", docs)
+    rows = stored(numbered(docs, at))
+    bad = stored(_judged(rows, benchmark, F.col(at)).where("contaminated").select(F.col("_row").alias("_bad")))
+    return rows.join(bad, rows[at] == bad["_bad"], "left_anti").drop(at)
 
 
 ORACLE = r"""

@@ -16,7 +16,9 @@
 
 Cases: null, empty or wordless texts have the empty set and are linked with nothing; texts with fewer words than a shingle
 are one shingle; equal texts and repeated rows are linked; a null doc_id is linked too and never the smallest; ties go to
-the smallest doc_id; only doc_id and text are read, so other columns can have any name.
+the smallest doc_id, and to the first row where all ids are null; rows are dropped by their number, so that rows of equal
+or null doc_id don't share a fate; rows that share the smallest doc_id of a group all stay; only doc_id and text are read,
+so other columns can have any name.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 
 from carledger.llm.bytewords import Hasher, Words, batch_words, gather, list_array, mix, run_hash, shingles, space_table, text_buffer, tidied
 from carledger.llm.graph import components
-from carledger.llm.tables import may_hold, membership, narrow, numbered, stored
+from carledger.llm.tables import free_name, may_hold, membership, narrow, numbered, stored
 
 K = 32  # values of a sketch
 LEAST = 10  # the sum of binomial(32, 0.8) below 10 is under 1e-9
@@ -71,7 +73,7 @@ def _prints(key: np.ndarray, offsets: np.ndarray, ids: np.ndarray) -> tuple[np.n
     return low, high, mix(low ^ ids)
 
 
-def _scan(docs: DataFrame, width: int, emit, schema: str) -> DataFrame:
+def _scan(docs: DataFrame, width: int, emit, schema: str, *more: Column) -> DataFrame:
     """Runs `emit(ids column, sets, offsets, prints)` over all documents; ids come as text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,25 +86,26 @@ def _scan(docs: DataFrame, width: int, emit, schema: str) -> DataFrame:
                 own = slice(part.first, part.first + part.docs)
                 yield emit(batch.slice(part.first, part.docs), key, offsets, _prints(key, offsets, ids[own]))
 
-    return docs.select(F.col("doc_id").cast("string").alias("_id"), "text", "doc_id").mapInArrow(tidied(run), schema)
+    return docs.select(F.col("doc_id").cast("string").alias("_id"), "text", "doc_id", *more).mapInArrow(tidied(run), schema)
 
 
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def _sketches(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n, low, high, key, sketch for each row; sketch values are ordered as signed numbers."""
+def _sketches(docs: DataFrame, width: int, row: Column) -> DataFrame:
+    """doc_id, n, low, high, key, sketch, _row for each row; sketch values are ordered as signed numbers."""
 
     def emit(batch, key, offsets, prints):
         n = np.diff(offsets)
         kept = np.arange(len(key)) - np.repeat(offsets[:-1], n) < K
         sketch = (key[kept] ^ np.uint64(1 << 63)).view(np.int64)
-        columns = [batch.column(2), pa.array(n), *map(_signed, prints), list_array(sketch, np.minimum(n, K), pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "low", "high", "key", "sketch"])
+        columns = [batch.column(2), pa.array(n), *map(_signed, prints), list_array(sketch, np.minimum(n, K), pa.int64()), batch.column(3)]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "low", "high", "key", "sketch", "_row"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return _scan(docs, width, emit, f"doc_id {kind}, n long, low long, high long, key long, sketch array<long>")
+    schema = f"doc_id {kind}, n long, low long, high long, key long, sketch array<long>, _row long"
+    return _scan(docs, width, emit, schema, row.alias("_row"))
 
 
 def _whole_sets(docs: DataFrame, width: int, wanted: DataFrame) -> DataFrame:
@@ -270,9 +273,15 @@ def _spanning(members: DataFrame, with_data, test) -> DataFrame:
 def groups(docs: DataFrame, width: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of `docs`, by shingles of `width` words.
 
-    component_id is the smallest doc_id that links lead to, kept tells whether it is the row's own.
+    component_id is the smallest doc_id that links lead to, kept tells whether it is the row's own. Of a group without any
+    doc_id one row is kept.
     """
-    rows = stored(numbered(_sketches(docs, width)))
+    return _judged(docs, width, F.monotonically_increasing_id()).drop("_row")
+
+
+def _judged(docs: DataFrame, width: int, row: Column) -> DataFrame:
+    """The columns of `groups` and _row, the row's number."""
+    rows = stored(_sketches(docs, width, row))
     classes = (
         rows.where("n > 0")
         .groupBy("low", "high", "n")
@@ -289,20 +298,25 @@ def groups(docs: DataFrame, width: int = 5) -> DataFrame:
     found = components(_spanning(clusters, lambda placed: placed.join(wanted, "node").join(sets, same), _linked))
     found = stored(narrow(found))
     named = classes.join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    least = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    named = named.join(least, "label").select("low", "high", "n", "component_id")
+    # A class is named by its first row, null ids before others: in a group of null ids alone by the first of all.
+    least = named.groupBy("label").agg(F.min("least_id").alias("component_id"), F.min("node").alias("_first"))
+    named = named.join(least, "label").select("low", "high", "n", "component_id", "_first")
+    own = F.when(F.col("component_id").isNull(), F.col("_row") == F.col("_first")).otherwise(F.col("doc_id").eqNullSafe(F.col("component_id")))
     return rows.join(named, ["low", "high", "n"], "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.col("doc_id").eqNullSafe(F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))).alias("kept"),
+        F.when(F.col("n") > 0, own).otherwise(True).alias("kept"),
+        "_row",
     )
 
 
 def deduplicate(docs: DataFrame, width: int = 5) -> DataFrame:
-    """The rows of `docs` whose doc_id is the smallest of its group."""
-    gone = stored(groups(docs, width).where("not kept").select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+    """The rows of `docs` whose doc_id is the smallest of its group, and the first row of each group without any doc_id."""
+    at = free_name("_at", docs)
+    rows = stored(numbered(docs, at))
+    gone = stored(_judged(rows, width, F.col(at)).where("not kept").select(F.col("_row").alias("_gone")))
+    return rows.join(gone, rows[at] == gone["_gone"], "left_anti").drop(at)
 
 
 ORACLE = r"""

@@ -147,3 +147,15 @@ def test_stages_keep_the_columns(spark, odd, nothing, tmp_path):
             assert docs.columns in (odd.columns, nothing.columns)
         docs.count()
     assert corpus_pipeline.STAGES[-1][1](spark, odd, "").count() == 11
+
+
+def test_rows_without_id_are_judged_one_by_one(documents):
+    copy, other = "one text that two rows have in common", "quite another text that stands for itself alone"
+    rows = [(1, copy), (None, copy), (None, other), (None, "clean words"), (None, "clean words"), (5, "five is clean"), (5, copy)]
+    docs = documents(rows)
+    kept = sorted(((r.doc_id, r.text) for r in neardup.deduplicate(docs, 2).collect()), key=str)
+    assert kept == sorted([(1, copy), (None, other), (None, "clean words"), (5, "five is clean")], key=str)
+    assert neardup.groups(docs, 2).where("kept").count() == 4
+    items = docs.where("doc_id = 1").selectExpr("doc_id as item_id", "text")
+    clean = sorted(((r.doc_id, r.text) for r in decontaminate.clean(docs, items).collect()), key=str)
+    assert clean == sorted([(None, other), (None, "clean words"), (None, "clean words"), (5, "five is clean")], key=str)
