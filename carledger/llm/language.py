@@ -2,9 +2,11 @@
 
 A text is a vector of hashed byte n-grams of its lower-cased words (2 to 4 bytes, word edges included), weighted by TF-IDF
 with the square root of the frequency and scaled to length 1. The texts of each language in a bounded training sample are
-clustered by cosine into several centroids. The language of the nearest centroid wins; a text that is farther from it than
-nearly all texts of training, by a wide margin, is rejected. The margin grows for texts of few distinct n-grams, whose
-cosines are small in any language.
+clustered by cosine into several centroids. The language of the nearest centroid wins. A text is rejected if it is farther
+from it than texts of that language are, at its number of distinct n-grams. The bound is measured: the sample is cut to many
+lengths, and each half scored by a model of the other half, against its own language and against all others, as if its own
+had not been learnt. Where nearly all own cosines lie above nearly all foreign ones, the bound is halfway between; where they
+meet, as in very short texts, it is below the own ones, so that known languages stay.
 
 Cases: null, empty and letterless texts are `und` with score 0 and rejected; null languages teach nothing; ties go to the
 first language in order; without training rows every text is `und`; repeated rows each give a row; long texts are read
@@ -31,9 +33,10 @@ SAMPLE = 400  # texts a language that the model is fitted on at most: those of t
 CENTROIDS = 4  # of a language
 ROUNDS = 12  # of clustering
 LANGUAGES = 200  # that the driver fits at most
-FAR = 0.5  # a text is rejected below this share of the least usual cosine of its centroid
-ENOUGH = 300  # distinct n-grams; texts of fewer are accepted down to a smaller cosine, by the root of their share
-USUAL = 0.01  # the least usual cosine is this quantile of the training texts of a centroid
+CUTS = [6, 12, 25, 50, 100, 200, 400, 800, 1600, 3200]  # characters of the pieces that bounds are measured on
+USUAL = 0.005  # share of own pieces below the least usual cosine, and of foreign ones above the largest
+SLACK = 0.9  # of the least usual own cosine, where foreign ones reach it
+STEPS = 2  # sizes at which bounds are measured, for each doubling of distinct n-grams
 UNKNOWN = "und"
 
 
@@ -65,12 +68,13 @@ def vectors(column: pa.Array) -> Iterator[np.ndarray]:
 
 
 class Model(NamedTuple):
-    """Languages of the centroids, their vectors, the least cosines that are accepted, and the weights of n-grams."""
+    """Languages of the centroids, their vectors, the weights of n-grams, and the least cosines that are accepted, by
+    centroid and number of distinct n-grams."""
 
     languages: list[str]
     centroids: np.ndarray
-    least: np.ndarray
     idf: np.ndarray
+    least: np.ndarray
 
     def weigh(self, counts: np.ndarray) -> np.ndarray:
         x = np.sqrt(counts) * self.idf
@@ -88,20 +92,40 @@ def _cluster(x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
 
 
 def fit(languages: list[str], counts: np.ndarray) -> Model:
+    """The model without bounds."""
     idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))).astype(np.float32) + 1
-    model = Model([], np.zeros((0, DIMENSIONS), np.float32), np.zeros(0), idf)
+    none = np.zeros((0, DIMENSIONS), np.float32)
+    model = Model([], none, idf, none)
     x, names, rng = model.weigh(counts), np.array(languages), np.random.default_rng(3)
-    found, own, least = [], [], []
+    found, own = [], []
     for language in sorted(set(languages)):
-        mine = x[names == language]
-        centre = _cluster(mine, rng)
-        near = mine @ centre.T
-        for c in range(len(centre)):
-            usual = near[near.argmax(1) == c, c]
-            found.append(centre[c])
-            own.append(language)
-            least.append(FAR * np.quantile(usual, USUAL) if len(usual) else 0.0)
-    return Model(own, np.stack(found) if found else model.centroids, np.array(least), idf)
+        centre = _cluster(x[names == language], rng)
+        found.append(centre)
+        own += [language] * len(centre)
+    return Model(own, np.concatenate([none, *found]), idf, np.zeros((len(own), DIMENSIONS + 1), np.float32))
+
+
+def bounds(languages: list[str], measured: pa.Table) -> np.ndarray:
+    """The least cosine by centroid and number of distinct n-grams. measured: lang, n, own, foreign of each piece; NaN where
+    a half has no such centroid."""
+    name, n = measured["lang"].to_numpy(zero_copy_only=False), measured["n"].to_numpy()
+    own, foreign = measured["own"].to_numpy(), measured["foreign"].to_numpy()
+    size = np.rint(STEPS * np.log2(np.maximum(n, 1))).astype(int)
+    sizes, every = np.arange(STEPS * int(np.log2(DIMENSIONS)) + 1), np.arange(DIMENSIONS + 1)
+    strange = [foreign[(size == s) & ~np.isnan(foreign)] for s in sizes]
+    strange = np.array([np.quantile(x, 1 - USUAL) if len(x) else 0.0 for x in strange])
+    found = {}
+    for language in set(languages):
+        mine = (name == language) & ~np.isnan(own)
+        # Sizes without pieces lie between their neighbours.
+        known = [s for s in sizes if (mine & (size == s)).any()]
+        if known:
+            usual = np.array([np.quantile(own[mine & (size == s)], USUAL) for s in known])
+            least = np.minimum(SLACK * usual, (usual + strange[known]) / 2)
+            found[language] = np.interp(STEPS * np.log2(np.maximum(every, 1)), known, least)
+    # A language of a single text can't be measured: the loosest bound of the others.
+    other = np.min(list(found.values()), axis=0) if found else np.zeros(len(every))
+    return np.array([found.get(x, other) for x in languages], np.float32).reshape(len(languages), len(every))
 
 
 def held_out() -> Column:
@@ -121,29 +145,67 @@ def train(docs: DataFrame) -> Model:
     chosen = rows.select("lang", "doc_id").withColumn("nth", F.row_number().over(by_hash)).where(F.col("nth") <= SAMPLE)
     chosen = chosen.orderBy("lang", "nth").limit(SAMPLE * LANGUAGES).select("lang", "doc_id").distinct()
     chosen = stored(chosen.coalesce(1))
-    sample = rows.join(chosen, ["lang", "doc_id"], "left_semi").select("lang", "text")
+    sample = stored(rows.join(chosen, ["lang", "doc_id"], "left_semi").select("lang", "text", (F.xxhash64("text") % 2 == 0).alias("half")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
             for counts in vectors(batch.column(1)):
                 raw = [np.minimum(c, 65535).astype(np.uint16).tobytes() for c in counts]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(raw)), pa.array(raw, pa.binary())], names=["lang", "counts"])
+                own = batch.slice(at, len(raw))
+                yield pa.RecordBatch.from_arrays([own.column(0), own.column(2), pa.array(raw, pa.binary())], names=["lang", "half", "counts"])
                 at += len(raw)
 
-    found = sample.mapInArrow(tidied(run), "lang string, counts binary").toArrow()
-    order = sorted(zip(found["lang"].to_pylist(), found["counts"].to_pylist(), strict=True))
-    counts = np.frombuffer(b"".join(c for _, c in order), np.uint16).reshape(-1, DIMENSIONS).astype(np.float32)
-    return fit([name for name, _ in order], counts)
+    found = sample.mapInArrow(tidied(run), "lang string, half boolean, counts binary").toArrow()
+    order = sorted(zip(found["lang"].to_pylist(), found["counts"].to_pylist(), found["half"].to_pylist(), strict=True))
+    counts = np.frombuffer(b"".join(c for _, c, _ in order), np.uint16).reshape(-1, DIMENSIONS).astype(np.float32)
+    names, halves = [name for name, _, _ in order], np.array([half for _, _, half in order], bool)
+    # Pieces of one half are scored by a model of the other.
+    parts = [fit([x for x, h in zip(names, halves, strict=True) if h != half], counts[halves != half]) for half in (False, True)]
+    model = fit(names, counts)
+    return model._replace(least=bounds(model.languages, _measured(sample, parts)))
+
+
+def _measured(sample: DataFrame, parts: list[Model]) -> pa.Table:
+    """lang, n, own, foreign of the pieces of each text: distinct n-grams, and the largest cosine to a centroid of its own
+    language and of the others, of the half it isn't in."""
+    shared = sample.sparkSession.sparkContext.broadcast([(np.array(m.languages, object), m.centroids, m.idf) for m in parts])  # bounded
+
+    def scores(lang: np.ndarray, part: int, counts: np.ndarray) -> list[np.ndarray]:
+        languages, centroids, idf = shared.value[part]
+        near = Model([], centroids, idf, centroids).weigh(counts) @ centroids.T
+        same = lang[:, None] == languages[None, :]
+        best = [np.where(mask, near, -1).max(1, initial=-1).astype(float) for mask in (same, ~same)]
+        return [np.where(x < 0, np.nan, x) for x in best]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            length = pc.utf8_length(batch.column(1)).to_numpy()
+            for cut in [*CUTS, None]:
+                some = batch if cut is None else batch.filter(pa.array(length > cut))
+                texts = some.column(1) if cut is None else pc.utf8_slice_codeunits(some.column(1), 0, cut)
+                at = 0
+                for counts in vectors(texts):
+                    here = some.slice(at, len(counts))
+                    lang, half = (here.column(c).to_numpy(zero_copy_only=False) for c in (0, 2))
+                    n = (counts > 0).sum(1)
+                    own, foreign = np.full((2, len(n)), np.nan)
+                    for part in (0, 1):
+                        mine = (half == bool(part)) & (n > 0)
+                        own[mine], foreign[mine] = scores(lang[mine], part, counts[mine])
+                    yield pa.RecordBatch.from_arrays([here.column(0), pa.array(n), pa.array(own), pa.array(foreign)], names=["lang", "n", "own", "foreign"])
+                    at += len(n)
+
+    return sample.mapInArrow(tidied(run), "lang string, n long, own double, foreign double").toArrow()
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """`docs` with lang_pred, score (cosine to the nearest centroid) and rejected."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.centroids, model.least, model.idf))  # bounded
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(model))  # bounded
     own, text = docs.columns, docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        languages, centroids, least, idf = shared.value
+        languages, centroids, idf, least = shared.value
         names, scale = np.array([*languages, UNKNOWN], dtype=object), idf
         for batch in batches:
             lettered = batch.column(len(own)).to_numpy(zero_copy_only=False)
@@ -156,8 +218,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                     near = x @ centroids.T
                     best = near.argmax(1)
                     score = np.clip(near[np.arange(len(x)), best], 0, 1).astype(float)
-                    some = np.sqrt(np.minimum(1, (counts > 0).sum(1) / ENOUGH))
-                    rejected = ~here | (score < least[best] * some)
+                    rejected = ~here | (score < least[best, (counts > 0).sum(1)])
                 else:
                     best, score, rejected = np.zeros(len(x), int), np.zeros(len(x)), np.ones(len(x), bool)
                 best = np.where(here, best, len(languages))

@@ -10,7 +10,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from carledger.llm import boilerplate, neardup, private, spans, tables
+from carledger.llm import boilerplate, language, neardup, private, spans, tables
 from carledger.llm.queries import ORACLES, QUERIES
 from tests.llm import brute
 
@@ -202,3 +202,20 @@ def test_lines_of_many_sites_go_whatever_their_share(documents):
     kept = {r.doc_id: (r.text, r.n_chars) for r in boilerplate.cleaned(documents(texts)).collect()}
     assert all(kept[i] == (f"own {i}", 5) for i in range(10))
     assert kept[20][0] == shared and kept[21][0] == shared + "\n "  # nothing would be left
+
+
+def test_texts_of_unseen_languages_go(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    rng, letters = np.random.default_rng(0), np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    polish = "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem "
+    polish += "i powinni postępować wobec innych w duchu braterstwa. Każdy człowiek posiada wszystkie prawa i wolności."
+    finnish = "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, "
+    finnish += "ja heidän on toimittava toisiaan kohtaan veljeyden hengessä. Jokaisella on oikeus elämään ja vapauteen."
+    junk = [" ".join("".join(rng.choice(letters, rng.integers(2, 10))) for _ in range(n)) for n in (40, 100, 400, 1500)]
+    strange = spark.createDataFrame([(-1 - i, t) for i, t in enumerate([polish, finnish, *junk])], "doc_id bigint, text string")
+    model = language.train(docs)
+    assert language.identify(strange, model).where("not rejected").collect() == []
+    assert language.identify(docs.select("doc_id", "text"), model).where("rejected").collect() == []
+    unseen = language.train(docs.where("lang != 'de'"))
+    german = language.identify(docs.where("lang = 'de' and length(text) > 400"), unseen).collect()
+    assert len(german) > 10 and sum(r.rejected for r in german) >= 0.9 * len(german)
