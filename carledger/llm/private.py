@@ -1,13 +1,18 @@
 """Operator 7, information-theoretic sanitisation of personal data.
 
-Base spans (e-mail addresses, IP addresses, card and phone numbers) are protected entities. A term beside an entity
-reveals it as far as knowing the term lowers the information the entity holds: with document counts N, n(e), n(t), n(t, e),
+Base spans (e-mail addresses, IP addresses, card and phone numbers) are protected entities. A term in the documents of an
+entity reveals it as far as knowing the term lowers the information the entity holds: with document counts N, n(e), n(t),
+n(t, e),
 
     disclosure = pmi(t, e) / ic(e) = log(N n(t, e) / (n(t) n(e))) / log(N / n(e))
 
-which is 1 if the term occurs only with the entity and 0 if it tells nothing. n(e), n(t, e) and n(t) count documents of the
-whole corpus. Terms with a disclosure of `THRESHOLD` or more, seen beside the entity in at least `SUPPORT` documents, are
-spans of kind `term`; `sanitise` generalises them, or removes those that reveal nearly all.
+which is 1 if the term occurs only with the entity and 0 if it tells nothing. All counts are of documents of the whole
+corpus, wherever in the document the term stands. Terms with a disclosure of `THRESHOLD` or more, in at least `SUPPORT`
+documents of the entity, are spans of kind `term` at all their places in all its documents; `sanitise` generalises them, or
+removes those that reveal nearly all.
+
+Only entities of SUPPORT documents can be revealed, and as n(t, e) <= n(e), only by terms with n(t) <= sqrt(N n(e)) for a
+THRESHOLD of 0.5. The documents with entities that recur give a lower bound of n(t), which leaves out other pairs early.
 
 Cases: null and empty texts have no spans; repeated rows each give a row and count each; a long text is searched whole;
 ties do not matter, as every term is judged alone; only doc_id and text are read, so other columns can have any name.
@@ -16,7 +21,6 @@ ties do not matter, as every term is judged alone; only doc_id and text are read
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,8 +32,7 @@ from carledger.llm.bytewords import Hasher, alnum_table, batch_words, text_buffe
 from carledger.llm.tables import may_hold, membership, numbered, stored
 
 KINDS = ["email", "ip", "card", "phone", "term"]  # in the order of the digests
-CONTEXT = 8  # terms before and after an entity that may reveal it
-SUPPORT = 2  # documents that show a term beside an entity, at least
+SUPPORT = 2  # documents that show a term and an entity, at least
 THRESHOLD = 0.5  # least disclosure of a term that is generalised
 REMOVE = 0.9  # least disclosure of a term that is removed
 
@@ -85,62 +88,48 @@ def entity(kind: str, value: str) -> str:
     return f"{kind}:{value.translate(_LOWER) if kind == 'email' else value if kind == 'ip' else _NO_DIGIT.sub('', value)}"
 
 
-def _beside(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[str, str, int, int]]:
-    """(entity, term, start, end) of the terms beside each span that are in no span themselves."""
+def _free(spans: list[tuple[str, int, int]], terms: np.ndarray) -> np.ndarray:
+    """Whether each term (start, end) lies in no span."""
     taken = sorted((i, j) for _, i, j in spans)
-    firsts = np.array([i for i, _ in taken])
-    reach = np.maximum.accumulate(np.array([j for _, j in taken]))
-
-    def free(i: int, j: int) -> bool:
-        k = int(np.searchsorted(firsts, j)) - 1
-        return k < 0 or reach[k] <= i
-
-    terms = [m.span() for m in _TERM.finditer(text)]
-    begins, ends = [i for i, _ in terms], [j for _, j in terms]
-    for kind, start, end in spans:
-        name = entity(kind, text[start:end])
-        before, after = bisect_right(ends, start), bisect_left(begins, end)
-        for i, j in terms[max(0, before - CONTEXT) : before] + terms[after : after + CONTEXT]:
-            if free(i, j):
-                yield name, text[i:j].translate(_LOWER), i, j
+    reach = np.r_[0, np.maximum.accumulate(np.array([j for _, j in taken]))]
+    return reach[np.searchsorted(np.array([i for i, _ in taken]), terms[:, 1])] <= terms[:, 0]
 
 
 def _found(docs: DataFrame, carry: list[str]) -> DataFrame:
-    """The carried columns, base spans and terms beside entities of each row."""
+    """The carried columns and base spans of each row; for rows with spans also their entities, and the keys (64-bit hashes)
+    and places of all terms that are in no span."""
     span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
-    near = pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
+    place = pa.struct([("key", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, table = Hasher(), alnum_table()
         for batch in batches:
-            spans, beside = [], []
-            for text in batch.column(0):
-                text = text.as_py() or ""
-                own = base_spans(text)
-                spans.append([dict(zip(("kind", "start", "end"), s, strict=True)) for s in own])
-                beside.append([dict(zip(("entity", "term", "start", "end"), x, strict=True)) for x in _beside(text, own)] if own else [])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array(spans, pa.list_(span)), pa.array(beside, pa.list_(near))], names=[*carry, "_base", "_near"]
-            )
+            for part in batch_words(batch.column(0), table, hasher):
+                spans, names, terms, sizes = [], [], [np.zeros((0, 3), np.int64)], [0]
+                for d, text in enumerate(batch.column(0).slice(part.first, part.docs)):
+                    text = text.as_py() or ""
+                    own = base_spans(text)
+                    spans.append([dict(zip(("kind", "start", "end"), s, strict=True)) for s in own])
+                    names.append(sorted({entity(kind, text[i:j]) for kind, i, j in own}))
+                    if own:
+                        at = np.array([m.span() for m in _TERM.finditer(text)], np.int64).reshape(-1, 2)
+                        keys = part.hashes[part.offsets[d] : part.offsets[d + 1]].view(np.int64)
+                        terms.append(np.column_stack([keys, at])[_free(own, at)])
+                    sizes.append(len(terms[-1]) if own else 0)
+                key, start, end = np.concatenate(terms).T
+                places = [pa.array(key), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))]
+                places = pa.StructArray.from_arrays(places, fields=list(place))
+                places = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes).astype(np.int32)), places)
+                kept = batch.slice(part.first, part.docs).columns[1:]
+                found = [pa.array(spans, pa.list_(span)), pa.array(names, pa.list_(pa.string())), places]
+                yield pa.RecordBatch.from_arrays([*kept, *found], names=[*carry, "_base", "_entities", "_terms"])
 
     fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry]
-    schema = ", ".join([*fields, "_base array<struct<kind: string, start: int, end: int>>"])
-    schema += ", _near array<struct<entity: string, term: string, start: int, end: int>>"
+    schema = ", ".join([*fields, "_base array<struct<kind: string, start: int, end: int>>, _entities array<string>"])
+    schema += ", _terms array<struct<key: long, start: int, end: int>>"
     return docs.select(F.col("text").alias("_text"), *carry).mapInArrow(tidied(run), schema)
 
 
-def _term_keys(terms: DataFrame) -> DataFrame:
-    """term, key: the 64-bit hash of each term."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, table = Hasher(), alnum_table()
-        for batch in batches:
-            for part in batch_words(batch.column(0), table, hasher):  # a term is one word
-                keys = pa.array(part.hashes.view(np.int64))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(part.first, part.docs), keys], names=["term", "key"])
-
-    return terms.select("term").mapInArrow(tidied(run), "term string, key long")
-
-
 def _term_counts(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """key, n: the number of documents with each term whose key passes a filter of `keys`."""
     packed = docs.sparkSession.sparkContext.broadcast(membership(keys, "key"))
@@ -148,13 +137,26 @@ def _term_counts(docs: DataFrame, keys: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, table = Hasher(), alnum_table()
         keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # of the whole partition: as many as terms
+        waiting, size = [], 0
+
+        def added(keys, counts):
+            keys, at = np.unique(np.concatenate([keys, *waiting]), return_inverse=True)
+            return keys, np.bincount(at, np.r_[counts, np.ones(size, np.int64)], minlength=len(keys)).astype(np.int64)
+
         for batch in batches:
             for part in batch_words(batch.column(0), table, hasher):
                 hit = may_hold(packed.value, part.hashes)
-                pairs = np.unique(np.stack([part.doc[hit].astype(np.uint64), part.hashes[hit]], 1), axis=0)
-                found, n = np.unique(pairs[:, 1], return_counts=True)
-                keys, at = np.unique(np.concatenate([keys, found]), return_inverse=True)
-                counts = np.bincount(at, np.concatenate([counts, n]), minlength=len(keys)).astype(np.int64)
+                doc, found = part.doc[hit], part.hashes[hit]
+                order = np.lexsort((found, doc))
+                doc, found = doc[order], found[order]
+                new = np.ones(len(doc), bool)
+                new[1:] = (doc[1:] != doc[:-1]) | (found[1:] != found[:-1])
+                waiting.append(found[new])
+                size += len(waiting[-1])
+                if size > max(1 << 18, len(keys)):  # so that each key is merged a few times only
+                    keys, counts = added(keys, counts)
+                    waiting, size = [], 0
+        keys, counts = added(keys, counts)
         yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["key", "n"])
 
     return docs.select("text").mapInArrow(tidied(run), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
@@ -167,28 +169,29 @@ def find(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """
     rows = stored(numbered(_found(docs, list(carry))))
     n_docs = rows.count()
-    near = rows.select("_row", F.explode("_near").alias("x")).select("_row", "x.*")
-    own = rows.select("_row", F.explode("_near.entity").alias("entity"))
-    n_entity = own.distinct().groupBy("entity").agg(F.count("*").alias("ne"))
-    pairs = near.select("_row", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("nte"))
-    n_near = near.select("_row", "term").distinct().groupBy("term").agg(F.count("*").alias("nt"))
     n = F.lit(float(n_docs))
+    own = rows.select("_row", F.explode("_entities").alias("entity"))
+    n_entity = own.groupBy("entity").agg(F.count("*").alias("ne")).where(f"ne >= {SUPPORT}")
+    own = stored(own.join(n_entity, "entity"))
+    # The terms of each document with a recurring entity, and the most documents that a term may have there.
+    most = F.pow(n, 1 - THRESHOLD) * F.pow("ne", THRESHOLD)
+    held = own.groupBy("_row").agg(F.max(most).alias("most"))
+    near = rows.select("_row", F.expr("array_distinct(transform(_terms, x -> x.key))").alias("keys"))
+    near = near.join(held, "_row").select("_row", "most", F.explode("keys").alias("key"))
+    rare = near.groupBy("key").agg(F.count("*").alias("nt"), F.max("most").alias("most"))
+    rare = rare.where((F.col("nt") >= SUPPORT) & (F.col("nt") <= F.col("most") * (1 + 1e-9))).select("key", "nt")
+    pairs = near.select("_row", "key").join(rare, "key").join(own.withColumn("most", most), "_row").where(F.col("nt") <= F.col("most") * (1 + 1e-9))
+    pairs = pairs.groupBy("entity", "key").agg(F.count("*").alias("nte"), F.first("ne").alias("ne"), F.first("nt").alias("nt"))
     pmi, ic = F.log(n * F.col("nte") / (F.col("nt") * F.col("ne"))), F.log(n / F.col("ne"))
     disclosure = F.when(F.col("ne") < n, pmi / ic).otherwise(0.0)
-    pairs = pairs.where(f"nte >= {SUPPORT}").join(n_entity, "entity")
-    # The documents with a term beside any entity are among those with the term, so this bounds the disclosure from above.
-    pairs = stored(pairs.join(n_near, "term").where(disclosure >= THRESHOLD).drop("nt"))
-    keys = stored(_term_keys(pairs.select("term").distinct()))
-    counts = keys.join(_term_counts(docs, keys), "key").groupBy("term").agg(F.max("n").alias("nt"))
-    scored = pairs.join(counts, "term").withColumn("disclosure", disclosure)
-    telling = scored.where(F.col("disclosure") >= THRESHOLD).select("entity", "term", "disclosure")
-    terms = (
-        near.join(telling, ["entity", "term"])
-        .groupBy("_row", "start", "end")
-        .agg(F.max("disclosure").alias("disclosure"))
-        .groupBy("_row")
-        .agg(F.array_sort(F.collect_list(F.struct("start", "end", "disclosure"))).alias("terms"))
-    )
+    # These documents are some of those with the term, so this bounds the disclosure from above.
+    pairs = stored(pairs.where(f"nte >= {SUPPORT}").where(disclosure >= THRESHOLD).drop("nt"))
+    counts = _term_counts(docs, pairs.select("key").distinct()).withColumnRenamed("n", "nt")
+    scored = pairs.join(counts, "key").withColumn("disclosure", disclosure)
+    telling = stored(scored.where(F.col("disclosure") >= THRESHOLD).select("entity", "key", "disclosure"))
+    marked = own.select("_row", "entity").join(telling, "entity").groupBy("_row", "key").agg(F.max("disclosure").alias("disclosure"))
+    places = rows.join(marked.select("_row").distinct(), "_row", "left_semi").select("_row", F.explode("_terms").alias("x")).select("_row", "x.*")
+    terms = places.join(marked, ["_row", "key"]).groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "disclosure"))).alias("terms"))
     base = F.transform("_base", lambda s: F.struct(s.kind, s.start, s.end, F.lit(1.0).alias("disclosure")))
     more = F.transform("terms", lambda s: F.struct(F.lit("term").alias("kind"), s.start, s.end, s.disclosure))
     return rows.join(terms, "_row", "left").select(*carry, F.concat(base, F.when(F.isnotnull("terms"), more).otherwise(F.slice(base, 1, 0))).alias("spans"))

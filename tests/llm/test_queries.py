@@ -219,3 +219,11 @@ def test_texts_of_unseen_languages_go(spark, sf_dir):
     unseen = language.train(docs.where("lang != 'de'"))
     german = language.identify(docs.where("lang = 'de' and length(text) > 400"), unseen).collect()
     assert len(german) > 10 and sum(r.rejected for r in german) >= 0.9 * len(german)
+
+
+def test_terms_far_from_an_entity_reveal_it_too(documents):
+    between = "common words and nothing else stand here between the name and the address of it "
+    texts = [(i, f"Rareterm {between}me@mail.example.com {between}signed rareterm") for i in range(3)]
+    texts += [(100 + i, f"{between}signed") for i in range(60)]
+    clean = {r.doc_id: r.sanitised for r in private.sanitise(documents(texts)).collect()}
+    assert all(clean[i] == f" {between}[EMAIL] {between}signed " for i in range(3)) and clean[100] == texts[3][1]
