@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carledger.llm import boilerplate, bpe, decontaminate, language, neardup, neighbours, pages, private, quality, spans
+from carledger.llm import boilerplate, bpe, decontaminate, language, neardup, neighbours, pages, pieces, private, quality, spans
 from carledger.llm.tables import prepare
 
 WORD_BPE = "word_bpe_49k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +69,11 @@ def op10_boilerplate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boilerplate.digests(_table(spark, sf_dir, "documents"))
 
 
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of pieces and decoded text of every document, as digests."""
+    return pieces.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_rotated_codes": op1_rotated_codes,
     "op2_minhash": op2_minhash,
@@ -79,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_spans": op9_spans,
     "op10_boilerplate": op10_boilerplate,
+    "op11_pieces": op11_pieces,
 }
 
 ORACLES: dict[str, str] = {
