@@ -150,6 +150,18 @@ def gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, which: np.
     return values[np.repeat(shift, n) + np.arange(n.sum())]
 
 
+def slices(batch: pa.RecordBatch, sizes: pa.Array, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose sizes add up to about `most`, at least one row each."""
+    size, first = 0, 0
+    for i, n in enumerate(sizes.to_pylist()):
+        size += n or 0
+        if size >= most:
+            yield batch.slice(first, i + 1 - first)
+            size, first = 0, i + 1
+    if first < batch.num_rows:
+        yield batch.slice(first)
+
+
 def tidied(run):
     """`run` over the batches of a partition, after which the worker, which lives on, gives unused memory back."""
 

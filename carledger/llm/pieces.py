@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carledger.llm.bytewords import gather, list_array, tidied
+from carledger.llm.bytewords import gather, list_array, slices, tidied
 
 SPACE = "▁"  # stands for a space in pieces
 BLOCK_CHARS = 2 << 20  # texts of about so many characters are encoded together
@@ -420,18 +420,6 @@ def load(path: str) -> Pieces:
         return Pieces(file.read())
 
 
-def _blocks(batch: pa.RecordBatch, sizes: pa.Array, most: int) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch whose sizes add up to about `most`, at least one row each."""
-    size, first = 0, 0
-    for i, n in enumerate(sizes.to_pylist()):
-        size += n or 0
-        if size >= most:
-            yield batch.slice(first, i + 1 - first)
-            size, first = 0, i + 1
-    if first < batch.num_rows:
-        yield batch.slice(first)
-
-
 def _with(batch: pa.RecordBatch, column: pa.Array, name: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, name])
 
@@ -448,7 +436,7 @@ def _encoding(tokenizer, at: int):
         own = tokenizer.value
         encoder = own["encoder"] = own.get("encoder") or Encoder(own["model"])
         for batch in batches:
-            for block in _blocks(batch, pc.utf8_length(batch.column(at)), BLOCK_CHARS):
+            for block in slices(batch, pc.utf8_length(batch.column(at)), BLOCK_CHARS):
                 ids, sizes = encoder.encode([t or "" for t in block.column(at).to_pylist()])
                 yield _with(block, list_array(ids, sizes, pa.int32()), "ids")
 
@@ -462,7 +450,7 @@ def _decoding(tokenizer, at: int):
         own = tokenizer.value
         decoder = own["decoder"] = own.get("decoder") or Decoder(own["model"])
         for batch in batches:
-            for block in _blocks(batch, pc.list_value_length(batch.column(at)), BLOCK_CHARS):
+            for block in slices(batch, pc.list_value_length(batch.column(at)), BLOCK_CHARS):
                 lists = block.column(at)
                 sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
                 ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carledger.llm import boilerplate, bpe, decontaminate, language, neardup, neighbours, pages, pieces, private, quality, spans
+from carledger.llm import boilerplate, bpe, decontaminate, divergence, language, neardup, neighbours, pages, pieces, private, quality, spans, turntrie
 from carledger.llm.tables import prepare
 
 WORD_BPE = "word_bpe_49k.json"
@@ -74,6 +74,16 @@ def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE))
 
 
+def op12_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the prefix trie of all rebuilt conversations."""
+    return turntrie.trie(_table(spark, sf_dir, "conversations"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the words of each source lie from the others of its language, and its ten most telling terms."""
+    return divergence.divergence(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_rotated_codes": op1_rotated_codes,
     "op2_minhash": op2_minhash,
@@ -86,10 +96,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_spans": op9_spans,
     "op10_boilerplate": op10_boilerplate,
     "op11_pieces": op11_pieces,
+    "op12_turn_trie": op12_turn_trie,
+    "op13_divergence": op13_divergence,
 }
 
 ORACLES: dict[str, str] = {
     "op2_minhash": neardup.ORACLE,
     "op5_decontaminate": decontaminate.ORACLE,
     "op10_boilerplate": boilerplate.ORACLE,
+    "op12_turn_trie": turntrie.ORACLE,
+    "op13_divergence": divergence.ORACLE,
 }
