@@ -4,11 +4,12 @@ A line is named by 128 bits of hashes. Its sites are counted by HyperLogLog sket
 of any number of documents sends one sketch for each map task. Estimates beyond a band around `SITES` decide; lines inside
 the band are counted exactly. A document loses its lines that are on SITES sites or more, whatever their share. Only one
 that would be left without any line that is not blank stays as it is: it is a copy of others as a whole, and left to
-near-duplicate removal. The registered query follows its SQL, which also spares documents that lose more than `SHARE`.
+near-duplicate removal. The lines of a text to remove are found by the hash of the whole text, not by doc_id, so a doc_id or a
+missing one that very many rows share is no group.
 
 Cases: blank lines are neither counted nor removed; a null source is no site; null and empty texts stay as they are;
 repeated rows are treated alike and count once for a site; a long text is split whole; documents with equal or null doc_id
-keep apart, as lines decide and not places; columns of any other name are passed through.
+keep apart; columns of any other name are passed through.
 """
 
 from __future__ import annotations
@@ -20,7 +21,6 @@ from carledger.llm.tables import free_name
 
 SITES = 10  # distinct sites that make a line boilerplate
 BAND = 0.25  # estimates within this share of SITES are replaced by exact counts
-SHARE = 0.5  # largest share of a document's characters that the registered query removes
 SKETCH_LOG2 = 10  # size of a sketch
 
 
@@ -45,16 +45,15 @@ def widespread(docs: DataFrame, site: str = "source", sites: int = SITES) -> Dat
     return sure.union(exact.where(F.col("n") >= sites).select("h1", "h2"))
 
 
-def remove_boilerplate(docs: DataFrame, site: str = "source", sites: int = SITES, share: float | None = None) -> DataFrame:
-    """`docs` without boilerplate lines, and n_lines (blank lines included) and n_removed of each row. With a `share`,
-    documents that would lose more of their characters stay as they are."""
+def remove_boilerplate(docs: DataFrame, site: str = "source", sites: int = SITES) -> DataFrame:
+    """`docs` without boilerplate lines, and n_lines (blank lines included) and n_removed of each row."""
     spread = widespread(docs, site, sites)
-    named = docs.select(F.col("doc_id").alias("_id"), F.explode(F.array_distinct(_lines(F.col("text")))).alias("line"))
-    named = named.where("trim(line) != ''").select("_id", _name(F.col("line")).alias("l")).select("_id", "l.*")
-    held = named.join(spread, ["h1", "h2"]).groupBy("_id").agg(F.collect_set(F.struct("h1", "h2")).alias("_spread"))
+    named = docs.select(_name(F.col("text")).alias("_of"), F.explode(F.array_distinct(_lines(F.col("text")))).alias("line"))
+    named = named.where("trim(line) != ''").select("_of", _name(F.col("line")).alias("l")).select("_of", "l.*")
+    held = named.join(spread, ["h1", "h2"]).groupBy("_of").agg(F.collect_set(F.struct("h1", "h2")).alias("_spread"))
     # The row is kept as one value, so that its names meet no others.
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
-    joined = rows.join(held, F.col("_row.doc_id").eqNullSafe(F.col("_id")), "left")
+    joined = rows.join(held, _name(F.col("_row.text")) == F.col("_of"), "left")
     own, text = F.col("_row"), F.col("_row.text")
     here = F.coalesce(F.col("_spread"), F.array().cast("array<struct<h1: bigint, h2: bigint>>"))
     # Most documents hold no such line; their texts are not taken apart.
@@ -62,10 +61,7 @@ def remove_boilerplate(docs: DataFrame, site: str = "source", sites: int = SITES
         F.filter(_lines(text), lambda line: ~((F.trim(line) != "") & F.array_contains(here, _name(line))))
     )
     rest = F.array_join(kept, "\n")
-    if share is None:
-        whole = ~F.exists(kept, lambda line: F.trim(line) != "")
-    else:  # what remains decides; a removed line takes its line break along
-        whole = F.length(rest) * 1.0 < F.length(text) * (1 - share)
+    whole = ~F.exists(kept, lambda line: F.trim(line) != "")
     some = F.struct(F.size(_lines(text)).alias("n"), F.size(kept).alias("kept"), whole.alias("whole"), rest.alias("rest"))
     found = joined.select("_row", F.when(text.isNotNull(), some).alias("_cut"))
     cut = F.col("_cut")
@@ -89,7 +85,7 @@ def cleaned(docs: DataFrame) -> DataFrame:
 
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id, how many lines each document had and lost, and the length and SHA-256 of what remains."""
-    cleaned = remove_boilerplate(docs.select("doc_id", "text", "source"), share=SHARE)
+    cleaned = remove_boilerplate(docs.select("doc_id", "text", "source"))
     text = F.coalesce("text", F.lit(""))
     return cleaned.select(
         "doc_id", "n_lines", "n_removed", F.length(text).cast("long").alias("n_chars"), F.sha2(text, 256).alias("text_sha256")
@@ -110,7 +106,7 @@ WITH lines AS (
   FROM documents d LEFT JOIN held h ON d.doc_id IS NOT DISTINCT FROM h.doc_id
 ), judged AS (
   SELECT *, coalesce(array_to_string(kept, chr(10)), '') AS rest,
-    length(coalesce(array_to_string(kept, chr(10)), '')) * 1.0 < length(text) * 0.5 AS whole
+    len(list_filter(kept, lambda x: trim(x) <> '')) = 0 AS whole
   FROM cut
 )
 SELECT doc_id, coalesce(len(all_lines), 0)::BIGINT AS n_lines,

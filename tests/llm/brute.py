@@ -102,6 +102,6 @@ def without_boilerplate(docs, sites=10):
         if t is None:
             out[i] = None
             continue
-        kept = "\n".join(x for x in t.split("\n") if not (x.strip(" ") and len(seen[x]) >= sites))
-        out[i] = t if len(kept) < len(t) * 0.5 else kept
+        kept = [x for x in t.split("\n") if not (x.strip(" ") and len(seen[x]) >= sites)]
+        out[i] = "\n".join(kept) if any(x.strip(" ") for x in kept) else t
     return out

@@ -22,7 +22,7 @@ def tables():
 @pytest.fixture(scope="session")
 def duck():
     con = duckdb.connect()
-    for name in ("documents", "benchmark"):
+    for name in ("documents", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
     return con
 

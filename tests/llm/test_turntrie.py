@@ -91,7 +91,6 @@ def test_double_array_leads_each_path_to_its_own_state():
 
 
 def test_equals_sql(spark, duck, sf_dir):
-    duck.execute(f"CREATE OR REPLACE VIEW conversations AS SELECT * FROM '{sf_dir}/conversations.parquet'")
     rows = turntrie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet")).collect()
     want = duck.execute(turntrie.ORACLE).fetchall()
     key = lambda r: (r[1], r[0])
