@@ -2,7 +2,7 @@
 
 A text is a vector of hashed byte n-grams of its lower-cased words (2 to 4 bytes, word edges included), weighted by TF-IDF
 with the square root of the frequency and scaled to length 1. The texts of each language in a bounded training sample are
-clustered by cosine into several centroids. The language of the nearest centroid wins. A text is rejected if it is farther
+clustered by cosine into several centroids, each language in a group of its own, however many there are. The language of the nearest centroid wins. A text is rejected if it is farther
 from it than texts of that language are, at its number of distinct n-grams. The bound is measured: the sample is cut to many
 lengths, and each half scored by a model of the other half, against its own language and against all others, as if its own
 had not been learnt. Where nearly all own cosines lie above nearly all foreign ones, the bound is halfway between; where they
@@ -29,10 +29,10 @@ from carledger.llm.bytewords import chunks, text_buffer, tidied
 from carledger.llm.tables import free_name, stored
 
 DIMENSIONS = 4096  # hashed n-grams
-SAMPLE = 400  # texts a language that the model is fitted on at most: those of the smallest hashes of doc_id
+SAMPLE = 400  # rows a language that the model is fitted on at most: those of the smallest hashes of doc_id, then of text
+SALT = 32  # parts of a language that rows are chosen in first
 CENTROIDS = 4  # of a language
 ROUNDS = 12  # of clustering
-LANGUAGES = 200  # that the driver fits at most
 CUTS = [6, 12, 25, 50, 100, 200, 400, 800, 1600, 3200]  # characters of the pieces that bounds are measured on
 USUAL = 0.005  # share of own pieces below the least usual cosine, and of foreign ones above the largest
 SLACK = 0.9  # of the least usual own cosine, where foreign ones reach it
@@ -91,20 +91,6 @@ def _cluster(x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     return centre
 
 
-def fit(languages: list[str], counts: np.ndarray) -> Model:
-    """The model without bounds."""
-    idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))).astype(np.float32) + 1
-    none = np.zeros((0, DIMENSIONS), np.float32)
-    model = Model([], none, idf, none)
-    x, names, rng = model.weigh(counts), np.array(languages), np.random.default_rng(3)
-    found, own = [], []
-    for language in sorted(set(languages)):
-        centre = _cluster(x[names == language], rng)
-        found.append(centre)
-        own += [language] * len(centre)
-    return Model(own, np.concatenate([none, *found]), idf, np.zeros((len(own), DIMENSIONS + 1), np.float32))
-
-
 def bounds(languages: list[str], measured: pa.Table) -> np.ndarray:
     """The least cosine by centroid and number of distinct n-grams. measured: lang, n, own, foreign of each piece; NaN where
     a half has no such centroid."""
@@ -137,15 +123,28 @@ def _lettered() -> Column:
     return F.coalesce(F.regexp_like("text", F.lit(r"\p{L}")), F.lit(False))
 
 
-def train(docs: DataFrame) -> Model:
-    """Fits the model on at most SAMPLE texts of each of at most LANGUAGES languages (the smallest names)."""
+def _sample(docs: DataFrame) -> DataFrame:
+    """lang, text and half of the training rows, at most SAMPLE of each language: rows, not ids, so that an id of many rows
+    brings no more. Rows are chosen by hashes, so that no text is moved but those of the sample."""
     rows = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).where(~held_out() & F.col("lang").isNotNull() & _lettered())
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # Ids are chosen first, so that no text is moved but those of the sample.
-    chosen = rows.select("lang", "doc_id").withColumn("nth", F.row_number().over(by_hash)).where(F.col("nth") <= SAMPLE)
-    chosen = chosen.orderBy("lang", "nth").limit(SAMPLE * LANGUAGES).select("lang", "doc_id").distinct()
-    chosen = stored(chosen.coalesce(1))
-    sample = stored(rows.join(chosen, ["lang", "doc_id"], "left_semi").select("lang", "text", (F.xxhash64("text") % 2 == 0).alias("half")))
+    rows = rows.withColumn("print", F.xxhash64("text"))
+    order = [F.xxhash64("doc_id"), "doc_id", "print"]
+    nth = lambda *by: F.row_number().over(Window.partitionBy("lang", *by).orderBy(*order))
+    chosen = rows.select("lang", "doc_id", "print", F.pmod(F.xxhash64("print", "doc_id"), F.lit(SALT)).alias("salt"))
+    for by in (["salt"], []):
+        chosen = chosen.withColumn("nth", nth(*by)).where(F.col("nth") <= SAMPLE)
+    chosen = stored(chosen.select("lang", "doc_id", "print").distinct())
+    # Rows that are equal throughout were chosen as one.
+    same = [rows[c].eqNullSafe(chosen[c]) for c in ("lang", "doc_id", "print")]
+    found = rows.join(chosen, same[0] & same[1] & same[2], "left_semi")
+    found = found.withColumn("nth", nth()).where(F.col("nth") <= SAMPLE)
+    return stored(found.select("lang", "text", (F.col("print") % 2 == 0).alias("half")))
+
+
+def train(docs: DataFrame) -> Model:
+    """Fits the model on at most SAMPLE rows of each language. The driver gets 4 centroids a language and model (16 KB each)
+    and the cosines of the pieces of the sample (about 0.1 MB a language)."""
+    sample = _sample(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,14 +155,64 @@ def train(docs: DataFrame) -> Model:
                 yield pa.RecordBatch.from_arrays([own.column(0), own.column(2), pa.array(raw, pa.binary())], names=["lang", "half", "counts"])
                 at += len(raw)
 
-    found = sample.mapInArrow(tidied(run), "lang string, half boolean, counts binary").toArrow()
-    order = sorted(zip(found["lang"].to_pylist(), found["counts"].to_pylist(), found["half"].to_pylist(), strict=True))
-    counts = np.frombuffer(b"".join(c for _, c, _ in order), np.uint16).reshape(-1, DIMENSIONS).astype(np.float32)
-    names, halves = [name for name, _, _ in order], np.array([half for _, _, half in order], bool)
+    found = stored(sample.mapInArrow(tidied(run), "lang string, half boolean, counts binary"))
     # Pieces of one half are scored by a model of the other.
-    parts = [fit([x for x, h in zip(names, halves, strict=True) if h != half], counts[halves != half]) for half in (False, True)]
-    model = fit(names, counts)
-    return model._replace(least=bounds(model.languages, _measured(sample, parts)))
+    first, second, model = _fitted(found)
+    return model._replace(least=bounds(model.languages, _measured(sample, [second, first])))
+
+
+def _read(column: pa.ChunkedArray | pa.Array, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, DIMENSIONS)
+
+
+def _fitted(counts: DataFrame) -> list[Model]:
+    """Models without bounds, of the rows of each half and of all rows."""
+    spark = counts.sparkSession
+
+    def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = {False: [np.zeros(DIMENSIONS, np.uint32), 0], True: [np.zeros(DIMENSIONS, np.uint32), 0]}
+        for batch in batches:
+            mine = batch.column(0).to_numpy(zero_copy_only=False).astype(bool)
+            some = _read(batch.column(1), np.uint16) > 0
+            for half, total in held.items():
+                total[0] += some[mine == half].sum(0, dtype=np.uint32)
+                total[1] += int((mine == half).sum())
+        for half, (total, n) in held.items():
+            yield pa.RecordBatch.from_pydict({"half": [half], "n": [n], "total": [total.tobytes()]})
+
+    def added(table: pa.Table) -> pa.Table:
+        total = _read(table["total"], np.uint32).sum(0, dtype=np.uint32).tobytes()
+        return pa.table({"half": table["half"][:1], "n": [sum(table["n"].to_pylist())], "total": [total]})
+
+    schema = "half boolean, n long, total binary"
+    sums = counts.select("half", "counts").mapInArrow(present, schema).groupBy("half").applyInArrow(added, schema).collect()  # two rows
+    total = {r.half: (r.n, np.frombuffer(r.total, np.uint32).astype(np.float32)) for r in sums}
+    none = 0, np.zeros(DIMENSIONS, np.float32)
+    halves = [total.get(half, none) for half in (False, True)]
+    halves.append(tuple(a + b for a, b in zip(*halves, strict=True)))
+    weights = [(np.log((1 + n) / (1 + some)) + 1).astype(np.float32) for n, some in halves]
+    shared = spark.sparkContext.broadcast(weights)  # three rows of DIMENSIONS
+
+    def fit(table: pa.Table) -> pa.Table:
+        raw = table["counts"].to_pylist()
+        order = sorted(range(len(raw)), key=raw.__getitem__)  # the same in every run
+        x = np.frombuffer(b"".join(raw[i] for i in order), np.uint16).reshape(-1, DIMENSIONS).astype(np.float32)
+        half, out = table["half"].to_numpy(zero_copy_only=False).astype(bool)[order], []
+        for part, mine in enumerate((~half, half, np.ones(len(half), bool))):
+            if mine.any():
+                none = np.zeros((0, DIMENSIONS), np.float32)
+                centre = _cluster(Model([], none, shared.value[part], none).weigh(x[mine]), np.random.default_rng(3))
+                out += [{"lang": table["lang"][0].as_py(), "part": part, "nth": i, "centre": c.astype(np.float32).tobytes()} for i, c in enumerate(centre)]
+        return pa.Table.from_pylist(out, schema=pa.schema([("lang", pa.string()), ("part", pa.int32()), ("nth", pa.int32()), ("centre", pa.binary())]))
+
+    found = counts.groupBy("lang").applyInArrow(fit, "lang string, part int, nth int, centre binary").toArrow()  # CENTROIDS a language
+    found = found.sort_by([("lang", "ascending"), ("nth", "ascending")])
+    models = []
+    for part, weight in enumerate(weights):
+        own = found.filter(pc.equal(found["part"], part))
+        centre, names = _read(own["centre"], np.float32), own["lang"].to_pylist()
+        models.append(Model(names, centre, weight, np.zeros((len(names), DIMENSIONS + 1), np.float32)))
+    return models
 
 
 def _measured(sample: DataFrame, parts: list[Model]) -> pa.Table:
