@@ -127,8 +127,8 @@ def test_neighbours(spark):
     got = [tuple(r) for r in neighbours.search(odd, F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect()]
     far = 2**0.5
     assert got == [
-        (0, 1, 1, 0.0), (0, 2, 2, 0.0), (0, 3, 3, far), (0, 4, 100, far),
-        (100, 1, 3, 0.0), (100, 2, 0, far), (100, 3, 1, far), (100, 4, 2, far),
+        (0, 1, 1, 0.0), (0, 2, 2, 0.0), (0, 3, 8, 0.0), (0, 4, 3, far), (0, 5, 100, far),  # 8 goes on with zeros
+        (100, 1, 3, 0.0), (100, 2, 0, far), (100, 3, 1, far), (100, 4, 2, far), (100, 5, 8, far),
     ]
     assert len([r for r in neighbours.search(odd, F.col("vec_id") == 0, k=2).collect()]) == 2
     assert neighbours.search(odd.limit(0), F.col("vec_id") % 100 == 0).collect() == []
