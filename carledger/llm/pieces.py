@@ -35,9 +35,10 @@ from carledger.llm.bytewords import gather, list_array, slices, tidied
 
 SPACE = "▁"  # stands for a space in pieces
 BLOCK_CHARS = 2 << 20  # texts of about so many characters are encoded together
-MEMO_WORDS = 200_000  # words whose ids a worker remembers; beyond, it forgets the rarer half and computes it again
+MEMO_WORDS = 300_000  # words whose ids a worker remembers; beyond, it forgets the rarer half and computes it again
 ALONE = 200  # longer words are encoded on their own
 PLACES = 1 << 20  # of pairs whose fit is found without asking
+FEW = 40  # signs that are merged without a queue
 MEMO_PAIRS = 1_000_000  # pairs of pieces whose fit a worker remembers, likewise
 
 # Fields and kinds of the model file.
@@ -116,6 +117,18 @@ def merge(symbols: list[str], cost: dict[str, float]) -> list[str]:
     """Merges neighbours whose concatenation has the least cost, the leftmost of equals first, until none has a cost."""
     if len(symbols) < 2:
         return symbols
+    if len(symbols) <= FEW:  # a plain search is faster than a queue
+        symbols, none = [*symbols], float("inf")
+        costs = [cost.get(a + b, none) for a, b in zip(symbols, symbols[1:], strict=False)]
+        while costs and (least := min(costs)) < none:
+            i = costs.index(least)
+            symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
+            del costs[i]
+            if i < len(costs):
+                costs[i] = cost.get(symbols[i] + symbols[i + 1], none)
+            if i:
+                costs[i - 1] = cost.get(symbols[i - 1] + symbols[i], none)
+        return symbols
     after = [*range(1, len(symbols)), None]
     before = [None, *range(len(symbols) - 1)]
     symbols = [*symbols]
@@ -218,36 +231,54 @@ class Encoder:
         except KeyError:
             return [i for token in tokens for i in self.model.spelled(token)]
 
+    def split(self, text: str) -> list[str]:
+        """The words of a text. The space before a word goes without saying, if it is one."""
+        if not text:
+            return []
+        if self.model.by_words and "  " not in text and SPACE not in text and text[0] != " " != text[-1]:
+            return text.split(" ")
+        return [w if w[1:2] == SPACE else w[1:] for w in self.words.findall(SPACE + text.replace(" ", SPACE))]
+
     def _learn(self, words: list[str]) -> None:
-        """Appends the ids of new words. Those that are long or hold spaces or unknown signs are encoded on their own."""
-        short = "".join([w if len(w) <= ALONE else SPACE for w in words])
-        sizes = np.array([len(w) if len(w) <= ALONE else 1 for w in words], np.int64)
-        codes = self.rows.code[np.frombuffer(short.encode("utf-32-le", "surrogatepass"), np.uint32)]
-        alone = np.array([len(w) > ALONE for w in words], bool)
-        if len(words):
-            ends = np.cumsum(sizes)
-            odd = np.r_[0, np.cumsum(codes < 0)]
-            alone |= odd[ends] > odd[ends - sizes]
-            alone |= np.array([SPACE * 2 in w for w in words]) if self.simple else True
-        together = ~alone
-        ids, n = self.rows.encode(codes[np.repeat(together, sizes)], sizes[together])
+        """Appends the ids of new words. Those that are long or begin with several spaces are encoded on their own."""
+        words = [w if w[:1] == SPACE else SPACE + w for w in words]
+        alone = np.array([not self.simple or len(w) > ALONE or SPACE * 2 in w for w in words], bool)
+        ids, n = self._together([w for w, a in zip(words, alone.tolist(), strict=True) if not a])
         lone = [np.array(self.word(words[i]), np.int32) for i in np.flatnonzero(alone).tolist()]
         size = np.zeros(len(words), np.int64)
-        size[together], size[alone] = n, [len(x) for x in lone]
-        order = np.r_[np.flatnonzero(together), np.flatnonzero(alone)]  # of the words whose ids follow each other
-        held = np.concatenate([ids, *lone]) if lone else ids
-        start = np.zeros(len(words), np.int64)
-        start[order] = np.cumsum(size[order]) - size[order]
+        size[~alone], size[alone] = n, [len(x) for x in lone]
+        held, start = _in_order(alone, size, ids, np.concatenate([np.zeros(0, np.int32), *lone]))
         self.ids = np.concatenate([self.ids, gather(held, start, size, np.arange(len(words)))]).astype(np.int32)
         self.size = np.concatenate([self.size, size])
 
+    def _together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some words, and how many each has. Signs in no piece part what stands around them."""
+        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        codes, first = self.rows.code[points], np.zeros(len(points), bool)
+        sizes = np.array([len(w) for w in words], np.int64)
+        first[np.cumsum(sizes) - sizes] = True
+        unknown = codes < 0
+        begin = np.flatnonzero(first | unknown | np.r_[False, unknown[:-1]])
+        strange = unknown[begin]
+        ids, n = self.rows.encode(codes[~unknown], np.diff(np.r_[begin, len(points)])[~strange])
+        signs, which = np.unique(points[begin[strange]], return_inverse=True)
+        spelled = [np.array(self.model.spelled(chr(c)), np.int32) for c in signs.tolist()]
+        flat = np.concatenate([np.zeros(0, np.int32), *spelled])
+        each = np.array([len(x) for x in spelled], np.int64)
+        size = np.zeros(len(begin), np.int64)
+        size[~strange], size[strange] = n, each[which]
+        held, start = _in_order(strange, size, ids, gather(flat, np.cumsum(each) - each, each, which))
+        total = np.r_[0, np.cumsum(size)]
+        ends = np.searchsorted(begin, np.cumsum(sizes))
+        return gather(held, start, size, np.arange(len(begin))), np.diff(total[np.r_[0, ends]])
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and how many each text has."""
         if len(self.size) > MEMO_WORDS:
             self._forget()
         number, each, n_words = self.number.__getitem__, [np.zeros(0, np.int32)], [0]
         for text in texts:
-            words = self.words.findall(SPACE + text.replace(" ", SPACE)) if text else []
+            words = self.split(text)
             each.append(np.fromiter(map(number, words), np.int32, len(words)))
             n_words.append(len(words))
         new = list(islice(self.number, len(self.size), None))
@@ -259,6 +290,14 @@ class Encoder:
         return ids, np.diff(total[np.cumsum(n_words)])
 
 
+def _in_order(second: np.ndarray, size: np.ndarray, ids: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both arrays one after the other, and where the ids of each unit begin there; `second` marks units of the other."""
+    order = np.r_[np.flatnonzero(~second), np.flatnonzero(second)]
+    start = np.zeros(len(size), np.int64)
+    start[order] = np.cumsum(size[order]) - size[order]
+    return np.concatenate([ids, others]), start
+
+
 class Rows:
     """The same search for many words at once: each step tries one token of every word that isn't done."""
 
