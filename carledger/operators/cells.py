@@ -17,6 +17,7 @@ from pyspark.sql.group import GroupedData
 
 from carledger.functions.text import float_text
 from carledger.operators.scan import running_count
+from carledger.operators.timeline import asof_join
 from carledger.schema import CELL, ROW
 from carledger.session import cut_lineage
 
@@ -123,6 +124,16 @@ def versions(cells: DataFrame, n: int = 1, max_ts: int | None = None, spread: bo
     return ranked.filter(F.col("_place") <= n).drop("_place")
 
 
+def rows_as_of(cells: DataFrame, requests: DataFrame, at: str) -> DataFrame:
+    """K10 for a frame of requests (tbl, row_key, a time `at`, and others): the newest version of each cell of the row that isn't
+    newer than the request's time, with the cell's columns, ts and value. Cells that are all newer, and rows that don't
+    exist, give nothing. An as-of join by cell, so neither a row of many requests nor a cell of many versions is one task."""
+    wanted = requests.join(cells.select(*CELL).distinct(), ["tbl", "row_key"])
+    ties = [c for c in _newest(cells) if c != "ts"]
+    versions_ = cells.select(*CELL, F.col("ts").alias(at), *ties, "ts", "value")
+    return asof_join(wanted, versions_, CELL, at, ties).filter(F.col("ts").isNotNull()).drop(*ties)
+
+
 def retain(
     cells: DataFrame,
     max_versions: int = 3,

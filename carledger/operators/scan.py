@@ -64,3 +64,9 @@ def running_count(df: DataFrame, group: list[str], order: list[str], name: str,
 def next_value(df: DataFrame, group: list[str], order: list[str], value: Column, name: str) -> DataFrame:
     """`df` plus the smallest `value` among the later rows of the group (null if there is none)."""
     return _running(df, group, order, value, name, True, F.min, F.least, -1)
+
+
+def carried_last(df: DataFrame, group: list[str], order: list[str], value: Column, name: str) -> DataFrame:
+    """`df` plus the last non-null `value` up to each row of its group. `value` must grow along `order`, as a struct that begins
+    with the order does; a partition hands its largest one on."""
+    return _running(df, group, order, value, name, False, F.max, F.coalesce, Window.currentRow)

@@ -299,6 +299,20 @@ def _with(ctes: str, body: str) -> str:
     return f"WITH {ctes} {body}"
 
 
+_EVENTS = """ev AS (
+  SELECT event_id, (CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END)::BIGINT AS user_id, epoch_us(ts) AS at, event_type,
+    round(value * 100)::BIGINT AS cents FROM events)"""
+_VISITS = """visits AS (
+  SELECT o_custkey % 150 AS user_id, 1704067200000000 + o_orderkey * 173 % 2592000 * 1000000 + o_orderkey % 1000000 AS at,
+    o_orderkey, o_orderstatus FROM orders)"""
+_PRICES = """prices AS (
+  SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'hot' ELSE p_brand END AS brand, date_diff('day', DATE '1970-01-01', l_shipdate::DATE) AS day,
+    l_orderkey, l_linenumber, l_partkey, round(l_extendedprice * 100)::BIGINT AS cents FROM lineitem JOIN part ON l_partkey = p_partkey)"""
+_ARRIVALS = f"""{LOG}, arrived AS (SELECT * REPLACE (seq * 613 % 10007 * 1000000000 + seq AS seq) FROM cells),
+living AS (SELECT * FROM arrived WHERE ts >= (SELECT max(ts) FROM arrived) - {(3600 + 10 * 86400) * 1000000})"""
+_CRAWLS = f"""{LISTING}, old AS (SELECT brand, style, fuel_type, displacement FROM listing WHERE l_orderkey % 7 <> 0),
+new AS (SELECT brand, style, fuel_type, displacement FROM listing WHERE l_orderkey % 5 <> 0)"""
+
 ORACLES: dict[str, str] = {
     "s1_scan_by_province": _with(
         LISTING,
@@ -540,4 +554,76 @@ ORACLES: dict[str, str] = {
         """SELECT 'u' || lpad(c_custkey::VARCHAR, 9, '0') AS row_key,
              ('u' || lpad(c_custkey::VARCHAR, 9, '0') IN (SELECT row_key FROM cells))::INT AS row_exists FROM customer""",
     ),
+    "k10_rows_as_of": _with(
+        f"""{LOG}, hot AS (SELECT * REPLACE (CASE WHEN seq % 3 = 0 THEN 'hot' ELSE row_key END AS row_key) FROM cells),
+        asked AS (
+          SELECT o_orderkey, 'activity' AS tbl, CASE WHEN o_custkey % 7 = 0 THEN 'hot' ELSE 'u' || lpad((o_custkey % 150)::VARCHAR, 9, '0') END AS row_key,
+            {MID_JANUARY - 10 * DAY} + (o_orderkey * 7919 % 20000) * 130000000 AS at FROM orders),
+        wanted AS (SELECT * FROM asked JOIN (SELECT DISTINCT {_CELL} FROM hot) USING (tbl, row_key))""",
+        f"""SELECT o_orderkey, w.tbl, w.row_key, w.family, w.qualifier, w.at, h.ts, h.value FROM wanted w ASOF JOIN hot h
+            ON w.tbl = h.tbl AND w.row_key = h.row_key AND w.family = h.family AND w.qualifier = h.qualifier AND w.at >= h.ts""",
+    ),
+    "t1_asof_join": _with(
+        _EVENTS + ", " + _VISITS,
+        "SELECT e.*, v.o_orderkey, v.o_orderstatus FROM ev e ASOF LEFT JOIN visits v ON e.user_id = v.user_id AND e.at >= v.at",
+    ),
+    "t2_interval_join": _with(
+        _EVENTS
+        + """, market AS (
+          SELECT l_suppkey AS user_id, l_orderkey, l_linenumber, 1704067200000000 + l_orderkey * 37 % 720 * 3600000000 AS posted,
+            l_quantity::BIGINT * 3600000000 * CASE WHEN l_orderkey % 50 = 0 THEN 20 ELSE 1 END AS length FROM lineitem)""",
+        """SELECT e.user_id, event_id, e.at, count(*) AS on_market, min(l_orderkey) AS first_order, sum(l_linenumber)::BIGINT AS lines
+           FROM ev e JOIN market m ON e.user_id = m.user_id AND e.at BETWEEN posted AND posted + length GROUP BY ALL""",
+    ),
+    "t3_moving_price": _with(
+        _PRICES + ", daily AS (SELECT brand, day, count(*) AS n, sum(cents) AS cents FROM prices GROUP BY ALL)",
+        """SELECT brand, day, n, cents, cents / n / 100 AS avg_price FROM (
+             SELECT brand, day, (sum(n) OVER w)::BIGINT AS n, (sum(cents) OVER w)::BIGINT AS cents FROM daily
+             WINDOW w AS (PARTITION BY brand ORDER BY day RANGE BETWEEN 6 PRECEDING AND CURRENT ROW))""",
+    ),
+    "t3_lag_lead": _with(
+        _PRICES + ", one AS (SELECT *, count(*) AS copy FROM prices GROUP BY ALL)",
+        """SELECT *, lag(cents) OVER w AS before_cents, lead(cents, 2) OVER w AS after_cents FROM one
+           WINDOW w AS (PARTITION BY brand ORDER BY day, l_orderkey, l_linenumber, l_partkey, cents, copy)""",
+    ),
+    "t4_sessions": _with(
+        _EVENTS
+        + """, opened AS (
+          SELECT *, coalesce("at" - lag("at") OVER (PARTITION BY user_id ORDER BY "at") > 7200000000, true)::INT AS o FROM ev),
+        numbered AS (SELECT *, sum(o) OVER (PARTITION BY user_id ORDER BY "at" RANGE UNBOUNDED PRECEDING) AS s FROM opened)""",
+        """SELECT user_id, min("at") AS session_start, max("at") AS session_end, count(*) AS n, sum(cents)::BIGINT AS cents
+           FROM numbered GROUP BY user_id, s""",
+    ),
+    "t5_stream_newest": _with(
+        _ARRIVALS, f"SELECT {_CELL}, max(ts) AS ts, arg_max(seq, row(ts, seq)) AS seq, arg_max(value, row(ts, seq)) AS value FROM living GROUP BY {_CELL}"
+    ),
+    "t5_stream_late": _with(
+        _ARRIVALS,
+        f"""SELECT {_CELL}, ts, seq, value FROM living
+            QUALIFY max(ts) OVER (PARTITION BY {_CELL} ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > ts""",
+    ),
+    "g1_cube": _with(
+        CLEAN,
+        """SELECT province, brand, fuel_type, grouping_id(province, brand, fuel_type)::INTEGER AS level, count(*) AS listings,
+             sum(TRY_CAST(transfer_count AS INTEGER))::BIGINT AS transfers FROM clean GROUP BY CUBE (province, brand, fuel_type)""",
+    ),
+    "g1_grouping_sets": _with(
+        f"{LISTING}, named AS (SELECT province, fuel_type, nullif(brand, 'Brand#2') AS brand FROM raw)",
+        """SELECT province, brand, fuel_type, grouping_id(province, brand, fuel_type)::INTEGER AS level, count(*) AS listings
+           FROM named GROUP BY GROUPING SETS ((brand, fuel_type), (province), ())""",
+    ),
+    "g2_distinct_models": _with(
+        f"{LISTING}, models AS (SELECT brand, fuel_type, concat_ws('/', model, engine, mileage) AS m FROM raw)",
+        """SELECT brand, fuel_type, count(DISTINCT m) AS n_models FROM models GROUP BY brand, fuel_type
+           UNION ALL SELECT brand, NULL, count(DISTINCT m) FROM models GROUP BY brand
+           UNION ALL SELECT NULL, NULL, count(DISTINCT m) FROM models""",
+    ),
+    "g3_crawl_difference": _with(
+        _CRAWLS,
+        """SELECT brand, style, fuel_type, displacement, greatest(sum(i) - sum(w), 0)::BIGINT AS added, greatest(sum(w) - sum(i), 0)::BIGINT AS gone,
+             least(sum(w), sum(i))::BIGINT AS kept
+           FROM (SELECT *, 1 AS w, 0 AS i FROM old UNION ALL SELECT *, 0, 1 FROM new) GROUP BY brand, style, fuel_type, displacement""",
+    ),
+    "g3_except_all": _with(_CRAWLS, "SELECT * FROM old EXCEPT ALL SELECT * FROM new"),
+    "g3_intersect_all": _with(_CRAWLS, "SELECT * FROM old INTERSECT ALL SELECT * FROM new"),
 }

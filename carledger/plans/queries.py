@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from carledger.functions import text as X
 from carledger.functions.typed import age_years, days_since, to_date, to_float, to_int
 from carledger.operators import cells as K
-from carledger.operators import checkput, clean, extract, mutations, stats
+from carledger.operators import checkput, clean, extract, groupings, mutations, stats, timeline
 from carledger.operators.rowid import row_id
 from carledger.plans.pipeline import PUBLISHED, statistics
 from carledger.schema import CELL, ELECTRIC, GASOLINE
 from carledger.sources import derived as D
 from carledger.session import configure, shared_dir
 from carledger.sources.listings import read_listings, read_partitioned, write_listings
+from carledger.streaming import newest
 from carledger.sources.warehouse import create_listing_table, load_listings, read_table, store_cast
 
 AS_OF = "2025-04-17"
@@ -462,6 +463,16 @@ def k10_row_exactly_at(spark, sf):
     return K.get_rows(_day_cells(spark, sf), _deleted_rows(spark, sf), None, MID_JANUARY)
 
 
+@query
+def k10_rows_as_of(spark, sf):
+    """Each order asks for the cells of a row as they were at some time."""
+    at = MID_JANUARY - 10 * DAY + (F.col("o_orderkey") * 7919 % 20000) * 130_000_000
+    row = F.concat(F.lit("u"), F.lpad((F.col("o_custkey") % 150).cast("string"), 9, "0"))
+    row = F.when(F.col("o_custkey") % 7 == 0, "hot").otherwise(row)
+    asked = D.table(spark, sf, "orders").select("o_orderkey", F.lit("activity").alias("tbl"), row.alias("row_key"), at.alias("at"))
+    return K.rows_as_of(D.hot_cells(spark, sf), asked, "at").select("o_orderkey", *CELL, "at", "ts", "value")
+
+
 @query
 def k11_retention(spark, sf):
     return K.retain(D.event_cells(spark, sf), 3, 10 * 86_400, END_JANUARY, ts_per_second=1_000_000)
@@ -600,3 +611,153 @@ def k21_row_exists(spark, sf):
     )
     found = K.rows_exist(D.event_cells(spark, sf), keys)
     return found.select("row_key", F.col("row_exists").cast("int").alias("row_exists"))
+
+
+# -- time and groups ----------------------------------------------------------------------------------------------
+
+HOUR = 3_600_000_000
+NEW_YEAR = 1704067200000000  # 2024-01-01 00:00 UTC in microseconds
+
+
+def _events(spark: SparkSession, sf: str) -> DataFrame:
+    """Events with whole numbers; user 0 has a third of them, and more."""
+    user = F.when(F.col("event_id") % 3 == 0, 0).otherwise(F.col("user_id"))
+    cents, at = F.round(F.col("value") * 100).cast("bigint"), F.unix_micros(F.col("ts").cast("timestamp"))
+    return D.table(spark, sf, "events").select("event_id", user.cast("bigint").alias("user_id"), at.alias("at"), "event_type", cents.alias("cents"))
+
+
+def _visits(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders moved into the month of the events, at distinct times."""
+    key = F.col("o_orderkey")
+    at = F.lit(NEW_YEAR) + key * 173 % 2592000 * 1_000_000 + key % 1_000_000
+    return D.table(spark, sf, "orders").select((F.col("o_custkey") % 150).alias("user_id"), at.alias("at"), key.alias("o_orderkey"), "o_orderstatus")
+
+
+@query
+def t1_asof_join(spark, sf):
+    """Every event with the last order of its user before it."""
+    return timeline.asof_join(_events(spark, sf), _visits(spark, sf), ["user_id"], "at", ["o_orderkey"])
+
+
+@query
+def t2_interval_join(spark, sf):
+    """Events of a dealer while a listing was on the market: 1 to 50 hours, some for weeks."""
+    key = F.col("l_orderkey")
+    start = F.lit(NEW_YEAR) + key * 37 % 720 * HOUR
+    length = F.col("l_quantity").cast("bigint") * HOUR * F.when(key % 50 == 0, 20).otherwise(1)
+    market = D.table(spark, sf, "lineitem").select(
+        F.col("l_suppkey").alias("user_id"), "l_orderkey", "l_linenumber", start.alias("posted"), (start + length).alias("sold")
+    )
+    events = _events(spark, sf).select("user_id", "event_id", "at", F.col("at").alias("until"))
+    found = timeline.interval_join(market, events, ["user_id"], ("posted", "sold"), ("at", "until"), base=6 * HOUR)
+    return found.groupBy("user_id", "event_id", "at").agg(F.count(F.lit(1)).alias("on_market"), F.min("l_orderkey").alias("first_order"), F.sum("l_linenumber").cast("bigint").alias("lines"))
+
+
+def _prices(spark: SparkSession, sf: str) -> DataFrame:
+    """Prices of listings by brand and day. A third of all belong to one brand."""
+    line = D.table(spark, sf, "lineitem")
+    part = D.table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
+    brand = F.when(F.col("l_orderkey") % 3 == 0, "hot").otherwise(F.col("p_brand"))
+    day = F.datediff(F.col("l_shipdate").cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    return line.join(part, "l_partkey").select(brand.alias("brand"), day.alias("day"), "l_orderkey", "l_linenumber", "l_partkey", cents.alias("cents"))
+
+
+@query
+def t3_moving_price(spark, sf):
+    """Listings and prices of the seven days up to each day, by brand."""
+    found = timeline.moving_totals(_prices(spark, sf), ["brand"], "day", {"cents": F.col("cents")}, 6)
+    return found.select("brand", "day", "n", "cents", (F.col("cents") / F.col("n") / 100).alias("avg_price"))
+
+
+@query
+def t3_lag_lead(spark, sf):
+    """Each price with the one before and the one two places later of the same brand."""
+    order = ["day", "l_orderkey", "l_linenumber", "l_partkey", "cents", "copy"]
+    prices = _prices(spark, sf).groupBy("brand", *order[:-1]).agg(F.count(F.lit(1)).alias("copy"))
+    return timeline.neighbours(prices, ["brand"], order, ["cents"], {"before_": -1, "after_": 2})
+
+
+@query
+def t4_sessions(spark, sf):
+    """Runs of events of a user with at most two hours between them."""
+    return timeline.sessions(_events(spark, sf), ["user_id"], "at", 2 * HOUR, {"cents": F.col("cents")})
+
+
+STREAM_DELAY, STREAM_TTL = 3_600, 10 * 86_400  # seconds
+
+
+def _changes(spark: SparkSession, sf: str) -> tuple[DataFrame, int]:
+    """The changes of the newest cells while puts arrive file by file, out of order, and the horizon of what lives at the end."""
+    path, schema = D.arrivals(spark, sf)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(path)
+    last = spark.read.schema(schema).parquet(path).agg(F.max("ts")).first()[0] or 0
+    folder = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    changes = newest.run_to_end(stream, f"{folder}/changes", f"{folder}/state", STREAM_DELAY, STREAM_TTL)
+    return changes, last - (STREAM_DELAY + STREAM_TTL) * 1_000_000
+
+
+@query
+def t5_stream_newest(spark, sf):
+    """The newest cells, by a stream that keeps them in state."""
+    changes, horizon = _changes(spark, sf)
+    return newest.visible(changes, horizon)
+
+
+@query
+def t5_stream_late(spark, sf):
+    """The side table of puts that came too late to be the newest."""
+    changes, horizon = _changes(spark, sf)
+    return newest.late(changes, horizon)
+
+
+@query
+def g1_cube(spark, sf):
+    """Listings and prices at every level of province, brand and fuel."""
+    rows = D.clean_listings(spark, sf).withColumn("transfers", to_int(F.col("transfer_count")))
+    sums = {"listings": F.lit(1), "transfers": F.col("transfers")}
+    return groupings.cube_totals(rows, ["province", "brand", "fuel_type"], sums)
+
+
+@query
+def g1_grouping_sets(spark, sf):
+    """Totals by brand and fuel, by province, and of all; a null brand is a value."""
+    rows = D.raw_listings(spark, sf).withColumn("brand", F.when(F.col("brand") != "Brand#2", F.col("brand")))
+    return groupings.cube_totals(rows, ["province", "brand", "fuel_type"], {"listings": F.lit(1)}, [["brand", "fuel_type"], ["province"], []])
+
+
+@query
+def g2_distinct_models(spark, sf):
+    """Exact distinct models by brand and fuel, by brand, and of all, from one set of bitmaps."""
+    models = D.raw_listings(spark, sf).select("brand", "fuel_type", F.concat_ws("/", "model", "engine", "mileage").alias("model"))
+    bitmaps = groupings.distinct_bitmaps(models, ["brand", "fuel_type"], "model")
+    none = F.lit(None).cast("string")
+    fine = groupings.distinct_counts(bitmaps, ["brand", "fuel_type"], "n_models")
+    brand = groupings.distinct_counts(bitmaps, ["brand"], "n_models").withColumn("fuel_type", none)
+    every = groupings.distinct_counts(bitmaps, [], "n_models").withColumns({"brand": none, "fuel_type": none})
+    return fine.unionByName(brand).unionByName(every)
+
+
+def _crawls(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Two crawls of the same listings: some are gone, some new, some have another number of copies."""
+    rows = D.keyed_listings(spark, sf).select("l_orderkey", "brand", "style", "fuel_type", "displacement")
+    key = F.col("l_orderkey")
+    old = rows.filter(key % 7 != 0).drop("l_orderkey")
+    new = rows.filter(key % 5 != 0).drop("l_orderkey")
+    return old, new
+
+
+@query
+def g3_crawl_difference(spark, sf):
+    """How many copies of each listing came, went and stayed between two crawls."""
+    return groupings.multiset_difference(*_crawls(spark, sf))
+
+
+@query
+def g3_except_all(spark, sf):
+    return groupings.except_all(*_crawls(spark, sf))
+
+
+@query
+def g3_intersect_all(spark, sf):
+    return groupings.intersect_all(*_crawls(spark, sf))

@@ -303,3 +303,22 @@ def state_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All puts of the log as versions."""
     return mutation_log(spark, sf_dir).filter(F.col("op") == "put").drop("op")
+
+
+def arrival_order(puts: DataFrame) -> DataFrame:
+    """The puts with `seq` as a number of arrival that doesn't follow their timestamps."""
+    return puts.withColumn("seq", F.pmod(F.col("seq") * 613, F.lit(10007)) * 1_000_000_000 + F.col("seq"))
+
+
+def arrivals(spark: SparkSession, sf_dir: str, steps: int = 4) -> tuple[str, T.StructType]:
+    """A folder of files with the puts of the log in the order of their arrival, written one step after the other; the puts of a
+    cell in a step are in one file. And the schema."""
+    key = (spark.sparkContext.applicationId, sf_dir, f"arrivals-{steps}")
+    if key not in _STORED:
+        puts = arrival_order(event_cells(spark, sf_dir)).drop("op")
+        path = f"{shared_dir(configure(spark))}/{key[0]}/{len(_STORED)}-arrivals"
+        step = F.floor(F.col("seq") / F.lit(1_000_000_000 * -(-10007 // steps)))
+        for k in range(steps):
+            puts.filter(step == k).repartition("tbl", "row_key", "family", "qualifier").write.mode("append").parquet(path)
+        _STORED[key] = path, puts.schema
+    return _STORED[key]
