@@ -100,15 +100,3 @@ def float_text(c: Column) -> Column:
         .when((size >= 1e-4) & (size < 1e16), F.regexp_replace(positional, r"\.$", ".0"))
         .otherwise(scientific)
     )
-
-
-# -- page text ----------------------------------------------------------------------------------------------------
-
-# The character references that occur in link targets. `&amp;` is last, so that nothing decodes twice.
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
-
-
-def decode_entities(c: Column) -> Column:
-    for reference, character in ENTITIES.items():
-        c = literal_replace(c, reference, character)
-    return c

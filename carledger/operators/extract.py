@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carledger.functions import text as X
-from carledger.operators.pagewalk import Form, walk
+from carledger.operators.pagewalk import Form, attribute_text, walk
 from carledger.schema import ELECTRIC, FUEL_GRADE_KEY, GASOLINE, RAW_COLUMNS, RAW_FIELDS
 
 # Class names of the page form, outermost first.
@@ -37,13 +37,17 @@ FORM = Form(
     card=CARD_CLASS,
 )
 
+#: The profile alone, and the cards alone: a walk looks for nothing else.
+PROFILE_FORM = FORM._replace(title=(), crumbs=(), prices=(), new_price=(), card="")
+CARD_FORM = PROFILE_FORM._replace(item_list=("", ""), item_name="")
+
 NO_TITLE, EMPTY_TITLE, NO_PRICE = "no title", "empty title", "no price"
 
 _PARTS_TYPE = "struct<title: string, price: string, new_price: string, profile: map<string, string>>"
 
 
 def _walked(html: Column, all_blanks: bool = False, form: Form = FORM) -> Column:
-    """Title, price, new price and profile of a page as one struct, from one walk. Marked as not deterministic, so that
+    """Title, price, new price and profile of a page as one struct, from one walk (null where the form has no path). Marked as not deterministic, so that
     the planner never walks a page twice for a filter and a result."""
     text, entries = pa.string(), pa.map_(pa.string(), pa.string())
 
@@ -60,25 +64,40 @@ def _walked(html: Column, all_blanks: bool = False, form: Form = FORM) -> Column
     return F.arrow_udf(run, _PARTS_TYPE).asNondeterministic()(html)
 
 
-def _card_links(html: Column, form: Form = FORM) -> Column:
+def _card_links(html: Column, form: Form = CARD_FORM) -> Column:
     def run(pages: pa.Array) -> pa.Array:
         return pa.array([walk(page, form).links for page in pages.to_pylist()], pa.list_(pa.string()))
 
     return F.arrow_udf(run, "array<string>").asNondeterministic()(html)
 
 
+#: What holds no markup, and the link target of an anchor's start tag. Attributes are read one by one, so that neither a longer
+#: name (data-href) nor a text inside a value is taken for one, and a quoted > doesn't end the tag.
+_NO_MARKUP = r"(?is)<!--.*?-->|(<(script|style)(?=[\s/>])).*?(?=</\2|\z)"
+_HREF = r"""(?is)<a(?:[\s/]++[^\s"'>/=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+)*?[\s/]++href\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++)"""
+
+
+def _references(links_: Column) -> Column:
+    """Character references in values of attributes, of any name. Only links are handed over, not pages."""
+
+    def run(values: pa.Array) -> pa.Array:
+        return pa.array([[attribute_text(v) for v in vs] if vs else vs for vs in values.to_pylist()], pa.list_(pa.string()))
+
+    return F.arrow_udf(run, "array<string>")(links_)
+
+
 def anchors(html: Column) -> Column:
     """Link targets of a whole page in document order, repeats kept, empty ones left out. Values in quotes of either kind
-    or in none, tags in any case."""
-    pattern = r"""(?i)<a\b[^>]*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-    hrefs = F.transform(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)), lambda h: F.btrim(h, F.lit("\"'")))
-    return F.transform(F.filter(hrefs, lambda h: h != ""), X.decode_entities)
+    or in none, tags in any case; anchors in comments, scripts and styles are none."""
+    hrefs = F.regexp_extract_all(F.regexp_replace(html, _NO_MARKUP, ""), F.lit(_HREF), F.lit(1))
+    bare = F.transform(hrefs, lambda h: F.when(h.rlike("^[\"']"), h.substr(F.lit(2), F.length(h) - 2)).otherwise(h))
+    return _references(F.filter(bare, lambda h: h != ""))
 
 
 def links(pages: DataFrame, host: str = "", card_class: str | None = CARD_CLASS) -> DataFrame:
     """One row for each link inside a listing card (anywhere on the page without a card class), made absolute."""
     html = F.col("html")
-    found = anchors(html) if card_class is None else _card_links(html, FORM._replace(card=card_class))
+    found = anchors(html) if card_class is None else _card_links(html, CARD_FORM._replace(card=card_class))
     rest = [c for c in pages.columns if c != "html"]
     return pages.select(*rest, F.posexplode(found).alias("pos", "href")).select(
         *rest, "pos", F.concat(F.lit(host), F.col("href")).alias("link")
@@ -88,7 +107,7 @@ def links(pages: DataFrame, host: str = "", card_class: str | None = CARD_CLASS)
 def profile(html: Column, all_blanks: bool = False) -> Column:
     """The named list items of a page's profile section as a map; empty keys or values are left out, the last of equal
     keys wins. `all_blanks` removes every blank inside a key instead of plain and non-breaking spaces only."""
-    return _walked(html, all_blanks)["profile"]
+    return _walked(html, all_blanks, PROFILE_FORM)["profile"]
 
 
 def profiles(pages: DataFrame, all_blanks: bool = False) -> DataFrame:

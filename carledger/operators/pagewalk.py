@@ -1,8 +1,11 @@
 """One walk over a page's markup that finds the parts of a listing. Runs on Arrow batches in Spark's Python workers.
 
 Elements are found by class paths: each class belongs to an ancestor of the next one. A part ends where its element ends,
-whatever lies behind it. Markup is read as browsers do where that matters here: tags and attribute names in any case, values
-in double, single or no quotes, every character reference, list items and paragraphs that are never closed.
+whatever lies behind it. Markup is read as browsers do where that matters here: tags and attribute names in any case and whole
+(`data-class` is no class), values in double, single or no quotes, the first of equal attributes, every character reference,
+list items and paragraphs that are never closed, no markup inside comments, scripts and styles.
+
+Pages of a site repeat the same tags, so a tag is read once and remembered by its text.
 """
 
 from __future__ import annotations
@@ -16,12 +19,19 @@ from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need no copy of this package
 
-_TAG = re.compile(r"<!--.*?-->|<(/?)([a-zA-Z][^\s/>]*)((?:[^'\">]|\"[^\"]*\"|'[^']*')*+)>", re.S)
-_CLASS = re.compile(r"\bclass\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HREF = re.compile(r"\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_REST = r"(?:[^'\">]|\"[^\"]*\"|'[^']*')*+>"
+# A comment, a script or style with all it holds, or a tag.
+_TAG = re.compile(
+    rf"(<!--.*?-->|<script(?=[\s/>]){_REST}.*?(?=</script|\Z)|<style(?=[\s/>]){_REST}.*?(?=</style|\Z)|</?[a-zA-Z][^\s/>]*{_REST})", re.S | re.I
+)
+_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+# In attributes a reference without semicolon is none if a letter, a digit or = follows.
+_REFERENCE = re.compile(r"&(?:#\d+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*(?:;|(?![=A-Za-z0-9;])))")
+_REMEMBERED, _SHORT = 5_000, 120  # tags that are remembered, and their longest text
 # Tags as HTML defines them.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset(("script", "style"))
+_COMMENT, _CLOSE, _OPEN = range(3)
 
 
 class Form(NamedTuple):
@@ -52,103 +62,136 @@ class _Part:
         return "".join([n.strip() for n in self.nodes])
 
 
-def _value(found: re.Match | None) -> str:
-    return "" if found is None else next((g for g in found.groups() if g is not None), "")
+def attribute_text(value: str) -> str:
+    """The value of an attribute with its character references decoded."""
+    return _REFERENCE.sub(lambda m: unescape(m[0]), value) if "&" in value else value
+
+
+def attribute(tag: str, name: str) -> str:
+    """The value of an attribute of a tag's text, '' if it has none."""
+    for m in _ATTRIBUTE.finditer(tag, _NAME.match(tag).end()):
+        if m[1].lower() == name:
+            return attribute_text(next((g for g in m.groups()[1:] if g is not None), ""))
+    return ""
+
+
+class Tags:
+    """Tags by their text: kind, name, classes that a form asks for."""
+
+    def __init__(self, form: Form):
+        rules = {"title": form.title, "crumbs": form.crumbs, "new_price": form.new_price}
+        rules |= {f"price {k}": path for k, path in enumerate(form.prices)}
+        self.ends: dict[str, list[tuple[str, tuple[str, ...]]]] = {}
+        for rule, path in rules.items():
+            if path:
+                self.ends.setdefault(path[-1], []).append((rule, path[:-1]))
+        self.wanted = {c for path in [*rules.values(), form.item_list] for c in path} | {form.item_name, form.card}
+        self.known: dict[str, tuple[int, str, tuple[str, ...]]] = {}
+
+    def read(self, text: str) -> tuple[int, str, tuple[str, ...]]:
+        if text.startswith("<!--"):
+            return _COMMENT, "", ()
+        name = _NAME.match(text)[1].lower()
+        if text[1] == "/":
+            found = _CLOSE, name, ()
+        else:
+            classes = dict.fromkeys(attribute(text, "class").split()) if "class" in text.lower() else {}
+            found = _OPEN, name, tuple(c for c in classes if c in self.wanted)
+        if len(text) <= _SHORT:
+            if len(self.known) >= _REMEMBERED:
+                self.known.clear()
+            self.known[text] = found
+        return found
 
 
 class Page:
     """What a walk finds: `first` texts by rule, the profile's items as (name, text), and the links of cards."""
 
-    def __init__(self, html: str, form: Form):
+    def __init__(self, html: str, form: Form, tags: Tags):
         self.first: dict[str, str | None] = {}
         self.items: list[tuple[str, str]] = []
         self.links: list[str] = []
-        self._form = form
-        self._rules = {"title": form.title, "crumbs": form.crumbs, "new_price": form.new_price}
-        self._rules |= {f"price {k}": path for k, path in enumerate(form.prices)}
-        self._ends = {path[-1]: [] for path in self._rules.values()}
-        for rule, path in self._rules.items():
-            self._ends[path[-1]].append((rule, frozenset(path[:-1])))
-        self._wanted = {c for path in [*self._rules.values(), form.item_list] for c in path} | {form.item_name, form.card}
+        self._form, self._tags = form, tags
         self._section: int | None = None  # depth of the first profile section, 0 when it has ended
+        self._stack: list[str] = []  # names of the open elements
+        self._classes: list[tuple[str, ...]] = []  # and those of their classes that are asked for
+        self._above: dict[str, int] = {}  # how many open elements have a class
+        self._parts: list[_Part] = []
         self._walk(html)
 
+    def _end(self, depth: int) -> None:
+        """Closes all elements deeper than `depth`."""
+        stack, classes, parts = self._stack, self._classes, self._parts
+        while len(stack) > depth:
+            stack.pop()
+            for c in classes.pop():
+                self._above[c] -= 1
+        while parts and parts[-1].depth > depth:
+            self._finish(parts.pop(), parts)
+        if self._section and depth < self._section:
+            self._section = 0
+
+    def _close(self, tag: str, bounds: frozenset[str]) -> None:
+        stack = self._stack
+        for k in range(len(stack) - 1, -1, -1):
+            if stack[k] == tag:
+                self._end(k)
+                return
+            if stack[k] in bounds:
+                return
+
     def _walk(self, html: str) -> None:
-        stack: list[tuple[str, frozenset[str]]] = []
-        parts: list[_Part] = []
-        form, at = self._form, 0
-        none: frozenset[str] = frozenset()
-
-        def end(depth: int) -> None:
-            """Closes all elements deeper than `depth`."""
-            del stack[depth:]
-            while parts and parts[-1].depth > depth:
-                self._finish(parts.pop(), parts)
-            if self._section and depth < self._section:
-                self._section = 0
-
-        def close(tag: str, bounds: frozenset[str]) -> None:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    end(k)
-                    return
-                if stack[k][0] in bounds:
-                    return
-
-        for m in _TAG.finditer(html):
-            if m.start() < at:
-                continue
-            if parts and m.start() > at:
-                text = html[at : m.start()]
+        stack, parts, known, read = self._stack, self._parts, self._tags.known, self._tags.read
+        card, none = self._form.card, frozenset()
+        pieces = _TAG.split(html)  # text, tag, text, ..., text
+        for i in range(1, len(pieces), 2):
+            if parts and (text := pieces[i - 1]):
                 text = unescape(text) if "&" in text else text
                 for p in parts:
                     p.nodes.append(text)
-            at = m.end()
-            tag = m[2]
-            if tag is None:
-                continue
-            tag = tag.lower()
-            if m[1]:
-                close(tag, none)
-                continue
-            if tag == "li":
-                close("li", _LISTS)
-            elif tag == "p" or tag in _BLOCKS:
-                close("p", _BLOCKS)
-            attributes = m[3]
-            classes = none
-            if attributes and ("class" in attributes or "CLASS" in attributes.upper()):
-                classes = frozenset(c for c in _value(_CLASS.search(attributes)).split() if c in self._wanted)
-            above = {c for _, cs in stack for c in cs} if classes or tag in ("li", "a") else none
-            if tag not in _VOID:
-                stack.append((tag, classes))
-            self._open(tag, classes, above, len(stack), parts, attributes)
-            if tag in _RAW:
-                close_at = re.compile(f"</{tag}", re.I).search(html, at)
-                at = close_at.start() if close_at else len(html)
-        if parts and at < len(html):
+            found = known.get(pieces[i])
+            kind, tag, classes = read(pieces[i]) if found is None else found
+            if kind == _OPEN:
+                if tag == "li":
+                    self._close("li", _LISTS)
+                elif tag in _ENDS_P:
+                    self._close("p", _BLOCKS)
+                depth = len(stack) + (tag not in _VOID)
+                if classes or tag == "li" or tag == "a":
+                    self._open(tag, classes, depth, pieces[i] if tag == "a" and self._above.get(card) else "")
+                if depth > len(stack):
+                    stack.append(tag)
+                    self._classes.append(classes)
+                    for c in classes:
+                        self._above[c] = self._above.get(c, 0) + 1
+            elif kind == _CLOSE:
+                if stack and stack[-1] == tag:
+                    self._end(len(stack) - 1)
+                else:
+                    self._close(tag, none)
+        if parts and pieces[-1]:
             for p in parts:
-                p.nodes.append(unescape(html[at:]))
-        end(0)
+                p.nodes.append(unescape(pieces[-1]))
+        self._end(0)
 
-    def _open(self, tag: str, classes: frozenset[str], above: set[str], depth: int, parts: list[_Part], attributes: str) -> None:
-        form = self._form
+    def _open(self, tag: str, classes: tuple[str, ...], depth: int, link: str) -> None:
+        form, parts, above = self._form, self._parts, self._above
         for c in classes:
-            for rule, ancestors in self._ends.get(c, ()):
-                if rule not in self.first and ancestors <= above:
+            for rule, ancestors in self._tags.ends.get(c, ()):
+                if rule not in self.first and all(above.get(a) for a in ancestors):
                     self.first[rule] = None
                     parts.append(_Part(rule, depth))
             if c == form.item_list[0] and self._section is None:
                 self._section = depth
             if c == form.item_name and any(p.rule == "item" and p.name is None for p in parts):
                 parts.append(_Part("name", depth))
-        if tag == "li" and self._section and form.item_list[-1] in above:
+        if tag == "li" and self._section and above.get(form.item_list[-1]):
             parts.append(_Part("item", depth))
         if tag == "a":
             if any(p.rule == "crumbs" for p in parts):
                 parts.append(_Part("crumb", depth))
-            if form.card in above:
-                href = unescape(_value(_HREF.search(attributes)))
+            if link:
+                href = attribute(link, "href")
                 if href:
                     self.links.append(href)
 
@@ -189,5 +232,12 @@ _LISTS = frozenset(("ul", "ol", "menu"))
 _BLOCKS = frozenset("div ul ol dl table section article aside header footer nav main form h1 h2 h3 h4 h5 h6 blockquote pre hr".split())
 
 
+_ENDS_P = _BLOCKS | {"p"}
+_TAGS: dict[Form, Tags] = {}
+
+
 def walk(html: str | None, form: Form) -> Page:
-    return Page(html or "", form)
+    tags = _TAGS.get(form)
+    if tags is None:
+        tags = _TAGS[form] = Tags(form)
+    return Page(html or "", form, tags)

@@ -333,7 +333,10 @@ ORACLES: dict[str, str] = {
               FROM (SELECT page_id, list_filter(regexp_extract_all(html, '<a\\b[^>]*\\bhref="([^"]*)"', 1),
                                                 lambda x: x <> '') AS h FROM pages))""",
     "e1_card_links": """SELECT p_partkey AS page_id, pos, 'https://listings.invalid/lot/' || p_partkey || tail AS link
-        FROM part, (VALUES (0, '.html?a=1&b=2'), (1, '.html'), (2, '.html')) t(pos, tail)""",
+        FROM part, (VALUES (0, '.html?a=1&b=2'), (1, '.html'), (2, '.html'), (3, '.éA?x=1&copy=2')) t(pos, tail)""",
+    "e1_page_links": """SELECT p_partkey AS page_id, pos, 'https://listings.invalid' || replace(link, '#', p_partkey::VARCHAR) AS link
+        FROM part, (VALUES (0, '/top'), (1, '/lot/#.html?a=1&b=2'), (2, '/lot/#.html'), (3, '/ad'), (4, '/lot/#.html'),
+                           (5, '/lot/#.éA?x=1&copy=2')) t(pos, link)""",
     "e2_profile_kv": _with(f"{PAGES}, {_ENTRIES}", "SELECT url, key, value FROM profile"),
     "e3_title_split": _with(
         PARTS, f"SELECT url, {_BRAND} FROM tokens WHERE {_STRIPPED.format('title')} <> ''"

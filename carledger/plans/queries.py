@@ -104,6 +104,12 @@ def e1_card_links(spark, sf):
     return extract.links(D.list_pages(spark, sf), HOST)
 
 
+@query
+def e1_page_links(spark, sf):
+    """All links of pages with attributes of longer names, quoted signs, references, comments and scripts."""
+    return extract.links(D.list_pages(spark, sf), HOST, card_class=None)
+
+
 @query
 def e2_profile_kv(spark, sf):
     pages = D.detail_pages(spark, sf).select("url", "html")

@@ -168,10 +168,10 @@ def make_detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     heading = F.when(untitled | (part % 7 == 0), empty).otherwise(
-        join('<h3 class="car-brand-name top">', title, "</h3>")
+        join('<p data-class="car-brand-name">no title</p><h3 data-x="a > b" class="car-brand-name top">', title, "</h3>")
     )
     price = F.when((order % 109 == 0) | (part % 13 == 0), empty).otherwise(
-        join('<span class="price">￥', F.col("current_price"), "</span>")
+        join('<b data-class="price">no price</b><span class="price">￥', F.col("current_price"), "</span>")
     )
     new_price = (
         F.when(part % 5 == 0, empty)
@@ -241,17 +241,21 @@ def _respelled(html: Column) -> Column:
 
 
 def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One list page for each part: two cards with links between links outside of cards."""
+    """One list page for each part: cards with links between links outside of cards; attributes with longer names, quoted signs,
+    references, and links in comments and scripts."""
     key = F.col("p_partkey").cast("string")
     join = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
     html = join(
         '<a href="/top">top</a><ul><li class="cards-li list-photo"><a class="carinfo" href="/lot/',
         key,
-        '.html?a=1&amp;b=2">x</a><a href="">y</a><a href="/lot/',
+        '.html?a=1&amp;b=2">x</a><a href="">y</a><!-- <a href="/old"> --><a data-href="/wrong" href="/lot/',
         key,
-        '.html">z</a></li><li class="ad"><a href="/ad">ad</a></li><li class="cards-li"><a href="/lot/',
+        '.html">z</a></li><li class="ad" data-class="cards-li"><a href="/ad">ad</a></li><li data-class="ad" class="cards-li">',
+        "<script>'<a href=\"/script\">'</script><a title=\"a > b href='/no'\" href='/lot/",
         key,
-        '.html">z</a></li></ul>',
+        ".html'>z</a><a\nHREF=/lot/",
+        key,
+        ".&eacute;&#x41;?x=1&copy=2>w</a></li></ul>",
     )
     return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("page_id"), html.alias("html"))
 

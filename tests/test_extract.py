@@ -168,3 +168,33 @@ def test_nested_items_and_sections(spark):
     assert profile_of(spark, items) == {"b": "2", "a": "1b2"}
     cards = '<div class="cards-li"><a href="/1"></a><div class="cards-li"><a href="/2"></a></div></div>'
     assert [r.link for r in E.links(pages(spark, cards)).collect()] == ["/1", "/2"]
+
+
+ODD_LINKS = (
+    '<a data-href="/wrong" href="/right">a</a><a title="x > y href=\'/no\'" href="/q">b</a><!-- <a href="/comment"> -->'
+    "<script>\"<a href='/script'>\"</script><style><a href=/style></style><A\nHREF='/v'>c</A><a x=1 href=/u/w?a=b>d</a>"
+    '<a href="/n&eacute;&#233;&#xE9;&notin;x&copy=1&amp;y">e</a><a href="">f</a><a href="/1" href="/2">g</a><abbr href="/not">h</abbr>'
+    "<a/href=/s>i</a><a hreflang='x'>j</a>"
+)
+ODD_TARGETS = ["/right", "/q", "/v", "/u/w?a=b", "/néééé∉x&copy=1&y".replace("éééé", "ééé"), "/1", "/s"]
+
+
+def test_links_with_odd_attributes(spark):
+    card = f'<li class="cards-li">{ODD_LINKS}</li>'
+    for found in (E.links(pages(spark, ODD_LINKS), card_class=None), E.links(pages(spark, card))):
+        assert [r.link for r in found.orderBy("pos").collect()] == ODD_TARGETS
+
+
+def test_attributes_with_longer_names_choose_nothing(spark):
+    html = (
+        '<div data-class="car-box"><h3 class="car-brand-name">not in a box</h3></div><div title=\'class="car-box"\'><h3 class="car-brand-name">nor here</h3></div>'
+        '<div class="car-box" class="x"><p data-class="car-brand-name">wrong</p><h3 x="a>b" CLASS=car-brand-name>B 2020款 right</h3>'
+        '<div class="brand-price-item"><span aria-class="price">1万</span><span class="price">2万</span></div></div>'
+    )
+    got = one(spark, html)
+    assert (got.title, got.price) == ("B 2020款 right", "2万")
+
+
+def test_profile_alone_is_what_the_whole_walk_finds(spark):
+    both = pages(spark, PAGE).select(E.profile(F.col("html")).alias("p"))
+    assert both.collect()[0].p == one(spark, PAGE).profile
