@@ -3,11 +3,12 @@
 A text is cut into sentences after . ! ? and line breaks, after words that their hash chooses, so that cuts do not depend
 on what stands before, and after `LONGEST` words at last. Each sentence opens a span: itself and the next ones until there are at
 least `SENTENCES` sentences and `WORDS` words. Spans are hashed and counted over the whole corpus, with partial counts in
-every batch. The first place of a span is its smallest (doc_id, sentence); the sentences of every other place are removed.
+every batch. The first place of a span is its smallest (doc_id, hash of the text, sentence); the sentences of every other place
+are removed.
 
 Cases: null and empty texts have no sentences and stay as they are; texts shorter than a span are never touched; repeated
-rows with equal doc_id and text are one document, so their spans are first in each; documents without id come first and
-count as one; repeats inside a text are removed too; long texts are read whole; only doc_id and text are read, so other
+rows with equal doc_id and text are one document, so their spans are first in each; rows of one doc_id with different texts are
+documents of their own, and so are those without id, which come first; repeats inside a text are removed too; long texts are read whole; only doc_id and text are read, so other
 columns can have any name.
 """
 
@@ -21,12 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carledger.llm.bytewords import Hasher, Words, batch_words, mix, space_table, text_buffer, tidied
-from carledger.llm.tables import may_hold, membership, stored
+from carledger.llm.tables import fitting, may_hold, membership, stored
 
 SENTENCES = 3  # of a span, at least
 WORDS = 20  # of a span, at least
 LONGEST = 12  # words of a sentence that nothing else ends
-FILTER_BITS = 26  # of the filter of repeated spans: 8 MiB
+FILTER_BITS = 26  # of the filter of repeated spans at most, 8 MiB; smaller for few spans. More than fit only let more through
 CUT = 8  # one word in so many ends a sentence by its hash
 
 
@@ -81,30 +82,32 @@ def _scan(docs: DataFrame, columns: list[str], emit, schema: str) -> DataFrame:
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """span, first_id, first_at of every span that occurs more than once."""
+    """span, first_id, first_print, first_at of every span that occurs more than once."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def emit(batch, data, s):
         # In a batch, a span keeps its first place for each document, and how often it occurs in all.
         spans, first, n = np.unique(s.hashes, return_index=True, return_counts=True)
         doc = s.doc[s.at[first]]
-        if len(np.unique(s.doc)) > 1 and (n > 1).any():  # the smallest doc_id must win, not the first in the batch
+        if len(np.unique(s.doc)) > 1 and (n > 1).any():  # the smallest place must win, not the first in the batch
             ids = batch.column(1).to_pandas().rank(method="min").fillna(0).to_numpy()
-            order = np.lexsort((s.at, ids[s.doc[s.at]], s.hashes))
-            doc, first = s.doc[s.at[order[np.r_[0, np.cumsum(n)[:-1]]]]], order[np.r_[0, np.cumsum(n)[:-1]]]
-        at = (s.at[first] - s.first[doc]).astype(np.int32)
-        columns = [pa.array(spans.view(np.int64)), batch.column(1).take(pa.array(doc)), pa.array(at), pa.array(n.astype(np.int32))]
-        return pa.RecordBatch.from_arrays(columns, names=["span", "doc_id", "at", "n"])
+            order = np.lexsort((s.at, batch.column(2).to_numpy()[s.doc[s.at]], ids[s.doc[s.at]], s.hashes))
+            first = order[np.r_[0, np.cumsum(n)[:-1]]]
+            doc = s.doc[s.at[first]]
+        at, rows = (s.at[first] - s.first[doc]).astype(np.int32), pa.array(doc)
+        columns = [pa.array(spans.view(np.int64)), batch.column(1).take(rows), batch.column(2).take(rows), pa.array(at), pa.array(n.astype(np.int32))]
+        return pa.RecordBatch.from_arrays(columns, names=["span", "doc_id", "print", "at", "n"])
 
-    found = _scan(docs, ["doc_id"], emit, f"span long, doc_id {kind}, at int, n int")
-    first = found.groupBy("span").agg(F.sum("n").alias("n"), F.min(F.struct("doc_id", "at")).alias("first"))
-    return first.where("n > 1").select("span", F.col("first.doc_id").alias("first_id"), F.col("first.at").alias("first_at"))
+    docs = docs.select("text", "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("print"))
+    found = _scan(docs, ["doc_id", "print"], emit, f"span long, doc_id {kind}, print long, at int, n int")
+    first = found.groupBy("span").agg(F.sum("n").alias("n"), F.min(F.struct("doc_id", "print", "at")).alias("first"))
+    return first.where("n > 1").select("span", *(F.col(f"first.{c}").alias(f"first_{d}") for c, d in (("doc_id", "id"), ("print", "print"), ("at", "at"))))
 
 
 def _places(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """doc_id, print, span, at, stop of the spans that pass a filter of `spans`."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    packed = docs.sparkSession.sparkContext.broadcast(membership(spans, "span", FILTER_BITS))
+    packed = docs.sparkSession.sparkContext.broadcast(membership(spans, "span", fitting(spans, FILTER_BITS)))
 
     def emit(batch, data, s):
         held = np.flatnonzero(may_hold(packed.value, s.hashes))
@@ -114,7 +117,7 @@ def _places(docs: DataFrame, spans: DataFrame) -> DataFrame:
         columns = [batch.column(1).take(rows), batch.column(2).take(rows), pa.array(s.hashes[held].view(np.int64)), *places]
         return pa.RecordBatch.from_arrays(columns, names=["doc_id", "print", "span", "at", "stop"])
 
-    docs = docs.select("text", "doc_id", F.xxhash64("text").alias("print"))
+    docs = docs.select("text", "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("print"))
     return _scan(docs, ["doc_id", "print"], emit, f"doc_id {kind}, print long, span long, at int, stop int")
 
 
@@ -157,7 +160,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     spans = stored(repeated(docs))
     places = _places(docs, spans).join(spans, "span")
-    other = places.where("not (doc_id <=> first_id and at = first_at)")
+    other = places.where("not (doc_id <=> first_id and print = first_print and at = first_at)")
     # Overlapping ranges may be many; neighbours are cut to one entry for each first sentence.
     gone = (
         other.groupBy("doc_id", "print", "at")
@@ -166,7 +169,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         .agg(F.collect_list(F.struct("at", "stop")).alias("gone"), F.array_sort(F.collect_set("first_id")).alias("copied_from"))
         .withColumnsRenamed({"doc_id": "_id", "print": "_print"})
     )
-    own = docs.select("doc_id", "text", F.xxhash64("text").alias("print"))
+    own = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("print"))
     joined = own.join(gone, own["doc_id"].eqNullSafe(gone["_id"]) & (own["print"] == gone["_print"]), "left")
     none = F.array().cast(f"array<{kind}>")
     return _cut(joined.select("text", "doc_id", "gone", F.coalesce("copied_from", none).alias("copied_from")), kind)

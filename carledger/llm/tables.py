@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from carledger.session import shared_dir
 
 FILTER_BITS = 23  # a membership filter has 2^23 bits (1 MiB) unless told otherwise, whatever the number of keys
+BATCH_BYTES = 8 << 20  # of an Arrow batch, or one row
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Texts are long: Arrow batches of a thousand of them keep the buffers of a task small on both sides."""
+    """Texts are long: Arrow batches of a thousand of them, or of BATCH_BYTES, keep the buffers of a task small on both sides."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 
@@ -46,6 +48,11 @@ def numbered(df: DataFrame, name: str = "_row") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def fitting(keys: DataFrame, most: int) -> int:
+    """Bits (as a power of two) of a filter with 16 bits a key, `most` at most."""
+    return min(most, max(FILTER_BITS, (16 * keys.count()).bit_length()))
+
+
 def membership(keys: DataFrame, key: str, bits: int = FILTER_BITS) -> np.ndarray:
     """A filter of 2^bits bits with the bit of each 64-bit key set; keys are hashes already. Spark sets the bits, the driver
     gets at most 2^bits / 32 numbers. More keys let more others through, and never lose one."""
