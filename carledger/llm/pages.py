@@ -34,6 +34,7 @@ INLINE = set("a abbr b bdi bdo big br cite code data del dfn em font i img input
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = set("script style noscript template textarea title svg select iframe object canvas head".split())
 RAW = set("script style noscript textarea title iframe".split())
+HEAD = set("title meta link base script style noscript template".split())  # what may stand in a head; all else ends it
 CLOSES = {  # tags that end an open element of the same kind, up to the parent that bounds it
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
     "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tr": ({"tr"}, {"table"}),
@@ -41,7 +42,7 @@ CLOSES = {  # tags that end an open element of the same kind, up to the parent t
 }
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)(?:>|\Z)", re.S)
-_NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_NAMED = re.compile(r"[\s/'\"](?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile("[a-z]+")
 
 
@@ -63,6 +64,8 @@ def blocks(page: str) -> list[Block]:
 
     def text_to(end: int) -> None:
         nonlocal in_links
+        if stack[-1][0] == "head" and page[at:end].strip():
+            stack.pop()
         if end > at and not any(tag in HIDDEN for tag, _ in stack):
             text = markup.unescape(page[at:end])
             pieces.append(text)
@@ -95,6 +98,8 @@ def blocks(page: str) -> list[Block]:
         if not m[2]:
             continue
         tag = m[2].lower()
+        if not m[1] and tag not in HEAD and any(name == "head" for name, _ in stack[:3]):
+            close({"head"}, set())
         if tag == "br":
             pieces.append(" ")
         elif tag not in INLINE:
