@@ -629,4 +629,15 @@ ORACLES: dict[str, str] = {
     ),
     "g3_except_all": _with(_CRAWLS, "SELECT * FROM old EXCEPT ALL SELECT * FROM new"),
     "g3_intersect_all": _with(_CRAWLS, "SELECT * FROM old INTERSECT ALL SELECT * FROM new"),
+    "i1_incremental_stats": _with(
+        f"""{CLEAN}, cents AS (
+          SELECT brand, round(TRY_CAST(current_price AS DOUBLE) * 100)::BIGINT AS c, round(TRY_CAST(new_price AS DOUBLE) * 100)::BIGINT AS w FROM clean),
+        sums AS (SELECT brand, count(*) AS listings, sum(c) / count(c) / 100 AS avg_price,
+          (sum(w) FILTER (c > 0 AND w > 0)) / (count(*) FILTER (c > 0 AND w > 0)) / 100 AS avg_new_price,
+          (sum(c) FILTER (c > 0 AND w > 0)) / (count(*) FILTER (c > 0 AND w > 0)) / 100 AS avg_current_price FROM cents GROUP BY brand)""",
+        "SELECT *, (avg_new_price - avg_current_price) / avg_new_price * 100 AS price_drop_percent FROM sums",
+    ),
+    "i2_frequent_pairs": _with(
+        LISTING, "SELECT brand, model, count(*) AS n FROM raw GROUP BY ALL HAVING count(*) > 0.001 * (SELECT count(*) FROM raw)"
+    ),
 }

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from carledger.functions import text as X
 from carledger.functions.typed import age_years, days_since, to_date, to_float, to_int
 from carledger.operators import cells as K
-from carledger.operators import checkput, clean, extract, groupings, mutations, stats, timeline
+from carledger.operators import checkput, clean, extract, groupings, incremental, mutations, stats, timeline
 from carledger.operators.rowid import row_id
 from carledger.plans.pipeline import PUBLISHED, statistics
 from carledger.schema import CELL, ELECTRIC, GASOLINE
@@ -767,3 +767,20 @@ def g3_except_all(spark, sf):
 @query
 def g3_intersect_all(spark, sf):
     return groupings.intersect_all(*_crawls(spark, sf))
+
+
+@query
+def i1_incremental_stats(spark, sf):
+    """Statistics from a stored state of older listings and two later batches, one after the other."""
+    typed = D.typed_listings(spark, sf)
+    year = F.coalesce(F.year("post_date"), F.lit(1997))
+    folder = f"{shared_dir(spark)}/state-{uuid.uuid4().hex}"
+    incremental.state(typed.filter(year < 1997)).write.parquet(f"{folder}/0")
+    incremental.advance(f"{folder}/0", typed.filter(year == 1997), f"{folder}/1")
+    return incremental.brand_summary(incremental.advance(f"{folder}/1", typed.filter(year > 1997), f"{folder}/2"))
+
+
+@query
+def i2_frequent_pairs(spark, sf):
+    """Brand and model pairs that make up more than 0.1 % of the listings."""
+    return incremental.frequent(D.raw_listings(spark, sf), ["brand", "model"], 0.001)
