@@ -28,9 +28,27 @@ def stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/step-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _STEPS.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_STEPS: list[str] = []  # folders that this process has stored
+
+
+def steps() -> int:
+    """How many steps have been stored so far."""
+    return len(_STEPS)
+
+
+def drop_steps(spark: SparkSession, since: int) -> None:
+    """Deletes the folders of the steps stored since `since` but for the newest, which nothing else reads: for a run of stages in
+    which each stage is stored as the next one's input, and no other thread stores steps meanwhile."""
+    files = spark._jvm.org.apache.hadoop.fs.Path
+    for path in _STEPS[since:-1]:
+        files(path).getFileSystem(spark._jsc.hadoopConfiguration()).delete(files(path), True)
+    del _STEPS[since:-1]
+
+
 def narrow(df: DataFrame) -> DataFrame:
     """For rows of a few numbers, such as links: a sixteenth of the shuffle partitions, which are meant for whole texts."""
     return df.coalesce(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 16))

@@ -1,6 +1,7 @@
 """The registered queries over the smallest data against SQL, plain answers, the tokenizers library or held-out labels."""
 
 import html
+import os
 import re
 import zlib
 
@@ -12,6 +13,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from carledger.llm import boilerplate, language, neardup, private, spans, tables
 from carledger.llm.queries import ORACLES, QUERIES
+from carledger.session import shared_dir
 from tests.llm import brute
 
 TOKENIZER = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
@@ -156,6 +158,14 @@ def test_stages_equal_plain_answers(spark, sf_dir):
 tables_stored = tables.stored
 
 
+def test_steps_of_a_run_go(spark, sf_dir):
+    folder = os.path.join(shared_dir(spark).removeprefix("file:"), spark.sparkContext.applicationId)
+    kept = {f for f in os.listdir(folder) if f.startswith("step-")} if os.path.isdir(folder) else set()
+    found = corpus_pipeline.run(spark, sf_dir)
+    new = {f for f in os.listdir(folder) if f.startswith("step-")} - kept
+    assert len(new) == 1 and found.count() > 0
+
+
 def test_a_large_group_of_near_copies(spark, documents):
     """Blocks of one group, members outside its largest component included, against all pairs."""
     rng = np.random.default_rng(1)
