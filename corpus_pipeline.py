@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from carledger.llm import boilerplate, bpe, decontaminate, language, neardup
 from carledger.llm.queries import WORD_BPE
-from carledger.llm.tables import prepare, stored
+from carledger.llm.tables import drop_steps, prepare, steps, stored
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +52,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of `sf_dir`."""
+    """All stages over the documents of `sf_dir`. Of the folders written on the way only the newest stays."""
+    since = steps()
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir))
+        drop_steps(spark, since)
     return docs
