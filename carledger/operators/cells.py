@@ -59,6 +59,9 @@ def publish(tables: dict[str, DataFrame], chosen: list[str] | None = None, **opt
     return reduce(DataFrame.unionByName, [to_cells(tables[n], n, **options) for n in names])
 
 
+MAX_COLUMNS = 100_000  # cells of a row that are returned or sent at once
+
+
 def write_cells(cells: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K3: store cells by table, in key order, so that key ranges prune row groups on reading."""
     order = [*CELL, F.col("ts").desc()]
@@ -71,14 +74,15 @@ def write_cells(cells: DataFrame, path: str, mode: str = "overwrite") -> None:
     )
 
 
-def upload(cells: DataFrame, put: Callable[[str, str, dict[str, str]], None]) -> DataFrame:
-    """K3: call `put(tbl, row_key, {"family:qualifier": value})` once for each row, from the executors, now.
+def upload(cells: DataFrame, put: Callable[[str, str, dict[str, str]], None], max_columns: int = MAX_COLUMNS) -> DataFrame:
+    """K3: call `put(tbl, row_key, {"family:qualifier": value})` once for each row, from the executors, now; for a row of more
+    than `max_columns` cells once for each part of it.
 
     Returns the rejected rows with the reason, stored, so that reading them sends nothing again. Of several versions of a
     cell the newest is sent. Puts carry their own timestamps, so a task that Spark retries may repeat them.
     """
     entry = F.struct(F.concat_ws(":", "family", "qualifier").alias("column"), F.col("value"))
-    rows = latest(cells).groupBy(*ROW).agg(F.map_from_entries(F.collect_list(entry)).alias("columns"))
+    rows = _by_row(latest(cells), max_columns).agg(F.map_from_entries(F.collect_list(entry)).alias("columns"))
 
     def send(batches: Iterator) -> Iterator:
         for batch in batches:
@@ -248,11 +252,9 @@ def first_rows(cells: DataFrame, n: int, start: str = "", reverse: bool = False,
     return chosen.join(keys, ROW, "left_semi").select(*cells.columns)
 
 
-def _by_row(cells: DataFrame, max_columns: int | None) -> GroupedData:
-    """Cells grouped by row. With `max_columns`, a wider row makes several groups of about that size, numbered by `part`,
-    as a batched scan would return it. There are few such rows, if any: they are found by a count with a map-side half."""
-    if max_columns is None:
-        return cells.groupBy(*ROW)
+def _by_row(cells: DataFrame, max_columns: int) -> GroupedData:
+    """Cells grouped by row. A row wider than `max_columns` makes several groups of about that size, numbered by `part`, as a
+    batched scan would return it. There are few such rows, if any: they are found by a count with a map-side half."""
     wide = (
         cells.groupBy(*ROW)
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -263,16 +265,17 @@ def _by_row(cells: DataFrame, max_columns: int | None) -> GroupedData:
     return cells.join(wide, ROW, "left").withColumn("part", part).groupBy(*ROW, "part")
 
 
-def row_maps(cells: DataFrame, max_columns: int | None = None) -> DataFrame:
+def row_maps(cells: DataFrame, max_columns: int = MAX_COLUMNS) -> DataFrame:
     """One row for each key with a map of `family:qualifier` to (value, ts). Takes newest cells.
 
-    With `max_columns` the result has `part`, and rows wider than that come in several parts with the same key.
+    `part` is 0, but for rows wider than `max_columns`: these come in several parts with the same key, so that no task holds
+    a row of any width whole.
     """
     entry = F.struct(F.concat_ws(":", "family", "qualifier"), F.struct("value", "ts"))
     return _by_row(cells, max_columns).agg(F.map_from_entries(F.collect_list(entry)).alias("columns"))
 
 
-def row_lists(cells: DataFrame, max_columns: int | None = None) -> DataFrame:
+def row_lists(cells: DataFrame, max_columns: int = MAX_COLUMNS) -> DataFrame:
     """As `row_maps`, with the columns as a list sorted by name."""
     entry = F.struct(
         F.concat_ws(":", "family", "qualifier").alias("column"), F.struct("value", "ts").alias("cell")
