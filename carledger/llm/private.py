@@ -12,7 +12,9 @@ documents of the entity, are spans of kind `term` at all their places in all its
 removes those that reveal nearly all.
 
 Only entities of SUPPORT documents can be revealed, and as n(t, e) <= n(e), only by terms with n(t) <= sqrt(N n(e)) for a
-THRESHOLD of 0.5. The documents with entities that recur give a lower bound of n(t), which leaves out other pairs early.
+THRESHOLD of 0.5. The documents with entities that recur give a lower bound of n(t), which leaves out other pairs early. Entities
+of the same documents count once, and so do terms of the same ones among these: pairs are of such groups, so copies of a long
+list of addresses give one pair, not a product. What remains is that a document's groups of entities meet its groups of terms.
 
 Cases: null and empty texts have no spans; repeated rows each give a row and count each; a long text is searched whole;
 ties do not matter, as every term is judged alone; only doc_id and text are read, so other columns can have any name.
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carledger.llm.bytewords import Hasher, alnum_table, batch_words, text_buffer, tidied
@@ -162,6 +164,11 @@ def _term_counts(docs: DataFrame, keys: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(tidied(run), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
+def _prints(column: str) -> list[Column]:
+    """p, q: what names a set of values, by aggregation."""
+    return [F.bit_xor(F.xxhash64(column, F.lit(seed))).alias(name) for name, seed in (("p", 1), ("q", 2))]
+
+
 def find(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The carried columns and `spans` (kind, start, end, disclosure) of each row, by kind and start.
 
@@ -173,19 +180,25 @@ def find(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     own = rows.select("_row", F.explode("_entities").alias("entity"))
     n_entity = own.groupBy("entity").agg(F.count("*").alias("ne")).where(f"ne >= {SUPPORT}")
     own = stored(own.join(n_entity, "entity"))
+    # One entity stands for all of the same documents.
+    sets = own.groupBy("entity").agg(F.first("ne").alias("ne"), *_prints("_row"))
+    own = stored(own.join(sets.groupBy("ne", "p", "q").agg(F.min("entity").alias("entity")).select("entity"), "entity", "left_semi"))
     # The terms of each document with a recurring entity, and the most documents that a term may have there.
     most = F.pow(n, 1 - THRESHOLD) * F.pow("ne", THRESHOLD)
     held = own.groupBy("_row").agg(F.max(most).alias("most"))
     near = rows.select("_row", F.expr("array_distinct(transform(_terms, x -> x.key))").alias("keys"))
     near = near.join(held, "_row").select("_row", "most", F.explode("keys").alias("key"))
-    rare = near.groupBy("key").agg(F.count("*").alias("nt"), F.max("most").alias("most"))
-    rare = rare.where((F.col("nt") >= SUPPORT) & (F.col("nt") <= F.col("most") * (1 + 1e-9))).select("key", "nt")
-    pairs = near.select("_row", "key").join(rare, "key").join(own.withColumn("most", most), "_row").where(F.col("nt") <= F.col("most") * (1 + 1e-9))
+    rare = near.groupBy("key").agg(F.count("*").alias("nt"), F.max("most").alias("most"), *_prints("_row"))
+    rare = stored(rare.where((F.col("nt") >= SUPPORT) & (F.col("nt") <= F.col("most") * (1 + 1e-9))).drop("most"))
+    like = rare.groupBy("nt", "p", "q").agg(F.min("key").alias("like"))
+    rare = stored(rare.join(like, ["nt", "p", "q"]).select("key", "like", "nt"))
+    pairs = near.select("_row", "key").join(rare.where("key = like").drop("like"), "key").join(own.withColumn("most", most), "_row").where(F.col("nt") <= F.col("most") * (1 + 1e-9))
     pairs = pairs.groupBy("entity", "key").agg(F.count("*").alias("nte"), F.first("ne").alias("ne"), F.first("nt").alias("nt"))
     pmi, ic = F.log(n * F.col("nte") / (F.col("nt") * F.col("ne"))), F.log(n / F.col("ne"))
     disclosure = F.when(F.col("ne") < n, pmi / ic).otherwise(0.0)
     # These documents are some of those with the term, so this bounds the disclosure from above.
-    pairs = stored(pairs.where(f"nte >= {SUPPORT}").where(disclosure >= THRESHOLD).drop("nt"))
+    pairs = pairs.where(f"nte >= {SUPPORT}").where(disclosure >= THRESHOLD).select("entity", F.col("key").alias("like"), "nte", "ne")
+    pairs = stored(pairs.join(rare.drop("nt"), "like").drop("like"))
     counts = _term_counts(docs, pairs.select("key").distinct()).withColumnRenamed("n", "nt")
     scored = pairs.join(counts, "key").withColumn("disclosure", disclosure)
     telling = stored(scored.where(F.col("disclosure") >= THRESHOLD).select("entity", "key", "disclosure"))
