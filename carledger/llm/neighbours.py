@@ -167,7 +167,7 @@ _PAIRS = "cell int, part int, ask int, query long, nodes array<long>"
 
 def compare(table: pa.Table, size: int, take: int | None, centre: np.ndarray, turn: np.ndarray) -> pa.Table:
     """The nodes of a block worth measuring for each query of a block: the `take` best by estimate, or all that may lie within
-    the bound of the query."""
+    the bound of the query. And one row without query: all those nodes, each once."""
     is_query = table["is_query"].to_numpy(zero_copy_only=False)
     own, asked = table.filter(pa.array(~is_query)), table.filter(pa.array(is_query))
     cell = centre[table["cell"][0].as_py()]
@@ -184,8 +184,10 @@ def compare(table: pa.Table, size: int, take: int | None, centre: np.ndarray, tu
             else:
                 may = np.argpartition(guess, min(take, len(ids)) - 1)[:take]
             out.append(ids[may])
+        out.append(np.unique(np.concatenate(out)))
+        names = [*names.tolist(), None]
     else:
-        names = names[:0]
+        names = []
     unit = [pa.array([table[c][0].as_py()] * len(names), pa.int32()) for c in UNIT]
     return pa.table([*unit, pa.array(names, pa.int64()), pa.array(out, pa.list_(pa.int64()))], names=[*UNIT, "query", "nodes"])
 
@@ -302,7 +304,7 @@ def measured(found: Index, chosen: DataFrame, k: int) -> DataFrame:
     """query, node, score: the exact distances of the nearest of the chosen pairs. Only vectors that a block of queries asks for
     are sent to it."""
     vectors = found.classes.select("node", "vector")
-    needed = chosen.select(*UNIT, F.explode("nodes").alias("node")).distinct().join(vectors, "node")
+    needed = chosen.where("query is null").select(*UNIT, F.explode("nodes").alias("node")).join(vectors, "node")
     left = needed.select(*UNIT, F.lit(False).alias("is_query"), "node", "vector", F.lit(None).cast("array<long>").alias("nodes"))
     right = chosen.join(vectors.withColumnRenamed("node", "query"), "query")
     right = right.select(*UNIT, F.lit(True).alias("is_query"), F.col("query").alias("node"), "vector", "nodes")
