@@ -88,7 +88,6 @@ def frequent(df: DataFrame, columns: list[str], share: float) -> DataFrame:
     item = F.to_json(F.struct(*[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(columns)]), {"ignoreNullFields": "false"})
     items = df.select(*columns, item.alias("_item"))
     totals = items.agg(F.expr(f"approx_top_k(_item, {size // 2}, {size})").alias("top"), F.count(F.lit(1)).alias("_total"))
-    candidates = totals.select(F.explode("top.item").alias("_item"))
-    counted = items.join(F.broadcast(candidates), "_item", "left_semi").groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
-    total = totals.select("_total")
-    return counted.join(F.broadcast(total), F.col("n") > F.col("_total") * F.lit(share)).select(*columns, "n")
+    candidates = totals.select(F.explode("top.item").alias("_item"), "_total")
+    counted = items.join(F.broadcast(candidates), "_item").groupBy(*columns).agg(F.count(F.lit(1)).alias("n"), F.max("_total").alias("_total"))
+    return counted.filter(F.col("n") > F.col("_total") * F.lit(share)).select(*columns, "n")

@@ -155,23 +155,41 @@ def replay(log: DataFrame) -> DataFrame:
     appended; a cas puts it if the checked cell holds `expected` (null: is absent). The checked cell is the put one unless
     `check_family` and `check_qualifier` name another of the row.
 
-    -> `CELL, seq, op, applied, reason, value`, the value being the cell's after the operation (null: absent). The
-    operations of a row are streamed in order through one task, which holds the row's present cells and nothing else; each
-    may depend on any before, so a row is not split. Rows of puts and deletes alone need no replay, see `latest_visible`.
+    -> `CELL, seq, op, applied, reason, value`, the value being the cell's after the operation (null: absent). Only rows with a cas
+    that checks another cell must be streamed in order as a whole. All other rows are split: how many deletes of its row and of
+    its family come before an operation is counted over range partitions, however many operations the row has; then the
+    operations of each cell are streamed on their own, the cell being absent again whenever these numbers change. Rows of puts
+    and deletes alone need no replay, see `latest_visible`.
     """
     extra = [c for c in ("expected", "check_family", "check_qualifier") if c not in log.columns]
     whole = log.withColumns({c: F.lit(None).cast("string") for c in extra})
     columns = [*CELL, "seq", "op", "value", "expected", "check_family", "check_qualifier"]
-    ordered = whole.select(*columns).repartition(*ROW).sortWithinPartitions(*ROW, "seq")
+    whole = whole.select(*columns)
+    elsewhere = F.col("check_family").isNotNull() & ~((F.col("check_family") == F.col("family")) & F.col("check_qualifier").eqNullSafe(F.col("qualifier")))
+    tied = whole.filter((F.col("op") == "cas") & elsewhere).select(*ROW).distinct()
+    one = lambda op: F.when(F.col("op") == op, 1).otherwise(0)
+    free = whole.join(tied, ROW, "left_anti")
+    free = running_total(free, ROW, ["seq"], one("delete_row"), "_rows")
+    free = running_total(free, _FAMILY, ["seq"], one("delete_family"), "_families")
+    return _streamed(free, [*CELL, "_rows", "_families"]).unionByName(_streamed(whole.join(tied, ROW, "left_semi"), ROW))
+
+
+def _streamed(log: DataFrame, group: list[str]) -> DataFrame:
+    """The outcome of operations that depend on nothing outside of their group, streamed by `seq`. A task holds the present cells
+    of one group."""
+    by = [c for c in group if c in CELL]
+    ordered = log.repartition(*by).sortWithinPartitions(*by, "seq")
+    columns = [*CELL, "seq", "op", "value", "expected", "check_family", "check_qualifier", *[c for c in group if c not in CELL]]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         row, cells = None, {}
         for batch in batches:
             out = []
             batch = batch.astype(object).where(batch.notna(), None)
-            for tbl, key, fam, qual, seq, op, value, expected, check_fam, check_qual in batch.itertuples(index=False):
-                if (tbl, key) != row:
-                    row, cells = (tbl, key), {}
+            own = list(zip(*[batch[c] for c in group], strict=True))
+            for at_row, (tbl, key, fam, qual, seq, op, value, expected, check_fam, check_qual, *_) in zip(own, batch.itertuples(index=False), strict=True):
+                if at_row != row:
+                    row, cells = at_row, {}
                 at, reason = (fam, qual), None
                 now = cells.get(at)
                 if op == "put":
@@ -203,7 +221,7 @@ def replay(log: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=[*CELL, "seq", "op", "applied", "reason", "value"])
 
     kinds = "tbl string, row_key string, family string, qualifier string, seq long, op string"
-    return ordered.mapInPandas(run, f"{kinds}, applied boolean, reason string, value string")
+    return ordered.select(*columns).mapInPandas(run, f"{kinds}, applied boolean, reason string, value string")
 
 
 def increment_steps(increments: DataFrame, base: DataFrame | None = None) -> DataFrame:

@@ -1,5 +1,7 @@
 """Cell tables: the examples of the fixture list and the edges of each read."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -321,3 +323,27 @@ def test_replay_of_a_mixed_log(spark):
         (True, "5"), (True, "8"), (True, "8x"), (False, "8x"), (True, "done"), (False, "done"), (True, "final"),
         (True, None), (True, "2"), (True, None), (True, "y"), (False, "y"),
     ]
+
+
+def test_replay_splits_rows_but_those_with_checks_elsewhere(spark):
+    draw = random.Random(3)
+    kinds = ["put", "put", "increment", "append", "cas", "delete_cell", "delete_family", "delete_row", "nonsense"]
+    rows = []
+    for seq in range(3000):
+        key, op = draw.choice(["hot", "hot", "hot", "a", "tied"]), draw.choice(kinds if draw.random() < 0.3 else kinds[:5])
+        fam, qual = draw.choice("fg"), draw.choice("pqrstuvw")
+        fam, qual = (None if op == "delete_row" else fam), (None if op.startswith("delete_") and op != "delete_cell" else qual)
+        check = (draw.choice("fg"), draw.choice("pqrs")) if op == "cas" and key == "tied" and draw.random() < 0.5 else (None, None)
+        value = None if op.startswith("delete") else draw.choice(["1", "2", "x"])
+        rows.append(("t", key, fam, qual, seq, seq, op, value, draw.choice([None, "1", "x"]) if op == "cas" else None, *check))
+    schema = "tbl string, row_key string, family string, qualifier string, ts long, seq long, op string, value string, expected string, check_family string, check_qualifier string"
+    log = spark.createDataFrame(rows, schema).repartition(5)
+    found = M.replay(log)
+    whole = M._streamed(log, ["tbl", "row_key"])  # every row in order as a whole
+    assert found.exceptAll(whole).count() == 0 and found.count() == 3000
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = {k: M.replay(log).filter(F.col("row_key") == k).select(F.spark_partition_id().alias("p")).distinct().count() for k in ("hot", "tied")}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert tasks["hot"] > 1 and tasks["tied"] == 1

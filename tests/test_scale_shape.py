@@ -133,7 +133,8 @@ def test_hot_cell_appends_keep_their_order(spark):
 
 
 # These walk markup or a log in Arrow batches.
-NOT_NATIVE = {n for n in QUERIES if n[0] == "e" and n != "e1_links"} | {"k8_replay"}
+# Pages are walked, references of links decoded, logs replayed and stream states kept in Python workers.
+NOT_NATIVE = {n for n in QUERIES if n[0] == "e"} | {"k8_replay", "t5_stream_newest", "t5_stream_late"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - NOT_NATIVE))
