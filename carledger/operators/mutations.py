@@ -178,7 +178,9 @@ def _streamed(log: DataFrame, group: list[str]) -> DataFrame:
     """The outcome of operations that depend on nothing outside of their group, streamed by `seq`. A task holds the present cells
     of one group."""
     by = [c for c in group if c in CELL]
-    ordered = log.repartition(*by).sortWithinPartitions(*by, "seq")
+    # By a hash of the keys: a repartitioning by the keys alone is left out after a join on them, whose partitions adaptive
+    # execution may then change.
+    ordered = log.repartition(F.xxhash64(*by)).sortWithinPartitions(*by, "seq")
     columns = [*CELL, "seq", "op", "value", "expected", "check_family", "check_qualifier", *[c for c in group if c not in CELL]]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
