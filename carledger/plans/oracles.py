@@ -640,4 +640,14 @@ ORACLES: dict[str, str] = {
     "i2_frequent_pairs": _with(
         LISTING, "SELECT brand, model, count(*) AS n FROM raw GROUP BY ALL HAVING count(*) > 0.001 * (SELECT count(*) FROM raw)"
     ),
+    "k7_clustered_get": _with(
+        f"{LOG}, hot AS (SELECT * REPLACE (CASE WHEN seq % 3 = 0 THEN 'hot' ELSE row_key END AS row_key) FROM cells)",
+        f"SELECT {_CELL}, ts, seq, value FROM hot WHERE row_key IN (FROM gone)",
+    ),
+    "v1_shredded_props": """SELECT event_id,
+          CASE WHEN event_id % 97 <> 0 AND event_id % 89 <> 0 AND event_id % 83 <> 0 AND event_id % 79 <> 0 THEN regexp_extract(props, '([0-9]+)', 1)::BIGINT END AS k,
+          CASE WHEN event_id % 97 <> 0 AND (event_id % 89 = 0 OR event_id % 83 <> 0 AND event_id % 79 <> 0) THEN user_id END AS user_id,
+          CASE WHEN event_id % 97 <> 0 AND event_id % 89 <> 0 AND event_id % 83 <> 0 AND event_id % 79 <> 0 THEN 't' || regexp_extract(props, '([0-9]+)', 1) END AS tag,
+          CASE WHEN event_id % 97 = 0 THEN 'no json' WHEN event_id % 89 = 0 THEN 'k' END AS reason
+        FROM events""",
 }

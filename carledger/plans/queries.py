@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from carledger.functions import text as X
 from carledger.functions.typed import age_years, days_since, to_date, to_float, to_int
 from carledger.operators import cells as K
-from carledger.operators import checkput, clean, extract, groupings, incremental, mutations, stats, timeline
+from carledger.operators import checkput, clean, clustered, extract, groupings, incremental, mutations, shredded, stats, timeline
 from carledger.operators.rowid import row_id
 from carledger.plans.pipeline import PUBLISHED, statistics
 from carledger.schema import CELL, ELECTRIC, GASOLINE
@@ -784,3 +784,38 @@ def i1_incremental_stats(spark, sf):
 def i2_frequent_pairs(spark, sf):
     """Brand and model pairs that make up more than 0.1 % of the listings."""
     return incremental.frequent(D.raw_listings(spark, sf), ["brand", "model"], 0.001)
+
+
+def _stored_cells(spark: SparkSession, cells: DataFrame) -> str:
+    name = f"cells_{uuid.uuid4().hex}"
+    clustered.write_clustered(cells, name, f"{shared_dir(configure(spark))}/{name}", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return name
+
+
+@query
+def k7_clustered_get(spark, sf):
+    """The rows that were deleted at some time, read by key from cells stored in buckets."""
+    name = _stored_cells(spark, D.hot_cells(spark, sf))
+    return clustered.multi_get(spark, name, _deleted_rows(spark, sf).withColumn("tbl", F.lit("activity"))).select(*CELL, "ts", "seq", "value")
+
+
+def _props(spark: SparkSession, sf: str) -> DataFrame:
+    """Properties of events as JSON text: nested, some broken off, some of other types."""
+    n, number = F.col("event_id"), F.regexp_extract("props", "([0-9]+)", 1)
+    user = F.col("user_id").cast("string")
+    nested = F.concat(F.lit('{"k": '), number, F.lit(', "who": {"id": '), user, F.lit(', "tags": ["t'), number, F.lit('", "x"]}}'))
+    text = (
+        F.when(n % 97 == 0, F.substring(nested, 1, 9))
+        .when(n % 89 == 0, F.concat(F.lit('{"k": "many", "who": {"id": '), user, F.lit("}}")))
+        .when(n % 83 == 0, F.lit('{"k": null}'))
+        .when(n % 79 == 0, F.lit(None))
+        .otherwise(nested)
+    )
+    return D.table(spark, sf, "events").select("event_id", text.alias("props"))
+
+
+@query
+def v1_shredded_props(spark, sf):
+    """Properties as typed columns, with the reason why some don't fit."""
+    fields = {"k": ("$.k", "bigint"), "user_id": ("$.who.id", "bigint"), "tag": ("$.who.tags[0]", "string")}
+    return shredded.shredded(_props(spark, sf), "props", fields)
