@@ -70,3 +70,18 @@ def carried_last(df: DataFrame, group: list[str], order: list[str], value: Colum
     """`df` plus the last non-null `value` up to each row of its group. `value` must grow along `order`, as a struct that begins
     with the order does; a partition hands its largest one on."""
     return _running(df, group, order, value, name, False, F.max, F.coalesce, Window.currentRow)
+
+
+def running_totals(df: DataFrame, group: list[str], order: list[str], amounts: dict[str, Column]) -> DataFrame:
+    """`df` plus the running sum of each amount within `group`, by `order`: all from one placing of the rows and one join."""
+    parts = placed(df.withColumns({f"_of_{n}": c for n, c in amounts.items()}), group, order)
+    here = Window.partitionBy(*group, "_part").orderBy(*order, "_tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = parts.groupBy(*group, "_part").agg(F.count(F.lit(1)).alias("_rows"), *[F.sum(f"_of_{n}").alias(f"_of_{n}") for n in amounts])
+    before = whole.select(*group, "_part", F.sum("_rows").over(earlier).alias("_rows"), *[F.sum(f"_of_{n}").over(earlier).alias(f"_from_{n}") for n in amounts])
+    before = before.filter(F.col("_rows").isNotNull())
+    on = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in [*group, "_part"]]
+    summed = parts.withColumns({f"_to_{n}_": F.sum(f"_of_{n}").over(here) for n in amounts})
+    joined = summed.alias("a").join(before.alias("b"), on, "left")
+    totals = [(F.col(f"a._to_{n}_") + F.coalesce(F.col(f"b._from_{n}"), F.lit(0))).alias(n) for n in amounts]
+    return joined.select(*[f"a.{c}" for c in df.columns], *totals)

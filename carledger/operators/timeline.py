@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from carledger.operators.scan import carried_last, placed, running_count, running_total
+from carledger.operators.scan import carried_last, placed, running_count, running_totals
 
 _KIND, _FOUND = "_kind", "_found"
 
@@ -106,13 +106,6 @@ def moving_totals(df: DataFrame, group: list[str], time: str, amounts: dict[str,
     return found.select(*group, time, *[(F.col(f"_to_{n}") - F.coalesce(f"_from_{n}", F.lit(0))).alias(n) for n in names])
 
 
-def running_totals(df: DataFrame, group: list[str], order: list[str], amounts: dict[str, Column]) -> DataFrame:
-    """`df` plus the running sum of each amount."""
-    for name, amount in amounts.items():
-        df = running_total(df, group, order, amount, name)
-    return df
-
-
 def neighbours(df: DataFrame, group: list[str], order: list[str], columns: list[str], offsets: dict[str, int]) -> DataFrame:
     """`df` plus, for each prefix and offset, the `columns` of the row so many places later (earlier if negative) in its group by
     `order`, which must identify a row; null where there is none. Places are counted over range partitions, and rows meet by
