@@ -52,13 +52,18 @@ def _walked(html: Column, all_blanks: bool = False, form: Form = FORM) -> Column
     text, entries = pa.string(), pa.map_(pa.string(), pa.string())
 
     def run(pages: pa.Array) -> pa.Array:
-        found = [walk(page, form) for page in pages.to_pylist()]
-        columns = [
-            pa.array([p.title() for p in found], text),
-            pa.array([p.price() for p in found], text),
-            pa.array([p.first.get("new_price") for p in found], text),
-            pa.array([list(p.profile(all_blanks).items()) for p in found], entries),
-        ]
+        titles, prices, new_prices, keys, values, ends = [], [], [], [], [], [0]
+        for html in pages.to_pylist():
+            page = walk(html, form)
+            titles.append(page.title())
+            prices.append(page.price())
+            new_prices.append(page.new_price())
+            found = page.profile(all_blanks)
+            keys += found.keys()
+            values += found.values()
+            ends.append(len(keys))
+        profiles = pa.MapArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys, text), pa.array(values, text))
+        columns = [pa.array(titles, text), pa.array(prices, text), pa.array(new_prices, text), profiles.cast(entries)]
         return pa.StructArray.from_arrays(columns, names=["title", "price", "new_price", "profile"])
 
     return F.arrow_udf(run, _PARTS_TYPE).asNondeterministic()(html)
@@ -66,7 +71,7 @@ def _walked(html: Column, all_blanks: bool = False, form: Form = FORM) -> Column
 
 def _card_links(html: Column, form: Form = CARD_FORM) -> Column:
     def run(pages: pa.Array) -> pa.Array:
-        return pa.array([walk(page, form).links for page in pages.to_pylist()], pa.list_(pa.string()))
+        return pa.array([walk(page, form).links() for page in pages.to_pylist()], pa.list_(pa.string()))
 
     return F.arrow_udf(run, "array<string>").asNondeterministic()(html)
 

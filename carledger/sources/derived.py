@@ -99,11 +99,9 @@ def keyed_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    rows = (
-        line.join(part, line.l_partkey == part.p_partkey)
-        .join(supplier, line.l_suppkey == supplier.s_suppkey)
-        .join(nation, supplier.s_nationkey == nation.n_nationkey)
-    )
+    # The narrow side first: the wide columns of the parts then move through one join only.
+    place = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select("s_suppkey", "n_name")
+    rows = line.join(place, line.l_suppkey == place.s_suppkey).join(part, line.l_partkey == part.p_partkey)
     c = F.col
     cents = F.round(c("l_extendedprice") * 100).cast("bigint")
     electric = c("p_size") % 5 == 0
@@ -149,8 +147,9 @@ def keyed_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One detail page (`url`, `html`, `province`) for each line item, some of them incomplete."""
-    return stored(spark, sf_dir, "pages", lambda: make_detail_pages(spark, sf_dir), by="province")
+    """One detail page (`url`, `html`, `province`) for each line item, some of them incomplete. Pages are made where they are
+    read: stored, they would take a hundred times the space of the tables, and each query reads them once."""
+    return make_detail_pages(spark, sf_dir)
 
 
 def make_detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

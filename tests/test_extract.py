@@ -198,3 +198,26 @@ def test_attributes_with_longer_names_choose_nothing(spark):
 def test_profile_alone_is_what_the_whole_walk_finds(spark):
     both = pages(spark, PAGE).select(E.profile(F.col("html")).alias("p"))
     assert both.collect()[0].p == one(spark, PAGE).profile
+
+
+def test_pages_of_equal_tags_share_one_walk():
+    from carledger.operators import pagewalk
+
+    form = E.FORM._replace(card="", title=("car-box", "plan-of-this-test"))
+    page = '<div class="car-box"><h3 data-x="a > b" class="plan-of-this-test">{0}</h3></div><a href="/{0}">1 > {0}</a><ul>{1}</ul>'
+    titles = [pagewalk.walk(page.format(f"t{k} &amp; co", "<li>x"), form).title() for k in range(50)]
+    assert titles == [f"t{k} & co" for k in range(50)]
+    assert len(pagewalk._TAGS[form].plans) == 1
+    # What angle brackets don't tell: tags in comments, scripts and quotes, text that looks like a tag.
+    odd = ["<!-- <li> -->", "<script>'<li>'</script>", '<b title="<li>">', "a < b <li>", "<b", "<p x='>", '<i"x>', "<a <b>"]
+    assert [pagewalk.walk(page.format("t", o), form).title() for o in odd] == ["t"] * len(odd)
+    assert pagewalk.walk(f"a > b < {odd[0]}{page.format('t', '')} > ", form).title() == "t"
+
+
+def test_pages_are_made_where_they_are_read(spark):
+    from carledger.sources import derived
+
+    made = derived.detail_pages(spark, "/root/testdata/sf0.001")
+    plan = made._jdf.queryExecution().toString()
+    assert "lineitem.parquet" in plan and "-pages" not in plan
+    assert not any(name == "pages" for _, _, name in derived._STORED)
