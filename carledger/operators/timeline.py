@@ -66,23 +66,28 @@ def interval_join(
 
     width = F.expr(f"cast({base} * pow(4, _level) as bigint)")
 
-    def leveled(df: DataFrame, span: tuple[str, str], side: str) -> tuple[DataFrame, list[int]]:
+    # Levels and first bins follow from the spans: they are worked out on both sides of the shuffle rather than sent through it.
+    def own(span: tuple[str, str]) -> Column:
+        return _levels(F.col(span[0]), F.col(span[1]), base, levels).cast("int")
+
+    def first(span: tuple[str, str]) -> Column:
+        return F.floor(F.col(span[0]) / width)
+
+    def leveled(df: DataFrame, span: tuple[str, str]) -> tuple[DataFrame, list[int]]:
         some = df.filter(F.col(span[0]) <= F.col(span[1])).dropna(subset=by)
-        some = some.withColumn(f"_own_{side}", _levels(F.col(span[0]), F.col(span[1]), base, levels).cast("int"))
-        used = some.select(f"_own_{side}").distinct().collect()  # as many as there are levels, at most
+        used = some.select(own(span).alias("_own")).distinct().collect()  # as many as there are levels, at most
         return some, [r[0] for r in used]
 
-    def binned(df: DataFrame, span: tuple[str, str], side: str, others: list[int]) -> DataFrame:
-        wider = F.filter(F.array(*map(F.lit, others)).cast("array<int>"), lambda x: x > F.col(f"_own_{side}"))
-        placed_ = df.withColumn("_level", F.explode(F.concat(F.array(f"_own_{side}"), wider)))
-        placed_ = placed_.withColumns({f"_first_{side}": F.floor(F.col(span[0]) / width), "_until": F.floor(F.col(span[1]) / width)})
+    def binned(df: DataFrame, span: tuple[str, str], others: list[int]) -> DataFrame:
+        wider = F.filter(F.array(*map(F.lit, others)).cast("array<int>"), lambda x: x > own(span))
+        placed_ = df.withColumn("_level", F.explode(F.concat(F.array(own(span)), wider)))
         # The widest level is one of long intervals too: its bins are as many as they meet.
-        return placed_.withColumn("_bin", F.explode(F.sequence(f"_first_{side}", "_until"))).drop("_until")
+        return placed_.withColumn("_bin", F.explode(F.sequence(first(span), F.floor(F.col(span[1]) / width))))
 
-    (a, a_levels), (b, b_levels) = leveled(left, left_span, "a"), leveled(right, right_span, "b")
-    a, b = binned(a, left_span, "a", b_levels), binned(b, right_span, "b", a_levels)
+    (a, a_levels), (b, b_levels) = leveled(left, left_span), leveled(right, right_span)
+    a, b = binned(a, left_span, b_levels), binned(b, right_span, a_levels)
     met = a.join(b, [*by, "_level", "_bin"])
-    met = met.filter("_level = greatest(_own_a, _own_b) AND _bin = greatest(_first_a, _first_b)")
+    met = met.filter((F.col("_level") == F.greatest(own(left_span), own(right_span))) & (F.col("_bin") == F.greatest(first(left_span), first(right_span))))
     met = met.filter((F.col(left_span[0]) <= F.col(right_span[1])) & (F.col(right_span[0]) <= F.col(left_span[1])))
     return met.select(*by, *[c for c in left.columns if c not in by], *[c for c in right.columns if c not in by])
 

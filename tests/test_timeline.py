@@ -179,3 +179,12 @@ def test_stream_equals_batch_however_it_is_cut(spark, tmp_path, cuts):
     # Run again without new input, nothing is added.
     n = changes.count()
     assert newest.run_to_end(stream, str(tmp_path / "out"), str(tmp_path / "state"), 10, 300).count() == n
+
+
+def test_interval_join_sends_spans_and_bins_only(spark):
+    left = spark.range(50).select(F.lit(1).alias("k"), F.col("id").alias("a"), F.col("id").alias("s"), (F.col("id") * 3).alias("e"))
+    right = spark.range(50).select(F.lit(1).alias("k"), F.col("id").alias("b"), F.col("id").alias("x"), F.col("id").alias("y"))
+    got = timeline.interval_join(left, right, ["k"], ("s", "e"), ("x", "y"), base=4)
+    keys = [line for line in got.hint("merge")._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Project" in line]
+    assert not any(name in line for line in keys for name in ("_own", "_first"))
+    assert sorted((r.a, r.b) for r in got.collect()) == [(a, b) for a in range(50) for b in range(50) if a <= b <= 3 * a]
