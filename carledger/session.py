@@ -17,11 +17,19 @@ RUNTIME_CONF = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+# Upper bounds; smaller values of a session stay. Columns of repeated words take few bytes a row in files and shuffles, so tasks
+# of the usual 128 and 64 MB would hold ten million rows, and the map-side half of a duplicate removal gigabytes of them.
+TASK_BYTES = 16 << 20
+BOUNDS = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    for key in BOUNDS:
+        if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key)) > TASK_BYTES:
+            spark.conf.set(key, str(TASK_BYTES))
     return spark
 
 

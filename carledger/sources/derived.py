@@ -56,7 +56,7 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The warehouse layer: the cleaned listings, which the statistics read."""
-    return stored(spark, sf_dir, "clean", lambda: clean(raw_listings(spark, sf_dir)), by="province")
+    return stored(spark, sf_dir, "clean", lambda: clean(raw_listings(spark, sf_dir)))
 
 
 def typed_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,9 +99,12 @@ def keyed_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    # The narrow side first: the wide columns of the parts then move through one join only.
-    place = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select("s_suppkey", "n_name")
-    rows = line.join(place, line.l_suppkey == place.s_suppkey).join(part, line.l_partkey == part.p_partkey)
+    # Parts last: their wide columns then move through no further join.
+    rows = (
+        line.join(supplier, line.l_suppkey == supplier.s_suppkey)
+        .join(nation, supplier.s_nationkey == nation.n_nationkey)
+        .join(part, line.l_partkey == part.p_partkey)
+    )
     c = F.col
     cents = F.round(c("l_extendedprice") * 100).cast("bigint")
     electric = c("p_size") % 5 == 0

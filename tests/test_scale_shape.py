@@ -11,7 +11,7 @@ from carledger.operators import checkput, mutations, rowid, scan, stats
 from carledger.operators.rowid import row_id
 from carledger.plans.queries import QUERIES
 from carledger.operators.scan import next_value, placed, running_count, running_total
-from carledger.schema import CELL, CELL_SCHEMA
+from carledger.schema import CELL, CELL_SCHEMA, CLEAN_COLUMNS
 from carledger.sources import derived
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -185,3 +185,30 @@ def test_key_range_reaches_the_files(spark, tmp_path):
     assert "GreaterThanOrEqual(row_key,k0010)" in text and "LessThan(row_key,k0020)" in text
     assert "PartitionFilters: [isnotnull(tbl" in text
     assert [r.row_key for r in found.collect()] == [f"k{i:04d}" for i in range(10, 20)]
+
+
+def test_tasks_are_bounded_by_bytes(spark):
+    from carledger.session import BOUNDS, TASK_BYTES, configure
+
+    before = {name: spark.conf.get(name) for name in BOUNDS}
+    try:
+        for given, want in (("128m", str(TASK_BYTES)), ("1m", "1m")):
+            for name in BOUNDS:
+                spark.conf.set(name, given)
+            configure(spark)
+            assert [spark.conf.get(name) for name in BOUNDS] == [want] * len(BOUNDS)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_the_clean_layer_is_stored_without_a_sort(spark):
+    rows = derived.clean_listings(spark, SF_DIR)
+    assert not any("province=" in f for f in rows.inputFiles())
+    assert rows.columns == CLEAN_COLUMNS
+
+
+def test_parts_are_joined_last(spark):
+    text = derived.keyed_listings(spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in text.split("\n") if "Join Inner" in line]
+    assert "p_partkey" in joins[0] and len(joins) == 3
