@@ -16,6 +16,8 @@ from carledger.operators.stats import typed_layer
 from carledger.schema import RAW_COLUMNS, RAW_SCHEMA
 from carledger.session import configure, shared_dir
 
+FILES_A_STEP = 2  # of arrivals
+
 _STORED: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
 
 
@@ -318,13 +320,13 @@ def arrival_order(puts: DataFrame) -> DataFrame:
 
 def arrivals(spark: SparkSession, sf_dir: str, steps: int = 4) -> tuple[str, T.StructType]:
     """A folder of files with the puts of the log in the order of their arrival, written one step after the other; the puts of a
-    cell in a step are in one file. And the schema."""
+    cell in a step are in one file. And the schema. The number of files, and so of a stream's batches, is the same for any log."""
     key = (spark.sparkContext.applicationId, sf_dir, f"arrivals-{steps}")
     if key not in _STORED:
         puts = arrival_order(event_cells(spark, sf_dir)).drop("op")
         path = f"{shared_dir(configure(spark))}/{key[0]}/{len(_STORED)}-arrivals"
         step = F.floor(F.col("seq") / F.lit(1_000_000_000 * -(-10007 // steps)))
         for k in range(steps):
-            puts.filter(step == k).repartition("tbl", "row_key", "family", "qualifier").write.mode("append").parquet(path)
+            puts.filter(step == k).repartition(FILES_A_STEP, "tbl", "row_key", "family", "qualifier").write.mode("append").parquet(path)
         _STORED[key] = path, puts.schema
     return _STORED[key]

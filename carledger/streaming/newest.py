@@ -17,6 +17,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 CELL = ["tbl", "row_key", "family", "qualifier"]
 OUTPUT = "tbl string, row_key string, family string, qualifier string, ts bigint, seq bigint, value string, kind string"
+_NAMES = [c.split()[0] for c in OUTPUT.split(", ")]
 STATE = "ts bigint, seq bigint, value string"
 #: State with timers needs this store.
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -30,8 +31,11 @@ class NewestCell(StatefulProcessor):
         self.newest = handle.getValueState("newest", STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        puts = pd.concat(list(rows)).sort_values("seq", kind="stable")
-        held = before = self.newest.get() if self.newest.exists() else None
+        frames = list(rows)
+        puts = frames[0] if len(frames) == 1 else pd.concat(frames)
+        if len(puts) > 1 and not puts["seq"].is_monotonic_increasing:
+            puts = puts.sort_values("seq", kind="stable")
+        held = before = self.newest.get()  # None if there is none; every call on the state asks the JVM
         late = []
         for put in zip(puts["ts"].tolist(), puts["seq"].tolist(), puts["value"].tolist(), strict=True):
             if held is None or put[:2] >= tuple(held[:2]):
@@ -45,13 +49,14 @@ class NewestCell(StatefulProcessor):
             self.handle.registerTimer(-(-held[0] // 1000))
             self.newest.update(tuple(held))
             out.append((*key, *held, "newest"))
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in OUTPUT.split(", ")])
+        if out:
+            yield pd.DataFrame(out, columns=_NAMES)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.newest.exists():
-            held = self.newest.get()
+        held = self.newest.get()
+        if held is not None:
             self.newest.clear()
-            yield pd.DataFrame([(*key, *held, "expired")], columns=[c.split()[0] for c in OUTPUT.split(", ")])
+            yield pd.DataFrame([(*key, *held, "expired")], columns=_NAMES)
 
     def close(self) -> None:
         pass

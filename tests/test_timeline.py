@@ -188,3 +188,10 @@ def test_interval_join_sends_spans_and_bins_only(spark):
     keys = [line for line in got.hint("merge")._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Project" in line]
     assert not any(name in line for line in keys for name in ("_own", "_first"))
     assert sorted((r.a, r.b) for r in got.collect()) == [(a, b) for a in range(50) for b in range(50) if a <= b <= 3 * a]
+
+
+def test_arrivals_have_as_many_files_at_any_size(spark):
+    from carledger.sources import derived
+
+    path, schema = derived.arrivals(spark, "/root/testdata/sf0.001")
+    assert len(spark.read.schema(schema).parquet(path).inputFiles()) == 4 * derived.FILES_A_STEP
