@@ -9,15 +9,15 @@ any more. Puts of a batch are taken in the order of arrival (`seq`), so results
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import itemgetter
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 CELL = ["tbl", "row_key", "family", "qualifier"]
 OUTPUT = "tbl string, row_key string, family string, qualifier string, ts bigint, seq bigint, value string, kind string"
-_NAMES = [c.split()[0] for c in OUTPUT.split(", ")]
+_CHANGE = Row(*[c.split()[0] for c in OUTPUT.split(", ")])
 STATE = "ts bigint, seq bigint, value string"
 #: State with timers needs this store.
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -30,33 +30,26 @@ class NewestCell(StatefulProcessor):
         self.handle = handle
         self.newest = handle.getValueState("newest", STATE)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        frames = list(rows)
-        puts = frames[0] if len(frames) == 1 else pd.concat(frames)
-        if len(puts) > 1 and not puts["seq"].is_monotonic_increasing:
-            puts = puts.sort_values("seq", kind="stable")
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        puts = sorted([(r.ts, r.seq, r.value) for r in rows], key=itemgetter(1))
         held = before = self.newest.get()  # None if there is none; every call on the state asks the JVM
-        late = []
-        for put in zip(puts["ts"].tolist(), puts["seq"].tolist(), puts["value"].tolist(), strict=True):
-            if held is None or put[:2] >= tuple(held[:2]):
+        for put in puts:
+            if held is None or put[:2] >= held[:2]:
                 held = put
             else:
-                late.append(put)
-        out = [(*key, *put, "late") for put in late]
-        if before is None or tuple(held[:2]) != tuple(before[:2]):
+                yield _CHANGE(*key, *put, "late")
+        if before is None or held[:2] != before[:2]:
             if before is not None:
                 self.handle.deleteTimer(-(-before[0] // 1000))
             self.handle.registerTimer(-(-held[0] // 1000))
-            self.newest.update(tuple(held))
-            out.append((*key, *held, "newest"))
-        if out:
-            yield pd.DataFrame(out, columns=_NAMES)
+            self.newest.update(held)
+            yield _CHANGE(*key, *held, "newest")
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         held = self.newest.get()
         if held is not None:
             self.newest.clear()
-            yield pd.DataFrame([(*key, *held, "expired")], columns=_NAMES)
+            yield _CHANGE(*key, *held, "expired")
 
     def close(self) -> None:
         pass
@@ -65,7 +58,7 @@ class NewestCell(StatefulProcessor):
 def newest_changes(puts: DataFrame, delay_s: int, ttl_s: int) -> DataFrame:
     """The stream of changes (`OUTPUT`) of a stream of puts (cell columns, ts, seq, value)."""
     timed = puts.withColumn("at", F.timestamp_micros("ts")).withWatermark("at", f"{delay_s + ttl_s} seconds")
-    return timed.groupBy(*CELL).transformWithStateInPandas(
+    return timed.groupBy(*CELL).transformWithState(
         statefulProcessor=NewestCell(), outputStructType=OUTPUT, outputMode="Append", timeMode="EventTime"
     )
 

@@ -195,3 +195,20 @@ def test_arrivals_have_as_many_files_at_any_size(spark):
 
     path, schema = derived.arrivals(spark, "/root/testdata/sf0.001")
     assert len(spark.read.schema(schema).parquet(path).inputFiles()) == 4 * derived.FILES_A_STEP
+
+
+def test_stream_state_is_handled_by_rows():
+    from unittest.mock import Mock
+
+    from pyspark.sql import Row
+
+    put = Row("ts", "seq", "value")
+    cell, handle = newest.NewestCell(), Mock()
+    handle.getValueState.return_value.get.return_value = (5000, 1, "a")
+    cell.init(handle)
+    got = list(cell.handleInputRows(("t", "r", "f", "q"), iter([put(4000, 3, "c"), put(7000, 2, "b")]), None))
+    assert [tuple(r) for r in got] == [("t", "r", "f", "q", 4000, 3, "c", "late"), ("t", "r", "f", "q", 7000, 2, "b", "newest")]
+    assert got[0].kind == "late"
+    handle.deleteTimer.assert_called_once_with(5)
+    handle.registerTimer.assert_called_once_with(7)
+    handle.getValueState.return_value.update.assert_called_once_with((7000, 2, "b"))
