@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from itertools import accumulate, chain
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,36 +40,50 @@ FORM = Form(
     card=CARD_CLASS,
 )
 
-#: The profile alone, and the cards alone: a walk looks for nothing else.
-PROFILE_FORM = FORM._replace(title=(), crumbs=(), prices=(), new_price=(), card="")
-CARD_FORM = PROFILE_FORM._replace(item_list=("", ""), item_name="")
+#: The cards alone: a walk looks for nothing else.
+CARD_FORM = FORM._replace(title=(), crumbs=(), prices=(), new_price=(), item_list=("", ""), item_name="")
 
 NO_TITLE, EMPTY_TITLE, NO_PRICE = "no title", "empty title", "no price"
 
-_PARTS_TYPE = "struct<title: string, price: string, new_price: string, profile: map<string, string>>"
+_TEXT, _MAP = ("string", pa.string()), ("map<string, string>", pa.map_(pa.string(), pa.string()))
+#: The parts of a page a listing is made of.
+PARTS = {"title": _TEXT, "price": _TEXT, "new_price": _TEXT, "profile": _MAP}
+
+
+def _form(parts: Sequence[str]) -> Form:
+    """The page form with the paths of these parts alone: a walk looks for nothing else."""
+    form = FORM._replace(card="")
+    if "title" not in parts:
+        form = form._replace(title=(), crumbs=())
+    if "price" not in parts:
+        form = form._replace(prices=())
+    if "new_price" not in parts:
+        form = form._replace(new_price=())
+    return form if "profile" in parts else form._replace(item_list=("", ""), item_name="")
+
 
+def _maps(found: list[dict[str, str]]) -> pa.Array:
+    ends = pa.array([0, *accumulate(map(len, found))], pa.int32())
+    keys, values = ([*chain.from_iterable(side)] for side in (found, map(dict.values, found)))
+    return pa.MapArray.from_arrays(ends, pa.array(keys, pa.string()), pa.array(values, pa.string())).cast(_MAP[1])
 
-def _walked(html: Column, all_blanks: bool = False, form: Form = FORM) -> Column:
-    """Title, price, new price and profile of a page as one struct, from one walk (null where the form has no path). Marked as not deterministic, so that
-    the planner never walks a page twice for a filter and a result."""
-    text, entries = pa.string(), pa.map_(pa.string(), pa.string())
+
+def _walked(html: Column, parts: Sequence[str], all_blanks: bool = False) -> Column:
+    """These parts of a page as one struct, from one walk. Marked as not deterministic, so that the planner never walks a page
+    twice for a filter and a result."""
+    form = _form(parts)
 
     def run(pages: pa.Array) -> pa.Array:
-        titles, prices, new_prices, keys, values, ends = [], [], [], [], [], [0]
+        found = [[] for _ in parts]
         for html in pages.to_pylist():
             page = walk(html, form)
-            titles.append(page.title())
-            prices.append(page.price())
-            new_prices.append(page.new_price())
-            found = page.profile(all_blanks)
-            keys += found.keys()
-            values += found.values()
-            ends.append(len(keys))
-        profiles = pa.MapArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys, text), pa.array(values, text))
-        columns = [pa.array(titles, text), pa.array(prices, text), pa.array(new_prices, text), profiles.cast(entries)]
-        return pa.StructArray.from_arrays(columns, names=["title", "price", "new_price", "profile"])
+            for part, values in zip(parts, found, strict=True):
+                values.append(page.profile(all_blanks) if part == "profile" else getattr(page, part)())
+        columns = [_maps(v) if part == "profile" else pa.array(v, pa.string()) for part, v in zip(parts, found, strict=True)]
+        return pa.StructArray.from_arrays(columns, names=list(parts))
 
-    return F.arrow_udf(run, _PARTS_TYPE).asNondeterministic()(html)
+    kinds = ", ".join(f"{part}: {PARTS[part][0]}" for part in parts)
+    return F.arrow_udf(run, f"struct<{kinds}>").asNondeterministic()(html)
 
 
 def _card_links(html: Column, form: Form = CARD_FORM) -> Column:
@@ -112,7 +129,7 @@ def links(pages: DataFrame, host: str = "", card_class: str | None = CARD_CLASS)
 def profile(html: Column, all_blanks: bool = False) -> Column:
     """The named list items of a page's profile section as a map; empty keys or values are left out, the last of equal
     keys wins. `all_blanks` removes every blank inside a key instead of plain and non-breaking spaces only."""
-    return _walked(html, all_blanks, PROFILE_FORM)["profile"]
+    return _walked(html, ["profile"], all_blanks)["profile"]
 
 
 def profiles(pages: DataFrame, all_blanks: bool = False) -> DataFrame:
@@ -140,11 +157,11 @@ def profile_columns(profile_map: Column) -> dict[str, Column]:
     }
 
 
-def page_parts(pages: DataFrame) -> DataFrame:
-    """The parts of a page a listing is made of: title (the first of two places), price (likewise), new price and profile;
-    null where absent."""
+def page_parts(pages: DataFrame, parts: Sequence[str] = tuple(PARTS)) -> DataFrame:
+    """The parts of a page a listing is made of, or some of them: title (the first of two places), price (likewise), new price
+    and profile; null where absent. Parts that aren't asked for are not taken from the page."""
     rest = [c for c in pages.columns if c != "html"]
-    return pages.select(*rest, _walked(F.col("html")).alias("_p")).select(*rest, "_p.*")
+    return pages.select(*rest, _walked(F.col("html"), parts).alias("_p")).select(*rest, "_p.*")
 
 
 def reject_reason() -> Column:
@@ -157,9 +174,6 @@ def reject_reason() -> Column:
     )
 
 
-_PARTS = ["title", "price", "new_price", "profile"]
-
-
 def listings(parts: DataFrame) -> DataFrame:
     """Raw listings of the good pages, with the page's other columns in front."""
     title, profile_map = F.col("title"), F.col("profile")
@@ -172,14 +186,14 @@ def listings(parts: DataFrame) -> DataFrame:
         "fuel_type": fuel_type(profile_map),
         **profile_columns(profile_map),
     }
-    rest = [c for c in parts.columns if c not in _PARTS]
+    rest = [c for c in parts.columns if c not in PARTS]
     good = parts.filter(reject_reason().isNull())
     return good.select(*rest, *[values[n].alias(n) for n in RAW_COLUMNS])
 
 
 def rejects(parts: DataFrame) -> DataFrame:
     """The pages that give no listing, with the reason."""
-    rest = [c for c in parts.columns if c not in _PARTS]
+    rest = [c for c in parts.columns if c not in PARTS]
     reasons = parts.withColumn("reason", reject_reason())
     return reasons.filter(F.col("reason").isNotNull()).select(*rest, "reason")
 

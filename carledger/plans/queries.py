@@ -118,7 +118,7 @@ def e2_profile_kv(spark, sf):
 
 @query
 def e3_title_split(spark, sf):
-    parts = extract.page_parts(D.detail_pages(spark, sf)).filter(X.strip(F.col("title")) != "")
+    parts = extract.page_parts(D.detail_pages(spark, sf), ["title"]).filter(X.strip(F.col("title")) != "")
     title = F.col("title")
     return parts.select(
         "url",
@@ -130,13 +130,13 @@ def e3_title_split(spark, sf):
 
 @query
 def e4_price_text(spark, sf):
-    parts = extract.page_parts(D.detail_pages(spark, sf)).filter(F.col("price").isNotNull())
+    parts = extract.page_parts(D.detail_pages(spark, sf), ["price"]).filter(F.col("price").isNotNull())
     return parts.select("url", X.price_text(F.col("price")).alias("current_price"))
 
 
 @query
 def e5_new_price_text(spark, sf):
-    parts = extract.page_parts(D.detail_pages(spark, sf))
+    parts = extract.page_parts(D.detail_pages(spark, sf), ["new_price"])
     return parts.select("url", X.new_price_text(F.col("new_price")).alias("new_price"))
 
 
@@ -148,7 +148,7 @@ def e6_fuel_type(spark, sf):
 
 @query
 def e7_fallback(spark, sf):
-    return extract.page_parts(D.detail_pages(spark, sf)).select("url", "title", "price")
+    return extract.page_parts(D.detail_pages(spark, sf), ["title", "price"]).select("url", "title", "price")
 
 
 @query
@@ -160,7 +160,7 @@ def e8_profile_pivot(spark, sf):
 
 @query
 def e9_rejects(spark, sf):
-    return extract.rejects(extract.page_parts(D.detail_pages(spark, sf).select("url", "html")))
+    return extract.rejects(extract.page_parts(D.detail_pages(spark, sf).select("url", "html"), ["title", "price"]))
 
 
 @query

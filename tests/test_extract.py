@@ -214,6 +214,31 @@ def test_pages_of_equal_tags_share_one_walk():
     assert pagewalk.walk(f"a > b < {odd[0]}{page.format('t', '')} > ", form).title() == "t"
 
 
+def test_parts_not_asked_for_are_not_taken(spark):
+    html = pages(spark, PAGE, PAGE.replace("price", "other"), "", None)
+    for parts in (["price"], ["new_price", "title"], ["profile"]):
+        got = E.page_parts(html, parts)
+        assert got.columns == ["page_id", *parts]
+        assert got.collect() == E.page_parts(html).select("page_id", *parts).collect()
+    assert E.rejects(E.page_parts(html, ["title", "price"])).collect() == E.rejects(E.page_parts(html)).collect()
+
+
+def test_tags_of_a_page_like_another_are_not_read_again():
+    from carledger.operators import pagewalk
+
+    form = E.FORM._replace(card="", title=("car-box", "spelled-in-this-test"))
+    page = '<div class="car-box"><h3 data-x="a > b" class="spelled-in-this-test">{}</h3></div>'
+    assert pagewalk.walk(page.format("t"), form).title() == "t"
+    pagewalk._TAGS[form].plan = None  # looks at the number of each tag
+    assert pagewalk.walk(page.format("u > v"), form).title() == "u > v"
+    # The same signs in one row, cut into other tags.
+    form = form._replace(new_price=("a",))
+    for first in ('<b x="><h3 class=spelled-in-this-test>1</h3>">', '<b x=><h3 class=spelled-in-this-test>1</h3>', '<b x=">"><h3>'):
+        html = f'<div class="car-box">{first}2<h3 class="spelled-in-this-test">3</h3></div>'
+        alone = pagewalk.Page(html, pagewalk.Tags(form)).title()
+        assert pagewalk.walk(html, form).title() == alone == ("1" if "=><" in first else "3")
+
+
 def test_pages_are_made_where_they_are_read(spark):
     from carledger.sources import derived
 
