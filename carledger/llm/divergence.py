@@ -68,34 +68,32 @@ def multikey_sort(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tupl
 
     n = len(start)
     order, runs = np.arange(n), []
-    first, count, depth = np.zeros(1, np.int64), np.array([n], np.int64), np.zeros(1, np.int64)  # of each slice
     if n == 0:
-        return order, first[:0]
+        return order, order
+    # Slices that are not in order yet: their first place, size and depth, and their words with the keys at that depth.
+    first, count, depth = np.zeros(1, np.int64), np.array([n], np.int64), np.zeros(1, np.int64)
+    which, own = order.copy(), key(order, np.int64(0))
     while len(first):
-        total = int(count.sum())
-        slice_ = np.repeat(np.arange(len(first)), count)
         base = np.cumsum(count) - count
-        place = np.arange(total) - base[slice_] + first[slice_]
-        which = order[place]
-        own = key(which, depth[slice_])
         # The pivot is the middle one of three keys of the slice.
         three = np.sort(np.stack([own[base + count // 4], own[base + count // 2], own[base + count * 3 // 4]]), axis=0)[1]
-        side = (own > three[slice_]).astype(np.int64) + (own >= three[slice_])  # 0 less, 1 equal, 2 greater
-        part = slice_ * 3 + side
-        sizes = np.bincount(part, minlength=3 * len(first))
-        begin = (np.cumsum(sizes) - sizes) - np.repeat(base, 3) + np.repeat(first, 3)
-        for k in range(3):  # stable: in the order they had
-            ours = side == k
-            done = np.cumsum(ours)
-            rank = done - (done[base] - ours[base])[slice_] - 1
-            order[begin[part[ours]] + rank[ours]] = which[ours]
-        # Equal slices go eight bytes deeper; those whose pivot ends in them are runs.
-        deeper = np.repeat(depth, 3) + np.where(np.arange(3 * len(first)) % 3 == 1, 8, 0)
-        ended = (np.arange(3 * len(first)) % 3 == 1) & (np.repeat(three, 3) & np.uint64(255) == 0)
-        ended |= sizes == 1
-        runs.append(begin[ended & (sizes > 0)])
-        live = ~ended & (sizes > 0)
-        first, count, depth = begin[live], sizes[live], deeper[live]
+        pivot, at, todo = np.repeat(three, count), first, []
+        for side, ours in enumerate((own < pivot, own == pivot, own > pivot)):
+            chosen = np.flatnonzero(ours)  # by slice, in the order they had
+            sizes = np.diff(np.searchsorted(chosen, np.r_[base, len(own)]))
+            # Equal slices go eight bytes deeper; those whose pivot ends in them are runs.
+            ended = (sizes == 1) | (three & np.uint64(255) == 0) if side == 1 else sizes == 1
+            live = ~ended & (sizes > 0)
+            ended &= sizes > 0
+            moved, stays = which[chosen], np.repeat(live, sizes)
+            places = np.arange(len(chosen)) + np.repeat(at - (np.cumsum(sizes) - sizes), sizes)
+            order[places[~stays]] = moved[~stays]
+            runs.append(at[ended])
+            left, down = moved[stays], depth[live] + (8 if side == 1 else 0)
+            ahead = key(left, np.repeat(down, sizes[live])) if side == 1 else own[chosen[stays]]
+            todo.append((at[live], sizes[live], down, left, ahead))
+            at = at + sizes
+        first, count, depth, which, own = (np.concatenate(c) for c in zip(*todo, strict=True))
     return order, np.sort(np.concatenate(runs))
 
 

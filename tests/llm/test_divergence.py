@@ -90,3 +90,13 @@ def test_equals_sql(spark, duck, sf_dir):
     found = sorted(map(tuple, divergence.divergence(docs).collect()))
     columns = "lang, source, part, item, value, rank"
     assert found == sorted(duck.execute(f"SELECT {columns} FROM ({divergence.ORACLE})").fetchall())
+
+
+def test_multikey_sort_reads_eight_bytes_of_a_word_once(monkeypatch):
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abc", k=rng.randint(1, 7))) for _ in range(2000)]
+    data = np.frombuffer("\0".join(words).encode(), np.uint8)
+    read, clip = [], np.clip
+    monkeypatch.setattr(np, "clip", lambda a, *rest: read.append(np.size(a)) or clip(a, *rest))
+    order, _ = divergence.multikey_sort(data, *divergence.word_pointers(data))
+    assert [words[k] for k in order] == sorted(words) and sum(read) == len(words)
