@@ -5,7 +5,8 @@ Only `queries()`, the tests and the bench use this module.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from carledger.schema import RAW_COLUMNS, RAW_SCHEMA
 from carledger.session import configure, shared_dir
 
 FILES_A_STEP = 2  # of arrivals
+OPEN_FILES = 32  # of a task that writes a layer by province
 
 _STORED: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
 
@@ -34,12 +36,29 @@ def stored(
         path = f"{shared_dir(configure(spark))}/{key[0]}/{len(_STORED)}-{name}"
         made = make()
         writer = made.write.mode("overwrite")
-        (writer.partitionBy(by) if by else writer).parquet(path)
+        with _open_files(spark, OPEN_FILES):
+            (writer.partitionBy(by) if by else writer).parquet(path)
         _STORED[key] = path, made.schema
     path, schema = _STORED[key]
     return spark.read.schema(schema).parquet(path)
 
 
+@contextmanager
+def _open_files(spark: SparkSession, n: int) -> Iterator[None]:
+    """A task writes up to n folders side by side instead of sorting its wide rows by folder first; only rows of more folders are
+    sorted."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(n))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def _hundredths(cents: Column) -> Column:
     """Cents of a price as units of 10,000 with two decimals, by integer arithmetic."""
     whole = (cents - cents % 1000000) / 1000000

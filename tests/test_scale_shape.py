@@ -208,6 +208,23 @@ def test_the_clean_layer_is_stored_without_a_sort(spark):
     assert rows.columns == CLEAN_COLUMNS
 
 
+def test_a_layer_by_folders_is_stored_without_a_sort(spark):
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, None)
+    rows = spark.range(3000).select("id", F.when(F.col("id") % 40 > 0, F.col("id") % 40).cast("string").alias("folder"))
+    rows.createOrReplaceTempView("by_folder")
+    spark.sql("CREATE TABLE stored_by_folder (id bigint, folder string) USING parquet PARTITIONED BY (folder)")
+    try:
+        insert = "EXPLAIN INSERT INTO stored_by_folder SELECT * FROM by_folder"
+        assert "Sort [folder" in spark.sql(insert).collect()[0][0]
+        with derived._open_files(spark, derived.OPEN_FILES):
+            assert "Sort [folder" not in spark.sql(insert).collect()[0][0]
+    finally:
+        spark.sql("DROP TABLE stored_by_folder")
+    got = derived.stored(spark, "here", "by_folder", lambda: rows, by="folder")  # more folders than open files, and null
+    assert got.exceptAll(rows).count() == 0 and got.count() == 3000 and spark.conf.get(name, None) == before
+
+
 def test_parts_are_joined_last(spark):
     text = derived.keyed_listings(spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
     joins = [line for line in text.split("\n") if "Join Inner" in line]
