@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import accumulate, chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carledger.functions import text as X
-from carledger.operators.pagewalk import Form, attribute_text, walk
+from carledger.operators.pagewalk import Form, attribute_text, maps, take, walk
 from carledger.schema import ELECTRIC, FUEL_GRADE_KEY, GASOLINE, RAW_COLUMNS, RAW_FIELDS
 
 # Class names of the page form, outermost first.
@@ -62,24 +61,14 @@ def _form(parts: Sequence[str]) -> Form:
     return form if "profile" in parts else form._replace(item_list=("", ""), item_name="")
 
 
-def _maps(found: list[dict[str, str]]) -> pa.Array:
-    ends = pa.array([0, *accumulate(map(len, found))], pa.int32())
-    keys, values = ([*chain.from_iterable(side)] for side in (found, map(dict.values, found)))
-    return pa.MapArray.from_arrays(ends, pa.array(keys, pa.string()), pa.array(values, pa.string())).cast(_MAP[1])
-
-
 def _walked(html: Column, parts: Sequence[str], all_blanks: bool = False) -> Column:
     """These parts of a page as one struct, from one walk. Marked as not deterministic, so that the planner never walks a page
     twice for a filter and a result."""
     form = _form(parts)
 
     def run(pages: pa.Array) -> pa.Array:
-        found = [[] for _ in parts]
-        for html in pages.to_pylist():
-            page = walk(html, form)
-            for part, values in zip(parts, found, strict=True):
-                values.append(page.profile(all_blanks) if part == "profile" else getattr(page, part)())
-        columns = [_maps(v) if part == "profile" else pa.array(v, pa.string()) for part, v in zip(parts, found, strict=True)]
+        found = take(pages, form, tuple(parts), all_blanks)
+        columns = [maps(v) if part == "profile" else pa.array(v, pa.string()) for part, v in zip(parts, found, strict=True)]
         return pa.StructArray.from_arrays(columns, names=list(parts))
 
     kinds = ", ".join(f"{part}: {PARTS[part][0]}" for part in parts)

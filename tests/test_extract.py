@@ -246,3 +246,53 @@ def test_pages_are_made_where_they_are_read(spark):
     plan = made._jdf.queryExecution().toString()
     assert "lineitem.parquet" in plan and "-pages" not in plan
     assert not any(name == "pages" for _, _, name in derived._STORED)
+
+
+def test_pages_cut_together_give_what_a_walk_over_each_gives():
+    import random
+
+    import pyarrow as pa
+
+    from carledger.operators import pagewalk
+
+    pick = random.Random(3)
+    pieces = [
+        "<ul>", "</ul>", "<ul class=basic-item-ul>", "<LI>", "</li>", "<li class='item-name'>", "<span class='item-name'>", "</span>",
+        "<div class='all-basic-content'>", "<div class='car-box'>", "</div>", "<h3 class='car-brand-name' title='a > b'>", "</h3>",
+        "<p class='brand-price-item'>", "<b class=price>", "<i class='price-nom'>", "</b>", "</i>", "<br>", "<a href='/x>y'>", "</a>",
+        "<div class='bread-crumbs'><p class=content>", "燃油标号", " 92号 ", "所在地", "上牌&nbsp;时间：", "&#65509;1", "a > b", ">", " ", "",
+    ]
+    odd = ["<", "a < b", "<!-- <li> -->", "<script>'<li>'</script>", "<b title='<li>'>", "<b title='>", "<i\u3000x='1>2'>", "</b title=\"'>\">", "'", '"', "\0"]
+    frames = [
+        '<div class="all-basic-content"><ul class="basic-item-ul">{}</ul></div>',
+        '<div class="car-box"><h3 class="car-brand-name">{}</h3><p class="brand-price-item"><b class="price">{}</b></p></div>',
+        "{}",
+    ]
+    pages_ = ["", None, PAGE, ">", "<", PAGE + "> >", "x" * 50, PAGE.replace("<h3", "<h3 data-x='a > b'")]
+    for _ in range(3000):
+        some = [pick.choice(odd if pick.random() < 0.02 else pieces) for _ in range(pick.randrange(40))]
+        pages_.append(pick.choice(frames).replace("{}", "".join(some)))
+    form, parts = E.FORM._replace(card=""), ("title", "price", "new_price", "profile")
+    cut = pa.array(["left out", *pages_])[1:]
+    for all_blanks in (False, True):
+        got = pagewalk.take(cut, form, parts, all_blanks)
+        alone = [pagewalk.Page(html or "", pagewalk.Tags(form)) for html in pages_]
+        assert got[:3] == [[getattr(p, part)() for p in alone] for part in parts[:3]]
+        assert [[*p.items()] for p in got[3]] == [[*p.profile(all_blanks).items()] for p in alone]
+    cuts = pagewalk._TAGS[form].cuts
+    assert sum(plan is not None for plan in cuts.values()) > 1500  # most of them were cut together
+    assert pagewalk.take(cut[:0], form, parts) == [[], [], [], []]
+
+
+def test_most_pages_never_become_python_texts(monkeypatch):
+    import pyarrow as pa
+
+    from carledger.operators import pagewalk
+
+    monkeypatch.setattr(pagewalk, "Page", None)
+    monkeypatch.setattr(pagewalk, "_CUT", 1000)  # a few pages at once
+    form = E.FORM._replace(card="", title=("car-box", "car-brand-name"), crumbs=("cut-in-this-test",))
+    htmls = [PAGE.replace("A  2021", f"{k} > 1  2021").replace("<h3", "<h3 data-x='a > b'") for k in range(100)]
+    title, profile = pagewalk.take(pa.array(htmls), form, ("title", "profile"))
+    assert title == [f"{k} > 1  2021款 x1 plus" for k in range(100)]
+    assert profile == [{"上牌时间": "2021年03月", "燃油标号": "92号"}] * 100
