@@ -178,11 +178,24 @@ def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def make_detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     order, part = F.col("l_orderkey"), F.col("l_partkey")
-    text = lambda v: v.cast("string")
-    join = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
-    empty = F.lit("")
-    title = F.when(order % 107 == 0, " ").when(part % 17 == 0, join(" ", F.col("brand"))).otherwise(
-        join(F.col("brand"), "  ", F.col("style"), "&nbsp;", F.col("model"), " &amp; co")
+    html = F.when(order % 5 == 0, _joined(_page(_respelled), _SIMILAR)).otherwise(_page(lambda piece: piece))
+    url = _joined("/lot/", order.cast("string"), "-", F.col("l_linenumber").cast("string"), "-", part.cast("string"), ".html")
+    return keyed_listings(spark, sf_dir).select(
+        url.alias("url"), html.alias("html"), F.col("location").alias("province")
+    )
+
+
+def _joined(*pieces: str | Column) -> Column:
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in pieces])
+
+
+def _page(spelled: Callable[[str | Column], str | Column]) -> Column:
+    """A detail page over `keyed_listings`, in one spelling of its fixed pieces and of its values."""
+    order, part, empty = F.col("l_orderkey"), F.col("l_partkey"), F.lit("")
+    c = lambda name: spelled(F.col(name))
+    join = lambda *pieces: _joined(*[spelled(p) if isinstance(p, str) else p for p in pieces])
+    title = F.when(order % 107 == 0, " ").when(part % 17 == 0, join(" ", c("brand"))).otherwise(
+        join(c("brand"), "  ", c("style"), "&nbsp;", c("model"), " &amp; co")
     )
     untitled = order % 103 == 0
     crumbs = F.when(untitled, empty).otherwise(
@@ -194,14 +207,14 @@ def make_detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         join('<p data-class="car-brand-name">no title</p><h3 data-x="a > b" class="car-brand-name top">', title, "</h3>")
     )
     price = F.when((order % 109 == 0) | (part % 13 == 0), empty).otherwise(
-        join('<b data-class="price">no price</b><span class="price">￥', F.col("current_price"), "</span>")
+        join('<b data-class="price">no price</b><span class="price">￥', c("current_price"), "</span>")
     )
     new_price = (
         F.when(part % 5 == 0, empty)
-        .when(part % 3 == 0, join('<i class="price-nom">', F.col("new_price"), "</i>"))
-        .otherwise(join('<i class="price-nom">新车含税价：', F.col("new_price"), " </i>"))
+        .when(part % 3 == 0, join('<i class="price-nom">', c("new_price"), "</i>"))
+        .otherwise(join('<i class="price-nom">新车含税价：', c("new_price"), " </i>"))
     )
-    card_price = F.when((order % 109 != 0) & (part % 13 == 0), join("<b>¥</b> ", F.col("current_price")))
+    card_price = F.when((order % 109 != 0) & (part % 13 == 0), join("<b>¥</b> ", c("current_price")))
     card = F.coalesce(
         join(
             '<div class="cxc-priceCard"><p class="left-module"><em class="goodstartmoney">', card_price, "</em></p></div>"
@@ -209,11 +222,10 @@ def make_detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         empty,
     )
 
-    def item(name: str, value: Column) -> Column:
+    def item(name: str, value: str | Column) -> Column:
         return join('<li><span class="item-name">', name, "</span>", value, "</li>")
 
-    c = F.col
-    html = join(
+    return join(
         "<html><body>",
         crumbs,
         '<div class="car-box">',
@@ -225,28 +237,23 @@ def make_detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         card,
         '<div class="all-basic-content"><ul class="basic-item-ul">',
         item("上牌&nbsp;时间：", c("reg_time")),
-        F.when(c("fuel_type") == "电动", empty).otherwise(item("燃油标号", F.lit("92号"))),
+        F.when(F.col("fuel_type") == "电动", empty).otherwise(item("燃油标号", "92号")),
         item("表显里程：", join(" ", c("mileage"), " ")),
         item("变速箱", join("<b>", c("gearbox"), "</b>")),
-        item("排量", F.coalesce("displacement", empty)),
+        item("排量", F.coalesce(c("displacement"), empty)),
         item("发布时间：", c("post_time")),
         '</ul><ul class="basic-item-ul more"><li>备注</li>',
         item("年检到期", c("inspect_due")),
         item("保险到期", c("insurance_due")),
         item("过户次数", c("transfer_count")),
         item("所在地", join(c("location"), "所在地")),
-        item("车身颜色", F.lit("旧色")),
+        item("车身颜色", "旧色"),
         item("发动机", c("engine")),
         item("车辆级别", c("level")),
         item("车身颜色", c("color")),
         item("驱动方式", c("drive_mode")),
         "</ul></div></body></html>",
     )
-    html = F.when(order % 5 == 0, join(_respelled(html), F.lit(_SIMILAR))).otherwise(html)
-    url = join("/lot/", text(order), "-", text(c("l_linenumber")), "-", text(part), ".html")
-    return keyed_listings(spark, sf_dir).select(
-        url.alias("url"), html.alias("html"), F.col("location").alias("province")
-    )
 
 
 # Another listing's parts, outside the elements that hold the page's own.
@@ -256,11 +263,18 @@ _SIMILAR = (
 )
 
 
-def _respelled(html: Column) -> Column:
-    """The same page as another tool would write it: quotes, case, character references."""
-    for find, put in (('class="car-box"', "CLASS=car-box"), ('"', "'"), ("<li>", "<LI>"), ("</li>", "</LI>"), ("&nbsp;", "&#xA0;"), ("￥", "&#65509;")):
-        html = F.replace(html, F.lit(find), F.lit(put))
-    return F.replace(html, F.lit("</body></html>"), F.lit(""))
+_SPELLINGS = (
+    ('class="car-box"', "CLASS=car-box"), ('"', "'"), ("<li>", "<LI>"), ("</li>", "</LI>"), ("&nbsp;", "&#xA0;"), ("￥", "&#65509;"),
+    ("</body></html>", ""),
+)
+
+
+def _respelled(piece: str | Column) -> str | Column:
+    """A piece of a page as another tool would write it: quotes, case, character references. None of what is written anew
+    reaches over the end of a piece, so pieces are spelled before they are joined: fixed ones once, not for each page."""
+    for find, put in _SPELLINGS:
+        piece = piece.replace(find, put) if isinstance(piece, str) else F.replace(piece, F.lit(find), F.lit(put))
+    return piece
 
 
 def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -296,3 +296,17 @@ def test_most_pages_never_become_python_texts(monkeypatch):
     title, profile = pagewalk.take(pa.array(htmls), form, ("title", "profile"))
     assert title == [f"{k} > 1  2021款 x1 plus" for k in range(100)]
     assert profile == [{"上牌时间": "2021年03月", "燃油标号": "92号"}] * 100
+
+
+def test_pages_are_spelled_by_their_pieces(spark):
+    """The same pages as if each whole page were written anew."""
+    from carledger.sources import derived
+
+    whole = derived._joined(derived._respelled(derived._page(lambda piece: piece)), derived._SIMILAR)
+    pieces = derived._joined(derived._page(derived._respelled), derived._SIMILAR)
+    keyed = derived.keyed_listings(spark, "/root/testdata/sf0.001")
+    odd = keyed.withColumn("model", F.lit('x "1" <li>￥</li>&nbsp;</body></html> class="car-box"')).withColumn("level", F.lit(None).cast("string"))
+    for rows in (keyed, odd.fillna("", ["level"]), odd):
+        assert rows.filter(~whole.eqNullSafe(pieces)).isEmpty()
+    made = derived.detail_pages(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "replace(replace(concat" not in made.replace("\n", "")
